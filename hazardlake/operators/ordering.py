@@ -49,13 +49,15 @@ def sorted_blocks(df: DataFrame, order_by: Order) -> DataFrame:
     )
 
 
-def _offsets(blocks: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
-    """Per block, the total of every earlier block."""
+def _offsets(blocks: DataFrame, totals: Mapping[str, Column], overall: Mapping[str, str] = {}) -> DataFrame:
+    """Per block, the total of every earlier block, and overall totals."""
     # One row per block, so this window's single partition is as small as the block list.
     earlier = W.orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     sums = blocks.groupBy(BLOCK).agg(*[e.alias(n) for n, e in totals.items()])
     return sums.select(
-        BLOCK, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals]
+        BLOCK,
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in totals],
+        *[F.sum(of).over(W.partitionBy()).alias(n) for n, of in overall.items()],
     )
 
 
@@ -85,15 +87,22 @@ def add_group_index(
     )
 
 
-def add_prefix_sums(df: DataFrame, order_by: Order, sums: Mapping[str, str]) -> DataFrame:
-    """Running totals ``{new_column: source_column}`` up to and including each row."""
+def add_prefix_sums(
+    df: DataFrame, order_by: Order, sums: Mapping[str, str], totals: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Running totals ``{new_column: source_column}`` up to and including each row.
+
+    ``totals`` names a column for the table-wide total of a running total.
+    """
     blocks = sorted_blocks(df, order_by)
     before = {f"_before_{n}": F.sum(c) for n, c in sums.items()}
     within = W.partitionBy(BLOCK).orderBy(POSITION).rowsBetween(W.unboundedPreceding, 0)
     running = [
         (F.col(f"_before_{n}") + F.sum(c).over(within)).alias(n) for n, c in sums.items()
     ]
-    return blocks.join(F.broadcast(_offsets(blocks, before)), BLOCK).select(*df.columns, *running)
+    overall = {name: f"_before_{of}" for name, of in (totals or {}).items()}
+    offsets = _offsets(blocks, before, overall)
+    return blocks.join(F.broadcast(offsets), BLOCK).select(*df.columns, *running, *overall)
 
 
 def row_at(df: DataFrame, order_by: Order, position: int) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import all_missing, nulls_for_nans
-from hazardlake.functions.scalars import col
+from hazardlake.functions.scalars import finite_or_limit
 
-from .ordering import ROWS_PER_BUCKET, Order, add_group_index, add_row_index, flag_first, with_neighbours
+from .ordering import ROWS_PER_BUCKET, Order, add_row_index, flag_first, with_neighbours
 
 # Up to this many features, rolling statistics run as native window aggregates on
 # scalar columns; beyond it as array expressions, so the plan stays small.
@@ -38,6 +38,17 @@ def _first_features(features: str, n: int) -> Column:
     return nulls_for_nans(F.slice(F.col(features), 1, n))
 
 
+def lag_cells(w, features: str, n: int, lags: Sequence[int], fill: float | None) -> Column:
+    """Lagged cells over a window, lag by lag."""
+    empty = F.array_repeat(F.lit(None).cast("float"), n)
+    if not lags or not n:
+        return F.array().cast("array<float>")
+    cells = F.concat(*[F.coalesce(F.lag(_first_features(features, n), lag).over(w), empty) for lag in lags])
+    if fill is None:
+        return cells
+    return F.transform(cells, lambda x: finite_or_limit(x, fill).cast("float"))
+
+
 def lag_features(
     df: DataFrame,
     order_by: Order,
@@ -58,21 +69,25 @@ def lag_features(
     indexed, idx = _indexed(df, order_by, index)
     width = array_width(df, features)
     n = min(n_features or width, width)
-    empty = F.array_repeat(F.lit(None).cast("float"), n)
-
-    def one(w, lag: int) -> Column:
-        return F.coalesce(F.lag(_first_features(features, n), lag).over(w), empty)
 
     def compute(w):
-        cells = F.concat(*[one(w, lag) for lag in lags]) if lags else F.array().cast("array<float>")
-        if fill is not None:
-            cells = F.transform(cells, lambda x: F.coalesce(x, F.lit(fill).cast("float")))
-        return {out: cells}
+        return {out: lag_cells(w, features, n, lags, fill)}
 
     result = with_neighbours(indexed, idx, max(lags, default=0), 0, compute, bucket_rows)
     return result if index else result.drop(idx)
 
 
+def rolling_cells(
+    w, idx: str, features: str, n: int, windows: Sequence[int], stats: Sequence[str], gap: int, layout: str = "auto"
+) -> Column:
+    """Trailing statistics over a window: window by window, statistic by statistic."""
+    if layout == "auto":
+        layout = "scalar" if n <= SCALAR_FEATURE_LIMIT else "nested"
+    build = {"scalar": _rolling_scalar, "nested": _rolling_nested}[layout]
+    cells = [build(w, idx, features, n, rows, stat, gap) for rows in windows for stat in stats]
+    return F.concat(*cells) if cells and n else F.array().cast("array<double>")
+
+
 def rolling_features(
     df: DataFrame,
     order_by: Order,
@@ -99,29 +114,17 @@ def rolling_features(
     indexed, idx = _indexed(df, order_by, index)
     width = array_width(df, features)
     n = min(n_features or width, width)
-    if layout == "auto":
-        layout = "scalar" if n <= SCALAR_FEATURE_LIMIT else "nested"
-    build = {"scalar": _rolling_scalar, "nested": _rolling_nested}[layout]
     reach = max(windows, default=0) + gap
 
     def compute(w):
-        cells = [
-            cell
-            for rows in windows
-            for stat in stats
-            for cell in build(w, idx, features, n, rows, stat, gap)
-        ]
-        if not cells:
-            return {out: F.array().cast("array<double>")}
-        return {out: F.concat(*cells)}
+        return {out: rolling_cells(w, idx, features, n, windows, stats, gap, layout)}
 
     result = with_neighbours(indexed, idx, reach, 0, compute, bucket_rows)
     return result if index else result.drop(idx)
 
 
-def _rolling_scalar(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> list[Column]:
+def _rolling_scalar(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> Column:
     frame = w.rowsBetween(-(rows + gap), -(1 + gap))
-    zero = F.lit(0.0)
     cells = []
     for i in range(n):
         raw = F.col(features)[i].cast("double")
@@ -132,11 +135,11 @@ def _rolling_scalar(w, idx: str, features: str, n: int, rows: int, stat: str, ga
         else:
             value = (F.min(v) if stat == "min" else F.max(v)).over(frame)
             cell = F.when(F.col(idx) >= rows, value)
-        cells.append(F.coalesce(cell, zero))
-    return [F.array(*cells)]
+        cells.append(finite_or_limit(cell))
+    return F.array(*cells)
 
 
-def _rolling_nested(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> list[Column]:
+def _rolling_nested(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> Column:
     frame = F.collect_list(_first_features(features, n)).over(w.rowsBetween(-(rows + gap), -(1 + gap)))
 
     def one(i: Column) -> Column:
@@ -154,8 +157,7 @@ def _rolling_nested(w, idx: str, features: str, n: int, rows: int, stat: str, ga
         ) / F.lit(float(rows))
         return F.when(F.size(present) == rows, F.sqrt(spread))
 
-    cells = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(one(i), F.lit(0.0)))
-    return [cells] if n else []
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: finite_or_limit(one(i)))
 
 
 def interpolate_missing_rows(
@@ -247,19 +249,3 @@ def _names(order_by: Order, *more: str) -> list[str]:
     names = [c for c in order_by if isinstance(c, str)]
     return list(dict.fromkeys([*names, *more]))
 
-
-__all__ = [
-    "add_group_index",
-    "array_width",
-    "chronological_split",
-    "col",
-    "downtime_periods",
-    "every_nth_row",
-    "first_rows",
-    "interpolate_missing_rows",
-    "lag_features",
-    "lag_names",
-    "rolling_features",
-    "rolling_names",
-    "train_rows",
-]
