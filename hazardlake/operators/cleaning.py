@@ -103,8 +103,9 @@ def feature_medians(df: DataFrame, features: str = "features", approximate: bool
 
 def fill_with(df: DataFrame, fills: Column, features: str = "features") -> DataFrame:
     """Replace missing cells by the position's value of an array."""
-    cells = F.zip_with(F.col(features), fills, lambda x, f: F.coalesce(nan_to_null(x), f.cast("float")))
-    return df.withColumn(features, cells)
+    # The array is a column of its own first: a subquery may not stand inside zip_with.
+    cells = F.zip_with(F.col(features), F.col("_fills"), lambda x, f: F.coalesce(nan_to_null(x), f.cast("float")))
+    return df.withColumn("_fills", fills).withColumn(features, cells).drop("_fills")
 
 
 def fill_missing(

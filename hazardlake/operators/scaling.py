@@ -97,8 +97,8 @@ def apply_scaler(df: DataFrame, params: DataFrame | None, features: str = "featu
     """``(x - center) / scale`` per cell; new data is not clipped."""
     if params is None:
         return df if out in (None, features) else df.withColumn(out, F.col(features))
-    p = parameters(params)
-    return df.withColumn(out or features, scaled(features, p["center"], p["scale"]))
+    cells = scaled(features, F.col("_params.center"), F.col("_params.scale"))
+    return df.withColumn("_params", parameters(params)).withColumn(out or features, cells).drop("_params")
 
 
 def as_vector(df: DataFrame, features: str = "features", out: str = "vector") -> DataFrame:

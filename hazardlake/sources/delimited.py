@@ -61,9 +61,15 @@ def read_telemetry(
     return raw.withColumn(time, parse_time(time))
 
 
-def set_block_size(spark: SparkSession, size: str = "16MB") -> None:
-    """How much of a file one read task takes."""
-    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+def scan_in_blocks(spark: SparkSession, path: str, size: str = "16MB", separator: str = ",") -> DataFrame:
+    """Scan with a given amount of text per task.
+
+    The size is a session setting, so it goes into a session of its own (same
+    cluster, same application) and leaves the caller's reads alone.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return scan(own, path, separator)
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",", mode: str = "errorifexists") -> str:
