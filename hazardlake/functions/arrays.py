@@ -73,7 +73,7 @@ def nulls_for_nans(features: Column | str) -> Column:
 
 
 def nulls_for_infinities(features: Column | str) -> Column:
-    return F.transform(col(features), lambda x: F.when(~is_infinite(x), x))
+    return F.transform(col(features), lambda x: F.when(F.abs(x) != F.lit(float("inf")), x))
 
 
 def zero_filled(features: Column | str) -> Column:

@@ -73,7 +73,7 @@ def number_or_zero(c: Column | str, nan_is_null: bool = True, dtype: str = "floa
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None))
 
 
 def is_infinite(c: Column) -> Column:

@@ -11,6 +11,7 @@ import sys
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -216,15 +217,36 @@ def threshold_youden(table: DataFrame) -> DataFrame:
     return roc_curve(table).agg(best.alias("threshold"))
 
 
-def cost_grid(low: float = 0.01, high: float = 0.99, steps: int = 99) -> list[float]:
+@dataclass(frozen=True)
+class Grid:
     """Evenly spaced thresholds, end points included."""
-    import numpy as np
 
-    return [float(t) for t in np.linspace(low, high, steps)]
+    low: float = 0.01
+    high: float = 0.99
+    steps: int = 99
+
+    def values(self) -> list[float]:
+        return [float(t) for t in np.linspace(self.low, self.high, self.steps)]
+
+    def cell(self, score: Column) -> Column:
+        """How many grid values are at or below a score.
+
+        Arithmetic finds the place to within one, and the grid's own values
+        decide, so a score equal to a threshold falls on the right side.
+        """
+        edges = F.array(*[F.lit(t) for t in self.values()])
+        width = (self.high - self.low) / (self.steps - 1)
+        near = F.floor((score - F.lit(self.low)) / F.lit(width)).cast("int") + 1
+        near = F.greatest(F.least(near, F.lit(self.steps)), F.lit(0))
+        return (
+            F.when(F.get(edges, near) <= score, near + 1)
+            .when(F.get(edges, near - 1) > score, near - 1)
+            .otherwise(near)
+        )
 
 
 def cost_table(
-    df: DataFrame, costs: Costs = Costs(), label: str = "label", score: str = "score", grid: list[float] | None = None
+    df: DataFrame, costs: Costs = Costs(), label: str = "label", score: str = "score", grid: Grid = Grid()
 ) -> DataFrame:
     """Confusion counts and benefit at each grid threshold.
 
@@ -232,14 +254,14 @@ def cost_table(
     count gives a table as long as the grid, and running totals over that small
     table give the counts at or above each threshold.
     """
-    grid = grid or cost_grid()
-    edges = F.array(*[F.lit(t) for t in grid])
-    cell = F.size(F.filter(edges, lambda t: t <= F.col(score)))
     y = F.col(label)
-    cells = df.groupBy(cell.alias("cell")).agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    cells = df.groupBy(grid.cell(F.col(score)).alias("cell")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+    )
     # From here on there is one row per grid value; the windows below see only those.
     spark = df.sparkSession
-    axis = spark.range(len(grid) + 1).select(
+    edges = F.array(*[F.lit(t) for t in grid.values()])
+    axis = spark.range(grid.steps + 1).select(
         F.col("id").cast("int").alias("cell"), F.get(edges, F.col("id").cast("int") - 1).alias("threshold")
     )
     full = axis.join(cells, "cell", "left").na.fill(0, ["pos", "neg"])
@@ -254,13 +276,19 @@ def cost_table(
     )
     return (
         counts.filter(F.col("threshold").isNotNull())
-        .select("threshold", "tp", "fp", (F.col("n_pos") - F.col("tp")).alias("fn"), (F.col("n_neg") - F.col("fp")).alias("tn"))
+        .select(
+            "threshold",
+            "tp",
+            "fp",
+            (F.col("n_pos") - F.col("tp")).alias("fn"),
+            (F.col("n_neg") - F.col("fp")).alias("tn"),
+        )
         .withColumn("benefit", benefit(costs))
     )
 
 
 def threshold_cost(
-    df: DataFrame, costs: Costs = Costs(), label: str = "label", score: str = "score", grid: list[float] | None = None
+    df: DataFrame, costs: Costs = Costs(), label: str = "label", score: str = "score", grid: Grid = Grid()
 ) -> DataFrame:
     """Grid threshold with the largest benefit; the lowest wins a tie."""
     best = F.min_by("threshold", F.struct(-F.col("benefit"), F.col("threshold")))

@@ -23,6 +23,9 @@ from .rollup import with_class_weight
 from .sampling import stratified_folds
 from .scaling import as_vector
 
+# Output columns of the models, out of the way of a table's own columns.
+OUTPUTS = {"predictionCol": "_prediction", "probabilityCol": "_probability", "rawPredictionCol": "_raw"}
+
 Builder = Callable[..., Estimator]
 _BUILDERS: dict[str, Builder] = {}
 
@@ -48,7 +51,13 @@ def available() -> list[str]:
 def build(name: str, **context: Any) -> Estimator:
     if name not in _BUILDERS:
         raise ValueError(f"unknown model: {name!r}; available: {', '.join(available())}")
-    return _BUILDERS[name](**context)
+    return _outputs_aside(_BUILDERS[name](**context))
+
+
+def _outputs_aside(estimator: Estimator) -> Estimator:
+    for name, column in OUTPUTS.items():
+        estimator.set(estimator.getParam(name), column)
+    return estimator
 
 
 @register("logreg")
@@ -128,7 +137,7 @@ def fit(
 def with_probability(model: Model, df: DataFrame, features: str = "features", out: str = "probability") -> DataFrame:
     """Add the probability of class 1."""
     scored = model.transform(as_vector(df, features, "_vector"))
-    return scored.withColumn("_p", vector_to_array("probability")[1]).select(*df.columns, F.col("_p").alias(out))
+    return scored.withColumn("_p", vector_to_array("_probability")[1]).select(*df.columns, F.col("_p").alias(out))
 
 
 def model_metrics(scored: DataFrame, label: str, score: str, costs: Costs, threshold: float = 0.5) -> DataFrame:
@@ -245,9 +254,10 @@ def calibrate(
         n = fitted.count()
         if not n:
             raise ValueError("no training rows")
-        model = LogisticRegression(
+        curve = LogisticRegression(
             featuresCol="_vector", labelCol="_label", maxIter=100, regParam=1.0 / n, standardization=False
-        ).fit(fitted)
+        )
+        model = _outputs_aside(curve).fit(fitted)
         scored = model.transform(df.withColumn("_vector", array_to_vector(one)))
-        return scored.withColumn("_p", vector_to_array("probability")[1]).select(*df.columns, F.col("_p").alias(out))
+        return scored.withColumn("_p", vector_to_array("_probability")[1]).select(*df.columns, F.col("_p").alias(out))
     return df.withColumn(out, F.col(score))

@@ -123,7 +123,7 @@ def nearest_neighbours(
     def search(asking: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or members.empty:
             return pd.DataFrame({"key": [], "neighbour": [], "distance2": []})
-        matrix, names = np.stack(members["x"].to_numpy()), members["key"].to_numpy()
+        matrix, names = np.stack(members["m_x"].to_numpy()), members["m_key"].to_numpy()
         order = np.argsort(names, kind="stable")
         matrix, names = matrix[order], names[order]
         found = []
@@ -137,12 +137,10 @@ def nearest_neighbours(
         return out[np.isfinite(out["distance2"])]
 
     def visit(asking: DataFrame, members: DataFrame) -> DataFrame:
-        on = ["block", "part"]
-        return (
-            asking.groupBy(*on)
-            .cogroup(members.groupBy(*on))
-            .applyInPandas(lambda a, m: search(a, m), result_type)
-        )
+        # Other names for the members: both sides come from the same table.
+        hosts = members.select(*[F.col(c).alias(f"m_{c}") for c in ("block", "part", "key", "x")])
+        pairs = asking.groupBy("block", "part").cogroup(hosts.groupBy("m_block", "m_part"))
+        return pairs.applyInPandas(search, result_type)
 
     at_home = blocks.select("block", F.lit(0).alias("part"), "key", "x")
     own = visit(at_home, at_home).checkpoint()

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("preparing", "joining", "sequences")
+MODULES = ("preparing", "joining", "sequences", "sampling", "evaluating", "modelling", "live")
 
 
 def load_all() -> None:
