@@ -53,21 +53,23 @@ def engineer(
         spec = Features(**{**spec.__dict__, "calendar": False})
     width = sequence.array_width(df, features)
     n = min(spec.n_features or width, width)
-    indexed = add_row_index(df, order_by, "_row")
-
-    def compute(w):
-        return {
-            "_lags": sequence.lag_cells(w, features, n, spec.lags, 0.0),
-            "_rolls": sequence.rolling_cells(w, "_row", features, n, spec.windows, spec.stats, spec.gap),
-        }
-
-    reach = max([*spec.lags, *[w + spec.gap for w in spec.windows], 0])
-    table = with_neighbours(indexed, "_row", reach, 0, compute, bucket_rows)
+    row = sequence.ROW
+    lags = sequence.Lags(features, n, spec.lags)
+    rolls = sequence.Rolling(features, row, n, spec.windows, spec.stats, spec.gap)
+    table = with_neighbours(
+        add_row_index(df, order_by, row),
+        row,
+        max(lags.reach, rolls.reach),
+        0,
+        lambda w: {**lags.frames(w), **rolls.frames(w)},
+        lambda: {"_lags": lags.cells(), "_rolls": rolls.cells()},
+        bucket_rows,
+    )
     parts = [F.col(features).cast("array<double>")] if spec.keep_original else []
     if spec.calendar:
         parts.append(F.array(*calendar_columns(time)))
     parts += [F.col("_lags").cast("array<double>"), F.col("_rolls")]
-    return table.withColumn(out, F.concat(*parts)).drop("_lags", "_rolls", "_row"), spec.names(width)
+    return table.withColumn(out, F.concat(*parts)).drop("_lags", "_rolls", row), spec.names(width)
 
 
 @dataclass

@@ -131,7 +131,8 @@ def with_neighbours(
     index: str,
     before: int,
     after: int,
-    compute: Callable[[WindowSpec], Mapping[str, Column]],
+    frames: Callable[[WindowSpec], Mapping[str, Column]],
+    finish: Callable[[], Mapping[str, Column]],
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Row-based window expressions over one long sequence, in parallel.
@@ -140,22 +141,24 @@ def with_neighbours(
     last ``before`` rows of a bucket are copied into the next one and the first
     ``after`` rows into the previous one, so every frame reaching at most that
     far is complete inside its bucket; the copies are dropped afterwards.
+
+    ``frames`` gives the bare window expressions by name and ``finish`` the
+    result columns built from those names. Kept apart, each window expression
+    is evaluated once however often a result refers to it.
     """
     size = max(int(bucket_rows), before, after, 1)
     place = F.pmod(F.col(index), F.lit(size))
     home = ((F.col(index) - place) / size).cast("bigint")
-    targets = F.array_compact(
-        F.array(
-            home,
-            F.when(place >= size - before, home + 1),
-            F.when((place < after) & (home > 0), home - 1),
-        )
-    )
-    copies = df.withColumn("_home", home).withColumn("_bucket", F.explode(targets))
+    targets = [home]
+    if before:
+        targets.append(F.when(place >= size - before, home + 1))
+    if after:
+        targets.append(F.when((place < after) & (home > 0), home - 1))
+    copies = df.withColumn("_home", home).withColumn("_bucket", F.explode(F.array_compact(F.array(*targets))))
     window = W.partitionBy("_bucket").orderBy(index)
-    results = compute(window)
-    return (
-        copies.select("*", *[e.alias(n) for n, e in results.items()])
-        .filter(F.col("_bucket") == F.col("_home"))
-        .drop("_bucket", "_home")
-    )
+    framed = copies.select("*", *[e.alias(n) for n, e in frames(window).items()])
+    kept = framed.filter(F.col("_bucket") == F.col("_home"))
+    results = finish()
+    columns = [results[c].alias(c) if c in results else F.col(c) for c in df.columns]
+    added = [e.alias(n) for n, e in results.items() if n not in df.columns]
+    return kept.select(*columns, *added)

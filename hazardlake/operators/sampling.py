@@ -70,12 +70,45 @@ MAX_BLOCKS = 50_000
 PIVOTS = 64
 
 
-def _pivots(vectors: DataFrame, key: str, seed: int) -> list[list[float]]:
-    """A fixed number of vectors chosen by hash, so its size does not depend on the data."""
-    chosen = vectors.orderBy(uniform_draw(seed, key), key).limit(PIVOTS).select("x")
+def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[float]]:
+    """Up to PIVOTS vectors chosen by hash; fewer for a small table, which needs fewer cells."""
+    chosen = vectors.orderBy(uniform_draw(seed, key), key).limit(min(max(wanted, 1), PIVOTS)).select("x")
     return [list(r["x"]) for r in chosen.collect()]
 
 
+def _search_block(keys: pd.Series, vectors: pd.Series, names: pd.Series, members: pd.Series, k: int) -> pd.DataFrame:
+    """The k nearest members of each vector, other than itself.
+
+    A matrix product ranks the members to within rounding; all that could be
+    among the k nearest are then measured exactly.
+    """
+    asking, hosts = np.stack(vectors.to_numpy()), np.stack(members.to_numpy())
+    asked, hosted = keys.to_numpy(), names.to_numpy()
+    norms = np.einsum("ij,ij->i", hosts, hosts)
+    found = []
+    for start in range(0, len(asking), 256):
+        part, part_keys = asking[start : start + 256], asked[start : start + 256]
+        own = np.einsum("ij,ij->i", part, part)
+        rough = own[:, None] + norms[None, :] - 2.0 * (part @ hosts.T)
+        rough[part_keys[:, None] == hosted[None, :]] = np.inf
+        nth = min(k, rough.shape[1]) - 1
+        slack = 1e-9 * (own + norms.max()) + 1e-300
+        bound = np.partition(rough, nth, axis=1)[:, nth] + slack
+        rows, columns = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
+        gap = part[rows] - hosts[columns]
+        exact = np.einsum("ij,ij->i", gap, gap)
+        order = np.lexsort((hosted[columns], exact, rows))
+        rows, columns, exact = rows[order], columns[order], exact[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        keep = place < k
+        found.append(
+            pd.DataFrame(
+                {"key": part_keys[rows[keep]], "neighbour": hosted[columns[keep]], "distance2": exact[keep]}
+            )
+        )
+    return pd.concat(found)
+
+
 def nearest_neighbours(
     vectors: DataFrame, k: int, key: str = "key", seed: int = 7, block_members: int = BLOCK_MEMBERS
 ) -> DataFrame:
@@ -91,8 +124,9 @@ def nearest_neighbours(
     """
     spark = vectors.sparkSession
     vectors = vectors.select(F.col(key).alias("key"), F.col("x").cast("array<double>").alias("x"))
-    pivots = np.array(_pivots(vectors, "key", seed))
-    if not len(pivots):
+    total = vectors.count()
+    pivots = np.array(_pivots(vectors, "key", seed, total // block_members))
+    if not total:
         return spark.createDataFrame([], "key bigint, rank int, neighbour bigint, distance2 double")
 
     key_type = vectors.schema["key"].dataType.simpleString()
@@ -108,7 +142,7 @@ def nearest_neighbours(
             best[nearer], which[nearer] = d[nearer], i
         return pd.DataFrame({"pivot": which, "radius": best})
 
-    members_limit = max(block_members, math.ceil(vectors.count() / MAX_BLOCKS))
+    members_limit = max(block_members, math.ceil(total / MAX_BLOCKS))
     placed = vectors.withColumn("_c", closest("x")).select("key", "x", "_c.*")
     # Consecutive rows of one pivot's cell form a block.
     ordered = add_row_index(placed, ["pivot", "radius", "key"], "_i")
@@ -123,18 +157,7 @@ def nearest_neighbours(
     def search(asking: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or members.empty:
             return pd.DataFrame({"key": [], "neighbour": [], "distance2": []})
-        matrix, names = np.stack(members["m_x"].to_numpy()), members["m_key"].to_numpy()
-        order = np.argsort(names, kind="stable")
-        matrix, names = matrix[order], names[order]
-        found = []
-        for name, x in zip(asking["key"], asking["x"], strict=True):
-            gap = matrix - x
-            d = np.einsum("ij,ij->i", gap, gap)
-            d[names == name] = np.inf
-            nearest = np.argsort(d, kind="stable")[:k]
-            found.append(pd.DataFrame({"key": name, "neighbour": names[nearest], "distance2": d[nearest]}))
-        out = pd.concat(found)
-        return out[np.isfinite(out["distance2"])]
+        return _search_block(asking["key"], asking["x"], members["m_key"], members["m_x"], k)
 
     def visit(asking: DataFrame, members: DataFrame) -> DataFrame:
         # Other names for the members: both sides come from the same table.

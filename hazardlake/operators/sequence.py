@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import all_missing, nulls_for_nans
-from hazardlake.functions.scalars import finite_or_limit
+from hazardlake.functions.scalars import finite_or_limit, nan_to_null
 
 from .ordering import ROWS_PER_BUCKET, Order, add_row_index, flag_first, with_neighbours
 
@@ -16,6 +17,7 @@ from .ordering import ROWS_PER_BUCKET, Order, add_row_index, flag_first, with_ne
 # scalar columns; beyond it as array expressions, so the plan stays small.
 SCALAR_FEATURE_LIMIT = 100
 
+ROW = "_row"
 ROLLING_STATS = ("mean", "std", "min", "max")
 
 
@@ -34,19 +36,134 @@ def array_width(df: DataFrame, features: str = "features") -> int:
     return int(first["w"]) if first else 0
 
 
+def feature_count(df: DataFrame, features: str, wanted: int) -> int:
+    """The first ``wanted`` features, 0 for all, and never more than there are."""
+    width = array_width(df, features)
+    return min(wanted or width, width)
+
+
 def _first_features(features: str, n: int) -> Column:
     return nulls_for_nans(F.slice(F.col(features), 1, n))
 
 
-def lag_cells(w, features: str, n: int, lags: Sequence[int], fill: float | None) -> Column:
-    """Lagged cells over a window, lag by lag."""
-    empty = F.array_repeat(F.lit(None).cast("float"), n)
-    if not lags or not n:
-        return F.array().cast("array<float>")
-    cells = F.concat(*[F.coalesce(F.lag(_first_features(features, n), lag).over(w), empty) for lag in lags])
-    if fill is None:
-        return cells
-    return F.transform(cells, lambda x: finite_or_limit(x, fill).cast("float"))
+@dataclass(frozen=True)
+class Lags:
+    """Lagged cells of the first ``n`` features, lag by lag."""
+
+    features: str
+    n: int
+    sizes: Sequence[int]
+    fill: float | None = 0.0
+
+    def __post_init__(self):
+        if any(lag <= 0 for lag in self.sizes):
+            raise ValueError(f"lags must be positive, got {list(self.sizes)}")
+
+    @property
+    def reach(self) -> int:
+        return max(self.sizes, default=0)
+
+    def frames(self, w: WindowSpec) -> dict[str, Column]:
+        cells = _first_features(self.features, self.n)
+        return {f"_lag{lag}": F.lag(cells, lag).over(w) for lag in self.sizes} if self.n else {}
+
+    def cells(self) -> Column:
+        if not self.n or not self.sizes:
+            return F.array().cast("array<float>")
+        empty = F.array_repeat(F.lit(None).cast("float"), self.n)
+        cells = F.concat(*[F.coalesce(F.col(f"_lag{lag}"), empty) for lag in self.sizes])
+        if self.fill is None:
+            return cells
+        return F.transform(cells, lambda x: finite_or_limit(x, self.fill).cast("float"))
+
+
+@dataclass(frozen=True)
+class Rolling:
+    """Trailing statistics of the first ``n`` features: window by window, statistic by statistic.
+
+    With the default ``gap=1`` the window of ``w`` rows ends two rows back: the
+    current row *and the one before it* are left out. ``gap=0`` leaves out the
+    current row only. A row with index below ``w`` gets 0. ``mean`` and ``std``
+    (population) need ``w`` present cells; ``min`` and ``max`` skip missing ones.
+
+    Few features are aggregated by native window functions on scalar columns;
+    many by array expressions over the frame's rows, so the plan stays small.
+    """
+
+    features: str
+    index: str
+    n: int
+    windows: Sequence[int]
+    stats: Sequence[str] = ("mean", "std")
+    gap: int = 1
+    layout: str = "auto"
+
+    def __post_init__(self):
+        if any(w <= 0 for w in self.windows):
+            raise ValueError(f"windows must be positive, got {list(self.windows)}")
+        if self.layout not in ("auto", "scalar", "nested"):
+            raise ValueError(f"unknown layout: {self.layout!r}")
+
+    @property
+    def reach(self) -> int:
+        return max(self.windows, default=0) + self.gap
+
+    @property
+    def nested(self) -> bool:
+        return self.layout == "nested" or (self.layout == "auto" and self.n > SCALAR_FEATURE_LIMIT)
+
+    def frames(self, w: WindowSpec) -> dict[str, Column]:
+        found: dict[str, Column] = {}
+        if not self.n:
+            return found
+        for rows in self.windows:
+            frame = w.rowsBetween(-(rows + self.gap), -(1 + self.gap))
+            if self.nested:
+                found[f"_frame{rows}"] = F.collect_list(_first_features(self.features, self.n)).over(frame)
+                continue
+            for i in range(self.n):
+                v = nan_to_null(F.col(self.features)[i].cast("double"))
+                if {"mean", "std"} & set(self.stats):
+                    found[f"_count{rows}_{i}"] = F.count(v).over(frame)
+                for stat in self.stats:
+                    found[f"_{stat}{rows}_{i}"] = _WINDOW_STATS[stat](v).over(frame)
+        return found
+
+    def cells(self) -> Column:
+        if not self.n or not self.windows or not self.stats:
+            return F.array().cast("array<double>")
+        build = self._from_frame if self.nested else self._from_columns
+        return F.concat(*[build(rows, stat) for rows in self.windows for stat in self.stats])
+
+    def _from_columns(self, rows: int, stat: str) -> Column:
+        cells = []
+        for i in range(self.n):
+            value = F.col(f"_{stat}{rows}_{i}")
+            whole = F.col(f"_count{rows}_{i}") == rows if stat in ("mean", "std") else F.col(self.index) >= rows
+            cells.append(F.when(whole, finite_or_limit(value)).otherwise(F.lit(0.0)))
+        return F.array(*cells)
+
+    def _from_frame(self, rows: int, stat: str) -> Column:
+        frame = F.col(f"_frame{rows}")
+
+        def one(i: Column) -> Column:
+            present = F.array_compact(F.transform(frame, lambda r: F.get(r, i).cast("double")))
+            if stat == "min":
+                return F.when(F.col(self.index) >= rows, F.array_min(present))
+            if stat == "max":
+                return F.when(F.col(self.index) >= rows, F.array_max(present))
+            mean = F.aggregate(present, F.lit(0.0), lambda a, x: a + x) / F.lit(float(rows))
+            if stat == "mean":
+                return F.when(F.size(present) == rows, mean)
+            # Two passes over the frame: no cancellation when the mean is large.
+            spread = F.aggregate(present, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / F.lit(float(rows))
+            return F.when(F.size(present) == rows, F.sqrt(spread))
+
+        raw = F.transform(F.sequence(F.lit(0), F.lit(self.n - 1)), one)
+        return F.transform(raw, lambda x: finite_or_limit(x))
+
+
+_WINDOW_STATS = {"mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max}
 
 
 def lag_features(
@@ -57,35 +174,17 @@ def lag_features(
     features: str = "features",
     out: str = "lags",
     fill: float | None = 0.0,
-    index: str | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add an array of lagged cells, lag by lag, each for the first ``n_features`` (0 = all).
+    """Add an array of lagged cells for the first ``n_features`` (0 = all).
 
     Rows without that much history hold ``fill`` (None leaves them missing).
     """
-    if any(lag <= 0 for lag in lags):
-        raise ValueError(f"lags must be positive, got {list(lags)}")
-    indexed, idx = _indexed(df, order_by, index)
-    width = array_width(df, features)
-    n = min(n_features or width, width)
-
-    def compute(w):
-        return {out: lag_cells(w, features, n, lags, fill)}
-
-    result = with_neighbours(indexed, idx, max(lags, default=0), 0, compute, bucket_rows)
-    return result if index else result.drop(idx)
-
-
-def rolling_cells(
-    w, idx: str, features: str, n: int, windows: Sequence[int], stats: Sequence[str], gap: int, layout: str = "auto"
-) -> Column:
-    """Trailing statistics over a window: window by window, statistic by statistic."""
-    if layout == "auto":
-        layout = "scalar" if n <= SCALAR_FEATURE_LIMIT else "nested"
-    build = {"scalar": _rolling_scalar, "nested": _rolling_nested}[layout]
-    cells = [build(w, idx, features, n, rows, stat, gap) for rows in windows for stat in stats]
-    return F.concat(*cells) if cells and n else F.array().cast("array<double>")
+    spec = Lags(features, feature_count(df, features, n_features), lags, fill)
+    indexed = add_row_index(df, order_by, ROW)
+    return with_neighbours(
+        indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
+    ).drop(ROW)
 
 
 def rolling_features(
@@ -97,67 +196,16 @@ def rolling_features(
     features: str = "features",
     out: str = "rolls",
     gap: int = 1,
-    index: str | None = None,
     layout: str = "auto",
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add an array of trailing statistics: window by window, statistic by statistic.
-
-    With the default ``gap=1`` the window of ``w`` rows ends two rows back: the
-    current row *and the one before it* are left out. ``gap=0`` leaves out the
-    current row only. A row with index below ``w`` gets 0. ``mean`` and ``std``
-    (population) need ``w`` present cells; ``min`` and ``max`` skip missing ones.
-    """
-    if any(w <= 0 for w in windows):
-        raise ValueError(f"windows must be positive, got {list(windows)}")
-    stats = [s for s in stats if s in ROLLING_STATS]
-    indexed, idx = _indexed(df, order_by, index)
-    width = array_width(df, features)
-    n = min(n_features or width, width)
-    reach = max(windows, default=0) + gap
-
-    def compute(w):
-        return {out: rolling_cells(w, idx, features, n, windows, stats, gap, layout)}
-
-    result = with_neighbours(indexed, idx, reach, 0, compute, bucket_rows)
-    return result if index else result.drop(idx)
-
-
-def _rolling_scalar(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> Column:
-    frame = w.rowsBetween(-(rows + gap), -(1 + gap))
-    cells = []
-    for i in range(n):
-        raw = F.col(features)[i].cast("double")
-        v = F.when(~F.isnan(raw), raw)
-        if stat in ("mean", "std"):
-            value = (F.avg(v) if stat == "mean" else F.stddev_pop(v)).over(frame)
-            cell = F.when(F.count(v).over(frame) == rows, value)
-        else:
-            value = (F.min(v) if stat == "min" else F.max(v)).over(frame)
-            cell = F.when(F.col(idx) >= rows, value)
-        cells.append(finite_or_limit(cell))
-    return F.array(*cells)
-
-
-def _rolling_nested(w, idx: str, features: str, n: int, rows: int, stat: str, gap: int) -> Column:
-    frame = F.collect_list(_first_features(features, n)).over(w.rowsBetween(-(rows + gap), -(1 + gap)))
-
-    def one(i: Column) -> Column:
-        present = F.array_compact(F.transform(frame, lambda r: F.get(r, i).cast("double")))
-        if stat == "min":
-            return F.when(F.col(idx) >= rows, F.array_min(present))
-        if stat == "max":
-            return F.when(F.col(idx) >= rows, F.array_max(present))
-        mean = F.aggregate(present, F.lit(0.0), lambda a, x: a + x) / F.lit(float(rows))
-        if stat == "mean":
-            return F.when(F.size(present) == rows, mean)
-        # Two passes over the frame: no cancellation when the mean is large.
-        spread = F.aggregate(
-            present, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)
-        ) / F.lit(float(rows))
-        return F.when(F.size(present) == rows, F.sqrt(spread))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: finite_or_limit(one(i)))
+    """Add an array of trailing statistics; :class:`Rolling` says what they are."""
+    known = [s for s in stats if s in ROLLING_STATS]
+    spec = Rolling(features, ROW, feature_count(df, features, n_features), windows, known, gap, layout)
+    indexed = add_row_index(df, order_by, ROW)
+    return with_neighbours(
+        indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
+    ).drop(ROW)
 
 
 def interpolate_missing_rows(
@@ -166,7 +214,6 @@ def interpolate_missing_rows(
     features: str = "features",
     check: Sequence[int] | None = None,
     flag: str | None = None,
-    index: str | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Fill rows whose (checked) cells are all missing from the rows around them.
@@ -176,26 +223,24 @@ def interpolate_missing_rows(
     ``check`` limits the test to some positions; ``flag`` adds a column that
     tells which rows were filled.
     """
-    indexed, idx = _indexed(df, order_by, index)
+    indexed = add_row_index(df, order_by, ROW)
     cells = nulls_for_nans(features)
     tested = cells if check is None else F.array(*[F.get(cells, F.lit(i)) for i in check])
-    down = all_missing(tested)
 
-    def compute(w):
-        before, after = F.lag(cells).over(w), F.lead(cells).over(w)
+    def frames(w: WindowSpec) -> dict[str, Column]:
+        return {"_before": F.lag(cells).over(w), "_after": F.lead(cells).over(w)}
+
+    def finish() -> dict[str, Column]:
+        down = all_missing(tested)
+        before, after = F.col("_before"), F.col("_after")
         mean = F.zip_with(before, after, lambda a, b: ((a + b) / F.lit(2.0)).cast("float"))
         lone = F.transform(cells, lambda _: F.lit(0.0).cast("float"))
-        # At the table's edges a neighbour is absent; the halo keeps it present elsewhere.
+        # Only at the table's edges is a neighbour absent; elsewhere the copies bring it along.
         filled = F.coalesce(mean, after, before, lone)
-        results = {"_filled": F.when(down, filled).otherwise(cells)}
-        if flag:
-            results[flag] = down
-        return results
+        results = {features: F.when(down, filled).otherwise(cells)}
+        return {**results, flag: down} if flag else results
 
-    result = with_neighbours(indexed, idx, 1, 1, compute, bucket_rows)
-    names = [F.col("_filled").alias(c) if c == features else F.col(c) for c in indexed.columns]
-    result = result.select(*names, *([flag] if flag else []))
-    return result if index else result.drop(idx)
+    return with_neighbours(indexed, ROW, 1, 1, frames, finish, bucket_rows).drop(ROW)
 
 
 def downtime_periods(df: DataFrame, order_by: Order, time: str, features: str = "features") -> DataFrame:
@@ -239,12 +284,6 @@ def first_rows(df: DataFrame, order_by: Order, n: int) -> DataFrame:
     return flag_first(df, order_by, n, "_keep").filter("_keep").drop("_keep")
 
 
-def _indexed(df: DataFrame, order_by: Order, index: str | None) -> tuple[DataFrame, str]:
-    if index:
-        return df, index
-    return add_row_index(df, order_by, "_row"), "_row"
-
-
 def _names(order_by: Order, *more: str) -> list[str]:
     names = [c for c in order_by if isinstance(c, str)]
     return list(dict.fromkeys([*names, *more]))
