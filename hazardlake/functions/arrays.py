@@ -81,7 +81,7 @@ def zero_filled(features: Column | str) -> Column:
 
 
 def missing_cells(features: Column | str) -> Column:
-    return F.size(F.filter(col(features), lambda x: x.isNull()))
+    return F.size(F.filter(col(features), lambda x: nan_to_null(x).isNull()))
 
 
 def all_missing(features: Column | str) -> Column:

@@ -51,13 +51,14 @@ def engineer(
     """
     if time is None or not spec.calendar:
         spec = Features(**{**spec.__dict__, "calendar": False})
-    width = sequence.array_width(df, features)
-    n = min(spec.n_features or width, width)
     row = sequence.ROW
+    indexed = add_row_index(df, order_by, row)
+    width = sequence.array_width(indexed, features)
+    n = min(spec.n_features or width, width)
     lags = sequence.Lags(features, n, spec.lags)
     rolls = sequence.Rolling(features, row, n, spec.windows, spec.stats, spec.gap)
     table = with_neighbours(
-        add_row_index(df, order_by, row),
+        indexed,
         row,
         max(lags.reach, rolls.reach),
         0,

@@ -31,7 +31,10 @@ def rolling_names(windows: Sequence[int], n: int, stats: Sequence[str] = ("mean"
 
 
 def array_width(df: DataFrame, features: str = "features") -> int:
-    """Number of cells in the feature array (0 for an empty table)."""
+    """Number of cells in the feature array (0 for an empty table).
+
+    Reads one row, so give it a stored table rather than a long plan.
+    """
     first = df.select(F.size(features).alias("w")).head()
     return int(first["w"]) if first else 0
 
@@ -180,8 +183,8 @@ def lag_features(
 
     Rows without that much history hold ``fill`` (None leaves them missing).
     """
-    spec = Lags(features, feature_count(df, features, n_features), lags, fill)
     indexed = add_row_index(df, order_by, ROW)
+    spec = Lags(features, feature_count(indexed, features, n_features), lags, fill)
     return with_neighbours(
         indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
     ).drop(ROW)
@@ -201,8 +204,8 @@ def rolling_features(
 ) -> DataFrame:
     """Add an array of trailing statistics; :class:`Rolling` says what they are."""
     known = [s for s in stats if s in ROLLING_STATS]
-    spec = Rolling(features, ROW, feature_count(df, features, n_features), windows, known, gap, layout)
     indexed = add_row_index(df, order_by, ROW)
+    spec = Rolling(features, ROW, feature_count(indexed, features, n_features), windows, known, gap, layout)
     return with_neighbours(
         indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
     ).drop(ROW)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .artifacts import read_json, write_json
 from .delimited import write_delimited
 
 
@@ -30,18 +30,28 @@ def append_table(df: DataFrame, path: str) -> str:
     return write_table(df, path, "append")
 
 
+def _marker(path: str) -> str:
+    return f"{path.rstrip('/')}-state"
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """True if a finished write left its marker."""
+    """True if :func:`reuse_or_write` finished writing this table."""
     try:
-        return not spark.read.format("binaryFile").load(f"{path}/_SUCCESS").select("path").isEmpty()
-    except AnalysisException:
+        return read_json(spark, _marker(path))["state"] == "complete"
+    except FileNotFoundError:
         return False
 
 
 def reuse_or_write(spark: SparkSession, path: str, build: Callable[[], DataFrame], by_day: str | None = None) -> DataFrame:
-    """The table at ``path`` if it is complete, else build and write it first."""
+    """The table at ``path`` if it is complete, else build and write it first.
+
+    A marker beside the table says so; a build that was cut short leaves it
+    at "building", and the next call starts over.
+    """
     if not is_complete(spark, path):
+        write_json(spark, _marker(path), {"state": "building"})
         write_table(build(), path, "overwrite", by_day)
+        write_json(spark, _marker(path), {"state": "complete"})
     return spark.read.parquet(path)
 
 
