@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazardlake.functions.scalars import CALENDAR_NAMES, calendar_columns
 
 from . import sampling, scaling, sequence
-from .ordering import ROWS_PER_BUCKET, Order, add_row_index, with_neighbours
+from .ordering import ROWS_PER_BUCKET, Order, add_row_index, attach, with_neighbours
 
 
 @dataclass(frozen=True)
@@ -41,19 +41,27 @@ def engineer(
     time: str | None = "batch_time",
     features: str = "features",
     out: str = "engineered",
+    key: Sequence[str] | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> tuple[DataFrame, list[str]]:
     """Add the engineered feature array; returns the table and the names of its cells.
 
     Lags and rolling statistics look back only and are computed over the whole
     ordered table, in one pass over one row index, so validation rows see the
-    history that precedes them.
+    history that precedes them. With a unique ``key`` only the features that
+    have lags or statistics are ranked and windowed; the wide rows are joined
+    by key once and neither sorted nor stored.
     """
     if time is None or not spec.calendar:
         spec = Features(**{**spec.__dict__, "calendar": False})
     row = sequence.ROW
-    indexed = add_row_index(df, order_by, row)
-    width = sequence.array_width(indexed, features)
+    needed = df.withColumn("_width", F.size(features))
+    if key:
+        cells = F.slice(features, 1, spec.n_features) if spec.n_features else F.col(features)
+        needed = needed.select(*dict.fromkeys([*order_by, *key]), "_width", cells.alias(features))
+    indexed = add_row_index(needed, order_by, row)
+    first = indexed.select("_width").head()
+    width = int(first["_width"]) if first else 0
     n = min(spec.n_features or width, width)
     lags = sequence.Lags(features, n, spec.lags)
     rolls = sequence.Rolling(features, row, n, spec.windows, spec.stats, spec.gap)
@@ -66,6 +74,7 @@ def engineer(
         lambda: {"_lags": lags.cells(), "_rolls": rolls.cells()},
         bucket_rows,
     )
+    table = attach(df, table.select(*key, "_lags", "_rolls"), key) if key else table.drop("_width")
     parts = [F.col(features).cast("array<double>")] if spec.keep_original else []
     if spec.calendar:
         parts.append(F.array(*calendar_columns(time)))
@@ -101,7 +110,7 @@ def prepare(
     The engineered table is written once to the shared folder; the scaler and
     the components are fitted on its training rows.
     """
-    table, names = engineer(df, spec, order_by, time)
+    table, names = engineer(df, spec, order_by, time, key=[key])
     table = table.drop("features").withColumnRenamed("engineered", "features")
     if split == "chronological":
         table = sequence.chronological_split(table, order_by, test_size)

@@ -8,7 +8,9 @@ score) that holds a third of the rows is cut into several blocks by the next
 key. Once written, a block cannot change when an executor is lost, which is
 what makes counting it in one job and numbering it in another safe.
 
-The only broadcast is the block table: one row per sorted partition.
+Only sort keys should be ranked this way: :func:`attach` brings a result back
+to the wide rows by their key. The broadcasts are the block table, with one row
+per sorted partition, and tables whose size was counted first.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from hazardlake.session import checkpoint_dir
 BLOCK = "_block"
 POSITION = "_pos"
 ROWS_PER_BUCKET = 8192
+BROADCAST_ROWS = 100_000
 
 Order = Sequence["Column | str"]
 
@@ -61,6 +64,24 @@ def _offsets(blocks: DataFrame, totals: Mapping[str, Column], overall: Mapping[s
     )
 
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a table of narrow rows only after counting that it is small enough.
+
+    Give it a stored table: counting evaluates it.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def attach(df: DataFrame, narrow: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the other columns of ``narrow`` to the rows with the same key, nulls included.
+
+    The key must identify a row on both sides.
+    """
+    right = narrow.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in narrow.columns if c not in set(keys)])
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return df.join(right, on, "inner").drop(*[f"_k_{k}" for k in keys])
+
+
 def add_row_index(df: DataFrame, order_by: Order, name: str = "row_idx") -> DataFrame:
     """Number rows 0, 1, 2, ... in the given order."""
     blocks = sorted_blocks(df, order_by)
@@ -79,11 +100,9 @@ def add_group_index(
     get the global number minus the group's first number.
     """
     indexed = add_row_index(df, [*group, *order_by], "_global")
-    first = indexed.groupBy(*group).agg(F.min("_global").alias("_first"))
-    keys = [F.col(f"r.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group]
-    joined = indexed.alias("r").join(first.alias("f"), keys)
-    return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns], (F.col("_global") - F.col("_first")).alias(name)
+    first = broadcast_if_small(indexed.groupBy(*group).agg(F.min("_global").alias("_first")).checkpoint())
+    return attach(indexed, first, group).select(
+        *df.columns, (F.col("_global") - F.col("_first")).alias(name)
     )
 
 
@@ -134,6 +153,7 @@ def with_neighbours(
     frames: Callable[[WindowSpec], Mapping[str, Column]],
     finish: Callable[[], Mapping[str, Column]],
     bucket_rows: int = ROWS_PER_BUCKET,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Row-based window expressions over one long sequence, in parallel.
 
@@ -144,7 +164,8 @@ def with_neighbours(
 
     ``frames`` gives the bare window expressions by name and ``finish`` the
     result columns built from those names. Kept apart, each window expression
-    is evaluated once however often a result refers to it.
+    is evaluated once however often a result refers to it. ``keep`` names
+    window expressions that are results as they are.
     """
     size = max(int(bucket_rows), before, after, 1)
     place = F.pmod(F.col(index), F.lit(size))
@@ -161,4 +182,4 @@ def with_neighbours(
     results = finish()
     columns = [results[c].alias(c) if c in results else F.col(c) for c in df.columns]
     added = [e.alias(n) for n, e in results.items() if n not in df.columns]
-    return kept.select(*columns, *added)
+    return kept.select(*columns, *keep, *added)

@@ -7,7 +7,7 @@ and any partitioning. ``key`` must identify a row.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,48 +17,81 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import uniform_draw
 
-from .ordering import add_group_index, add_row_index, flag_first
+from .ordering import add_group_index, add_row_index, attach, broadcast_if_small, row_at
 
 DRAW = "_draw"
 
 
+# Slices of the draw's range that are counted to find where a cut falls.
+DRAW_SLICES = 65_536
+
+
 def _drawn(df: DataFrame, key: Sequence[str], seed: int | str) -> DataFrame:
     return df.withColumn(DRAW, uniform_draw(seed, *key))
 
 
+def _flag_drawn(df: DataFrame, key: Sequence[str], seed: int | str, share: Callable[[int], int], name: str) -> DataFrame:
+    """Mark the ``share(total)`` rows with the smallest draws; no row is sorted or moved.
+
+    Counting rows per slice of the draw's range finds the slice the cut falls
+    into; only that slice's keys are sorted to find the last row that counts.
+    """
+    keys = _drawn(df.select(*key), key, seed).withColumn("_slice", F.floor(F.col(DRAW) * DRAW_SLICES))
+    # At most DRAW_SLICES rows.
+    counts = sorted((r["_slice"], r["n"]) for r in keys.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).collect())
+    left = share(sum(n for _, n in counts))
+    if left <= 0:
+        return df.withColumn(name, F.lit(False))
+    for number, n in counts:
+        if left <= n:
+            break
+        left -= n
+    cut = row_at(keys.filter(F.col("_slice") == number), [DRAW, *key], left - 1)
+    last = cut.agg(F.max(F.struct(*cut.columns))).scalar()
+    own = F.struct(*[c.alias(f"k{i}") for i, c in enumerate([uniform_draw(seed, *key), *map(F.col, key)])])
+    return df.withColumn(name, own <= last)
+
+
 def random_split(
     df: DataFrame, key: Sequence[str], test_size: float = 0.2, seed: int = 42, name: str = "is_train"
 ) -> DataFrame:
     """Mark ``ceil(n * test_size)`` random rows as validation rows, the rest as training rows."""
-    n_test = math.ceil(df.count() * test_size)
-    marked = flag_first(_drawn(df, key, seed), [DRAW, *key], n_test, name)
-    return marked.withColumn(name, ~F.col(name)).drop(DRAW)
+    marked = _flag_drawn(df, key, seed, lambda n: math.ceil(n * test_size), name)
+    return marked.withColumn(name, ~F.col(name))
 
 
 def random_sample(df: DataFrame, key: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     """Exactly ``round(n * fraction)`` random rows."""
-    n = round(df.count() * fraction)
-    return flag_first(_drawn(df, key, seed), [DRAW, *key], n, "_keep").filter("_keep").drop("_keep", DRAW)
+    marked = _flag_drawn(df, key, seed, lambda n: round(n * fraction), "_keep")
+    return marked.filter("_keep").drop("_keep")
 
 
 def stratified_folds(
     df: DataFrame, key: Sequence[str], label: str, k: int = 5, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
     """Shuffled folds that share each label's rows out evenly."""
-    ranked = add_group_index(_drawn(df, key, seed), [label], [DRAW, *key], "_nth")
-    return ranked.withColumn(name, F.pmod("_nth", F.lit(k)).cast("int")).drop("_nth", DRAW)
+    ranked = add_group_index(_drawn(df.select(*key, label), key, seed), [label], [DRAW, *key], "_nth")
+    return attach(df, ranked.select(*key, F.pmod("_nth", F.lit(k)).cast("int").alias(name)), key)
 
 
 def plain_folds(df: DataFrame, key: Sequence[str], k: int = 2, seed: int = 42, name: str = "fold") -> DataFrame:
-    ranked = add_row_index(_drawn(df, key, seed), [DRAW, *key], "_nth")
-    return ranked.withColumn(name, F.pmod("_nth", F.lit(k)).cast("int")).drop("_nth", DRAW)
+    ranked = add_row_index(_drawn(df.select(*key), key, seed), [DRAW, *key], "_nth")
+    return attach(df, ranked.select(*key, F.pmod("_nth", F.lit(k)).cast("int").alias(name)), key)
 
 
 def undersample(df: DataFrame, key: Sequence[str], label: str, seed: int = 42) -> DataFrame:
-    """As many random rows of every label as the rarest label has."""
+    """As many random rows of every label as the rarest label has.
+
+    Ranks are found on the keys; the rows themselves are only compared with
+    their label's last rank.
+    """
     smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n").alias("n")).scalar()
-    ranked = add_group_index(_drawn(df, key, seed), [label], [DRAW, *key], "_nth")
-    return ranked.filter(F.col("_nth") < smallest).drop("_nth", DRAW)
+    narrow = _drawn(df.select(*key, label), key, seed)
+    ranked = add_group_index(narrow, [label], [DRAW, *key], "_nth")
+    rank = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([DRAW, *key])])
+    last = ranked.filter(F.col("_nth") == smallest - 1).select(label, rank.alias("_last")).checkpoint()
+    kept = attach(_drawn(df, key, seed), broadcast_if_small(last), [label]).filter(rank <= F.col("_last"))
+    return kept.select(*df.columns)
 
 
 # -- nearest neighbours ------------------------------------------------------
@@ -231,10 +264,10 @@ def smote(
     neighbours at distance 0, and the line to a copy is the vector itself.
     Append the result with ``unionByName`` to get the rebalanced table.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n", label).limit(2).collect()
-    if len(counts) < 2:
-        raise ValueError("two classes are needed")
-    minority_label, n_min, n_maj = counts[0][label], counts[0]["n"], counts[-1]["n"]
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n", label).limit(3).collect()
+    if len(counts) != 2:
+        raise ValueError("exactly two classes are needed")
+    minority_label, n_min, n_maj = counts[0][label], counts[0]["n"], counts[1]["n"]
     n_new = synthetic_count(n_maj, n_min, ratio)
 
     minority = df.filter(F.col(label) == F.lit(minority_label)).select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazardlake.functions.arrays import all_missing, nulls_for_nans
 from hazardlake.functions.scalars import finite_or_limit, nan_to_null
 
-from .ordering import ROWS_PER_BUCKET, Order, add_row_index, flag_first, with_neighbours
+from .ordering import ROWS_PER_BUCKET, Order, add_row_index, attach, broadcast_if_small, flag_first, with_neighbours
 
 # Up to this many features, rolling statistics run as native window aggregates on
 # scalar columns; beyond it as array expressions, so the plan stays small.
@@ -177,17 +177,19 @@ def lag_features(
     features: str = "features",
     out: str = "lags",
     fill: float | None = 0.0,
+    key: Sequence[str] | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add an array of lagged cells for the first ``n_features`` (0 = all).
 
     Rows without that much history hold ``fill`` (None leaves them missing).
+    With a unique ``key`` only the order, the key and those features are
+    ranked and windowed, and the result is joined back to the wide rows.
     """
-    indexed = add_row_index(df, order_by, ROW)
+    indexed = add_row_index(_needed(df, order_by, features, n_features, key), order_by, ROW)
     spec = Lags(features, feature_count(indexed, features, n_features), lags, fill)
-    return with_neighbours(
-        indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
-    ).drop(ROW)
+    table = with_neighbours(indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows)
+    return attach(df, table.select(*key, out), key) if key else table.drop(ROW)
 
 
 def rolling_features(
@@ -200,20 +202,31 @@ def rolling_features(
     out: str = "rolls",
     gap: int = 1,
     layout: str = "auto",
+    key: Sequence[str] | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add an array of trailing statistics; :class:`Rolling` says what they are."""
+    """Add an array of trailing statistics; :class:`Rolling` says what they are.
+
+    ``key`` works as in :func:`lag_features`.
+    """
     known = [s for s in stats if s in ROLLING_STATS]
-    indexed = add_row_index(df, order_by, ROW)
+    indexed = add_row_index(_needed(df, order_by, features, n_features, key), order_by, ROW)
     spec = Rolling(features, ROW, feature_count(indexed, features, n_features), windows, known, gap, layout)
-    return with_neighbours(
-        indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows
-    ).drop(ROW)
+    table = with_neighbours(indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows)
+    return attach(df, table.select(*key, out), key) if key else table.drop(ROW)
+
+
+def _needed(df: DataFrame, order_by: Order, features: str, n: int, key: Sequence[str] | None) -> DataFrame:
+    """What the window needs of a row, if the row can be found again by its key."""
+    if not key:
+        return df
+    cells = F.slice(features, 1, n) if n else F.col(features)
+    return df.select(*[c for c in _names(order_by, *key) if c != features], cells.alias(features))
 
 
 def interpolate_missing_rows(
     df: DataFrame,
-    order_by: Order,
+    order_by: Sequence[str],
     features: str = "features",
     check: Sequence[int] | None = None,
     flag: str | None = None,
@@ -224,26 +237,44 @@ def interpolate_missing_rows(
     First row: the next one; last row: the one before; otherwise the mean of
     both, which stays missing where either is missing. A lone row becomes 0.
     ``check`` limits the test to some positions; ``flag`` adds a column that
-    tells which rows were filled.
+    tells which rows were filled. The order must be total.
+
+    Only sort keys are ranked. They tell each missing row its neighbours' keys,
+    so the wide rows that move are those next to a missing one.
     """
-    indexed = add_row_index(df, order_by, ROW)
+    keys = list(order_by)
     cells = nulls_for_nans(features)
     tested = cells if check is None else F.array(*[F.get(cells, F.lit(i)) for i in check])
-
-    def frames(w: WindowSpec) -> dict[str, Column]:
-        return {"_before": F.lag(cells).over(w), "_after": F.lead(cells).over(w)}
-
-    def finish() -> dict[str, Column]:
-        down = all_missing(tested)
-        before, after = F.col("_before"), F.col("_after")
-        mean = F.zip_with(before, after, lambda a, b: ((a + b) / F.lit(2.0)).cast("float"))
-        lone = F.transform(cells, lambda _: F.lit(0.0).cast("float"))
-        # Only at the table's edges is a neighbour absent; elsewhere the copies bring it along.
-        filled = F.coalesce(mean, after, before, lone)
-        results = {features: F.when(down, filled).otherwise(cells)}
-        return {**results, flag: down} if flag else results
-
-    return with_neighbours(indexed, ROW, 1, 1, frames, finish, bucket_rows).drop(ROW)
+    indexed = add_row_index(df.select(*keys, all_missing(tested).alias("_down")), keys, ROW)
+    me = F.struct(*keys)
+    gaps = with_neighbours(
+        indexed,
+        ROW,
+        1,
+        1,
+        lambda w: {"_before": F.lag(me).over(w), "_after": F.lead(me).over(w)},
+        lambda: {},
+        bucket_rows,
+        keep=("_before", "_after"),
+    ).filter("_down")
+    gaps = gaps.select(*keys, "_before", "_after").checkpoint()
+    wanted = gaps.select(F.explode(F.array_compact(F.array("_before", "_after"))).alias("_key")).distinct()
+    near = df.select(me.alias("_key"), cells.alias("_cells")).join(broadcast_if_small(wanted), "_key", "left_semi")
+    near = near.checkpoint()
+    before = near.select(F.col("_key").alias("_before"), F.col("_cells").alias("_b"))
+    after = near.select(F.col("_key").alias("_after"), F.col("_cells").alias("_a"))
+    found = gaps.join(before, "_before", "left").join(after, "_after", "left")
+    mean = F.zip_with("_b", "_a", lambda a, b: ((a + b) / F.lit(2.0)).cast("float"))
+    # At the table's edges there is no neighbour on one side.
+    fills = found.select(*keys, F.lit(True).alias("_gap"), F.coalesce(mean, "_a", "_b").alias("_fill"))
+
+    right = fills.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_gap", "_fill")
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    lone = F.transform(cells, lambda _: F.lit(0.0).cast("float"))
+    joined = df.join(right, on, "left")
+    value = F.when(F.col("_gap"), F.coalesce("_fill", lone)).otherwise(cells)
+    columns = [value.alias(c) if c == features else F.col(c) for c in df.columns]
+    return joined.select(*columns, *([F.coalesce("_gap", F.lit(False)).alias(flag)] if flag else []))
 
 
 def downtime_periods(df: DataFrame, order_by: Order, time: str, features: str = "features") -> DataFrame:
@@ -278,8 +309,10 @@ def chronological_split(
 
 
 def every_nth_row(df: DataFrame, order_by: Order, n: int) -> DataFrame:
-    """Rows 0, n, 2n, ... of the order."""
-    return add_row_index(df, order_by, "_idx").filter(F.col("_idx") % n == 0).drop("_idx")
+    """Rows 0, n, 2n, ... of the order, which must be total: rows are found again by it."""
+    keys = _names(order_by)
+    picked = add_row_index(df.select(*keys), order_by, "_idx").filter(F.col("_idx") % n == 0)
+    return attach(df, picked.select(*keys), keys)
 
 
 def first_rows(df: DataFrame, order_by: Order, n: int) -> DataFrame:

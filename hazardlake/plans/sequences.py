@@ -63,7 +63,7 @@ def _rolling_sql(windows, stats, gap=1) -> list[str]:
 
 @job(with_parts("tel", f"SELECT batch_time, {', '.join(_lag_sql((1, 3, 6)))} FROM tel"))
 def lag_features(spark, folder):
-    table = sequence.lag_features(roles.telemetry(spark, folder), ["batch_time"], (1, 3, 6))
+    table = sequence.lag_features(roles.telemetry(spark, folder), ["batch_time"], (1, 3, 6), key=["batch_time"])
     return _unfold(table, "lags", sequence.lag_names((1, 3, 6), len(FEATURES)), "batch_time")
 
 

@@ -130,6 +130,15 @@ def test_lag(spark, bucket_rows):
         sequence.lag_features(df, ["batch_time"], (0,))
 
 
+def test_key_path_equals_whole_rows(spark):
+    df = series(spark, [[i, i * i % 7, -i] for i in range(20)]).withColumn("other", F.lit("x"))
+    for fn, out in ((sequence.lag_features, "lags"), (sequence.rolling_features, "rolls")):
+        whole = fn(df, ["batch_time"], (1, 3), 2)
+        keyed = fn(df, ["batch_time"], (1, 3), 2, key=["batch_time"], bucket_rows=6)
+        assert whole.columns == keyed.columns
+        assert whole.orderBy("batch_time").collect() == keyed.orderBy("batch_time").collect()
+
+
 def test_names():
     assert sequence.lag_names((1, 3), 2) == ["feat0_lag1", "feat1_lag1", "feat0_lag3", "feat1_lag3"]
     assert sequence.rolling_names((3,), 2) == ["feat0_roll3_mean", "feat1_roll3_mean", "feat0_roll3_std", "feat1_roll3_std"]
