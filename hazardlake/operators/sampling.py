@@ -199,13 +199,23 @@ def nearest_neighbours(
         return pairs.applyInPandas(search, result_type)
 
     at_home = blocks.select("block", F.lit(0).alias("part"), "key", "x")
-    own = visit(at_home, at_home).checkpoint()
+    own = visit(at_home, at_home)
+    ranked = W.partitionBy("key").orderBy("distance2", "neighbour")
+
+    def closest_first(candidates: DataFrame) -> DataFrame:
+        best = candidates.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+        return best.select("key", "rank", "neighbour", "distance2")
+
+    # Block outlines: at most MAX_BLOCKS + PIVOTS rows.
+    outlines = shape.orderBy("block").collect()
+    if len(outlines) == 1:
+        return closest_first(own)
+    own = own.checkpoint()
     kth = own.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
     limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
     asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
 
-    # Which blocks can hold something closer: at most MAX_BLOCKS + PIVOTS outlines.
-    outlines = shape.orderBy("block").collect()
+    # Which blocks can hold something closer.
     names = np.array([r["block"] for r in outlines], dtype=object)
     pivot = np.array([r["pivot"] for r in outlines], dtype=int)
     near = np.array([r["near"] for r in outlines])
@@ -233,11 +243,7 @@ def nearest_neighbours(
     hosts = blocks.join(parts, "block").select(
         "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "x"
     )
-    candidates = own.unionByName(visit(visitors, hosts))
-    ranked = W.partitionBy("key").orderBy("distance2", "neighbour")
-    return candidates.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(
-        "key", "rank", "neighbour", "distance2"
-    )
+    return closest_first(own.unionByName(visit(visitors, hosts)))
 
 
 def synthetic_count(majority: int, minority: int, ratio: float) -> int:

@@ -109,18 +109,30 @@ def principal_components(spark, folder):
 _SPEC = engineer.Features(lags=(1, 3), windows=(3,))
 
 
-@job()
+@job(f"""WITH cells AS (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+stats AS (SELECT i, avg(CAST(x AS DOUBLE)) AS mean, stddev_pop(CAST(x AS DOUBLE)) AS std FROM cells GROUP BY 1)
+SELECT vec_id, round(sum(pow((CAST(x AS DOUBLE) - mean) / std, 2)), 4) + 0.0 AS squared_length FROM cells JOIN stats ON cells.i = stats.i GROUP BY 1""")
+def component_lengths(spark, folder):
+    """All components together only turn the standardised rows, so lengths stay the same."""
+    wide = roles.telemetry_wide(spark, folder)
+    fitted = scaling.fit_components(wide.select("features"), 64)
+    squares = F.aggregate("components", F.lit(0.0), lambda a, x: a + x * x)
+    projected = fitted.transform(wide.select("vec_id", "features"))
+    return projected.select("vec_id", rounded(squares, 4).alias("squared_length"))
+
+
+@job(with_parts("tel elog", f""", {_TRAIN}, sides AS (SELECT CASE WHEN rn <= floor((SELECT count(*) FROM train) * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'validation' END AS part, label FROM train),
+counts AS (SELECT part, label, count(*) AS n FROM sides GROUP BY 1, 2),
+goal AS (SELECT min(n) AS n_min, max(n) AS n_maj FROM counts WHERE part = 'train')
+SELECT part, label, CAST(CASE WHEN part = 'train' AND n = n_min THEN n_min + floor(n_maj * CAST(0.6 AS DOUBLE) - n_min) ELSE n END AS BIGINT) AS n,
+CAST(30 AS INTEGER) AS width, CAST(30 AS INTEGER) AS named FROM counts, goal"""))
 def prepared_training_rows(spark, folder):
     ready = engineer.prepare(_train_table(spark, folder), _SPEC, "batch_time", "label", ["batch_time"], smote_ratio=0.6)
     parts = ready.train.select(F.lit("train").alias("part"), "label", "features").unionByName(
         ready.validation.select(F.lit("validation").alias("part"), "label", "features")
     )
-    width = len(ready.names)
     return parts.groupBy("part", "label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size("features")).alias("width"),
-        F.lit(width).alias("named"),
-        rounded(F.avg(F.col("features")[0])).alias("mean0"),
+        F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("width"), F.lit(len(ready.names)).alias("named")
     )
 
 
@@ -230,18 +242,22 @@ def model_scores_from_disk(spark, folder):
     )
 
 
-def _calibrated(spark, folder, method):
-    table = roles.scored_items(spark, folder)
+def _calibrated(table, method):
     return models.calibrate(table, table, method).groupBy("score").agg(
         rounded(F.max("calibrated")).alias("calibrated"), F.count(F.lit(1)).alias("n")
     )
 
 
-@job()
+@job(with_parts("scored", f""", pts AS (SELECT floor(score * 100) / 100 AS score, avg(label) AS y, count(*) AS n FROM scored GROUP BY 1),
+run AS (SELECT *, sum(y * n) OVER w AS sy, sum(n) OVER w AS sn FROM pts WINDOW w AS (ORDER BY score)),
+means AS (SELECT a.score AS lo, b.score AS hi, (b.sy - a.sy + a.y * a.n) / CAST(b.sn - a.sn + a.n AS DOUBLE) AS m FROM run a JOIN run b ON a.score <= b.score),
+lows AS (SELECT p.score, means.lo, min(m) AS m FROM pts p JOIN means ON means.lo <= p.score AND means.hi >= p.score GROUP BY 1, 2)
+SELECT p.score, {r('max(m)', 'calibrated')}, max(p.n) AS n FROM lows JOIN pts p ON p.score = lows.score GROUP BY 1"""))
 def isotonic_calibration(spark, folder):
-    return _calibrated(spark, folder, "isotonic")
+    table = roles.scored_items(spark, folder).withColumn("score", F.floor(F.col("score") * 100) / 100)
+    return _calibrated(table, "isotonic")
 
 
 @job()
 def platt_calibration(spark, folder):
-    return _calibrated(spark, folder, "sigmoid")
+    return _calibrated(roles.scored_items(spark, folder), "sigmoid")
