@@ -109,37 +109,46 @@ def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[f
     return [list(r["x"]) for r in chosen.collect()]
 
 
-def _search_block(keys: pd.Series, vectors: pd.Series, names: pd.Series, members: pd.Series, k: int) -> pd.DataFrame:
-    """The k nearest members of each vector, other than itself.
+def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """A function that finds the k nearest members of a block for each asking vector.
 
-    A matrix product ranks the members to within rounding; all that could be
-    among the k nearest are then measured exactly.
+    It is built here, and uses nothing of this module, so that executors need
+    not have the package installed.
     """
-    asking, hosts = np.stack(vectors.to_numpy()), np.stack(members.to_numpy())
-    asked, hosted = keys.to_numpy(), names.to_numpy()
-    norms = np.einsum("ij,ij->i", hosts, hosts)
-    found = []
-    for start in range(0, len(asking), 256):
-        part, part_keys = asking[start : start + 256], asked[start : start + 256]
-        own = np.einsum("ij,ij->i", part, part)
-        rough = own[:, None] + norms[None, :] - 2.0 * (part @ hosts.T)
-        rough[part_keys[:, None] == hosted[None, :]] = np.inf
-        nth = min(k, rough.shape[1]) - 1
-        slack = 1e-9 * (own + norms.max()) + 1e-300
-        bound = np.partition(rough, nth, axis=1)[:, nth] + slack
-        rows, columns = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
-        gap = part[rows] - hosts[columns]
-        exact = np.einsum("ij,ij->i", gap, gap)
-        order = np.lexsort((hosted[columns], exact, rows))
-        rows, columns, exact = rows[order], columns[order], exact[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        keep = place < k
-        found.append(
-            pd.DataFrame(
-                {"key": part_keys[rows[keep]], "neighbour": hosted[columns[keep]], "distance2": exact[keep]}
+
+    def search(asking: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        nothing = pd.DataFrame({"key": [], "neighbour": [], "distance2": []})
+        if asking.empty or members.empty:
+            return nothing
+        seekers, hosts = np.stack(asking["x"].to_numpy()), np.stack(members["m_x"].to_numpy())
+        asked, hosted = asking["key"].to_numpy(), members["m_key"].to_numpy()
+        norms = np.einsum("ij,ij->i", hosts, hosts)
+        found = [nothing]
+        for start in range(0, len(seekers), 256):
+            part, part_keys = seekers[start : start + 256], asked[start : start + 256]
+            own = np.einsum("ij,ij->i", part, part)
+            # A matrix product ranks the members to within rounding; all that
+            # could be among the k nearest are then measured exactly.
+            rough = own[:, None] + norms[None, :] - 2.0 * (part @ hosts.T)
+            rough[part_keys[:, None] == hosted[None, :]] = np.inf
+            nth = min(k, rough.shape[1]) - 1
+            slack = 1e-9 * (own + norms.max()) + 1e-300
+            bound = np.partition(rough, nth, axis=1)[:, nth] + slack
+            rows, columns = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
+            gap = part[rows] - hosts[columns]
+            exact = np.einsum("ij,ij->i", gap, gap)
+            order = np.lexsort((hosted[columns], exact, rows))
+            rows, columns, exact = rows[order], columns[order], exact[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+            keep = place < k
+            found.append(
+                pd.DataFrame(
+                    {"key": part_keys[rows[keep]], "neighbour": hosted[columns[keep]], "distance2": exact[keep]}
+                )
             )
-        )
-    return pd.concat(found)
+        return pd.concat(found[1:])
+
+    return search
 
 
 def nearest_neighbours(
@@ -187,10 +196,7 @@ def nearest_neighbours(
 
     result_type = f"key {key_type}, neighbour {key_type}, distance2 double"
 
-    def search(asking: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        if asking.empty or members.empty:
-            return pd.DataFrame({"key": [], "neighbour": [], "distance2": []})
-        return _search_block(asking["key"], asking["x"], members["m_key"], members["m_x"], k)
+    search = _block_search(k)
 
     def visit(asking: DataFrame, members: DataFrame) -> DataFrame:
         # Other names for the members: both sides come from the same table.

@@ -35,17 +35,17 @@ def log(spark, rows):
 @pytest.fixture
 def files(tmp_path):
     times = [f"2023-01-01 {h:02d}:00:00" for h in (0, 3, 6, 9, 12)]
-    opers = "date,is_emergency\n" + "".join(f"{t},{f}\n" for t, f in zip(times, (0, 0, 1, 0, 1)))
-    (tmp_path / "opers.csv").write_text(opers)
+    events = "date,is_emergency\n" + "".join(f"{t},{f}\n" for t, f in zip(times, (0, 0, 1, 0, 1)))
+    (tmp_path / "log.csv").write_text(events)
     header = ";batch_time;" + ";".join(f"v_{i}" for i in range(5))
     lines = [f"x;{t};" + ";".join(str(float(r + i)) for i in range(5)) for r, t in enumerate(times)]
-    (tmp_path / "stpa.csv").write_text("\n".join([header, *lines]) + "\n")
+    (tmp_path / "telemetry.csv").write_text("\n".join([header, *lines]) + "\n")
     return tmp_path
 
 
 def test_merge_from_text(spark, files):
-    events = delimited.read_event_log(spark, str(files / "opers.csv"))
-    raw = delimited.read_telemetry(spark, str(files / "stpa.csv"))
+    events = delimited.read_event_log(spark, str(files / "log.csv"))
+    raw = delimited.read_telemetry(spark, str(files / "telemetry.csv"))
     names = arrays.feature_names(raw.columns)
     assert names == [f"v_{i}" for i in range(5)]
     table = joins.training_table(arrays.to_array(raw, names), events, ["batch_time"]).orderBy("batch_time").collect()
@@ -65,9 +65,9 @@ def test_missing_inputs(spark, files):
     with pytest.raises(FileNotFoundError):
         delimited.scan(spark, str(files / "none.csv"))
     with pytest.raises(ValueError, match="not found"):
-        delimited.read_event_log(spark, str(files / "stpa.csv"), ";", flag="is_emergency")
+        delimited.read_event_log(spark, str(files / "telemetry.csv"), ";", flag="is_emergency")
     with pytest.raises(ValueError, match="batch_time"):
-        delimited.read_telemetry(spark, str(files / "opers.csv"), ",")
+        delimited.read_telemetry(spark, str(files / "log.csv"), ",")
 
 
 def test_configured_or_default_time_column(spark, tmp_path):
