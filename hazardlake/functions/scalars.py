@@ -32,6 +32,9 @@ SEASON_MONTHS = {
 TRUE_TEXTS = ("true", "1", "1.0")
 FALSE_TEXTS = ("false", "0", "0.0")
 
+# Sums over arrays up to this width are written out term by term.
+UNROLLED_WIDTH = 100
+
 # Fixed value: largest finite 32-bit float, which stands in for an infinity.
 FLOAT32_MAX = 3.4028234663852886e38
 
@@ -141,9 +144,18 @@ def at_least(p: Column | str, threshold: Column | float) -> Column:
 
 
 def linear_score(features: Column | str, weights: Sequence[float], bias: float = 0.0) -> Column:
-    """``bias + sum(w_i * x_i)`` over an array column."""
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    products = F.zip_with(col(features).cast("array<double>"), w, lambda x, y: x * y)
+    """``bias + sum(w_i * x_i)`` over an array column; null where the width differs.
+
+    A short sum is written out, which compiles to plain arithmetic; a long one
+    stays an array expression, so the plan does not grow with the width.
+    """
+    cells = col(features).cast("array<double>")
+    if len(weights) <= UNROLLED_WIDTH:
+        total = F.lit(float(bias))
+        for i, w in enumerate(weights):
+            total = total + F.get(cells, F.lit(i)) * F.lit(float(w))
+        return F.when(F.size(cells) == len(weights), total)
+    products = F.zip_with(cells, F.array(*[F.lit(float(w)) for w in weights]), lambda x, y: x * y)
     return F.aggregate(products, F.lit(float(bias)), lambda acc, x: acc + x)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import CALENDAR_NAMES, calendar_columns
+from hazardlake.session import stored
 
 from . import sampling, scaling, sequence
 from .ordering import ROWS_PER_BUCKET, Order, add_row_index, attach, with_neighbours
@@ -118,7 +119,7 @@ def prepare(
         table = sampling.random_split(table, [key], test_size, seed)
     else:
         raise ValueError(f"unknown split: {split!r}")
-    table = table.checkpoint()
+    table = stored(table)
     train, validation = table.filter("is_train").drop("is_train"), table.filter("NOT is_train").drop("is_train")
     fitted = None
     if components is not None:
@@ -129,7 +130,7 @@ def prepare(
         names = fitted.names
     params = scaling.fit_scaler(scaling.require_rows(train), scaler)
     if params is not None:
-        params = params.checkpoint()
+        params = stored(params)
     train, validation = (scaling.apply_scaler(t, params) for t in (train, validation))
     train = train.withColumn("features", F.col("features").cast("array<double>"))
     if smote_ratio is not None:

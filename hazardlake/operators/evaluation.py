@@ -80,6 +80,18 @@ def class_metrics(matrix: DataFrame) -> DataFrame:
     )
 
 
+def hard_metrics(matrix: DataFrame, eps: float = EPSILON) -> DataFrame:
+    """ROC-AUC and log loss of the 0/1 predictions themselves, from confusion counts."""
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    wrong, right = fp + fn, tp + tn
+    loss = -(wrong * F.ln(F.lit(eps)) + right * F.ln(F.lit(1.0 - eps)))
+    return matrix.select(
+        *matrix.columns,
+        ((_ratio(tp, tp + fn) + _ratio(tn, tn + fp)) / 2.0).alias("hard_roc_auc"),
+        _ratio(loss, wrong + right).alias("hard_log_loss"),
+    )
+
+
 def log_loss(df: DataFrame, label: str = "label", score: str = "score", eps: float = EPSILON) -> DataFrame:
     p = F.greatest(F.least(F.col(score), F.lit(1.0 - eps)), F.lit(eps))
     y = F.col(label).cast("double")

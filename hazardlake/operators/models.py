@@ -18,11 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from .evaluation import Costs, auc, benefit, class_metrics, confusion, threshold_table
+from hazardlake.session import stored
+
+from .evaluation import Costs, auc, benefit, class_metrics, confusion, hard_metrics, threshold_table
 from .rollup import with_class_weight
 from .sampling import stratified_folds
 from .scaling import as_vector
 
+# What else is measured per fold, on the 0/1 predictions.
+FOLD_METRICS = ("accuracy", "mcc", "hard_roc_auc", "hard_log_loss")
+
 # Output columns of the models, out of the way of a table's own columns.
 OUTPUTS = {"predictionCol": "_prediction", "probabilityCol": "_probability", "rawPredictionCol": "_raw"}
 
@@ -141,14 +146,14 @@ def with_probability(model: Model, df: DataFrame, features: str = "features", ou
 
 
 def model_metrics(scored: DataFrame, label: str, score: str, costs: Costs, threshold: float = 0.5) -> DataFrame:
-    """One row with all comparison metrics at a fixed threshold."""
+    """One row with all metrics at a fixed threshold."""
     rows = scored.select(
         F.col(label).alias("label"), F.col(score).alias("score"), (F.col(score) >= threshold).cast("int").alias("prediction")
     )
     areas = auc(threshold_table(rows)).agg(F.first(F.struct("roc_auc", "pr_auc"))).scalar()
-    at = class_metrics(confusion(rows)).withColumn("cost", benefit(costs))
+    at = hard_metrics(class_metrics(confusion(rows))).withColumn("cost", benefit(costs))
     return at.withColumn("_a", areas).select(
-        F.col("_a.pr_auc").alias("pr_auc"), F.col("_a.roc_auc").alias("roc_auc"), "f1", "precision", "recall", "cost"
+        F.col("_a.pr_auc").alias("pr_auc"), F.col("_a.roc_auc").alias("roc_auc"), *METRICS[2:], *FOLD_METRICS
     )
 
 
@@ -203,17 +208,21 @@ def cross_validate(
     seed: int = 42,
     **options: Any,
 ) -> DataFrame:
-    """Stratified folds: one row per fold with pr_auc, roc_auc and f1 at 0.5."""
+    """Stratified folds: one row per fold with its metrics at 0.5.
+
+    Only key, label and features are stored; each fold is fitted on the others.
+    """
     spark = df.sparkSession
-    folds = stratified_folds(df.select(key, label, features), [key], label, k, seed).checkpoint()
+    folds = stored(stratified_folds(df.select(key, label, features), [key], label, k, seed))
+    names = ("pr_auc", "roc_auc", "f1", "precision", "recall", *FOLD_METRICS)
     rows = []
     for fold in range(k):
         train, held = folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold)
         model = fit(name, train, label, features, costs.class_weights(), seed, **options)
         scored = with_probability(model, held, features, "score").select(label, "score")
         m = model_metrics(scored, label, "score", costs).head()
-        rows.append((fold, m["pr_auc"], m["roc_auc"], m["f1"]))
-    return spark.createDataFrame(rows, "fold int, pr_auc double, roc_auc double, f1 double")
+        rows.append((fold, *[float(m[c]) for c in names]))
+    return spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in names))
 
 
 def fold_summary(folds: DataFrame) -> DataFrame:
@@ -224,6 +233,11 @@ def fold_summary(folds: DataFrame) -> DataFrame:
     )
 
 
+def best_fold(folds: DataFrame, metric: str = "f1") -> DataFrame:
+    """One row with the fold that has the largest metric; the first wins a tie."""
+    return folds.agg(F.min_by("fold", F.struct(-F.col(metric), F.col("fold"))).alias("best_fold"))
+
+
 # -- calibration --------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hazardlake.functions.scalars import col
-from hazardlake.session import checkpoint_dir
+from hazardlake.session import stored
 
 BLOCK = "_block"
 POSITION = "_pos"
@@ -38,13 +38,9 @@ def sorted_blocks(df: DataFrame, order_by: Order) -> DataFrame:
     ``order_by`` should be a total order, otherwise tied rows keep whatever
     order the sort gave them.
     """
-    checkpoint_dir(df.sparkSession)
     # monotonically_increasing_id: partition number above bit 33, row number below.
-    tagged = (
-        df.orderBy(*[col(c) for c in order_by])
-        .withColumn("_mono", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ordered = df.orderBy(*[col(c) for c in order_by]).withColumn("_mono", F.monotonically_increasing_id())
+    tagged = stored(ordered, "blocks")
     return tagged.select(
         *df.columns,
         F.shiftright("_mono", 33).cast("int").alias(BLOCK),
@@ -100,7 +96,7 @@ def add_group_index(
     get the global number minus the group's first number.
     """
     indexed = add_row_index(df, [*group, *order_by], "_global")
-    first = broadcast_if_small(indexed.groupBy(*group).agg(F.min("_global").alias("_first")).checkpoint())
+    first = broadcast_if_small(stored(indexed.groupBy(*group).agg(F.min("_global").alias("_first"))))
     return attach(indexed, first, group).select(
         *df.columns, (F.col("_global") - F.col("_first")).alias(name)
     )

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import uniform_draw
+from hazardlake.session import stored
 
 from .ordering import add_group_index, add_row_index, attach, broadcast_if_small, row_at
 
@@ -89,7 +90,7 @@ def undersample(df: DataFrame, key: Sequence[str], label: str, seed: int = 42) -
     narrow = _drawn(df.select(*key, label), key, seed)
     ranked = add_group_index(narrow, [label], [DRAW, *key], "_nth")
     rank = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([DRAW, *key])])
-    last = ranked.filter(F.col("_nth") == smallest - 1).select(label, rank.alias("_last")).checkpoint()
+    last = stored(ranked.filter(F.col("_nth") == smallest - 1).select(label, rank.alias("_last")))
     kept = attach(_drawn(df, key, seed), broadcast_if_small(last), [label]).filter(rank <= F.col("_last"))
     return kept.select(*df.columns)
 
@@ -216,7 +217,7 @@ def nearest_neighbours(
     outlines = shape.orderBy("block").collect()
     if len(outlines) == 1:
         return closest_first(own)
-    own = own.checkpoint()
+    own = stored(own)
     kth = own.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
     limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
     asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
@@ -288,7 +289,7 @@ def smote(
     minority = add_row_index(minority, ["key"], "nth")
     # One representative per distinct vector, and how many copies it stands for.
     groups = minority.groupBy("x").agg(F.min("nth").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    groups = groups.checkpoint()
+    groups = stored(groups)
     near = nearest_neighbours(groups.select(F.col("rep").alias("key"), "x"), k)
     # Neighbour slots in order: the other copies first, then each neighbour's copies.
     copies = groups.select(F.col("rep").alias("neighbour"), "copies", F.col("x").alias("y"))

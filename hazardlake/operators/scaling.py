@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import scaled, to_long
 from hazardlake.functions.scalars import nan_to_null
+from hazardlake.session import stored
 
 PARAMETER_COLUMNS = ("feature_idx", "kind", "center", "scale", "var", "low", "high", "n")
 
@@ -138,7 +139,7 @@ def fit_components(train: DataFrame, components: int | float, features: str = "f
     whose variance share exceeds it. The covariance matrix (features squared)
     is the only thing that reaches the driver.
     """
-    params = fit_standard(require_rows(train), features).checkpoint()
+    params = stored(fit_standard(require_rows(train), features))
     ready = as_vector(apply_scaler(train, params, features, "_scaled"), "_scaled", "_vector").select("_vector")
     width = params.count()
     wanted = width if isinstance(components, float) else min(int(components), width)

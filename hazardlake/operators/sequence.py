@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import all_missing, nulls_for_nans
 from hazardlake.functions.scalars import finite_or_limit, nan_to_null
+from hazardlake.session import stored
 
 from .ordering import ROWS_PER_BUCKET, Order, add_row_index, attach, broadcast_if_small, flag_first, with_neighbours
 
@@ -257,10 +258,10 @@ def interpolate_missing_rows(
         bucket_rows,
         keep=("_before", "_after"),
     ).filter("_down")
-    gaps = gaps.select(*keys, "_before", "_after").checkpoint()
+    gaps = stored(gaps.select(*keys, "_before", "_after"))
     wanted = gaps.select(F.explode(F.array_compact(F.array("_before", "_after"))).alias("_key")).distinct()
     near = df.select(me.alias("_key"), cells.alias("_cells")).join(broadcast_if_small(wanted), "_key", "left_semi")
-    near = near.checkpoint()
+    near = stored(near)
     before = near.select(F.col("_key").alias("_before"), F.col("_cells").alias("_b"))
     after = near.select(F.col("_key").alias("_after"), F.col("_cells").alias("_a"))
     found = gaps.join(before, "_before", "left").join(after, "_after", "left")

@@ -38,6 +38,13 @@ def class_metrics(spark, folder):
     return _round_all(metrics.withColumn("benefit", evaluation.benefit()), "tp", "fp", "fn", "tn")
 
 
+@job(with_parts("scored", f""", {_MATRIX} SELECT tp, fp, fn, tn,
+{r('(CAST(tp AS DOUBLE) / (tp + fn) + CAST(tn AS DOUBLE) / (tn + fp)) / 2', 'hard_roc_auc')},
+{r('-((fp + fn) * ln(CAST(2.220446049250313e-16 AS DOUBLE)) + (tp + tn) * ln(1 - CAST(2.220446049250313e-16 AS DOUBLE))) / (tp + fp + fn + tn)', 'hard_log_loss')} FROM m"""))
+def hard_prediction_metrics(spark, folder):
+    return _round_all(evaluation.hard_metrics(evaluation.confusion(roles.scored_items(spark, folder))), "tp", "fp", "fn", "tn")
+
+
 @job(with_parts("scored", f""", p AS (SELECT label, greatest(least(score, 1 - CAST(2.220446049250313e-16 AS DOUBLE)), CAST(2.220446049250313e-16 AS DOUBLE)) AS p FROM scored)
 SELECT {r('avg(-(label * ln(p) + (1 - label) * ln(1 - p)))', 'log_loss')} FROM p"""))
 def log_loss(spark, folder):

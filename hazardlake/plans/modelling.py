@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hazardlake.functions.arrays import zero_filled
 from hazardlake.operators import engineer, joins, models, sampling, scaling, scoring
 from hazardlake.operators.sequence import chronological_split
-from hazardlake.session import scratch_path
+from hazardlake.session import scratch_path, stored
 from hazardlake.sources import artifacts
 
 from . import roles
@@ -24,7 +24,7 @@ def _train_table(spark, folder):
 
 
 def _split(spark, folder):
-    table = chronological_split(_train_table(spark, folder), ["batch_time"], 0.2).checkpoint()
+    table = stored(chronological_split(_train_table(spark, folder), ["batch_time"], 0.2))
     return table.filter("is_train").drop("is_train"), table.filter("NOT is_train").drop("is_train")
 
 
@@ -138,7 +138,7 @@ def prepared_training_rows(spark, folder):
 
 def _scores(spark, folder, name, **options):
     train, validation = _split(spark, folder)
-    params = scaling.fit_scaler(train, "standard").checkpoint()
+    params = stored(scaling.fit_scaler(train, "standard"))
     train, validation = (scaling.apply_scaler(t, params) for t in (train, validation))
     model = models.fit(name, train, **options)
     scored = models.with_probability(model, validation)
@@ -172,9 +172,9 @@ def _comparison(spark, folder):
 
 
 def _random_minmax(spark, folder):
-    table = sampling.random_split(_train_table(spark, folder), ["batch_time"], 0.2, 42).checkpoint()
+    table = stored(sampling.random_split(_train_table(spark, folder), ["batch_time"], 0.2, 42))
     train, validation = table.filter("is_train"), table.filter("NOT is_train")
-    params = scaling.fit_scaler(train, "minmax").checkpoint()
+    params = stored(scaling.fit_scaler(train, "minmax"))
     return tuple(scaling.apply_scaler(t.select("batch_time", "label", "features"), params) for t in (train, validation))
 
 
@@ -208,7 +208,7 @@ def best_model(spark, folder):
 @job()
 def cross_validation(spark, folder):
     folds = models.cross_validate(_train_table(spark, folder), "logreg", "batch_time", k=3, max_iter=50)
-    return folds.select("fold", *[rounded(c).alias(c) for c in ("pr_auc", "roc_auc", "f1")])
+    return folds.select("fold", *[rounded(c).alias(c) for c in folds.columns if c != "fold"])
 
 
 @job()
@@ -219,7 +219,7 @@ def model_scores_from_disk(spark, folder):
     from hazardlake.operators.evaluation import find_threshold
 
     train, validation = _split(spark, folder)
-    params = scaling.fit_scaler(train, "standard").checkpoint()
+    params = stored(scaling.fit_scaler(train, "standard"))
     model = models.fit("logreg", scaling.apply_scaler(train, params))
     scored = models.with_probability(model, scaling.apply_scaler(validation, params))
     tuned = find_threshold(scored, "f1", score="probability").head()["threshold"]

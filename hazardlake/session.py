@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "hazardlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +50,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other job writes to."""
     return f"{checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    Used where a plan must not be evaluated again: what was written stays the
+    same when executors are lost. Unlike a checkpointed plan, the table is
+    columnar, is read column by column, and has a size the optimizer knows.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hazardlake.functions import scalars
 from hazardlake.operators import engineer, evaluation, models, sampling, scaling, scoring
 from hazardlake.operators.evaluation import Costs
 from hazardlake.sources import artifacts
@@ -289,6 +290,22 @@ def test_metrics_without_positives(spark):
     assert (row.accuracy, row.precision, row.recall, row.f1, row.specificity, row.mcc) == (1.0, 0, 0, 0, 1.0, 0)
 
 
+def test_hard_metrics(spark):
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "label int, prediction int")
+    row = evaluation.hard_metrics(evaluation.confusion(df)).head()
+    assert row.hard_roc_auc == 0.75
+    assert row.hard_log_loss == pytest.approx(-math.log(np.finfo(float).eps) / 4)
+
+
+@pytest.mark.parametrize("width", [3, 150])
+def test_linear_score(spark, width):
+    weights = [0.5 * i - 1 for i in range(width)]
+    rows = [(0, [float(i % 4) for i in range(width)]), (1, [1.0] * (width + 1)), (2, [None] + [1.0] * (width - 1))]
+    df = spark.createDataFrame(rows, "id int, x array<float>")
+    got = [r.z for r in df.select("id", scalars.linear_score("x", weights, 0.25).alias("z")).orderBy("id").collect()]
+    assert got[0] == pytest.approx(0.25 + sum(w * (i % 4) for i, w in enumerate(weights))) and got[1:] == [None, None]
+
+
 def test_risk_report(spark):
     rows = [(i / 20, int(i >= 18), 0.9, f"t{i:02d}") for i in range(20)]
     df = spark.createDataFrame(rows, "probability double, prediction int, threshold double, batch_time string")
@@ -362,6 +379,8 @@ def test_other_models(spark, points):
 def test_cross_validation(spark, points):
     folds = models.cross_validate(points, "logreg", "id", k=4)
     assert folds.count() == 4 and folds.filter("roc_auc < 0.8").count() == 0
+    best = models.best_fold(folds).head().best_fold
+    assert {r.fold: r.f1 for r in folds.collect()}[best] == max(r.f1 for r in folds.collect())
     summary = models.fold_summary(folds).head()
     values = [r.f1 for r in folds.collect()]
     assert summary.f1_mean == pytest.approx(np.mean(values)) and summary.f1_std == pytest.approx(np.std(values))
