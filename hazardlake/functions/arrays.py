@@ -35,10 +35,19 @@ def to_array(
     nan_is_null: bool = True,
     dtype: str = "float",
 ) -> DataFrame:
-    """Fold scalar feature columns into one array column."""
-    cells = [number_or_null(c, nan_is_null, dtype) for c in features]
-    keep = [c for c in df.columns if c not in set(features)]
-    return df.select(*keep, F.array(*cells).alias(out))
+    """Fold scalar feature columns into one array column.
+
+    The columns become an array first and are cast inside it: one expression,
+    whether there are four or thousands of them.
+    """
+    folded = set(features)
+    keep = [_quoted(c) for c in df.columns if c not in folded]
+    cells = df.selectExpr(*keep, f"array({', '.join(map(_quoted, features))}) AS {_quoted(out)}")
+    return cells.withColumn(out, F.transform(out, lambda x: number_or_null(x, nan_is_null, dtype)))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def spread(df: DataFrame, array: str, names: Sequence[str], dtype: str = "double") -> DataFrame:

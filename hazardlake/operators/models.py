@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from hazardlake.session import stored
+from hazardlake.session import checkpoint_dir, stored
 
 from .evaluation import Costs, auc, benefit, class_metrics, confusion, hard_metrics, threshold_table
 from .rollup import with_class_weight
@@ -120,6 +120,7 @@ def fit(
     **options: Any,
 ) -> Model:
     """Fit a model by name on an array column; ``weights`` are per class."""
+    checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there every few rounds
     table = as_vector(train, features, "_vector").select("_vector", F.col(label).cast("double").alias("_label"))
     w = weights or {0: 1.0, 1: 1.0}
     table = with_class_weight(table, "_label", w[1], "_weight")

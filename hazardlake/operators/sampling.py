@@ -300,7 +300,7 @@ def smote(
 
     # Draws: the base row comes round-robin from a shuffled minority, so no row
     # is drawn far more often than another; slot and position are hash draws.
-    draws = minority.withColumn(DRAW, uniform_draw(f"{seed}/base", "nth"))
+    draws = minority.select("nth", "key", uniform_draw(f"{seed}/base", "nth").alias(DRAW))
     draws = add_row_index(draws, [DRAW, "nth"], "turn")
     turns = F.floor((F.lit(n_new) - 1 - F.col("turn")) / F.lit(n_min)).cast("int")
     drawn = (
@@ -310,7 +310,7 @@ def smote(
         .withColumn("u", uniform_draw(f"{seed}/slot", "new_id"))
         .withColumn("g", uniform_draw(f"{seed}/gap", "new_id"))
     )
-    base = drawn.join(table, "x").select(
+    base = drawn.join(minority.select("nth", "x"), "nth").join(table, "x").select(
         "new_id", F.col("key").alias("base_key"), "x", "u", "g", "rep", "copies", "near"
     )
     near_or_none = F.coalesce("near", F.array().cast(table.schema["near"].dataType))

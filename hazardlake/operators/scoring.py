@@ -41,8 +41,8 @@ def project_contract(
         raise ValueError(f"missing {len(missing)} feature columns of {len(contract)}: {missing[:5]}")
     if expected_width is not None and expected_width != len(contract):
         raise ValueError(f"the model expects {expected_width} features, the input has {len(contract)}")
-    others = [c for c in df.columns if c not in set(contract) and c not in feature_names(df.columns)]
-    folded = to_array(df.select(*others, *contract), contract, out)
+    extra = set(feature_names(df.columns)) - set(contract)
+    folded = to_array(df.drop(*extra), contract, out)
     return folded.withColumn(out, zero_filled(out))
 
 

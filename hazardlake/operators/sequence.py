@@ -9,10 +9,19 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import all_missing, nulls_for_nans
-from hazardlake.functions.scalars import finite_or_limit, nan_to_null
+from hazardlake.functions.scalars import finite_or_limit
 from hazardlake.session import stored
 
-from .ordering import ROWS_PER_BUCKET, Order, add_row_index, attach, broadcast_if_small, flag_first, with_neighbours
+from .ordering import (
+    ROWS_PER_BUCKET,
+    Order,
+    add_row_index,
+    attach,
+    broadcast_if_small,
+    flag_first,
+    over_preceding,
+    with_neighbours,
+)
 
 # Up to this many features, rolling statistics run as native window aggregates on
 # scalar columns; beyond it as array expressions, so the plan stays small.
@@ -121,16 +130,18 @@ class Rolling:
         if not self.n:
             return found
         for rows in self.windows:
-            frame = w.rowsBetween(-(rows + self.gap), -(1 + self.gap))
+            first, last = rows + self.gap, 1 + self.gap
             if self.nested:
-                found[f"_frame{rows}"] = F.collect_list(_first_features(self.features, self.n)).over(frame)
+                cells = F.collect_list(_first_features(self.features, self.n))
+                found[f"_frame{rows}"] = cells.over(w.rowsBetween(-first, -last))
                 continue
             for i in range(self.n):
-                v = nan_to_null(F.col(self.features)[i].cast("double"))
+                v = f"nanvl(CAST(`{self.features}`[{i}] AS DOUBLE), NULL)"
                 if {"mean", "std"} & set(self.stats):
-                    found[f"_count{rows}_{i}"] = F.count(v).over(frame)
+                    found[f"_count{rows}_{i}"] = over_preceding(f"count({v})", self.index, first, last)
                 for stat in self.stats:
-                    found[f"_{stat}{rows}_{i}"] = _WINDOW_STATS[stat](v).over(frame)
+                    call = f"{_WINDOW_STATS[stat]}({v})"
+                    found[f"_{stat}{rows}_{i}"] = over_preceding(call, self.index, first, last)
         return found
 
     def cells(self) -> Column:
@@ -142,10 +153,9 @@ class Rolling:
     def _from_columns(self, rows: int, stat: str) -> Column:
         cells = []
         for i in range(self.n):
-            value = F.col(f"_{stat}{rows}_{i}")
-            whole = F.col(f"_count{rows}_{i}") == rows if stat in ("mean", "std") else F.col(self.index) >= rows
-            cells.append(F.when(whole, finite_or_limit(value)).otherwise(F.lit(0.0)))
-        return F.array(*cells)
+            whole = f"_count{rows}_{i} = {rows}" if stat in ("mean", "std") else f"`{self.index}` >= {rows}"
+            cells.append(f"CASE WHEN {whole} THEN _{stat}{rows}_{i} END")
+        return F.transform(F.expr(f"array({', '.join(cells)})"), lambda x: finite_or_limit(x))
 
     def _from_frame(self, rows: int, stat: str) -> Column:
         frame = F.col(f"_frame{rows}")
@@ -167,7 +177,8 @@ class Rolling:
         return F.transform(raw, lambda x: finite_or_limit(x))
 
 
-_WINDOW_STATS = {"mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max}
+# The SQL aggregate of each statistic.
+_WINDOW_STATS = {"mean": "avg", "std": "stddev_pop", "min": "min", "max": "max"}
 
 
 def lag_features(

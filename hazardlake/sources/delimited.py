@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import flag_to_float, parse_time
 
@@ -31,7 +30,7 @@ def scan(spark: SparkSession, path: str | Sequence[str], separator: str = ",", s
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if not UNNAMED.fullmatch(c)])
+    return df.drop(*[c for c in df.columns if UNNAMED.fullmatch(c)])
 
 
 def require_column(df: DataFrame, name: str) -> DataFrame:

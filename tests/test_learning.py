@@ -155,8 +155,7 @@ def test_random_operators_ignore_partitioning(spark):
     assert under == {0: 34, 1: 34}
 
 
-@pytest.mark.parametrize("block_members", [2048, 16])
-@pytest.mark.parametrize("kind", ["cloud", "clusters", "grid"])
+@pytest.mark.parametrize("kind, block_members", [("cloud", 2048), ("clusters", 16), ("grid", 16)])
 def test_nearest_neighbours_against_brute_force(spark, kind, block_members):
     rng = np.random.default_rng(3)
     if kind == "cloud":
