@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +64,20 @@ def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application.
+
+    Functions that run in tasks are found by import there; Spark's own file
+    server distributes the modules, so executors need no shared folder for it.
+    """
+    context, root = spark.sparkContext, Path(__file__).parent
+    if getattr(context, "_ships_hazardlake", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="hazardlake-code-")) / "hazardlake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._ships_hazardlake = True
