@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination
+from hazardlake.llm import decontamination, lines, packing
 from hazardlake.plans.registry import Job
+from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
 
 QUERIES: dict[str, Job] = {}
@@ -14,8 +17,13 @@ SQL: dict[str, str] = {}
 
 
 def query(fn: Job) -> Job:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def shipped(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = shipped
+    return shipped
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,3 +45,20 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         sha256(F.array_join("items", ",")).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lines.drop_repeated_lines(documents(spark, folder).select("doc_id", "text"))
+    return rows.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(documents(spark, folder))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Placement of every piece, with the digest of its ids instead of the ids."""
+    pieces = packing.cut_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place_pieces(pieces, packing.shards_for(docs.count()), order=("ids_crc32", "doc_tokens"))
