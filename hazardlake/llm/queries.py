@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, lines, packing
+from hazardlake.llm import decontamination, language, lines, packing, simhash, sketches
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -62,3 +62,28 @@ def packed(docs: DataFrame) -> DataFrame:
     """Placement of every piece, with the digest of its ids instead of the ids."""
     pieces = packing.cut_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place_pieces(pieces, packing.shards_for(docs.count()), order=("ids_crc32", "doc_tokens"))
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.learn_and_predict(documents(spark, folder))
+
+
+@query
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.groups(documents(spark, folder))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sketches.edited_beside_next(documents(spark, folder))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        sha256(F.col("edited")).alias("edited_sha256"),
+        sketches.as_text(F.col("sketch")).alias("fingerprint"),
+        sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
