@@ -17,6 +17,7 @@ repeat the same placement.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +32,14 @@ CAPACITY = 2048
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_DOCUMENTS = 4096
-#: Words whose ids a worker remembers; a bound on memory, not on results.
-CACHE_WORDS = 300_000
+#: Pieces whose ids a worker remembers, and their length; bounds on memory, not on results.
+CACHE_PIECES = 500_000
 CACHE_CHARS = 40
 _ENCODERS: dict[str, Encoder] = {}
-_BREAKS = str.maketrans("\n\t\r", "   ")
+# The pieces that the vocabulary's own rule makes of plain lower-case text.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_SPECIAL = "<|"  # the beginning of a special token's name
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -47,15 +51,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    Tokens of this kind of vocabulary never reach over white space, so words
-    between blanks are encoded once and remembered.
+    Tokens of this vocabulary never reach over white space, letters of one word
+    stay together, and case is dropped. So texts of plain characters are cut in
+    pieces whose ids are remembered; any other text goes through the tokenizer
+    whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for lower-case pieces that are already apart
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -65,41 +77,33 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        groups = [words[i : i + 1000] for i in range(0, len(words), 1000)]
-        for group, coded in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            starts = np.cumsum([0, *(len(w) + 1 for w in group)])
-            at = np.fromiter((o[0] for o in coded.offsets), dtype=np.int64, count=len(coded))
-            cut = np.searchsorted(at, starts) * 4
+    def _learn(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self.known))
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known, new = {}, list(pieces)
+        for i in range(0, len(new), 2000):
+            group = new[i : i + 2000]
+            coded = self.bare.encode(" ".join(group), add_special_tokens=False)
+            # each piece is one "word" to the bare tokenizer
+            cut = (np.searchsorted(np.array(coded.word_ids), np.arange(len(group) + 1)) * 4).tolist()
             ids = np.array(coded.ids, dtype="<u4").tobytes()
-            out.update((w, ids[a:b]) for w, a, b in zip(group, cut, cut[1:]))
-        return out
+            self.known.update((w, ids[a:b]) for w, a, b in zip(group, cut, cut[1:]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").translate(_BREAKS).split(" ") for t in texts]
-        missing = list(set().union(*split).difference(self.known)) if split else []
-        if len(self.known) + len(missing) > CACHE_WORDS:
-            self.known = {}
-            missing = list(set().union(*split))
-        new = self._learn(missing)
-        here = self.known | new if len(new) > CACHE_WORDS else self.known
-        if here is self.known:
-            self.known.update((w, b) for w, b in new.items() if len(w) <= CACHE_CHARS)
-            long = {w: b for w, b in new.items() if len(w) > CACHE_CHARS}
-            if long:
-                here = _Both(self.known, long)
+        plain = [t is not None and _PLAIN.fullmatch(t) is not None and _SPECIAL not in t for t in texts]
+        split = [_PIECE.findall(t.lower()) if p else [] for t, p in zip(texts, plain)]
+        pieces = set().union(*split) if split else set()
+        self._learn(pieces)
+        ids = self.known.__getitem__
         end = np.array([END], dtype="<u4").tobytes()
-        return [b"".join([*map(here.__getitem__, words), end]) for words in split]
-
-
-class _Both(dict):
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key):
-        return self.first[key]
+        out = [b"".join([*map(ids, w), end]) for w in split]
+        for i, (text, p) in enumerate(zip(texts, plain)):
+            if text and not p:
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() + end
+        for w in pieces:
+            if len(w) > CACHE_CHARS:
+                del self.known[w]
+        return out
 
 
 def cut_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
