@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, language, lines, packing, simhash, sketches
+from hazardlake.llm import decontamination, language, lines, packing, simhash, sketches, substring
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -87,3 +87,10 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    rows = substring.remove_repeats(docs, project=lambda made: made.withColumn("text", sha256(F.col("text"))).drop("spans"))
+    return rows.select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.col("text").alias("kept_sha256"))
