@@ -304,7 +304,7 @@ def remove_repeats(
     bucket_bytes: int = BUCKET_BYTES,
     project: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """``doc`` (all columns), kept ``text``, ``n_words``, ``n_removed``, ``spans`` of every document.
+    """``doc`` (all columns but the text), kept ``text``, ``n_words``, ``n_removed``, ``spans`` of every document.
 
     The result is a stored table; ``project`` may replace its columns (but for
     ``checks`` and ``holds``) before it is written. ``key`` is an integer column.
@@ -313,7 +313,7 @@ def remove_repeats(
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size // bucket_bytes))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text).alias("text"), F.col(key).cast("long").alias("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("doc"), F.col(text).alias("text"), F.col(key).cast("long").alias("_key"))
     looks: list[_Round] = []
     found: DataFrame | None = None
     only = None
