@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, language, lines, packing, simhash, sketches, substring
+from hazardlake.llm import decontamination, language, lines, packing, pii, simhash, sketches, substring
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -94,3 +94,16 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     rows = substring.remove_repeats(docs, project=lambda made: made.withColumn("text", sha256(F.col("text"))).drop("spans"))
     return rows.select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.col("text").alias("kept_sha256"))
+
+
+@query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.find(documents(spark, folder).select("doc_id", "text"))
+    base = [k.name for k in pii.KINDS if k.base]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return rows.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *[pii.count_of(F.col("spans"), k).alias(f"n_{k}") for k in base],
+        sha256(pii.as_text(of_base)).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
