@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, language, lines, packing, pii, simhash, sketches, substring
+from hazardlake.llm import decontamination, language, lines, packing, pii, simhash, sketches, substring, toxicity
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -107,3 +107,8 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
         sha256(pii.as_text(of_base)).alias("base_sha256"),
         pii.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.train_and_score(documents(spark, folder), read_table(spark, folder, "labels"))
