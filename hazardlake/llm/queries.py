@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, language, lines, packing, pii, simhash, sketches, substring, toxicity
+from hazardlake.llm import decontamination, language, licenses, lines, packing, pii, simhash, sketches, substring, toxicity
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -112,3 +112,17 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.train_and_score(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = licenses.train_and_scan(documents(spark, folder))
+    confirmed = F.filter("found", lambda f: f["confirmed"])
+    return rows.select(
+        "doc_id",
+        "n_units",
+        F.size(confirmed).cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda f: f["family"]))), ",").alias("families"),
+        F.coalesce(F.array_max(F.transform(confirmed, lambda f: f["probability"])), F.lit(0.0)).alias("probability"),
+        (F.size("found") - F.size(confirmed)).cast("long").alias("n_unconfirmed"),
+    )
