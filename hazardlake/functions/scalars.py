@@ -96,8 +96,19 @@ def finite_or_limit(c: Column, missing: float = 0.0) -> Column:
 # -- time -------------------------------------------------------------------
 
 
+# Whole parts of the day that a floored time keeps.
+FLOOR_UNITS = {"day": (), "hour": (F.hour,), "minute": (F.hour, F.minute), "second": (F.hour, F.minute, F.second)}
+
+
 def floor_time(unit: str, c: Column | str) -> Column:
-    return F.date_trunc(unit, col(c)).cast("timestamp_ntz")
+    """Zone-free timestamp cut to its day, hour, minute or second.
+
+    Built from the day and the parts of its time, so a session zone with
+    daylight saving, in which some wall clock times do not exist, changes nothing.
+    """
+    time = col(c).cast("timestamp_ntz")
+    parts = [part(time) for part in FLOOR_UNITS[unit]]
+    return time.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), *parts)
 
 
 def shift_hours(c: Column | str, hours: int) -> Column:
@@ -106,12 +117,16 @@ def shift_hours(c: Column | str, hours: int) -> Column:
 
 def time_text(c: Column | str) -> Column:
     """One spelling per second; fractions are dropped, bad text is null."""
-    return F.date_format(parse_time(c), "yyyy-MM-dd HH:mm:ss")
+    return F.substring(parse_time(c).cast("string"), 1, 19)
 
 
 def micros(c: Column | str) -> Column:
     """Zone-free timestamp as whole microseconds since 1970."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(c))
+    time = col(c).cast("timestamp_ntz")
+    days = F.date_diff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(time)) * 60 + F.minute(time)
+    seconds = F.date_part(F.lit("SECONDS"), time).cast("decimal(20,6)") * 1_000_000
+    return minutes * 60_000_000 + seconds.cast("bigint")
 
 
 def _cycle(value: Column, period: int) -> tuple[Column, Column]:

@@ -47,8 +47,12 @@ def replace_infinite(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 def drop_sparse_rows(df: DataFrame, max_fraction: float = 0.9, features: str = "features") -> DataFrame:
-    """Drop rows whose share of missing cells is above the limit."""
-    return df.filter(~(missing_cells(features) / F.size(features) > F.lit(max_fraction)))
+    """Drop rows whose share of missing cells is above the limit; a row without cells misses none."""
+    return df.filter(~is_sparse(missing_cells(features), F.size(features), max_fraction))
+
+
+def is_sparse(missing: Column, width: Column, max_fraction: float) -> Column:
+    return F.coalesce(F.try_divide(missing, width), F.lit(0.0)) > F.lit(max_fraction)
 
 
 def feature_means(df: DataFrame, features: str = "features") -> DataFrame:

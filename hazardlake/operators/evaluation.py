@@ -150,15 +150,18 @@ def threshold_table(df: DataFrame, label: str = "label", score: str = "score") -
 
 def _auc_columns() -> list[Column]:
     pairs = F.max("n_pos").cast("double") * F.max("n_neg")
-    steps = F.sum(F.col("pos").cast("double") / F.col("n_pos") * _precision())
+    steps = F.sum(F.try_divide(F.col("pos").cast("double"), F.col("n_pos")) * _precision())
     ranked = F.sum(
         F.col("neg").cast("double") * (F.col("tp") - F.col("pos") + F.col("pos").cast("double") / 2.0)
     )
-    return [(ranked / pairs).alias("roc_auc"), steps.alias("pr_auc")]
+    return [F.try_divide(ranked, pairs).alias("roc_auc"), steps.alias("pr_auc")]
 
 
 def auc(table: DataFrame) -> DataFrame:
-    """ROC-AUC (ties count one half) and average precision (step sum) of a threshold table."""
+    """ROC-AUC (ties count one half) and average precision (step sum) of a threshold table.
+
+    Without positives both are null, without negatives the first is.
+    """
     return table.agg(*_auc_columns())
 
 
@@ -171,11 +174,14 @@ def _recall() -> Column:
 
 
 def roc_curve(table: DataFrame) -> DataFrame:
-    """False and true positive rate per threshold, starting at (0, 0) with an infinite one."""
+    """False and true positive rate per threshold, starting at (0, 0) with an infinite one.
+
+    The rate of a class that has no rows is null.
+    """
     points = table.select(
         F.col("score").alias("threshold"),
-        (F.col("fp").cast("double") / F.col("n_neg")).alias("fpr"),
-        (F.col("tp").cast("double") / F.col("n_pos")).alias("tpr"),
+        F.try_divide(F.col("fp").cast("double"), F.col("n_neg")).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.col("n_pos")).alias("tpr"),
     )
     start = table.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -223,8 +229,11 @@ def threshold_recall(table: DataFrame, min_precision: float) -> DataFrame:
 
 
 def threshold_youden(table: DataFrame) -> DataFrame:
-    """Threshold with the best ``tpr - fpr``; the highest wins a tie, so 0 gives infinity."""
-    j = F.col("tpr") - F.col("fpr")
+    """Threshold with the best ``tpr - fpr``; the highest wins a tie, so 0 gives infinity.
+
+    With one class only there is nothing to tell apart, which is a tie at 0.
+    """
+    j = F.coalesce(F.col("tpr") - F.col("fpr"), F.lit(0.0))
     best = F.min_by("threshold", F.struct(-j, -F.col("threshold")))
     return roc_curve(table).agg(best.alias("threshold"))
 

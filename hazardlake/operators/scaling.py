@@ -33,8 +33,8 @@ def fit_standard(
     if missing_as_zero:
         value = F.coalesce(value, F.lit(0.0))
     n = F.count(value)
-    mean = F.sum(value) / n
-    var = F.greatest(F.sum(value * value) / n - mean * mean, F.lit(0.0))
+    # Merged from partial means and deviations: large values with a small spread keep it.
+    mean, var = F.avg(value), F.var_pop(value)
     stats = to_long(df, features).groupBy("feature_idx").agg(
         mean.alias("center"), var.alias("pvar"), n.alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
     )

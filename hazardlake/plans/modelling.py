@@ -37,10 +37,8 @@ _CLEAN = "clean AS (SELECT f0, CASE WHEN NOT isinf(f1) THEN f1 END AS f1, f2 FRO
 
 
 def _standard_sql(value: str, n: str, ddof: int) -> str:
-    mean = f"sum({value}) / {n}"
-    var = f"greatest(sum({value} * {value}) / {n} - ({mean}) * ({mean}), 0)"
-    if ddof:
-        var = f"({var}) * {n} / ({n} - {ddof})"
+    mean = f"avg({value})"
+    var = f"var_samp({value})" if ddof else f"var_pop({value})"
     return f""", {_CLEAN}, long AS ({_rows(_STANDARD)}),
 s AS (SELECT feature_idx, {mean} AS center, {var} AS var, {n} AS n FROM long GROUP BY 1)
 SELECT feature_idx, {r('center', 'center')}, round(CASE WHEN var > 0 THEN sqrt(var) ELSE 1 END, 4) + 0.0 AS scale, n FROM s"""
@@ -79,8 +77,7 @@ early AS (SELECT * FROM train WHERE rn <= floor((SELECT count(*) FROM train) * C
 
 def _standardised(n: str) -> str:
     mean = f"(SELECT avg({n}) FROM early)"
-    var = f"(SELECT sum({n} * {n}) / count(*) - avg({n}) * avg({n}) FROM early)"
-    return r(f"({n} - {mean}) / sqrt({var})", n)
+    return r(f"({n} - {mean}) / (SELECT stddev_pop({n}) FROM early)", n)
 
 
 @job(with_parts("tel elog", f", {_TRAIN} SELECT batch_time, label, {', '.join(_standardised(n) for n in FEATURES)} FROM train"))

@@ -147,13 +147,14 @@ def column_slice(spark, folder):
 
 
 @job(with_parts("items", f"""SELECT l_orderkey, l_linenumber, {r('sum((CAST(coalesce(f0, 0) AS DOUBLE) - 0.1) / 0.9)', 'x0')},
-count(*) FILTER (WHERE coalesce(f0, 0) = 0 AND coalesce(f2, 0) = 0) AS n_no_information FROM items GROUP BY 1, 2"""))
+{r('sum((CAST(CASE WHEN isinf(f1) THEN 0 ELSE coalesce(f1, 0) END AS DOUBLE) - 0.1) / 0.9)', 'x1', 8)}, {r('sum((CAST(coalesce(f2, 0) AS DOUBLE) - 0.1) / 0.9)', 'x2')},
+count(*) FILTER (WHERE coalesce(f0, 0) = 0 AND CASE WHEN isinf(f1) THEN 0 ELSE coalesce(f1, 0) END = 0 AND coalesce(f2, 0) = 0) AS n_no_information FROM items GROUP BY 1, 2"""))
 def rescaled_records(spark, folder):
-    raw = arrays.zero_filled(F.array(F.col("features")[0], F.col("features")[2]))
+    raw = arrays.zero_filled(arrays.nulls_for_infinities("features"))
     rows = roles.measured_items(spark, folder).withColumn("raw", raw)
     wide = rows.withColumn("x", arrays.rescaled_record("raw", 5))
     return wide.groupBy("l_orderkey", "l_linenumber").agg(
-        rounded(F.sum(F.col("x")[0])).alias("x0"), F.count_if(arrays.all_zero("raw")).alias("n_no_information")
+        *[rounded(F.sum(F.col("x")[i]), 8 if i == 1 else 6).alias(f"x{i}") for i in range(3)], F.count_if(arrays.all_zero("raw")).alias("n_no_information")
     )
 
 
@@ -185,15 +186,21 @@ def keep_first_per_hour(spark, folder):
 
 
 @job(with_parts("elog", """SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows,
-CAST(0 AS BIGINT) AS invalid_target_rows FROM (SELECT batch_time, count(*) AS n FROM elog GROUP BY 1)"""))
+CAST(sum(bad) AS BIGINT) AS invalid_target_rows FROM (SELECT batch_time, count(*) AS n, count(*) FILTER (WHERE CAST(is_emergency AS INTEGER) NOT IN (0, 1)) AS bad FROM elog GROUP BY 1)"""))
 def log_key_counters(spark, folder):
-    return validation.log_counters(roles.event_log(spark, folder))
+    return _log_counters(roles.event_log(spark, folder), validation.Rules())
+
+
+def _log_counters(log, rules):
+    names = {"repeated_keys": "duplicate_rows", "foreign_labels": "invalid_target_rows"}
+    return validation.log_counts(log, rules).withColumnsRenamed(names)
 
 
 @job("""SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows,
 CAST(sum(bad) AS BIGINT) AS invalid_target_rows FROM (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linenumber NOT IN (0, 1)) AS bad FROM lineitem GROUP BY 1)""")
 def target_domain_counters(spark, folder):
-    return validation.log_counters(tables.read_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    rules = validation.Rules(time="l_orderkey", flag="l_linenumber")
+    return _log_counters(tables.read_table(spark, folder, "lineitem"), rules)
 
 
 @job(with_parts("items", """SELECT CAST(0 AS INTEGER) AS feature_idx, count(*) FILTER (WHERE isinf(f0)) AS n_inf FROM items
@@ -262,38 +269,38 @@ def drop_incomplete_rows(spark, folder):
 CAST(sum(CAST(f0 IS NULL AS INTEGER) + CAST(f1 IS NULL AS INTEGER) + CAST(f2 IS NULL AS INTEGER)) AS BIGINT) AS missing_cells,
 {r('avg(CAST(CAST(coalesce(CAST(f1 AS DOUBLE), (SELECT median(CAST(f1 AS DOUBLE)) FROM clean)) AS FLOAT) AS DOUBLE))', 'mean1')} FROM clean"""))
 def matrix_fill_median(spark, folder):
-    filled, report = validation.validate_matrix(roles.measured_items(spark, folder), validation.Policy())
+    filled, found = validation.check_matrix(roles.measured_items(spark, folder))
     return filled.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.lit(report.infinite_replaced).cast("bigint").alias("infinite_replaced"),
-        F.lit(report.missing_cells).cast("bigint").alias("missing_cells"),
+        F.lit(found.count("infinite_cells")).cast("bigint").alias("infinite_replaced"),
+        F.lit(found.count("missing_cells")).cast("bigint").alias("missing_cells"),
         rounded(F.avg(F.col("features")[1].cast("double"))).alias("mean1"),
     )
 
 
 @job(with_parts("elog teluser", """, cells AS (SELECT batch_time, CAST(v_0 IS NULL AS INTEGER) + CAST(v_1 IS NULL AS INTEGER)
-+ CAST(v_2 IS NULL AS INTEGER) + CAST(v_3 IS NULL AS INTEGER) AS missing FROM teluser),
-keep AS (SELECT * FROM cells WHERE missing / 4.0 <= 0.9),
-a AS (SELECT batch_time, count(*) AS n FROM elog GROUP BY 1), b AS (SELECT batch_time, count(*) AS n FROM keep GROUP BY 1)
-SELECT (SELECT CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) FROM a) AS duplicate_rows,
-(SELECT CAST(sum(missing) AS BIGINT) FROM keep) AS missing_cells,
-(SELECT count(*) FROM cells WHERE missing / 4.0 > 0.9) AS sparse_rows_dropped,
-CAST(0 AS BIGINT) AS infinite_replaced, CAST(0 AS BIGINT) AS invalid_target_rows,
-CAST(1.0 AS DOUBLE) AS join_multiplicity,
-(SELECT CAST(sum(b.n) AS DOUBLE) FROM a JOIN b ON a.batch_time = b.batch_time) AS true_join_rows,
-CAST(3 AS INTEGER) AS n_warnings, CAST(0 AS INTEGER) AS n_errors"""))
++ CAST(v_2 IS NULL AS INTEGER) + CAST(v_3 IS NULL AS INTEGER) AS missing,
+CAST(coalesce(isinf(v_0), false) AS INTEGER) + CAST(coalesce(isinf(v_1), false) AS INTEGER) + CAST(coalesce(isinf(v_2), false) AS INTEGER) + CAST(coalesce(isinf(v_3), false) AS INTEGER) AS infinite FROM teluser),
+keep AS (SELECT * FROM cells WHERE (missing + infinite) / 4.0 <= 0.5),
+a AS (SELECT batch_time, count(*) AS n FROM elog GROUP BY 1), b AS (SELECT batch_time, count(*) AS n FROM keep GROUP BY 1),
+-- the log is rolled up to one row per time before it is joined
+both_sides AS (SELECT 1 AS n1, b.n AS n2 FROM a JOIN b ON a.batch_time = b.batch_time),
+found AS (SELECT 'repeated_keys' AS check_name, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS DOUBLE) AS n_found, 'aggregate' AS action FROM a
+UNION ALL SELECT 'foreign_labels', CAST(count(*) FILTER (WHERE CAST(is_emergency AS INTEGER) NOT IN (0, 1)) AS DOUBLE), 'fail' FROM elog
+UNION ALL SELECT 'infinite_cells', CAST(sum(infinite) AS DOUBLE), 'clear' FROM cells
+UNION ALL SELECT 'sparse_rows', CAST(count(*) FILTER (WHERE (missing + infinite) / 4.0 > 0.5) AS DOUBLE), 'drop' FROM cells
+UNION ALL SELECT 'missing_cells', CAST(sum(missing + infinite) AS DOUBLE), 'fill_median' FROM keep)
+SELECT check_name, n_found, CASE WHEN n_found = 0 THEN 'none' ELSE action END AS action FROM found
+UNION ALL SELECT 'join_rows', CAST(sum(n1 * n2) AS DOUBLE), 'none' FROM both_sides
+UNION ALL SELECT 'multiplicity', CAST(sum(least(n1, n2)) AS DOUBLE) / count(*), 'none' FROM both_sides
+UNION ALL SELECT 'rows_per_key', CAST(max(n) AS DOUBLE), CASE WHEN max(n) > 1 THEN 'warn' ELSE 'none' END FROM b"""))
 def validation_report(spark, folder):
-    policy = validation.Policy(duplicate_keys="aggregate", missing="fill_median")
-    _, _, report = validation.validate_inputs(
-        roles.event_log(spark, folder), roles.telemetry_by_user(spark, folder), policy, ["event_id"]
-    )
-    return report.to_df(spark).select(
-        "duplicate_rows", "missing_cells", "sparse_rows_dropped", "infinite_replaced", "invalid_target_rows",
-        "join_multiplicity", "true_join_rows", F.size("warnings").alias("n_warnings"), F.size("errors").alias("n_errors"),
-    )
+    rules = validation.Rules(order_by=["event_id"], missing_share=0.5).but(repeated_keys="aggregate")
+    _, _, found = validation.check_inputs(roles.event_log(spark, folder), roles.telemetry_by_user(spark, folder), rules)
+    return found.to_df(spark).select(F.col("check").alias("check_name"), F.col("count").alias("n_found"), "action")
 
 
-_PROFILED = ("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+_PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
 @job(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct FROM orders" for c in _PROFILED))

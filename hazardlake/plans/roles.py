@@ -183,11 +183,11 @@ def telemetry_score_sql(prefix: str = "") -> str:
     return f"(1.0 / (1.0 + exp(-(CAST({TELEMETRY_BIAS} AS DOUBLE){terms}))))"
 
 
-R = "round(CAST({0} AS DOUBLE), 6) + 0.0 AS {1}"
+R = "round(CAST({0} AS DOUBLE), {2}) + 0.0 AS {1}"
 
 
-def r(expr: str, name: str) -> str:
-    return R.format(expr, name)
+def r(expr: str, name: str, places: int = 6) -> str:
+    return R.format(expr, name, places)
 
 
 def cells_sql(prefix: str = "") -> str:

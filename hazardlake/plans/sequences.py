@@ -72,23 +72,20 @@ _STATS = ("mean", "std", "min", "max")
 
 @job(with_parts("tel", f"SELECT batch_time, {', '.join(_rolling_sql((3, 6, 12), _STATS))} FROM tel"))
 def rolling_features(spark, folder):
-    table = sequence.rolling_features(roles.telemetry(spark, folder), ["batch_time"], (3, 6, 12), stats=_STATS)
+    table = sequence.rolling_features(roles.telemetry(spark, folder), ["batch_time"], (3, 6, 12), stats=_STATS, key=["batch_time"])
     return _unfold(table, "rolls", sequence.rolling_names((3, 6, 12), len(FEATURES), _STATS), "batch_time")
 
 
 @job(with_parts("telminute", f"SELECT batch_time, {', '.join(_rolling_sql((4,), ('mean', 'max'), 0))} FROM telminute"))
 def rolling_by_minute(spark, folder):
     table = roles.telemetry_by_minute(spark, folder)
-    table = sequence.rolling_features(table, ["batch_time"], (4,), stats=("mean", "max"), gap=0)
+    table = sequence.rolling_features(table, ["batch_time"], (4,), stats=("mean", "max"), gap=0, key=["batch_time"])
     return _unfold(table, "rolls", sequence.rolling_names((4,), len(FEATURES), ("mean", "max")), "batch_time")
 
 
-# Clicks and purchases only, so that whole rows can be missing.
-_PAIR = "pair AS (SELECT batch_time, v_0, v_1, v_0 IS NULL AND v_1 IS NULL AS down FROM telminute)"
-
-
-def _pair(spark, folder):
-    return roles.telemetry_by_minute(spark, folder).withColumn("features", F.slice("features", 1, 2))
+# A minute counts as down when neither clicks nor purchases came in; all four cells are filled.
+_PAIR = "pair AS (SELECT batch_time, v_0, v_1, v_2, v_3, v_0 IS NULL AND v_1 IS NULL AS down FROM telminute)"
+_CHECKED = (0, 1)
 
 
 def _between(i: int) -> str:
@@ -100,17 +97,20 @@ def _between(i: int) -> str:
     return r(value, f"v_{i}")
 
 
-@job(with_parts("telminute", f", {_PAIR} SELECT batch_time, {_between(0)}, {_between(1)}, down AS was_missing FROM pair"))
+@job(with_parts("telminute", f", {_PAIR} SELECT batch_time, {', '.join(map(_between, range(len(FEATURES))))}, down AS was_missing FROM pair"))
 def interpolated_rows(spark, folder):
-    table = sequence.interpolate_missing_rows(_pair(spark, folder), ["batch_time"], flag="was_missing")
-    return _unfold(table, "features", FEATURES[:2], "batch_time", "was_missing")
+    table = roles.telemetry_by_minute(spark, folder)
+    table = sequence.interpolate_missing_rows(table, ["batch_time"], check=_CHECKED, flag="was_missing")
+    return _unfold(table, "features", FEATURES, "batch_time", "was_missing")
 
 
 @job(with_parts("telminute", f""", {_PAIR}, n AS (SELECT batch_time, down, row_number() OVER (ORDER BY batch_time)
 - row_number() OVER (PARTITION BY down ORDER BY batch_time) AS run FROM pair)
 SELECT min(batch_time) AS period_start, max(batch_time) AS period_end, count(*) AS n_rows FROM n WHERE down GROUP BY run"""))
 def downtime_periods(spark, folder):
-    return sequence.downtime_periods(_pair(spark, folder), ["batch_time"], "batch_time")
+    checked = F.transform(F.array(*[F.lit(i) for i in _CHECKED]), lambda i: F.get("features", i))
+    table = roles.telemetry_by_minute(spark, folder).withColumn("features", checked)
+    return sequence.downtime_periods(table, ["batch_time"], "batch_time")
 
 
 @job("""SELECT event_id, row_number() OVER (ORDER BY ts, event_id) <= floor((SELECT count(*) FROM events) * CAST(0.8 AS DOUBLE)) AS is_train FROM events""")

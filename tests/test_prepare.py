@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions import arrays, scalars
 from hazardlake.operators import cleaning, joins, partitions, rollup, scoring, validation
-from hazardlake.operators.validation import Policy, Report
+from hazardlake.operators.validation import Findings, Rules
 from hazardlake.sources import artifacts, delimited, tables
 
 N = None
@@ -239,64 +239,73 @@ def test_median_is_exact_on_skewed_cells(spark):
 # -- validation -------------------------------------------------------------------
 
 
+def checked(log, rules):
+    findings = Findings()
+    return validation.check_log(log, rules, findings), findings
+
+
 def test_duplicate_keys(spark):
-    unique = log(spark, [("a", 0), ("b", 1)])
-    report = Report()
-    assert validation.validate_log(unique, Policy(), report, ["batch_time"]).count() == 2 and not report.errors
+    rules = Rules(order_by=["is_emergency"])
+    left, findings = checked(log(spark, [("a", 0), ("b", 1)]), rules)
+    assert left.count() == 2 and not findings.failures
     twice = log(spark, [("a", 0), ("a", 1)])
-    report = Report()
-    validation.validate_log(twice, Policy(), report, ["is_emergency"])
-    assert report.errors
-    for policy, flag in (("drop", 0), ("aggregate", 1)):
-        report = Report()
-        rows = validation.validate_log(twice, Policy(duplicate_keys=policy), report, ["is_emergency"]).collect()
-        assert [r.is_emergency for r in rows] == [flag] and report.duplicate_rows == 2 and not report.errors
-    report = Report()
-    validation.validate_log(twice, Policy(duplicate_keys="guess"), report, ["is_emergency"])
-    assert report.errors
+    assert checked(twice, rules)[1].failures
+    for action, flag in (("drop", 0), ("aggregate", 1)):
+        left, findings = checked(twice, rules.but(repeated_keys=action))
+        assert [r.is_emergency for r in left.collect()] == [flag]
+        assert findings.count("repeated_keys") == 2 and not findings.failures
+    assert checked(twice, rules.but(repeated_keys="guess"))[1].failures
+    assert checked(log(spark, [("a", 0)]).drop("batch_time"), rules)[1].failures
 
 
 def test_target_domain(spark):
-    report = Report()
-    validation.validate_log(log(spark, [("a", 5), ("b", None), ("c", 1)]), Policy(), report, ["batch_time"])
-    assert report.invalid_target_rows == 1 and report.errors
+    rows = log(spark, [("a", 5), ("b", None), ("c", 1)])
+    _, findings = checked(rows, Rules())
+    assert findings.count("foreign_labels") == 1 and findings.failures
+    assert not checked(rows, Rules().but(foreign_labels="ignore"))[1].failures
 
 
 def test_matrix_policies(spark):
-    filled, report = validation.validate_matrix(matrix(spark, [[1, NAN], [3, 4]]), Policy(missing="fill_median"))
-    assert cells(filled) == [[1, 4], [3, 4]] and report.missing_cells == 1
-    _, report = validation.validate_matrix(matrix(spark, [[1, NAN]]), Policy(missing="fail"))
-    assert report.errors
-    filled, report = validation.validate_matrix(matrix(spark, [[1, INF]]), Policy(missing="fill_zero"))
-    assert cells(filled) == [[1, 0]] and report.infinite_replaced == 1
-    kept, _ = validation.validate_matrix(matrix(spark, [[1, NAN], [2, 3]]), Policy(missing="drop"))
+    filled, findings = validation.check_matrix(matrix(spark, [[1, NAN], [3, 4]]))
+    assert cells(filled) == [[1, 4], [3, 4]] and findings.count("missing_cells") == 1
+    _, findings = validation.check_matrix(matrix(spark, [[1, NAN]]), Rules().but(missing_cells="fail"))
+    assert findings.failures
+    filled, findings = validation.check_matrix(matrix(spark, [[1, INF]]), Rules().but(missing_cells="fill_zero"))
+    assert cells(filled) == [[1, 0]] and findings.count("infinite_cells") == 1
+    kept, _ = validation.check_matrix(matrix(spark, [[1, NAN], [2, 3]]), Rules().but(missing_cells="drop"))
     assert kept.count() == 2
-    _, report = validation.validate_matrix(matrix(spark, [[1, INF]]), Policy(infinite="fail", missing="fill_zero"))
-    assert report.errors
-    with pytest.raises(ValueError):
-        validation.validate_matrix(matrix(spark, [[1]]), Policy(infinite="guess"))
+    _, findings = validation.check_matrix(matrix(spark, [[1, INF]]), Rules().but(infinite_cells="fail"))
+    assert findings.failures
+    assert validation.check_matrix(matrix(spark, [[1]]), Rules().but(infinite_cells="guess"))[1].failures
 
 
 def test_statistics_come_after_row_drops(spark):
-    rows = [[1, N, N], [3, 4, INF], [100, N, N]]
-    report = Report()
-    out = validation.validate_features(matrix(spark, rows), Policy(max_missing_fraction=0.6, missing="fill_mean"), report)
+    findings = Findings()
+    rules = Rules(missing_share=0.6).but(missing_cells="fill_mean")
+    out = validation.check_cells(matrix(spark, [[1, N, N], [3, 4, INF], [100, N, N]]), rules, findings)
     assert cells(out) == [[3, 4, 0]]
-    assert (report.infinite_replaced, report.sparse_rows_dropped, report.missing_cells) == (1, 2, 1)
+    assert [findings.count(c) for c in ("infinite_cells", "sparse_rows", "missing_cells")] == [1, 2, 1]
+
+
+def test_rows_without_cells_are_not_sparse(spark):
+    empty = matrix(spark, [[], [N]])
+    assert cleaning.drop_sparse_rows(empty).count() == 1
+    findings = Findings()
+    assert validation.check_cells(empty, Rules(), findings).count() == 1 and findings.count("sparse_rows") == 1
 
 
-def test_validate_inputs_raises_once_with_all_errors(spark):
+def test_inputs_raise_once_with_all_failures(spark):
     telemetry = matrix(spark, [[1, N], [2, 3]]).withColumn("batch_time", F.lit("a"))
     events = log(spark, [("a", 5), ("a", 1)])
     with pytest.raises(ValueError) as e:
-        validation.validate_inputs(events, telemetry, Policy(missing="fail"), ["is_emergency"])
+        validation.check_inputs(events, telemetry, Rules().but(missing_cells="fail"))
     assert str(e.value).count("  - ") == 4
-    same, _, report = validation.validate_inputs(events, telemetry, Policy(enabled=False), ["is_emergency"])
-    assert same is events and report.warnings
-    ok = Policy(duplicate_keys="aggregate", strict_target=False, missing="fill_zero")
-    _, _, report = validation.validate_inputs(events, telemetry, ok, ["is_emergency"])
-    assert report.join_multiplicity == 1.0 and report.true_join_rows == 2.0
-    assert report.to_df(spark).count() == 1
+    same, _, findings = validation.check_inputs(events, telemetry, None)
+    assert same is events and findings.messages("skipped")
+    ok = Rules().but(repeated_keys="aggregate", foreign_labels="ignore", missing_cells="fill_zero")
+    _, _, findings = validation.check_inputs(events, telemetry, ok)
+    assert findings.count("multiplicity") == 1.0 and findings.count("join_rows") == 2.0
+    assert {r["check"] for r in findings.to_df(spark).collect()} >= {"repeated_keys", "missing_cells", "rows_per_key"}
 
 
 def test_join_multiplicity(spark):
