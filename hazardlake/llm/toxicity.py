@@ -56,6 +56,8 @@ WITNESSES = 6
 #: Longer words are cut.
 WORD = 24
 LETTERS = 27
+#: Words compared at once; bounds memory.
+WORDS_AT_ONCE = 20_000
 #: The lowest word score that is told apart.
 FLOOR = -1.5
 
@@ -111,10 +113,12 @@ class Tokens:
         self.row = row
         self.first = np.searchsorted(row, np.arange(len(w.first)))
 
+    def hashes(self) -> np.ndarray:
+        return slice_hashes((self.code + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), self.start, self.end, 11)
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of one of each different word, and each word's number among them."""
-        h = slice_hashes((self.code + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), self.start, self.end, 11)
-        _, at, number = np.unique(h, return_index=True, return_inverse=True)
+        _, at, number = np.unique(self.hashes(), return_index=True, return_inverse=True)
         return self.start[at], self.end[at], number
 
 
@@ -163,8 +167,10 @@ class Weights:
 
     def score(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         total = np.zeros(len(start))
-        for word, value, weight, n in subsequences(code, start, end):
-            total += weight * np.bincount(word, (self.three if n == 3 else self.four)[value], len(start))
+        for i in range(0, len(start), WORDS_AT_ONCE):
+            some = slice(i, min(i + WORDS_AT_ONCE, len(start)))
+            for word, value, weight, n in subsequences(code, start[some], end[some]):
+                total[some] += weight * np.bincount(word, (self.three if n == 3 else self.four)[value], some.stop - i)
         return total / norms(start, end) + self.bias
 
 
@@ -172,11 +178,24 @@ class Vocabulary:
     """Distinct words of the sampled documents, as letter codes, and which document has which."""
 
     def __init__(self, texts: list[str | None]):
-        t = Tokens(pa.array(texts, pa.large_string()))
-        start, end, number = t.distinct()
-        self.code, self.start, self.end = t.code, start, end
-        pairs = np.unique(t.row * np.int64(len(start) + 1) + number)
-        self.doc, self.word = pairs // (len(start) + 1), pairs % (len(start) + 1)
+        codes, names, docs = [], [], []
+        batch = pa.record_batch({"text": pa.array(texts, pa.large_string()), "row": pa.array(np.arange(len(texts)))})
+        for part in slices(batch, "text"):
+            t = Tokens(part.column("text"))
+            names.append(t.hashes())
+            docs.append(part.column("row").to_numpy()[t.row])
+            _, at = np.unique(names[-1], return_index=True)
+            size = t.end[at] - t.start[at]
+            codes.append((names[-1][at], size, t.code[np.repeat(t.start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))].astype(np.int8)))
+        every = np.concatenate([np.zeros(0, dtype=np.uint64), *[c[0] for c in codes]])
+        sizes = np.concatenate([np.zeros(0, dtype=np.int64), *[c[1] for c in codes]])
+        known, at = np.unique(every, return_index=True)
+        ends = np.cumsum(sizes)
+        self.code = np.concatenate([np.zeros(0, dtype=np.int8), *[c[2] for c in codes]]).astype(np.int32)
+        self.start, self.end = (ends - sizes)[at], ends[at]
+        number = np.searchsorted(known, np.concatenate([np.zeros(0, dtype=np.uint64), *names]))
+        pairs = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *docs]) * (len(known) + 1) + number)
+        self.doc, self.word = pairs // (len(known) + 1), pairs % (len(known) + 1)
 
     def letters(self, word: int) -> np.ndarray:
         return self.code[self.start[word] : self.end[word]]
@@ -245,20 +264,34 @@ def _landmarks(v: Vocabulary, toxic: np.ndarray, odds: np.ndarray, seen: np.ndar
 class Nystroem:
     def __init__(self, landmarks: list[np.ndarray]):
         self.landmarks = landmarks
-        self.vectors = []
-        for code in landmarks:
-            one = Weights.zero()
-            one.add(code, 1.0)
-            self.vectors.append(one)
-        lengths = [len(c) for c in landmarks]
-        ends = np.cumsum(lengths)
-        kernel = self.kernel(np.concatenate(landmarks), ends - lengths, ends)
+        ends = np.cumsum([len(c) for c in landmarks])
+        start, code = np.append(0, ends[:-1]), np.concatenate(landmarks)
+        found = [(w, v + (n - 3) * LETTERS**3, weight) for w, v, weight, n in subsequences(code, start, ends)]
+        used = np.unique(np.concatenate([v for _, v, _ in found]))
+        # row 0 is for subsequences that no landmark has
+        self.row = np.zeros(LETTERS**3 + LETTERS**4, dtype=np.int32)
+        self.row[used] = np.arange(1, len(used) + 1)
+        self.table = np.zeros((len(used) + 1, len(landmarks)), dtype=np.float32)
+        for w, v, weight in found:
+            np.add.at(self.table, (self.row[v], w), weight)
+        self.table /= norms(start, ends)
+        kernel = self.kernel(code, start, ends)
         values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
         inverse = np.where(values > 1e-4, 1 / np.sqrt(np.maximum(values, 1e-4)), 0)
         self.whiten = vectors * inverse @ vectors.T
 
     def kernel(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return np.column_stack([one.score(code, start, end) for one in self.vectors])
+        """Normalised kernel of each word to each landmark."""
+        out = np.zeros((len(start), len(self.landmarks)))
+        step = WORDS_AT_ONCE // 10
+        for i in range(0, len(start), step):
+            for word, value, weight, n in subsequences(code, start[i : i + step], end[i : i + step]):
+                row = self.row[value + (n - 3) * LETTERS**3]
+                word, row = word[row > 0], row[row > 0]
+                at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else word
+                if len(at):
+                    out[i + word[at]] += weight * np.add.reduceat(self.table[row], at, axis=0)
+        return out / norms(start, end)[:, None]
 
     def features(self, v: Vocabulary, words: np.ndarray) -> np.ndarray:
         return self.kernel(v.code, v.start[words], v.end[words]) @ self.whiten
