@@ -180,7 +180,7 @@ def compare(
                 model = fit(name, train, label, features, weights, seed, **(options or {}).get(name, {}))
                 scored = with_probability(model, validation, features, "score").select(label, "score")
                 m = model_metrics(scored, label, "score", costs).head()
-                rows.append((position, name, *[float(m[c]) for c in METRICS], None))
+                rows.append((position, name, *[_number(m[c]) for c in METRICS], None))
             except Exception as e:  # one model's failure must not lose the others
                 rows.append((position, name, *[None] * len(METRICS), str(e)))
     finally:
@@ -190,6 +190,11 @@ def compare(
     return spark.createDataFrame(rows, f"position int, model string, {numbers}, error string")
 
 
+def _number(value: Any) -> float | None:
+    """A metric, or null where one class alone leaves it undefined."""
+    return None if value is None else float(value)
+
+
 def select_best(results: DataFrame, metric: str = "pr_auc") -> DataFrame:
     """One row with the best model's name: first on a tie, empty if none has the metric."""
     score = F.col(metric) if metric in results.columns else F.lit(None).cast("double")
@@ -222,7 +227,7 @@ def cross_validate(
         model = fit(name, train, label, features, costs.class_weights(), seed, **options)
         scored = with_probability(model, held, features, "score").select(label, "score")
         m = model_metrics(scored, label, "score", costs).head()
-        rows.append((fold, *[float(m[c]) for c in names]))
+        rows.append((fold, *[_number(m[c]) for c in names]))
     return spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in names))
 
 
@@ -256,8 +261,11 @@ def calibrate(
     curve over the score; anything else leaves the score as it is.
     """
     if method == "isotonic":
-        fitted = train.select(F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_label"))
-        model = IsotonicRegression(featuresCol="_score", labelCol="_label", predictionCol="_fit").fit(fitted)
+        # One row per distinct score, weighted by its rows: a hot score is one row, and the fit is the same.
+        fitted = train.groupBy(F.col(score).cast("double").alias("_score")).agg(
+            F.avg(F.col(label).cast("double")).alias("_label"), F.count(F.lit(1)).cast("double").alias("_n")
+        )
+        model = IsotonicRegression(featuresCol="_score", labelCol="_label", weightCol="_n", predictionCol="_fit").fit(fitted)
         return (
             model.transform(df.withColumn("_score", F.col(score).cast("double")))
             .withColumn(out, F.col("_fit"))

@@ -9,8 +9,8 @@ key. Once written, a block cannot change when an executor is lost, which is
 what makes counting it in one job and numbering it in another safe.
 
 Only sort keys should be ranked this way: :func:`attach` brings a result back
-to the wide rows by their key. The broadcasts are the block table, with one row
-per sorted partition, and tables whose size was counted first.
+to the wide rows by their key. The only broadcast asked for is the block table,
+with one row per sorted partition; other joins are left to the optimizer.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ BLOCK = "_block"
 POSITION = "_pos"
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 8192
-BROADCAST_ROWS = 100_000
 
 Order = Sequence["Column | str"]
 
@@ -61,14 +60,6 @@ def _offsets(blocks: DataFrame, totals: Mapping[str, Column], overall: Mapping[s
     )
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a table of narrow rows only after counting that it is small enough.
-
-    Give it a stored table: counting evaluates it.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def attach(df: DataFrame, narrow: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the other columns of ``narrow`` to the rows with the same key, nulls included.
 
@@ -97,7 +88,8 @@ def add_group_index(
     get the global number minus the group's first number.
     """
     indexed = add_row_index(df, [*group, *order_by], "_global")
-    first = broadcast_if_small(stored(indexed.groupBy(*group).agg(F.min("_global").alias("_first"))))
+    # Stored, so that its size is known and a small one is broadcast by the optimizer.
+    first = stored(indexed.groupBy(*group).agg(F.min("_global").alias("_first")))
     return attach(indexed, first, group).select(
         *df.columns, (F.col("_global") - F.col("_first")).alias(name)
     )

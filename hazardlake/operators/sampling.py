@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hazardlake.functions.scalars import uniform_draw
 from hazardlake.session import stored
 
-from .ordering import add_group_index, add_row_index, attach, broadcast_if_small, row_at
+from .ordering import add_group_index, add_row_index, attach, row_at
 
 DRAW = "_draw"
 
@@ -83,24 +83,32 @@ def plain_folds(df: DataFrame, key: Sequence[str], k: int = 2, seed: int = 42, n
 def undersample(df: DataFrame, key: Sequence[str], label: str, seed: int = 42) -> DataFrame:
     """As many random rows of every label as the rarest label has.
 
-    Ranks are found on the keys; the rows themselves are only compared with
-    their label's last rank.
+    Rows per label and slice of the draw's range are counted; only the keys of
+    the slice in which a label's cut falls are ranked, and the rows themselves
+    are only compared with their label's last draw.
     """
-    smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n").alias("n")).scalar()
-    narrow = _drawn(df.select(*key, label), key, seed)
-    ranked = add_group_index(narrow, [label], [DRAW, *key], "_nth")
+    narrow = _drawn(df.select(*key, label), key, seed).withColumn("_slice", F.floor(F.col(DRAW) * DRAW_SLICES))
+    counts = stored(narrow.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("n")))
+    smallest = counts.groupBy(label).agg(F.sum("n").alias("n")).agg(F.min("n").alias("n")).scalar()
+    upto = F.sum("n").over(W.partitionBy(label).orderBy("_slice"))  # at most DRAW_SLICES rows of a label
+    placed = counts.withColumn("_before", upto - F.col("n")).withColumn("_want", smallest - F.col("_before"))
+    cut = stored(placed.filter((F.col("_want") > 0) & (F.col("_want") <= F.col("n"))).select(label, "_slice", "_want"))
+    same = [F.col(label).eqNullSafe(F.col("_label")), F.col("_slice") == F.col("_cut")]
+    inside = narrow.join(cut.select(F.col(label).alias("_label"), F.col("_slice").alias("_cut"), "_want"), same)
     rank = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([DRAW, *key])])
-    last = stored(ranked.filter(F.col("_nth") == smallest - 1).select(label, rank.alias("_last")))
-    kept = attach(_drawn(df, key, seed), broadcast_if_small(last), [label]).filter(rank <= F.col("_last"))
+    nth = F.row_number().over(W.partitionBy(label).orderBy(rank))  # the rows of one slice
+    last = inside.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_want")).select(label, rank.alias("_last"))
+    kept = attach(_drawn(df, key, seed), stored(last), [label]).filter(rank <= F.col("_last"))
     return kept.select(*df.columns)
 
 
 # -- nearest neighbours ------------------------------------------------------
 
-# Members per block. Blocks grow with the table once there would be more than
-# MAX_BLOCKS of them, which bounds the list of block outlines sent to tasks.
+# A block holds as many members as fit in so many bytes, however large the table is.
+BLOCK_BYTES = 8 << 20
 BLOCK_MEMBERS = 2048
-MAX_BLOCKS = 50_000
+# Block outlines sent to tasks at once; more blocks are visited in several rounds.
+OUTLINES = 50_000
 PIVOTS = 64
 
 
@@ -152,8 +160,46 @@ def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame
     return search
 
 
+def _reachable(pivots: np.ndarray, outlines: Sequence) -> Callable:
+    """A function from vectors, limits and home blocks to the blocks that may hold something within the limit.
+
+    A batch is measured against all pivots and then, some rows at a time,
+    against all outlines at once. It uses nothing of this module, so that
+    executors need not have the package installed.
+    """
+    names = np.array([r["block"] for r in outlines], dtype=object)
+    pivot = np.array([r["pivot"] for r in outlines], dtype=int)
+    near = np.array([r["near"] for r in outlines])
+    far = np.array([r["far"] for r in outlines])
+    rows_at_once = max(1, 4_000_000 // len(names))
+
+    @F.pandas_udf("array<string>")
+    def reachable(x: pd.Series, limit: pd.Series, home: pd.Series) -> pd.Series:
+        matrix, bound = np.stack(x.to_numpy()), limit.to_numpy()
+        away = np.column_stack([np.sqrt(((matrix - p) ** 2).sum(axis=1)) for p in pivots])
+        answers = []
+        for start in range(0, len(matrix), rows_at_once):
+            some = slice(start, start + rows_at_once)
+            d = away[some][:, pivot]
+            gap = np.maximum(np.maximum(d - far, near - d), 0.0)
+            # A hair of slack keeps rounding from hiding an equally near block.
+            close = gap <= bound[some, None] * (1 + 1e-9) + 1e-12
+            close &= names[None, :] != home.to_numpy()[some, None]
+            rows, columns = np.nonzero(close)
+            cuts = np.searchsorted(rows, np.arange(1, len(close)))
+            answers.extend(list(part) for part in np.split(names[columns], cuts))
+        return pd.Series(answers)
+
+    return reachable
+
+
 def nearest_neighbours(
-    vectors: DataFrame, k: int, key: str = "key", seed: int = 7, block_members: int = BLOCK_MEMBERS
+    vectors: DataFrame,
+    k: int,
+    key: str = "key",
+    seed: int = 7,
+    block_members: int = BLOCK_MEMBERS,
+    outlines_at_once: int = OUTLINES,
 ) -> DataFrame:
     """The exact ``k`` nearest other vectors of each vector: ``(key, rank, neighbour, distance2)``.
 
@@ -168,7 +214,9 @@ def nearest_neighbours(
     spark = vectors.sparkSession
     vectors = vectors.select(F.col(key).alias("key"), F.col("x").cast("array<double>").alias("x"))
     total = vectors.count()
-    pivots = np.array(_pivots(vectors, "key", seed, total // block_members))
+    width = vectors.select(F.size("x")).head()[0] if total else 1
+    members_limit = max(2, min(block_members, BLOCK_BYTES // (8 * max(1, width))))
+    pivots = np.array(_pivots(vectors, "key", seed, total // members_limit))
     if not total:
         return spark.createDataFrame([], "key bigint, rank int, neighbour bigint, distance2 double")
 
@@ -185,7 +233,6 @@ def nearest_neighbours(
             best[nearer], which[nearer] = d[nearer], i
         return pd.DataFrame({"pivot": which, "radius": best})
 
-    members_limit = max(block_members, math.ceil(total / MAX_BLOCKS))
     placed = vectors.withColumn("_c", closest("x")).select("key", "x", "_c.*")
     # Consecutive rows of one pivot's cell form a block.
     ordered = add_row_index(placed, ["pivot", "radius", "key"], "_i")
@@ -213,33 +260,24 @@ def nearest_neighbours(
         best = candidates.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         return best.select("key", "rank", "neighbour", "distance2")
 
-    # Block outlines: at most MAX_BLOCKS + PIVOTS rows.
-    outlines = shape.orderBy("block").collect()
-    if len(outlines) == 1:
+    outlines = stored(shape, "outlines")
+    n_blocks = outlines.count()
+    if n_blocks == 1:
         return closest_first(own)
     own = stored(own)
     kth = own.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
     limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
     asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
 
-    # Which blocks can hold something closer.
-    names = np.array([r["block"] for r in outlines], dtype=object)
-    pivot = np.array([r["pivot"] for r in outlines], dtype=int)
-    near = np.array([r["near"] for r in outlines])
-    far = np.array([r["far"] for r in outlines])
-
-    @F.pandas_udf("array<string>")
-    def reachable(x: pd.Series, limit: pd.Series, home: pd.Series) -> pd.Series:
-        answers = []
-        for vector, bound, own_block in zip(x, limit, home, strict=True):
-            d = np.sqrt(((pivots - vector) ** 2).sum(axis=1))[pivot]
-            gap = np.maximum(np.maximum(d - far, near - d), 0.0)
-            # A hair of slack keeps rounding from hiding an equally near block.
-            close = (gap <= bound * (1 + 1e-9) + 1e-12) & (names != own_block)
-            answers.append(list(names[close]))
-        return pd.Series(answers)
-
-    routed = asking.withColumn("to", F.explode(reachable("x", "limit", "block")))
+    # Which blocks can hold something closer, asked of a bounded number of outlines at a time.
+    rounds = math.ceil(n_blocks / outlines_at_once)
+    routed = None
+    for turn in range(rounds):
+        some = outlines.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).collect()
+        if not some:
+            continue
+        one = asking.withColumn("to", F.explode(_reachable(pivots, some)("x", "limit", "block")))
+        routed = one if routed is None else routed.unionByName(one)
     # Visitors of one block are shared out over parts, and the block's members
     # (a bounded number) go to each part that has visitors.
     loads = routed.groupBy(F.col("to").alias("block")).agg(F.count(F.lit(1)).alias("visitors"))

@@ -17,16 +17,11 @@ from .ordering import (
     Order,
     add_row_index,
     attach,
-    broadcast_if_small,
     flag_first,
     over_preceding,
     with_neighbours,
 )
 
-# Up to this many features, rolling statistics run as native window aggregates on
-# scalar columns; beyond it as array expressions, so the plan stays small.
-SCALAR_FEATURE_LIMIT = 100
-
 ROW = "_row"
 ROLLING_STATS = ("mean", "std", "min", "max")
 
@@ -99,8 +94,9 @@ class Rolling:
     current row only. A row with index below ``w`` gets 0. ``mean`` and ``std``
     (population) need ``w`` present cells; ``min`` and ``max`` skip missing ones.
 
-    Few features are aggregated by native window functions on scalar columns;
-    many by array expressions over the frame's rows, so the plan stays small.
+    Array expressions over the frame's rows compute them at any width, with a
+    plan that does not grow. ``layout="scalar"`` asks for native window functions
+    on scalar columns instead, whose plan grows with every feature.
     """
 
     features: str
@@ -109,12 +105,12 @@ class Rolling:
     windows: Sequence[int]
     stats: Sequence[str] = ("mean", "std")
     gap: int = 1
-    layout: str = "auto"
+    layout: str = "nested"
 
     def __post_init__(self):
         if any(w <= 0 for w in self.windows):
             raise ValueError(f"windows must be positive, got {list(self.windows)}")
-        if self.layout not in ("auto", "scalar", "nested"):
+        if self.layout not in ("scalar", "nested"):
             raise ValueError(f"unknown layout: {self.layout!r}")
 
     @property
@@ -123,7 +119,7 @@ class Rolling:
 
     @property
     def nested(self) -> bool:
-        return self.layout == "nested" or (self.layout == "auto" and self.n > SCALAR_FEATURE_LIMIT)
+        return self.layout == "nested"
 
     def frames(self, w: WindowSpec) -> dict[str, Column]:
         found: dict[str, Column] = {}
@@ -213,7 +209,7 @@ def rolling_features(
     features: str = "features",
     out: str = "rolls",
     gap: int = 1,
-    layout: str = "auto",
+    layout: str = "nested",
     key: Sequence[str] | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
@@ -271,7 +267,7 @@ def interpolate_missing_rows(
     ).filter("_down")
     gaps = stored(gaps.select(*keys, "_before", "_after"))
     wanted = gaps.select(F.explode(F.array_compact(F.array("_before", "_after"))).alias("_key")).distinct()
-    near = df.select(me.alias("_key"), cells.alias("_cells")).join(broadcast_if_small(wanted), "_key", "left_semi")
+    near = df.select(me.alias("_key"), cells.alias("_cells")).join(wanted, "_key", "left_semi")
     near = stored(near)
     before = near.select(F.col("_key").alias("_before"), F.col("_cells").alias("_b"))
     after = near.select(F.col("_key").alias("_after"), F.col("_cells").alias("_a"))

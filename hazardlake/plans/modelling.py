@@ -100,7 +100,8 @@ def principal_components(spark, folder):
     wide = roles.telemetry_wide(spark, folder)
     fitted = scaling.fit_components(wide.select("features"), 0.8)
     projected = fitted.transform(wide.select("vec_id", "features"))
-    return projected.select("vec_id", *[rounded(F.col("components")[i]).alias(n) for i, n in enumerate(fitted.names[:8])])
+    cells = F.transform("components", lambda x: F.round(x, 6) + F.lit(0.0))
+    return projected.select("vec_id", F.lit(len(fitted.names)).alias("n_components"), cells.alias("components"))
 
 
 _SPEC = engineer.Features(lags=(1, 3), windows=(3,))
@@ -149,23 +150,22 @@ def logistic_regression(spark, folder):
 
 @job()
 def random_forest(spark, folder):
-    return _scores(spark, folder, "random_forest", trees=20, depth=8)
+    return _scores(spark, folder, "random_forest")
 
 
 @job()
 def gradient_boosting(spark, folder):
-    return _scores(spark, folder, "gbt", rounds=10, depth=4)
+    return _scores(spark, folder, "gbt")
 
 
 @job()
 def multilayer_perceptron(spark, folder):
-    return _scores(spark, folder, "mlp", hidden=(16, 8), max_iter=40)
+    return _scores(spark, folder, "mlp")
 
 
 def _comparison(spark, folder):
     train, validation = _random_minmax(spark, folder)
-    options = {"random_forest": {"trees": 10, "depth": 6}}
-    return models.compare(train, validation, ["logreg", "random_forest", "no_such_model"], options=options)
+    return models.compare(train, validation, ["logreg", "random_forest", "gbt", "mlp", "no_such_model"])
 
 
 def _random_minmax(spark, folder):
@@ -204,7 +204,7 @@ def best_model(spark, folder):
 
 @job()
 def cross_validation(spark, folder):
-    folds = models.cross_validate(_train_table(spark, folder), "logreg", "batch_time", k=3, max_iter=50)
+    folds = models.cross_validate(_train_table(spark, folder), "logreg", "batch_time")
     return folds.select("fold", *[rounded(c).alias(c) for c in folds.columns if c != "fold"])
 
 

@@ -147,14 +147,17 @@ def column_slice(spark, folder):
 
 
 @job(with_parts("items", f"""SELECT l_orderkey, l_linenumber, {r('sum((CAST(coalesce(f0, 0) AS DOUBLE) - 0.1) / 0.9)', 'x0')},
-{r('sum((CAST(CASE WHEN isinf(f1) THEN 0 ELSE coalesce(f1, 0) END AS DOUBLE) - 0.1) / 0.9)', 'x1', 8)}, {r('sum((CAST(coalesce(f2, 0) AS DOUBLE) - 0.1) / 0.9)', 'x2')},
+CAST(floor(sum((CAST(CASE WHEN isinf(f1) THEN 0 ELSE coalesce(f1, 0) END AS DOUBLE) - 0.1) / 0.9)) AS BIGINT) AS x1, {r('sum((CAST(coalesce(f2, 0) AS DOUBLE) - 0.1) / 0.9)', 'x2')},
 count(*) FILTER (WHERE coalesce(f0, 0) = 0 AND CASE WHEN isinf(f1) THEN 0 ELSE coalesce(f1, 0) END = 0 AND coalesce(f2, 0) = 0) AS n_no_information FROM items GROUP BY 1, 2"""))
 def rescaled_records(spark, folder):
     raw = arrays.zero_filled(arrays.nulls_for_infinities("features"))
     rows = roles.measured_items(spark, folder).withColumn("raw", raw)
     wide = rows.withColumn("x", arrays.rescaled_record("raw", 5))
     return wide.groupBy("l_orderkey", "l_linenumber").agg(
-        *[rounded(F.sum(F.col("x")[i]), 8 if i == 1 else 6).alias(f"x{i}") for i in range(3)], F.count_if(arrays.all_zero("raw")).alias("n_no_information")
+        rounded(F.sum(F.col("x")[0])).alias("x0"),
+        F.floor(F.sum(F.col("x")[1])).alias("x1"),
+        rounded(F.sum(F.col("x")[2])).alias("x2"),
+        F.count_if(arrays.all_zero("raw")).alias("n_no_information")
     )
 
 
