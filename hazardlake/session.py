@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,22 +39,47 @@ def build_session(app_name: str = "hazardlake", master: str | None = None, **con
 def checkpoint_dir(spark: SparkSession) -> str:
     """This application's folder below the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as it is; only where
-    the session names none (tests, a laptop) is a temporary one set.
+    The folder named by ``spark.checkpoint.dir`` is used as it is. Where the
+    session names none, a temporary one is set if all runs in one process;
+    executors on other machines would not find it, so there it is an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
-    context.setCheckpointDir(
-        spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hazardlake-")
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="hazardlake-"))
     return context.getCheckpointDir()
 
 
+_OWNERS: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other job writes to."""
-    return f"{checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what was stored inside the block when it ends.
+
+    Write the result inside the block: frames that read stored tables are of no
+    use after it.
+    """
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _OWNERS.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
