@@ -368,8 +368,18 @@ def threshold_report(
     optimize: bool = True,
     label: str = "label",
     score: str = "score",
+    calibrate_on: DataFrame | None = None,
+    method: str = "isotonic",
 ) -> DataFrame:
-    """Choose a threshold and evaluate at it; the threshold table is built once."""
+    """Choose a threshold and evaluate at it; the threshold table is built once.
+
+    With ``calibrate_on`` (labels and scores of other rows) the scores are
+    calibrated first, and the threshold is one of calibrated scores.
+    """
+    if calibrate_on is not None:
+        from .models import calibrate  # models are compared by the metrics of this module
+
+        df = calibrate(calibrate_on, df, method, label, score, "_calibrated").withColumn(score, F.col("_calibrated"))
     table = threshold_table(df, label, score)
     chosen = find_threshold(df, metric, min_precision, costs, optimize, label, score, table)
     return metrics_at(table, chosen)

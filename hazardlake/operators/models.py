@@ -10,6 +10,7 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
+    NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -110,6 +111,12 @@ def _mlp(*, features, label, weight, weight_sum, width, seed, hidden=(256, 128,
     )
 
 
+@register("gaussian")
+def _gaussian(*, features, label, weight, weight_sum, width, seed) -> Estimator:
+    """Normal densities per class and feature: fitted in closed form, a baseline for the others."""
+    return NaiveBayes(featuresCol=features, labelCol=label, weightCol=weight, modelType="gaussian")
+
+
 def fit(
     name: str,
     train: DataFrame,
@@ -278,7 +285,7 @@ def calibrate(
         if not n:
             raise ValueError("no training rows")
         curve = LogisticRegression(
-            featuresCol="_vector", labelCol="_label", maxIter=100, regParam=1.0 / n, standardization=False
+            featuresCol="_vector", labelCol="_label", maxIter=200, tol=1e-12, regParam=1.0 / n, standardization=False
         )
         model = _outputs_aside(curve).fit(fitted)
         scored = model.transform(df.withColumn("_vector", array_to_vector(one)))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import feature_names, to_array, zero_filled
 from hazardlake.functions.scalars import linear_score, sigmoid
+from hazardlake.sources import artifacts, delimited, tables
 
 from .evaluation import apply_threshold
 from .joins import attach_context
@@ -77,6 +78,38 @@ def score(
     return attach_context(result, log, time)
 
 
+def score_folder(
+    spark: SparkSession,
+    model_path: str,
+    telemetry_path: str,
+    log_path: str | None = None,
+    scaler_path: str | None = None,
+    configured_threshold: float = 0.5,
+    use_tuned: bool = True,
+    sink: str | None = None,
+) -> DataFrame:
+    """Score delimited telemetry with a saved model: contract, scaler, model, threshold, context, sorted sink.
+
+    The saved metadata names the features and the tuned threshold; the result
+    is also written, most likely first, if a ``sink`` is given.
+    """
+    metadata = artifacts.load_metadata(spark, model_path)
+    raw = delimited.read_telemetry(spark, telemetry_path)
+    time = pick_time(raw.columns)
+    ready = project_contract(raw, metadata["feature_columns"], metadata["n_features"])
+    result = score(
+        ready,
+        effective_threshold(metadata["extra"].get("optimal_threshold"), configured_threshold, use_tuned),
+        model=artifacts.load_model(spark, model_path),
+        params=artifacts.load_scaler(spark, scaler_path) if scaler_path else None,
+        log=delimited.read_event_log(spark, log_path) if log_path else None,
+        time=time,
+    )
+    if sink:
+        tables.write_predictions(result, sink, time)
+    return result
+
+
 def by_risk(predictions: DataFrame, time: str | None = "batch_time") -> DataFrame:
     """Most likely first; a global range sort, never one task."""
     return predictions.orderBy(F.desc("probability"), *([time] if time else []))

@@ -239,12 +239,51 @@ def model_scores_from_disk(spark, folder):
     )
 
 
-def _calibrated(table, method):
+def _densities(c: str) -> str:
+    parts = (f"pow(x.{n} - {c}.m_{n}, 2) / (2 * {c}.s_{n}) + ln({c}.s_{n}) / 2" for n in FEATURES)
+    return f"ln({c}.n) - ({' + '.join(parts)})"
+
+
+_PER_CLASS = ", ".join(f"avg({n}) AS m_{n}, var_pop({n}) AS s_{n}" for n in FEATURES)
+
+
+@job(with_parts("tel elog", f""", {_TRAIN}, classes AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, {_PER_CLASS} FROM early GROUP BY 1),
+a AS (SELECT * FROM classes WHERE label = 0), b AS (SELECT * FROM classes WHERE label = 1),
+x AS (SELECT batch_time, {', '.join(f'CAST(coalesce({n}, 0) AS DOUBLE) AS {n}' for n in FEATURES)} FROM tel),
+p AS (SELECT batch_time, 1 / (1 + exp(({_densities('a')}) - ({_densities('b')}))) AS p FROM x, a, b)
+SELECT batch_time, round(p, 4) + 0.0 AS probability, CAST(p >= 0.5 AS INTEGER) AS prediction FROM p"""))
+def folder_scores(spark, folder):
+    """Fit and save a model and its scaler; score delimited text with what was saved."""
+    from .preparing import _telemetry_text
+
+    train, _ = _split(spark, folder)
+    scaler = artifacts.save_scaler(scaling.fit_scaler(train, "standard"), scratch_path(spark, "scaler"))
+    model = models.fit("gaussian", scaling.apply_scaler(train, artifacts.load_scaler(spark, scaler)))
+    path = artifacts.save_model(spark, model, scratch_path(spark, "model"), FEATURES)
+    artifacts.save_parameters(spark, path, {"model": "gaussian", "test_size": 0.2})
+    result = scoring.score_folder(spark, path, _telemetry_text(spark, folder), scaler_path=scaler)
+    return result.select("batch_time", rounded("probability", 4).alias("probability"), "prediction")
+
+
+def _calibrated(table, method, places=6):
     return models.calibrate(table, table, method).groupBy("score").agg(
-        rounded(F.max("calibrated")).alias("calibrated"), F.count(F.lit(1)).alias("n")
+        rounded(F.max("calibrated"), places).alias("calibrated"), F.count(F.lit(1)).alias("n")
     )
 
 
+def _newton(k: int) -> str:
+    """One step of the two-parameter logistic fit, whose penalty is the square of the slope over two."""
+    p = "1 / (1 + exp(-(w * score + b)))"
+    return f"""g{k} AS (SELECT any_value(w) AS w, any_value(b) AS b, sum((n * {p} - pos) * score) + any_value(w) AS gw, sum(n * {p} - pos) AS gb,
+sum(n * {p} * (1 - {p}) * score * score) + 1 AS ww, sum(n * {p} * (1 - {p}) * score) AS wb, sum(n * {p} * (1 - {p})) AS bb FROM pts, s{k}),
+s{k + 1} AS (SELECT w - (bb * gw - wb * gb) / (ww * bb - wb * wb) AS w, b - (ww * gb - wb * gw) / (ww * bb - wb * wb) AS b FROM g{k})"""
+
+
+_PLATT = f""", pts AS (SELECT score, CAST(sum(label) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS n FROM scored GROUP BY 1),
+s0 AS (SELECT CAST(0 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS b), {', '.join(_newton(k) for k in range(12))}
+SELECT score, round(1 / (1 + exp(-(w * score + b))), 3) + 0.0 AS calibrated, CAST(n AS BIGINT) AS n FROM pts, s12"""
+
+
 @job(with_parts("scored", f""", pts AS (SELECT floor(score * 100) / 100 AS score, avg(label) AS y, count(*) AS n FROM scored GROUP BY 1),
 run AS (SELECT *, sum(y * n) OVER w AS sy, sum(n) OVER w AS sn FROM pts WINDOW w AS (ORDER BY score)),
 means AS (SELECT a.score AS lo, b.score AS hi, (b.sy - a.sy + a.y * a.n) / CAST(b.sn - a.sn + a.n AS DOUBLE) AS m FROM run a JOIN run b ON a.score <= b.score),
@@ -255,6 +294,6 @@ def isotonic_calibration(spark, folder):
     return _calibrated(table, "isotonic")
 
 
-@job()
+@job(with_parts("scored", _PLATT))
 def platt_calibration(spark, folder):
-    return _calibrated(roles.scored_items(spark, folder), "sigmoid")
+    return _calibrated(roles.scored_items(spark, folder), "sigmoid", 3)

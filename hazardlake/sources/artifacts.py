@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.util import MLWritable
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,5 +94,24 @@ def save_model(
     return path
 
 
+def load_model(spark: SparkSession, path: str) -> Model:
+    """The model saved at ``path``; Spark ML's own metadata names its class."""
+    try:
+        return DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+    except Exception as e:
+        if "does not exist" in str(e) or "Input path" in str(e):
+            raise FileNotFoundError(f"model not found: {path}") from e
+        raise
+
+
+def save_parameters(spark: SparkSession, path: str, parameters: Mapping[str, Any]) -> str:
+    """The settings of a training run beside its model."""
+    return write_json(spark, f"{path}/parameters", parameters)
+
+
+def load_parameters(spark: SparkSession, path: str) -> dict[str, Any]:
+    return read_json(spark, f"{path}/parameters")
+
+
 def load_metadata(spark: SparkSession, path: str) -> dict[str, Any]:
     return read_json(spark, f"{path}/metadata")
