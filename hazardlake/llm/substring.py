@@ -35,19 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import NOT_BLANK, Words, covered, slices, window_hashes, windows
+from hazardlake.llm.words import NOT_BLANK, Words, apart, covered, slices, window_hashes, windows
 from hazardlake.session import stored
 
 WINDOW = 13
 BITS = 56
 #: Bytes of text whose edges share a bucket: about twenty bytes of memory for each of its words.
-BUCKET_BYTES = 8 << 20
-#: Hashes that failed and are broadcast for another look.
+BUCKET_BYTES = 16 << 20
+#: Bytes of text whose edges are deduplicated and sent together.
+SENT_BYTES = 2 << 20
+#: Failed hashes that are broadcast for another look; with more, the search begins again with longer hashes.
 MAX_FAILED = 1_000_000
 
 PACKED = "bucket int, ids binary, counts binary, edges binary, sources binary"
-ANSWERS = "doc_id long, edges array<bigint>, sources array<bigint>, wanted array<bigint>"
-_LISTS = pa.list_(pa.int64())
 
 
 def _edges(w: Words, window: int, seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,16 +116,17 @@ def _unpack(row: dict, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray |
 
 
 def packed_edges(docs: DataFrame, *, seed: int, bits: int, buckets: int, window: int, only=None) -> DataFrame:
-    """Edges of ``docs`` (``doc_id``, ``text``) by bucket; with ``only`` (seed, bits, hashes) just those that failed before."""
+    """Edges of ``docs`` (``doc_id``, ``text``) by bucket; with ``only`` (seeds, bits and hashes) just those that failed before."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SENT_BYTES):
                 w = Words(part.column("text"), NOT_BLANK)
                 begin, edge = _edges(w, window, seed, bits)
                 if only is not None:
-                    before_seed, before_bits, hashes = only.value
-                    chosen = np.isin(_edges(w, window, before_seed, before_bits)[1], hashes)
+                    chosen = np.zeros(len(edge), dtype=bool)
+                    for before, before_bits, hashes in only.value:
+                        chosen |= np.isin(_edges(w, window, before, before_bits)[1], hashes)
                     begin, edge = begin[chosen], edge[chosen]
                 if not len(edge):
                     continue
@@ -140,20 +141,8 @@ def packed_edges(docs: DataFrame, *, seed: int, bits: int, buckets: int, window:
     return docs.mapInArrow(pack, PACKED)
 
 
-def _by_document(doc: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """One row per document with lists of its entries; missing list columns are empty."""
-    order = np.argsort(doc, kind="stable")
-    at = _starts(doc[order])
-    offsets = pa.array(np.append(at, len(doc)).astype(np.int32))
-    empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(at) + 1, dtype=np.int32)), pa.array([], pa.int64()))
-    lists = [
-        pa.ListArray.from_arrays(offsets, pa.array(columns[c][order].astype(np.int64))) if c in columns else empty for c in ("edges", "sources", "wanted")
-    ]
-    return pa.record_batch([pa.array(doc[order][at].astype(np.int64)), *lists], names=["doc_id", "edges", "sources", "wanted"])
-
-
-def answers(packed: DataFrame, bits: int) -> DataFrame:
-    """Per document: the edges it loses with their sources, and the edges it is the source of."""
+def answers(packed: DataFrame, bits: int, groups: int) -> DataFrame:
+    """Packed by group of documents (``bucket``): the edges that documents lose with their sources, and the edges they are the source of (without)."""
 
     def match(table: pa.Table) -> pa.Table:
         rows = [_unpack(r, bits) for r in table.select(["ids", "counts", "edges", "sources"]).to_pylist()]
@@ -166,31 +155,20 @@ def answers(packed: DataFrame, bits: int) -> DataFrame:
         target = np.concatenate([doc[lost], *[r[0] for r in decided]])
         loses = np.concatenate([edge[lost], *[r[1] for r in decided]])
         come_from = np.concatenate([source[lost], *[r[2] for r in decided]])
-        order = np.lexsort((loses, come_from))
-        once = order[_changes(come_from[order]) | _changes(loses[order])]
-        return pa.Table.from_batches(
-            [
-                _by_document(target, {"edges": loses.view(np.int64), "sources": come_from}),
-                _by_document(come_from[once], {"wanted": loses[once].view(np.int64)}),
-            ]
-        )
+        parts = []
+        if len(target):
+            by_doc = np.argsort(target, kind="stable")
+            target, loses, come_from = target[by_doc], loses[by_doc], come_from[by_doc]
+            parts.append(_pack(np.mod(target, groups).astype(np.int32), target, loses, come_from, bits))
+            order = np.lexsort((loses, come_from))
+            once = order[_changes(come_from[order]) | _changes(loses[order])]
+            parts.append(_pack(np.mod(come_from[once], groups).astype(np.int32), come_from[once], loses[once], None, bits))
+        return pa.Table.from_batches(parts, schema=_PACKED_ARROW)
 
-    return packed.groupBy("bucket").applyInArrow(match, ANSWERS)
+    return packed.groupBy("bucket").applyInArrow(match, PACKED)
 
 
-def _gather(found: DataFrame, number: int) -> DataFrame:
-    """One row per document with the answers of one round."""
-    pairs = F.collect_list(F.struct("edges", "sources", "wanted"))
-    rows = found.groupBy("doc_id").agg(pairs.alias("x"))
-    return rows.select(
-        "doc_id",
-        F.struct(
-            F.lit(number).alias("round"),
-            F.flatten(F.transform("x", lambda x: x["edges"])).alias("edges"),
-            F.flatten(F.transform("x", lambda x: x["sources"])).alias("sources"),
-            F.flatten(F.transform("x", lambda x: x["wanted"])).alias("wanted"),
-        ).alias("answer"),
-    )
+_PACKED_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("ids", "counts", "edges", "sources")]])
 
 
 SPAN = pa.struct([("start", pa.int32()), ("words", pa.int32()), ("source", pa.int64())])
@@ -214,20 +192,45 @@ class _Round:
         self.number, self.bits, self.failed = number, bits, failed
 
 
-def _repeated(w: Words, window: int, answer: dict, look: _Round) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Edges of one text with their hashes: (start, hash, is repeated, source)."""
-    begin, edge = _edges(w, window, look.number, look.bits)
-    lost = np.array(answer["edges"], dtype=np.int64).view(np.uint64)
-    source = np.array(answer["sources"], dtype=np.int64)
-    order = np.argsort(lost)
-    lost, source = lost[order], source[order]
-    if not len(lost):
-        return begin, edge, np.zeros(len(edge), dtype=bool), np.zeros(len(edge), dtype=np.int64)
-    at = np.minimum(np.searchsorted(lost, edge), len(lost) - 1)
-    hit = lost[at] == edge
-    if len(look.failed):
-        hit &= ~np.isin(edge, look.failed)
-    return begin, edge, hit, source[at]
+class _Answers:
+    """What one round found for the documents of a group."""
+
+    def __init__(self, look: _Round, rows: list[dict]):
+        self.look = look
+        found = [_unpack(r, look.bits) for r in rows]
+        self.lost = self._by_id([(d, e, s) for d, e, s in found if s is not None])
+        self.wanted = self._by_id([(d, e, d) for d, e, s in found if s is None])
+
+    @staticmethod
+    def _by_id(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        doc = np.concatenate([np.zeros(0, dtype=np.int64), *[p[0] for p in parts]])
+        edge = np.concatenate([np.zeros(0, dtype=np.uint64), *[p[1] for p in parts]])
+        source = np.concatenate([np.zeros(0, dtype=np.int64), *[p[2] for p in parts]])
+        order = np.lexsort((edge, doc))
+        return doc[order], edge[order], source[order]
+
+    @staticmethod
+    def _of(table: tuple, doc_id: int) -> tuple[np.ndarray, np.ndarray]:
+        doc, edge, source = table
+        a, b = np.searchsorted(doc, [doc_id, doc_id + 1])
+        return edge[a:b], source[a:b]
+
+    def concerns(self, doc_id: int) -> bool:
+        return bool(len(self._of(self.lost, doc_id)[0]) or len(self._of(self.wanted, doc_id)[0]))
+
+    def repeated(self, edge: np.ndarray, doc_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of a text's edges are repeated, and their sources."""
+        lost, source = self._of(self.lost, doc_id)
+        if not len(lost):
+            return np.zeros(len(edge), dtype=bool), np.zeros(len(edge), dtype=np.int64)
+        at = np.minimum(np.searchsorted(lost, edge), len(lost) - 1)
+        hit = lost[at] == edge
+        if len(self.look.failed):
+            hit &= ~np.isin(edge, self.look.failed)
+        return hit, source[at]
+
+    def asked(self, edge: np.ndarray, doc_id: int) -> np.ndarray:
+        return np.isin(edge, self._of(self.wanted, doc_id)[0])
 
 
 def _paths(begin: np.ndarray, hit: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,59 +242,73 @@ def _paths(begin: np.ndarray, hit: np.ndarray, source: np.ndarray) -> tuple[np.n
     return at[np.concatenate([[0], breaks + 1])], at[np.concatenate([breaks, [len(at) - 1]])] + 1
 
 
-def _cut(text: str, doc_id: int, found: list[dict], looks: list[_Round], window: int):
+def _cut(text: str, doc_id: int, found: list[_Answers], window: int):
     """Kept words, counts, spans, what must hold at the sources, and what holds here."""
     w = Words(pa.array([text], pa.string()), NOT_BLANK)
     words = text.encode().split()
     gone = np.zeros(len(w), dtype=bool)
     spans, checks, holds = [], [], []
+    # after a failure every edge is verified: paths without the failed ones begin elsewhere
+    step = window if len(found) == 1 else 1
     for answer in found:
-        look = looks[answer["round"]]
-        begin, edge, hit, source = _repeated(w, window, answer, look)
+        if not answer.concerns(doc_id):
+            continue
+        look = answer.look
+        begin, edge = _edges(w, window, look.number, look.bits)
+        hit, source = answer.repeated(edge, doc_id)
         first, last = _paths(begin, hit, source)
         second = window_hashes(w.hashes(look.number + 500), begin, window, look.number + 500)
         if len(first):
             gone |= covered(begin[hit], window, len(w))
             spans += [{"start": int(begin[a]), "words": int(b - a + window - 1), "source": int(source[a])} for a, b in zip(first, last)]
-            picks = np.unique(np.concatenate([[*range(a, b, window), b - 1] for a, b in zip(first, last)]))
+            picks = np.unique(np.concatenate([[*range(a, b, step), b - 1] for a, b in zip(first, last)]))
             checks.append((look.number, source[picks], edge[picks], second[picks]))
-        wanted = np.array(answer["wanted"], dtype=np.int64).view(np.uint64)
-        if len(wanted):
-            mine = np.isin(edge, wanted)
+        mine = answer.asked(edge, doc_id)
+        if mine.any():
             holds.append((look.number, np.full(int(mine.sum()), doc_id, dtype=np.int64), edge[mine], second[mine]))
     kept = b" ".join(compress(words, (~gone).tolist()))
     return kept, len(words), int(gone.sum()), spans, checks, holds
 
 
-def _apply(docs: DataFrame, answer: DataFrame, looks: list[_Round], window: int) -> DataFrame:
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                out = []
-                for text, doc_id, found in zip(*(part.column(c).to_pylist() for c in ("text", "doc_id", "found"))):
-                    if found:
-                        out.append(_cut(text, doc_id, found, looks, window))
-                    else:
-                        words = (text or "").encode().split()
-                        out.append((b" ".join(words), len(words), 0, [], [], []))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc"),
-                        pa.array([o[0] for o in out], pa.binary()).cast(pa.string()),
-                        pa.array([o[1] for o in out], pa.int64()),
-                        pa.array([o[2] for o in out], pa.int64()),
-                        pa.array([o[3] for o in out], pa.list_(SPAN)),
-                        _check_lists([o[4] for o in out]),
-                        _check_lists([o[5] for o in out]),
-                    ],
-                    names=["doc", "text", "n_words", "n_removed", "spans", "checks", "holds"],
-                )
-
-    rows = docs.join(answer, F.col("_key") == F.col("_id"), "left").select("doc", "text", F.col("_key").alias("doc_id"), "found")
+def _apply(docs: DataFrame, found: DataFrame, looks: list[_Round], window: int) -> DataFrame:
+    """The documents of each group beside the answers for it."""
+
+    def cut(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        sent = answers.to_pylist()
+        rounds = [_Answers(look, [r for r in sent if r["round"] == look.number]) for look in looks]
+        concerned = np.unique(np.concatenate([t[0] for r in rounds for t in (r.lost, r.wanted)]))
+        out = []
+        for text, doc_id in zip(docs.column("text").to_pylist(), docs.column("_key").to_pylist()):
+            at = len(concerned) if doc_id is None else int(np.searchsorted(concerned, doc_id))
+            if text and at < len(concerned) and concerned[at] == doc_id:
+                out.append(_cut(text, doc_id, rounds, window))
+            else:
+                words = (text or "").encode().split()
+                out.append((b" ".join(words), len(words), 0, [], [], []))
+        return pa.table(
+            [
+                docs.column("doc"),
+                pa.array([o[0] for o in out], pa.binary()).cast(pa.string()),
+                pa.array([o[1] for o in out], pa.int64()),
+                pa.array([o[2] for o in out], pa.int64()),
+                pa.array([o[3] for o in out], pa.list_(SPAN)),
+                _check_lists([o[4] for o in out]),
+                _check_lists([o[5] for o in out]),
+            ],
+            names=["doc", "text", "n_words", "n_removed", "spans", "checks", "holds"],
+        )
+
     check = "array<struct<round:int,doc:bigint,edge:bigint,second:bigint>>"
-    empty = {"n_words": "long", "n_removed": "long", "spans": "array<struct<start:int,words:int,source:bigint>>", "checks": check, "holds": check}
-    schema = rows.select("doc", "text", *[F.lit(None).cast(t).alias(c) for c, t in empty.items()]).schema
-    return rows.mapInArrow(cut, schema)
+    more = {"n_words": "long", "n_removed": "long", "spans": "array<struct<start:int,words:int,source:bigint>>", "checks": check, "holds": check}
+    schema = docs.select("doc", "text", *[F.lit(None).cast(t).alias(c) for c, t in more.items()]).schema
+    return docs.groupBy("_group").cogroup(found.groupBy("bucket")).applyInArrow(cut, schema)
+
+
+def _prime(n: int) -> int:
+    """The smallest prime that is not below n, so that no step from id to id favours a group."""
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
 
 
 def remove_repeats(
@@ -312,27 +329,32 @@ def remove_repeats(
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-size // bucket_bytes))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("doc"), F.col(text).alias("text"), F.col(key).cast("long").alias("_key"))
+    buckets = _prime(max(7, -(-size // bucket_bytes)))
+    rows = apart(docs, text).withColumn("_key", F.col("doc").getField(key).cast("long"))
+    rows = rows.withColumn("_group", F.coalesce(F.pmod("_key", F.lit(buckets)), F.pmod(F.xxhash64("text"), F.lit(buckets))).cast("int"))
     looks: list[_Round] = []
     found: DataFrame | None = None
     only = None
     while True:
         number, width = len(looks), bits if not looks else 63
         edges = packed_edges(source, seed=number, bits=width, buckets=buckets, window=window, only=only)
-        one = _gather(stored(answers(edges, width), "answers"), number)
+        one = answers(edges, width, buckets).withColumn("round", F.lit(number))
         found = one if found is None else found.unionByName(one)
         looks.append(_Round(number, width, np.zeros(0, dtype=np.uint64)))
-        answer = found.groupBy("doc_id").agg(F.collect_list("answer").alias("found")) if number else found.select("doc_id", F.array("answer").alias("found"))
-        done = stored(project(_apply(rows, answer.withColumnRenamed("doc_id", "_id"), looks, window)), "passages")
-        needed = done.select(F.explode("checks").alias("c")).select("c.*").filter(F.col("round") == number).distinct()
-        here = done.select(F.explode("holds").alias("c")).select("c.*")
-        failed = stored(needed.join(here, ["round", "doc", "edge", "second"], "left_anti").select("edge").distinct(), "failed")
+        done = stored(project(_apply(rows, found, looks, window)), "passages")
+        proof = F.xxhash64("round", "doc", "edge", "second").alias("proof")
+        needed = done.select(F.explode("checks").alias("c")).select("c.*").select("round", "edge", proof).distinct()
+        here = done.select(F.explode("holds").alias("c")).select("c.*").select(proof)
+        failed = stored(needed.join(here, "proof", "left_anti").select("round", "edge").distinct(), "failed")
         count = failed.count()
         if not count:
             return done.drop("checks", "holds")
-        if count > MAX_FAILED:
-            raise ValueError(f"{count} hashes of {width} bits name different passages; give more bits")
-        hashes = np.sort(np.array([r["edge"] for r in failed.collect()], dtype=np.int64).view(np.uint64))
-        looks[number].failed = hashes
-        only = spark.sparkContext.broadcast((number, width, hashes))
+        if count > MAX_FAILED and bits < 63:  # too short for so many passages: begin again with the longest
+            return remove_repeats(docs, key=key, text=text, window=window, bits=63, bucket_bytes=bucket_bytes, project=project)
+        new: dict[int, list[int]] = {}
+        for r in failed.collect():
+            new.setdefault(r["round"], []).append(r["edge"])
+        again = [(n, looks[n].bits, np.sort(np.array(edges, dtype=np.int64).view(np.uint64))) for n, edges in new.items()]
+        for n, _, hashes in again:
+            looks[n].failed = np.union1d(looks[n].failed, hashes)
+        only = spark.sparkContext.broadcast(again)

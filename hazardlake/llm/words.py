@@ -17,9 +17,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once; bounds the memory of the numpy arrays beside it.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -59,6 +61,17 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def apart(docs: DataFrame, text: str) -> DataFrame:
+    """The text as ``text``, beside a struct ``doc`` of all other columns, so that no column's name matters."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("_none")]
+    return docs.select(F.struct(*others).alias("doc"), F.col(f"`{text}`").alias("text"))
+
+
+def together(columns: list[str], text: str, **changed: Column) -> list[Column]:
+    """The columns of :func:`apart` in their own places, some of them ``changed``."""
+    return [F.col("text").alias(c) if c == text else changed.get(c, F.col("doc").getField(c)).alias(c) for c in columns]
+
+
 class Words:
     """Words of the rows of a string array.
 
@@ -140,8 +153,8 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """``b**i`` and ``b**-i`` modulo 2**64 for i below n, for an odd base drawn from the seed."""
     kept = _POWERS.get(seed)
-    if kept is None or len(kept[0]) < n + 1:
-        size = 1 << max(16, int(n + 1).bit_length())
+    if kept is None or len(kept[0]) <= n:
+        size = ((n >> 18) + 1) << 18
         base = (int(np.random.default_rng(77 + seed).integers(2**40, 2**62)) << 1) | 5
         with np.errstate(over="ignore"):
             up = np.full(size, base % 2**64, dtype=np.uint64)
