@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazardlake.functions import arrays
 from hazardlake.functions.arrays import by_feature, missing_cells, to_long
-from hazardlake.functions.scalars import is_infinite, nan_to_null
+from hazardlake.functions.scalars import nan_to_null
+
+from .moments import exact_medians, partial_moments
 
 MISSING_POLICIES = ("fail", "drop", "fill_zero", "fill_mean", "fill_median")
 INFINITE_POLICIES = ("fail", "replace_with_nan")
@@ -39,7 +40,8 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None, how: str =
 
 def infinite_counts(df: DataFrame, features: str = "features") -> DataFrame:
     """Infinite cells per feature position."""
-    return to_long(df, features).groupBy("feature_idx").agg(F.count_if(is_infinite(F.col("value"))).alias("n_inf"))
+    counts = partial_moments(df, features).groupBy("feature_idx").agg(F.sum("infinite").alias("n_inf"))
+    return counts.select("feature_idx", "n_inf")
 
 
 def replace_infinite(df: DataFrame, features: str = "features") -> DataFrame:
@@ -57,52 +59,18 @@ def is_sparse(missing: Column, width: Column, max_fraction: float) -> Column:
 
 def feature_means(df: DataFrame, features: str = "features") -> DataFrame:
     """Mean of the present cells per position; 0 where none is present."""
-    value = nan_to_null(F.col("value").cast("double"))
-    return to_long(df, features).groupBy("feature_idx").agg(F.coalesce(F.avg(value), F.lit(0.0)).alias("fill"))
+    parts = partial_moments(df, features)
+    mean = F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n"))
+    return parts.groupBy("feature_idx").agg(F.coalesce(mean, F.lit(0.0)).alias("fill"))
 
 
 def feature_medians(df: DataFrame, features: str = "features", approximate: bool = False) -> DataFrame:
-    """Median of the present cells per position; 0 where none is present.
-
-    Exact at any size without collecting a feature's cells in one place: an
-    approximate percentile, whose rank error is bounded, gives two values that
-    enclose the middle; cells below are only counted, and the few between them
-    are counted per distinct value and walked in order. A check stops the job
-    if the middle were ever outside the two values.
-    """
+    """Median of the present cells per position; 0 where none is present. Exact unless told otherwise."""
+    if not approximate:
+        return exact_medians(df, features)
     cells = to_long(df, features).select("feature_idx", nan_to_null(F.col("value").cast("double")).alias("value"))
-    if approximate:
-        middle = F.percentile_approx("value", 0.5, PERCENTILE_ACCURACY)
-        return cells.groupBy("feature_idx").agg(F.coalesce(middle, F.lit(0.0)).alias("fill"))
-    slack = 3.0 / PERCENTILE_ACCURACY
-    bounds = cells.groupBy("feature_idx").agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", [0.5 - slack, 0.5 + slack], PERCENTILE_ACCURACY).alias("b"),
-    )
-    bounds = bounds.select("feature_idx", "n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"))
-    # One row per feature position, so the array width bounds this broadcast.
-    placed = cells.join(F.broadcast(bounds.filter("n > 0")), "feature_idx").filter(F.col("value") <= F.col("hi"))
-    # Everything below the lower value collapses into one counted row per task.
-    value = F.when(F.col("value") >= F.col("lo"), F.col("value"))
-    counts = placed.groupBy("feature_idx", "n", value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    running = W.partitionBy("feature_idx").orderBy(F.asc_nulls_first("v")).rowsBetween(W.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("c").over(running))
-    low_place, high_place = F.floor((F.col("n") - 1) / 2) + 1, F.floor(F.col("n") / 2) + 1
-    reach = lambda place: F.min(F.when((F.col("upto") >= place) & F.col("v").isNotNull(), F.col("v")))
-    below = F.max(F.when(F.col("v").isNull(), F.col("c")))
-    middle = upto.groupBy("feature_idx", "n").agg(
-        reach(low_place).alias("low"),
-        reach(high_place).alias("high"),
-        F.coalesce(below, F.lit(0)).alias("below"),
-        F.max("upto").alias("covered"),
-    )
-    enclosed = (F.col("below") < low_place) & (F.col("covered") >= high_place)
-    median = F.when(enclosed, (F.col("low") + F.col("high")) / 2).otherwise(
-        F.raise_error(F.lit("the median is outside its percentile bounds")).cast("double")
-    )
-    return bounds.select("feature_idx").join(
-        F.broadcast(middle.select("feature_idx", median.alias("fill"))), "feature_idx", "left"
-    ).select("feature_idx", F.coalesce("fill", F.lit(0.0)).alias("fill"))
+    middle = F.percentile_approx("value", 0.5, PERCENTILE_ACCURACY)
+    return cells.groupBy("feature_idx").agg(F.coalesce(middle, F.lit(0.0)).alias("fill"))
 
 
 def fill_with(df: DataFrame, fills: Column, features: str = "features") -> DataFrame:

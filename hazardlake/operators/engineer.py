@@ -111,14 +111,15 @@ def prepare(
     The engineered table is written once to the shared folder; the scaler and
     the components are fitted on its training rows.
     """
-    table, names = engineer(df, spec, order_by, time, key=[key])
-    table = table.drop("features").withColumnRenamed("engineered", "features")
+    # The split needs the order alone, so it is made before the features are.
     if split == "chronological":
-        table = sequence.chronological_split(table, order_by, test_size)
+        marked = sequence.chronological_split(df, order_by, test_size)
     elif split == "random":
-        table = sampling.random_split(table, [key], test_size, seed)
+        marked = sampling.random_split(df, [key], test_size, seed)
     else:
         raise ValueError(f"unknown split: {split!r}")
+    table, names = engineer(stored(marked), spec, order_by, time, key=[key])
+    table = table.drop("features").withColumnRenamed("engineered", "features")
     table = stored(table)
     train, validation = table.filter("is_train").drop("is_train"), table.filter("NOT is_train").drop("is_train")
     fitted = None

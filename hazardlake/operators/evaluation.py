@@ -33,7 +33,10 @@ class Costs:
     tn: float = 0.0
 
     def class_weights(self) -> dict[int, float]:
-        return {0: 1.0, 1: self.fn / max(self.fp, 1e-9)}
+        """What a missed positive weighs against a false alarm."""
+        if self.fp <= 0:
+            raise ValueError("class weights need a false alarm to cost something")
+        return {0: 1.0, 1: self.fn / self.fp}
 
 
 def benefit(costs: Costs = Costs(), tp="tp", fp="fp", fn="fn", tn="tn") -> Column:

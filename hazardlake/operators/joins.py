@@ -7,6 +7,8 @@ sort-merges with adaptive skew handling when it does not.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,15 +135,42 @@ def log_with_telemetry(log: DataFrame, telemetry: DataFrame, log_time: str = "da
 
 
 def positional_join(
-    left: DataFrame, right: DataFrame, left_order: Order, right_order: Order, agree: tuple[str, str] | None = None
+    left: DataFrame,
+    right: DataFrame,
+    left_order: Order,
+    right_order: Order,
+    agree: tuple[str, str] | None = None,
+    left_key: Sequence[str] | None = None,
+    right_key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Row i of one table beside row i of the other; ``agree`` keeps rows whose two columns match."""
-    a = add_row_index(left, left_order, "row_idx")
-    b = add_row_index(right, right_order, "row_idx")
-    joined = a.join(b, "row_idx", "inner")
+    """Row i of one table beside row i of the other; ``agree`` keeps rows whose two columns match.
+
+    With unique keys for both sides only order and keys are ranked and paired,
+    and the wide rows are joined to the pairs.
+    """
+    if left_key and right_key:
+        one, two = list(left_key), list(right_key)
+        a = add_row_index(_ranked(left, left_order, one), left_order, "row_idx").select("row_idx", *[F.col(c).alias(f"_l_{c}") for c in one])
+        b = add_row_index(_ranked(right, right_order, two), right_order, "row_idx").select("row_idx", *[F.col(c).alias(f"_r_{c}") for c in two])
+        pairs = a.join(b, "row_idx", "inner")
+        joined = pairs.join(left, _same(one, "_l_", left), "inner").join(right, _same(two, "_r_", right), "inner")
+        joined = joined.select("row_idx", *left.columns, *right.columns)
+    else:
+        a = add_row_index(left, left_order, "row_idx")
+        b = add_row_index(right, right_order, "row_idx")
+        joined = a.join(b, "row_idx", "inner")
     return joined.filter(F.col(agree[0]) == F.col(agree[1])) if agree else joined
 
 
+def _ranked(df: DataFrame, order: Order, key: Sequence[str]) -> DataFrame:
+    names = [c for c in order if isinstance(c, str)]
+    return df.select(*dict.fromkeys([*names, *key]))
+
+
+def _same(key: Sequence[str], prefix: str, df: DataFrame) -> list[Column]:
+    return [F.col(f"{prefix}{c}").eqNullSafe(df[c]) for c in key]
+
+
 def lookup_first(df: DataFrame, dimension: DataFrame, key: str, order_by: Order) -> DataFrame:
     """Left join with the first dimension row per key."""
     return df.join(keep_first(dimension, [key], order_by), key, "left")

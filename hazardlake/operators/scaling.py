@@ -2,7 +2,7 @@
 
 Scaler parameters are a table with one row per feature position
 ``(feature_idx, kind, center, scale, var, low, high, n)``; they are fitted in
-one pass whose partial aggregate leaves one row per task and feature.
+one pass that leaves one row per task and feature.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.functions.arrays import scaled, to_long
+from hazardlake.functions.arrays import scaled
 from hazardlake.functions.scalars import nan_to_null
 from hazardlake.session import stored
 
+from .moments import feature_moments
+
 PARAMETER_COLUMNS = ("feature_idx", "kind", "center", "scale", "var", "low", "high", "n")
 
 
@@ -29,30 +31,19 @@ def fit_standard(
     By default missing cells count as 0 in the sums and as rows in ``n``.
     A deviation of 0 becomes a scale of 1.
     """
-    value = nan_to_null(F.col("value").cast("double"))
-    if missing_as_zero:
-        value = F.coalesce(value, F.lit(0.0))
-    n = F.count(value)
-    # Merged from partial means and deviations: large values with a small spread keep it.
-    mean, var = F.avg(value), F.var_pop(value)
-    stats = to_long(df, features).groupBy("feature_idx").agg(
-        mean.alias("center"), var.alias("pvar"), n.alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
+    stats = feature_moments(df, features, missing_as_zero)
+    freedom = F.col("n") - F.lit(ddof)
+    var = F.when(freedom > 0, F.col("squares") / freedom).otherwise(F.lit(0.0))
+    stats = stats.select(
+        "feature_idx", F.lit("standard").alias("kind"), F.col("mean").alias("center"), var.alias("var"), "low", "high", "n"
     )
-    if ddof:
-        spread = F.when(F.col("n") > ddof, F.col("pvar") * F.col("n") / (F.col("n") - ddof)).otherwise(F.lit(0.0))
-    else:
-        spread = F.col("pvar")
-    stats = stats.withColumn("var", spread).withColumn("kind", F.lit("standard"))
     scale = F.when(F.col("var") > 0, F.sqrt("var")).otherwise(F.lit(1.0))
     return stats.withColumn("scale", scale).select(*PARAMETER_COLUMNS)
 
 
 def fit_minmax(df: DataFrame, features: str = "features") -> DataFrame:
     """Smallest and largest present cell per position; a range of 0 becomes 1."""
-    value = nan_to_null(F.col("value").cast("double"))
-    stats = to_long(df, features).groupBy("feature_idx").agg(
-        F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n")
-    )
+    stats = feature_moments(df, features)
     width = F.col("high") - F.col("low")
     return stats.select(
         "feature_idx",

@@ -94,7 +94,10 @@ b AS (SELECT *, row_number() OVER (ORDER BY batch_time) - 1 AS row_idx FROM tel)
 SELECT a.row_idx, a.event_id, b.batch_time, {cells_sql('b.')} FROM a JOIN b ON a.row_idx = b.row_idx"""))
 def positional_join(spark, folder):
     log = roles.event_log(spark, folder).select("event_id", "date")
-    joined = joins.positional_join(log, roles.telemetry(spark, folder), ["date", "event_id"], ["batch_time"])
+    telemetry = roles.telemetry(spark, folder)
+    joined = joins.positional_join(
+        log, telemetry, ["date", "event_id"], ["batch_time"], left_key=["event_id"], right_key=["batch_time"]
+    )
     return telemetry_columns(joined.drop("date"))
 
 

@@ -22,15 +22,16 @@ def _stream(spark, folder, name):
     return live.follow(spark, folder, schema, f"{name}.parquet")
 
 
-_X = [f"(CAST({c} AS DOUBLE) - 0.1) / 0.9" for c in ("l_quantity / 50.0", "l_discount * 10.0", "l_tax * 10.0", "0.0")]
+_X = [f"(CAST({c} AS DOUBLE) - 0.1) / 0.9" for c in ("greatest(l_quantity - 10, 0) / 50.0", "l_discount * 10.0", "l_tax * 10.0", "0.0")]
 _Z = f"CAST({BIAS} AS DOUBLE)" + "".join(f" + ({x}) * CAST({w} AS DOUBLE)" for x, w in zip(_X, WEIGHTS, strict=True))
 
 
 @job(f"""SELECT outcome, l_returnflag, count(*) AS n, {r('avg(p)', 'mean_probability')} FROM (SELECT l_returnflag, 1.0 / (1.0 + exp(-z)) AS p,
-CASE WHEN l_discount = 0 AND l_tax = 0 AND l_quantity < 0 THEN 'no_information' WHEN 1.0 / (1.0 + exp(-z)) >= 0.5 THEN 'alert' ELSE 'no_alert' END AS outcome
+CASE WHEN l_discount = 0 AND l_tax = 0 AND l_quantity <= 10 THEN 'no_information' WHEN 1.0 / (1.0 + exp(-z)) >= 0.5 THEN 'alert' ELSE 'no_alert' END AS outcome
 FROM (SELECT *, {_Z} AS z FROM lineitem)) GROUP BY 1, 2""")
 def live_alerts(spark, folder):
-    values = F.array(F.col("l_quantity") / 50.0, F.col("l_discount") * 10.0, F.col("l_tax") * 10.0)
+    small = F.greatest(F.col("l_quantity") - 10, F.lit(0))
+    values = F.array(small / 50.0, F.col("l_discount") * 10.0, F.col("l_tax") * 10.0)
     records = _stream(spark, folder, "lineitem").select("l_returnflag", values.alias("values"))
     path, progress = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-progress")
     judged = live.judge(records, WEIGHTS, BIAS).select("l_returnflag", "outcome", "probability")

@@ -198,7 +198,7 @@ _SPEC = engineer.Features(lags=(1, 3), windows=(3, 6))
 (SELECT batch_time, {', '.join(f'coalesce({n}, 0) AS {n}' for n in FEATURES)} FROM tel)"""))
 def engineered_features(spark, folder):
     table = roles.telemetry(spark, folder).withColumn("features", arrays.zero_filled("features"))
-    table, names = engineer.engineer(table, _SPEC, ["batch_time"])
+    table, names = engineer.engineer(table, _SPEC, ["batch_time"], key=["batch_time"])
     return _unfold(table, "engineered", names, "batch_time")
 
 

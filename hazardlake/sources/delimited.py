@@ -64,9 +64,13 @@ def scan_in_blocks(spark: SparkSession, path: str, size: str = "16MB", separator
     """Scan with a given amount of text per task.
 
     The size is a session setting, so it goes into a session of its own (same
-    cluster, same application) and leaves the caller's reads alone.
+    cluster, same application, the caller's other settings) and leaves the
+    caller's reads alone.
     """
     own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
     own.conf.set("spark.sql.files.maxPartitionBytes", size)
     return scan(own, path, separator)
 
