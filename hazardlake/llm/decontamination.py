@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import ALNUM, LOWER, Words, code_points_before, covered, runs, slices, window_hashes, windows
+from hazardlake.llm.words import ALNUM, LOWER, Words, apart, code_points_before, covered, runs, slices, together, window_hashes, windows
 from hazardlake.session import stored
 
 WINDOW = 10
@@ -136,7 +136,7 @@ def find_hits(
     window: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
-    """One row per document: ``doc`` (struct of its columns), ``text``, ``n_words``, ``hits``.
+    """One row per document: ``doc`` (struct of its other columns), ``text``, ``n_words``, ``hits``.
 
     A hit has the item's id, the word positions at which its windows begin in
     the document, and the windows' length.
@@ -144,12 +144,7 @@ def find_hits(
     spark = docs.sparkSession
     table = stored(item_windows(benchmark, item, item_text, window), "windows")
     blocks = -(-table.count() // block_windows)
-    out = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(text).alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(HIT).alias("hits"),
-    )
+    out = apart(docs, text).select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast(HIT).alias("hits"))
     for k in range(max(1, blocks)):
         rows = table.filter(F.pmod("hash", F.lit(max(1, blocks))) == k).collect()
         out = _marked(out if k == 0 else stored(out, "hits"), spark.sparkContext.broadcast(_Block(rows)))
@@ -197,7 +192,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **op
     marked = find_hits(docs, benchmark, **options)
     if remove == "documents":
         kept = marked.filter(F.size("hits") == 0)
-        return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+        return kept.select(*together(docs.columns, options.get("text", "text")))
     if remove != "spans":
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
 
@@ -209,9 +204,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **op
                     texts[r] = cut_spans(texts[r], hits)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], names=["doc", "text"])
 
-    name = options.get("text", "text")
     cleaned = marked.select("doc", "text", "hits").mapInArrow(cut, marked.select("doc", "text").schema)
-    return cleaned.select(*[F.col("text").alias(c) if c == name else F.col("doc").getField(c).alias(c) for c in docs.columns])
+    return cleaned.select(*together(docs.columns, options.get("text", "text")))
 
 
 def cut_spans(text: str, hits: list[dict]) -> str:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hazardlake.llm.words import slices
+from hazardlake.llm.words import apart, slices, together
 
 PROFILE_NGRAMS = 400
 DOCUMENT_NGRAMS = 300
@@ -151,7 +151,7 @@ class Profiles:
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], *, text: str = "text") -> DataFrame:
-    """The documents' columns in a struct ``doc``, with ``lang_pred`` and ``score``."""
+    """The documents' other columns in a struct ``doc``, ``text``, ``lang_pred`` and ``score``."""
     model = Profiles(profiles)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +159,12 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], *, text: str = "te
             for part in slices(batch, "text"):
                 found = [model.nearest(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                    names=["doc", "lang_pred", "score"],
+                    [part.column("doc"), part.column("text"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                    names=["doc", "text", "lang_pred", "score"],
                 )
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
-    out = rows.select("doc", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    rows = apart(docs, text)
+    out = rows.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return rows.mapInArrow(name, out)
 
 
@@ -180,4 +180,4 @@ def keep_identified(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """The documents, with all their columns, in which a language was found."""
     profiles = learn(docs.filter(_part(F.col(key)) % 4 != 2), key=key, text=text, lang=lang, **options)
     kept = predict(docs, profiles, text=text).filter(F.col("lang_pred") != UNKNOWN)
-    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+    return kept.select(*together(docs.columns, text))

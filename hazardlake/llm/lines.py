@@ -15,7 +15,7 @@ is in the table, filters and exceptions together answer exactly, and texts are
 never shuffled. Filters and exceptions are broadcast only up to a size; beyond
 it the frequent keys are joined to the lines instead, with the same result.
 
-Defined results: null and empty texts are one empty line; empty keys are never
+Defined results: null and empty texts are one empty line, and stay as they are; empty keys are never
 dropped; every row counts as a document, repeated rows too; counting a table
 that later changes needs ``add``/``delete`` before the scan.
 """
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import mixed, slices
+from hazardlake.llm.words import apart, mixed, slices, together
 from hazardlake.session import stored
 
 MIN_DOCUMENTS = 10
@@ -279,47 +279,40 @@ def _scan(docs: DataFrame, text: str, filters, wrong) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc"),
-                        pa.array([k[0] for k in kept], pa.binary()).cast(pa.string()),
+                        pa.array([None if b is None else k[0] for k, b in zip(kept, bodies)], pa.binary()).cast(pa.string()),
                         pa.array([k[1] for k in kept], pa.int64()),
                         pa.array([k[2] for k in kept], pa.int64()),
                     ],
                     names=["doc", "text", "n_lines", "n_dropped"],
                 )
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
+    rows = apart(docs, text)
     out = rows.select("doc", "text", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
     return rows.mapInArrow(scan, out)
 
 
 def _scan_by_join(docs: DataFrame, text: str, frequent: DataFrame) -> DataFrame:
     """The same rows as :func:`_scan`, with the frequent keys joined to the lines."""
-    rows = stored(
-        docs.select(
-            F.monotonically_increasing_id().alias("at"),
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-            F.coalesce(F.col(text), F.lit("")).alias("text"),
-        ),
-        "lines",
-    )
+    rows = stored(apart(docs, text).select(F.monotonically_increasing_id().alias("at"), "*"), "lines")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 at, line, key = [], [], []
                 for row, body in zip(part.column("at").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
-                    for n, one in enumerate(body.split(b"\n")):
+                    for n, one in enumerate((body or b"").split(b"\n")):
                         if k := key_of(one):
                             at.append(row), line.append(n), key.append(k)
                 yield pa.record_batch({"at": pa.array(at, pa.int64()), "line": pa.array(line, pa.int64()), "key": pa.array(key, pa.binary())})
 
     hits = rows.select("at", "text").mapInArrow(keys, "at long, line long, key binary").join(frequent.select("key"), "key")
     drop = hits.groupBy("at").agg(F.collect_set("line").alias("drop"))
-    lines = F.transform(F.split("text", "\n", -1), lambda s, i: F.struct(i.cast("long").alias("i"), s.alias("s")))
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda s, i: F.struct(i.cast("long").alias("i"), s.alias("s")))
     kept = F.filter("lines", lambda x: ~F.array_contains("drop", x["i"]))
     joined = rows.join(drop, "at", "left").withColumn("drop", F.coalesce("drop", F.array().cast("array<bigint>")))
     return joined.withColumn("lines", lines).select(
         "doc",
-        F.array_join(F.transform(kept, lambda x: x["s"]), "\n").alias("text"),
+        F.when(F.col("text").isNotNull(), F.array_join(F.transform(kept, lambda x: x["s"]), "\n")).alias("text"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size("drop").cast("long").alias("n_dropped"),
     )
@@ -334,7 +327,7 @@ def scan(
     shard_keys: int = SHARD_KEYS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``doc`` (all columns), kept ``text``, ``n_lines``, ``n_dropped`` of every document.
+    """``doc`` (all columns but the text), kept ``text``, ``n_lines``, ``n_dropped`` of every document.
 
     ``counts`` must be a table that counts these documents; it is read several
     times, so give a stored one.
@@ -360,12 +353,8 @@ def drop_repeated_lines(docs: DataFrame, *, text: str = "text", **options) -> Da
 def clean(docs: DataFrame, *, text: str = "text", chars: str = "n_chars", **options) -> DataFrame:
     """The documents with all their columns, repeated lines gone, and ``chars`` (if there) counting what is left."""
     rows = drop_repeated_lines(docs, text=text, **options)
-    kinds = dict(docs.dtypes)
-    new = {text: F.col("text")}
-    if kinds.get(chars) in ("int", "bigint"):
-        new[chars] = F.char_length("text").cast(kinds[chars])
-    # a null text is an empty line; it stays null
-    new[text] = F.when(F.col("doc").getField(text).isNull(), F.lit(None)).otherwise(F.col("text"))
-    if chars in new:
-        new[chars] = F.when(F.col("n_dropped") == 0, F.col("doc").getField(chars)).otherwise(new[chars])
-    return rows.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+    kind = dict(docs.dtypes).get(chars)
+    if kind not in ("int", "bigint"):
+        return rows.select(*together(docs.columns, text))
+    left = F.when(F.col("n_dropped") == 0, F.col("doc").getField(chars)).otherwise(F.char_length("text").cast(kind))
+    return rows.select(*together(docs.columns, text, **{chars: left}))

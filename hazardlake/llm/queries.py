@@ -50,7 +50,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = lines.drop_repeated_lines(documents(spark, folder).select("doc_id", "text"))
-    return rows.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
+    return rows.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 
 @query
