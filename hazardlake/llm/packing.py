@@ -1,7 +1,7 @@
 """Sequence packing: sum-of-squares online packing of token windows.
 
 A document's ids are cut every ``capacity`` ids. Pieces are dealt to shards by
-hash; in a shard they are placed one after the other. Only the number of open
+hash; in a shard they are placed one after the other, long ones first. Only the number of open
 windows per fill level matters, kept in one level array: a piece goes to the
 level (or a new window) that leaves the smallest sum of squared counts, which
 keeps many different levels open and so finds exact fits. A full window closes.
@@ -10,7 +10,7 @@ the end are all that is padded.
 
 Defined results: a null or empty text is the end id alone; every row is a
 document, repeated rows too; sequence ids are unique, not dense; an empty table
-gives no pieces. An order within shards (id, start, digest) makes a retry
+gives no pieces. An order within shards (length, id, start, digest) makes a retry
 repeat the same placement.
 """
 
@@ -171,10 +171,11 @@ def place_pieces(pieces: DataFrame, shards: int, *, key: str = "doc_id", order:
 
     ``order`` names columns that tell equal keys and starts apart.
     """
-    sort = [key, "start", "length", *order]
+    sort = [key, "start", *order]
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(sort, kind="stable")
+        # Long pieces come first and short ones fill what they leave open.
+        group = group.sort_values(["length", *sort], ascending=[False, *[True] * len(sort)], kind="stable")
         levels = Levels(capacity)
         placed = [levels.place(int(n)) for n in group["length"]]
         group["sequence_id"] = np.array([w for w, _ in placed], dtype=np.int64) + (group["_shard"].astype("int64").iloc[0] << 32)

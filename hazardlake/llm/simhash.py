@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import slices
+from hazardlake.llm.words import apart, slices, together
 from hazardlake.session import stored
 
 WORDS = 4
@@ -272,21 +272,44 @@ def components(edges: DataFrame) -> DataFrame:
         seen = new
 
 
-def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
-    """``key, fingerprint, component_id`` of every document."""
-    marked = stored(fingerprints(docs, key=key, text=text), "fingerprints")
+def _classes(marked: DataFrame, key: str, budget: int, subtrie: int) -> DataFrame:
+    """``fingerprint, component_id, first``: each fingerprint's group, and whether it is the group's smallest fingerprint."""
     leaves = stored(marked.groupBy("fingerprint").agg(F.min(key).alias("_least")), "leaves")
     roots = components(links(leaves.select("fingerprint"), budget, subtrie))
     rooted = leaves.join(roots, leaves["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root")
     )
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    classes = rooted.join(least, "_root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select(key, "fingerprint", "component_id")
+    return rooted.join(least, "_root").select("fingerprint", "component_id", (F.col("fingerprint") == F.col("_root")).alias("first"))
+
+
+def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
+    """``key, fingerprint, component_id`` of every document."""
+    marked = stored(fingerprints(docs, key=key, text=text), "fingerprints")
+    classes = _classes(marked, key, budget, subtrie)
+    return marked.join(classes.drop("first"), "fingerprint").select(key, "fingerprint", "component_id")
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents, with all their columns, that carry their group's smallest id; one row of each."""
-    chosen = groups(docs, key=key, text=text, **options).select(F.col("component_id").alias("_chosen")).distinct()
-    kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("_chosen")), "left_semi")
-    return kept.dropDuplicates([key])
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
+    """The documents, with all their columns, that carry their group's smallest id; one row of each.
+
+    A group without any id keeps one row that has its smallest fingerprint.
+    """
+    marked = stored(fingerprints(docs, key=key, text=text), "fingerprints")
+    classes = stored(_classes(marked, key, budget, subtrie), "classes")
+    chosen = classes.filter("component_id is not null").select(F.col("component_id").alias("_chosen")).distinct()
+    # joined and deduplicated by the same column: the texts are shuffled once
+    kept = docs.join(chosen, F.col(key) == F.col("_chosen"), "left_semi").dropDuplicates([key])
+    lonely = classes.filter("component_id is null and first").select("fingerprint")
+    if lonely.isEmpty():
+        return kept
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.array([fingerprint(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks.view(np.int64))], names=[*batch.schema.names, "fingerprint"])
+
+    rows = apart(docs.filter(F.col(key).isNull()), text)
+    marked_rows = rows.mapInArrow(mark, rows.select("*", F.lit(0).cast("long").alias("fingerprint")).schema)
+    unnamed = marked_rows.join(lonely, "fingerprint", "left_semi").dropDuplicates(["fingerprint"])
+    return kept.unionByName(unnamed.select(*together(docs.columns, text)))

@@ -30,6 +30,7 @@ class's share; documents with several labels count by their largest.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -416,7 +417,7 @@ def sample(
     chosen = known.filter(dice < F.when(F.col("toxic"), share[True]).otherwise(share[False]))
     # about toxic + clean pairs of an id and a flag
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).select("_key", "toxic", F.col(text).alias("text")).collect()
-    rows.sort(key=lambda r: (hash((r["_key"] * 2654435761) % 2**32), r["text"] or ""))
+    rows.sort(key=lambda r: (zlib.crc32(str(r["_key"]).encode()), str(r["_key"]), r["text"] or ""))
     true_share = sizes.get(True, 0) / max(1, sum(sizes.values()))
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], dtype=bool), true_share
 

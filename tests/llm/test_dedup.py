@@ -115,6 +115,10 @@ def test_one_of_each(clashing, nothing):
     ids = [r["doc_id"] for r in left.collect()]
     assert left.columns == clashing.columns and len(ids) == len(set(ids))
     assert set(ids) == {r["component_id"] for r in simhash.groups(clashing).collect()}
+    unnamed = clashing.withColumn("doc_id", F.lit(None).cast("long"))
+    texts = {r["text"] for r in simhash.one_of_each(unnamed).select("text").collect()}
+    marks = {brute_fingerprint(r[1]) for r in odd_rows()}
+    assert len(texts) == len(set(brute_groups(marks, 4).values()))
     assert simhash.one_of_each(nothing).count() == 0 and simhash.groups(nothing).count() == 0
 
 
