@@ -26,6 +26,46 @@ def query(fn: Job) -> Job:
     return shipped
 
 
+# The folding of A-Z and the blanks of the texts, as DuckDB writes them.
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_ALNUM_WORDS = f"regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_BARE_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+SQL["op7_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_BARE_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+sources AS (SELECT win, min(doc_id) AS source FROM windows GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM windows JOIN sources USING (win) WHERE source < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+left_over AS (SELECT words.doc_id, count(*) AS n_words, count(gone.pos) AS n_removed,
+coalesce(string_agg(word, ' ' ORDER BY words.pos) FILTER (WHERE gone.pos IS NULL), '') AS kept
+FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.pos = gone.pos GROUP BY 1)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)"""
+
+SQL["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM_WORDS} AS w FROM benchmark),
+known AS (SELECT item, len(w) AS n, array_to_string(w, ' ') AS win FROM b WHERE len(w) BETWEEN 1 AND 9
+UNION SELECT item, 10 AS n, array_to_string(w[i:i + 9], ' ') FROM (SELECT item, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10)),
+sizes AS (SELECT DISTINCT n FROM known),
+windows AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
+hits AS (SELECT doc_id, i, windows.n, item FROM windows JOIN known ON windows.win = known.win AND windows.n = known.n),
+positions AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN positions USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+SQL["op10_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT doc_id, unnest(w) AS line, unnest(range(len(w))) AS i FROM d),
+k AS (SELECT *, {_FOLD.format(f"trim(line, {_BLANKS})")} AS bare FROM l),
+frequent AS (SELECT bare FROM k WHERE bare <> '' GROUP BY 1 HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(frequent.bare) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE frequent.bare IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN frequent ON k.bare = frequent.bare GROUP BY 1"""
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
