@@ -161,15 +161,18 @@ def positive_weight(
     ``cost_matrix`` is the cost ratio; ``statistical`` is negatives per
     positive, 1.0 without positives.
     """
-    if explicit is not None or mode == "explicit":
-        weight: Column = F.lit(float(explicit) if explicit else 1.0)
-    elif mode == "cost_matrix":
-        weight = F.lit(cost_fn / max(cost_fp, 1e-9))
-    elif mode == "statistical":
-        weight = F.when(F.col("positives") > 0, F.col("negatives") / F.col("positives")).otherwise(F.lit(1.0))
-    else:
-        raise ValueError(f"unknown weight mode: {mode!r}")
-    return class_counts(df, label).withColumn("pos_weight", weight.cast("double"))
+    if cost_fp <= 0:
+        raise ValueError("a false alarm must cost something")
+    per_positive = F.try_divide(F.col("negatives"), F.col("positives"))
+    weights = {
+        "explicit": F.lit(float(explicit or 1.0)),
+        "cost_matrix": F.lit(cost_fn / cost_fp),
+        "statistical": F.coalesce(per_positive, F.lit(1.0)),
+    }
+    chosen = mode if explicit is None else "explicit"
+    if chosen not in weights:
+        raise ValueError(f"unknown weight mode {mode!r}; one of {', '.join(weights)}")
+    return class_counts(df, label).withColumn("pos_weight", weights[chosen].cast("double"))
 
 
 def class_shares(df: DataFrame, label: str) -> DataFrame:
