@@ -327,7 +327,7 @@ def points(spark):
 
 
 def test_registry():
-    assert models.available() == ["gbt", "logreg", "mlp", "random_forest"]
+    assert models.available() == ["gaussian", "gbt", "logreg", "mlp", "random_forest"]
     with pytest.raises(ValueError, match="unknown model"):
         models.build("none")
 
