@@ -32,6 +32,8 @@ CAPACITY = 2048
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_DOCUMENTS = 4096
+#: Bytes of text encoded at once: the more, the fewer pieces are looked up twice.
+ENCODED_BYTES = 4 << 20
 #: Pieces whose ids a worker remembers, and their length; bounds on memory, not on results.
 CACHE_PIECES = 500_000
 CACHE_CHARS = 40
@@ -113,7 +115,7 @@ def cut_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text", toke
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODED_BYTES):
                 coded = encoder.encode(part.column("text").to_pylist())
                 tokens = np.array([len(c) // 4 for c in coded], dtype=np.int64)
                 pieces = -(-tokens // capacity)
