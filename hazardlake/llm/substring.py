@@ -41,7 +41,7 @@ from hazardlake.session import stored
 WINDOW = 13
 BITS = 56
 #: Bytes of text whose edges share a bucket: about twenty bytes of memory for each of its words.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 10 << 20
 #: Bytes of text whose edges are deduplicated and sent together.
 SENT_BYTES = 2 << 20
 #: Failed hashes that are broadcast for another look; with more, the search begins again with longer hashes.
