@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import apart, slices, together
+from hazardlake.llm.words import slices
 from hazardlake.session import stored
 
 WORDS = 4
@@ -46,24 +46,36 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _HASHES_AT_ONCE = 1 << 15
 
 
-def fingerprint(text: bytes | None, words: int = WORDS, seed: int = SEED) -> int:
-    """Majority of the bits of the shingles' XXH64 hashes."""
+def shingles(text: bytes | None, words: int = WORDS, seed: int = SEED) -> Iterator[np.ndarray]:
+    """XXH64 hashes of the shingles, a bounded number at once; a shorter text is one shingle."""
     from xxhash import xxh64_intdigest
 
     split = (text or b"").translate(LOWER).split()
     if not split:
-        return 0
+        return
     line = b" ".join(split)
     end = np.cumsum([len(w) + 1 for w in split]) - 1
     start = np.concatenate([[0], end[:-1] + 1])
     cut = max(0, min(words, len(split)) - 1)
     starts, ends = start[: len(split) - cut].tolist(), end[cut:].tolist()
-    ones = np.zeros(64, dtype=np.int64)
     for i in range(0, len(starts), _HASHES_AT_ONCE):
         h = [xxh64_intdigest(line[a:b], seed) for a, b in zip(starts[i : i + _HASHES_AT_ONCE], ends[i : i + _HASHES_AT_ONCE])]
-        bits = np.unpackbits(np.array(h, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+        yield np.array(h, dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of the hashes have each bit, and how many there are."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64), len(hashes)
+
+
+def fingerprint(text: bytes | None, words: int = WORDS, seed: int = SEED) -> int:
+    """Majority of the bits of the shingles' XXH64 hashes."""
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for h in shingles(text, words, seed):
+        some, m = majority(h)
+        ones, n = ones + some, n + m
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,43 +285,40 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _classes(marked: DataFrame, key: str, budget: int, subtrie: int) -> DataFrame:
-    """``fingerprint, component_id, first``: each fingerprint's group, and whether it is the group's smallest fingerprint."""
+    """``fingerprint, component_id``: each fingerprint's group."""
     leaves = stored(marked.groupBy("fingerprint").agg(F.min(key).alias("_least")), "leaves")
     roots = components(links(leaves.select("fingerprint"), budget, subtrie))
     rooted = leaves.join(roots, leaves["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root")
     )
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    return rooted.join(least, "_root").select("fingerprint", "component_id", (F.col("fingerprint") == F.col("_root")).alias("first"))
+    return rooted.join(least, "_root").select("fingerprint", "component_id")
 
 
 def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
     """``key, fingerprint, component_id`` of every document."""
     marked = stored(fingerprints(docs, key=key, text=text), "fingerprints")
     classes = _classes(marked, key, budget, subtrie)
-    return marked.join(classes.drop("first"), "fingerprint").select(key, "fingerprint", "component_id")
+    return marked.join(classes, "fingerprint").select(key, "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
-    """The documents, with all their columns, that carry their group's smallest id; one row of each.
+    """One row of each group linked by fingerprints within ``budget`` bits or by the similarity of :func:`near.one_of_each`.
 
-    A group without any id keeps one row that has its smallest fingerprint.
+    It keeps no more than either rule alone; the pipeline goes by similarity alone.
     """
-    marked = stored(fingerprints(docs, key=key, text=text), "fingerprints")
-    classes = stored(_classes(marked, key, budget, subtrie), "classes")
-    chosen = classes.filter("component_id is not null").select(F.col("component_id").alias("_chosen")).distinct()
-    # joined and deduplicated by the same column: the texts are shuffled once
-    kept = docs.join(chosen, F.col(key) == F.col("_chosen"), "left_semi").dropDuplicates([key])
-    lonely = classes.filter("component_id is null and first").select("fingerprint")
-    if lonely.isEmpty():
-        return kept
+    from hazardlake.llm import near
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([fingerprint(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks.view(np.int64))], names=[*batch.schema.names, "fingerprint"])
-
-    rows = apart(docs.filter(F.col(key).isNull()), text)
-    marked_rows = rows.mapInArrow(mark, rows.select("*", F.lit(0).cast("long").alias("fingerprint")).schema)
-    unnamed = marked_rows.join(lonely, "fingerprint", "left_semi").dropDuplicates(["fingerprint"])
-    return kept.unionByName(unnamed.select(*together(docs.columns, text)))
+            for part in slices(batch, "text"):
+                texts = part.column("text").to_pylist()
+                marks = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+                yield pa.record_batch({"leaf": pa.array([near.digest(near.shingle_set(t)) for t in texts], pa.int64()), "fingerprint": pa.array(marks)})
+
+    rows = docs.select(F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(both, "leaf long, fingerprint long")
+    rows = stored(rows.distinct(), "fingerprints")
+    roots = components(links(rows.select("fingerprint").distinct(), budget, subtrie))
+    rooted = rows.join(roots, rows["fingerprint"] == roots["node"], "left").select("leaf", F.coalesce("root", "fingerprint").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("leaf").alias("b"))
+    return near.one_of_each(docs, key=key, text=text, linked=rooted.join(least, "root").select(F.col("leaf").alias("a"), "b"))

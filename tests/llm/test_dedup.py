@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from hazardlake.llm import simhash, sketches, substring
+from hazardlake.llm import near, simhash, sketches, substring
 
 from .conftest import odd_rows, prose
 
@@ -122,6 +122,68 @@ def test_one_of_each(clashing, nothing):
     assert simhash.one_of_each(nothing).count() == 0 and simhash.groups(nothing).count() == 0
 
 
+def brute_shingles(text):
+    w = words((text or "").translate(LOW))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_near(rows):
+    """Numbers of rows, in groups of a similarity of 0.8 or more by comparing all."""
+    sets = [brute_shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if (5 * len(a & b) >= 4 * len(a | b)) if a or b else True:
+                low, high = sorted((top(i), top(j)))
+                up[high] = low
+    out = {}
+    for i in range(len(rows)):
+        out.setdefault(top(i), []).append(i)
+    return list(out.values())
+
+
+def edited_copies(seed=3):
+    """Copies with words changed, in chains and stars, many of them close to the border."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(40):
+        base = prose(500 + g, rng.choice([8, 40, 150, 300])).split()
+        for _ in range(rng.choice([1, 2, 3, 12])):
+            text = list(base)
+            for _ in range(rng.randint(0, max(1, len(text) // 35))):
+                text[rng.randrange(len(text))] = f"x{rng.random()}"
+            if rng.random() < 0.3:
+                base = text
+            rows.append((len(rows), " ".join(text)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("unit", [near.UNIT, 700])
+def test_edited_copies_go(spark, unit):
+    """Copies at a similarity of 0.8 differ in more than four bits; small units cut the blocks in pairs of parts."""
+    rows = edited_copies()
+    groups = brute_near(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near.one_of_each(docs, unit=unit)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(min(rows[i][0] for i in g) for g in groups)
+    assert got.count() < simhash.groups(docs).select("component_id").distinct().count()
+
+
+def test_repeated_ids_of_different_texts_lose_no_group(spark):
+    a, b, c = prose(900, 50), prose(901, 50), prose(902, 50)
+    rows = [(1, a), (1, b), (2, b), (3, a), (4, c), (4, a), (None, prose(903, 50)), (None, c), (None, prose(903, 50))]
+    got = [tuple(r) for r in near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (1, b), (4, c), (None, prose(903, 50))], key=repr)
+
+
 # --- sketches ---------------------------------------------------------------
 
 
