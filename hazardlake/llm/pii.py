@@ -141,7 +141,7 @@ KINDS = (
     ),
     Kind(
         "secret",
-        r"(?i)(?<![A-Za-z0-9_])(?:api[_-]?key|token|secret|passw(?:or)?d|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[A-Za-z0-9/+_-]{12,128}+",
+        r"(?i)(?<![A-Za-z0-9_])(?:api[_-]?key|token|secret|passw(?:or)?d|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[A-Za-z0-9/+_-]{12,}+",
         always,
         False,
         0.8,

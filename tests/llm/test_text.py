@@ -78,6 +78,11 @@ def test_further_kinds_need_checksum_or_context(spark):
     assert masked[0] == "iban <iban>" and masked[2] == "call <local_phone>" and masked[3] == texts[3]
 
 
+def test_a_long_secret_is_masked_whole(spark):
+    docs = spark.createDataFrame([(0, "before token=" + "aB3/" * 400 + " after")], "doc_id long, text string")
+    assert [r["text"] for r in pii.masked(docs).collect()] == ["before <secret> after"]
+
+
 # --- languages --------------------------------------------------------------
 
 
