@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.llm import decontamination, language, licenses, lines, packing, pii, simhash, sketches, substring, toxicity
+from hazardlake.llm import alignment, audit, decontamination, language, licenses, lines, packing, pii, polytope, simhash, sketches, substring, toxicity
 from hazardlake.plans.registry import Job
 from hazardlake.session import ship_package
 from hazardlake.sources.tables import read_table
@@ -66,6 +66,41 @@ sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE frequent.bare
 FROM k LEFT JOIN frequent ON k.bare = frequent.bare GROUP BY 1"""
 
 
+SQL["op11_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v
+WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reached.a, pairs.b FROM reached JOIN pairs ON reached.b = pairs.a),
+links AS (SELECT a, count(*) AS n FROM pairs GROUP BY 1),
+least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY 1)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON v.vec_id = least.a LEFT JOIN links ON v.vec_id = links.a"""
+
+SQL["op12_filter_audit"] = f"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_BARE_WORDS} AS words FROM documents),
+marked AS (SELECT doc_id, part, CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
++ CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
++ CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
++ CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
++ CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 16 ELSE 0 END AS mask FROM w),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+cells AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM marked LEFT JOIN known USING (doc_id) GROUP BY 1, 2),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+FROM f AS a, f AS b, f AS c, f AS d, f AS e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS state FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+counted AS (SELECT part, filter_order, step, bit,
+sum(CASE WHEN mask & (state | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & bit <> 0 AND mask & state = 0 THEN n ELSE 0 END) AS removed,
+sum(CASE WHEN mask & bit <> 0 AND mask & state <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+sum(CASE WHEN mask & bit <> 0 AND mask & state = 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & bit <> 0 AND mask & state = 0 THEN toxic ELSE 0 END) AS toxic_lost
+FROM cells, steps GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM counted"""
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
@@ -166,3 +201,19 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform(confirmed, lambda f: f["probability"])), F.lit(0.0)).alias("probability"),
         (F.size("found") - F.size(confirmed)).cast("long").alias("n_unconfirmed"),
     )
+
+
+@query
+def op11_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return polytope.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    rows = alignment.document_links(documents(spark, folder))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
