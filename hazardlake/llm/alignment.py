@@ -5,13 +5,6 @@ dictionaries from end to index; the ends in both, sorted, cut the lists into
 groups, and within each group the token pairs whose byte ranges overlap are
 expanded to links.
 
-Texts are cut into units before blanks: neither tokenizer has a token that
-reaches from another character over a following blank (checked when it is
-loaded; where it does not hold, the text is one unit). A cut is an end in both
-lists, so units align on their own, and a worker remembers the units it has
-aligned. A text with a unit that does not come back as its own bytes is looked
-at again whole.
-
 Counts of id pairs over the corpus: documents are encoded once into chunks, a
 chunk holding its distinct pairs and, for each document, the places of its
 links among them. The pairs are summed over all chunks and the sums travel back
@@ -27,10 +20,11 @@ holds a special token's name is plain text.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +39,12 @@ BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 #: Links of one chunk, about; bounds a task's memory.
 CHUNK_LINKS = 1_500_000
-#: Units a worker remembers, and their length; bounds on memory, not on results.
-CACHE_UNITS = 300_000
-CACHE_CHARS = 60
-_UNIT = re.compile(r"(?<=\S)(?= )")
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-Groups = list[tuple[list[int], list[int]]]
+# How the byte-level vocabulary cuts a text into words before it merges bytes.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Texts of letters whose classes are the same in every Unicode version, and without words of extreme length.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f\u0391-\u03a1\u03a3-\u03ff\u0410-\u044f\u2013\u2014\u2018-\u201e\u2026]*")
+_ENDLESS = re.compile(r"\S{500}")
 
 
 def tokenizer_path(name: str) -> str:
@@ -68,22 +61,41 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """Ids and token bytes of a byte-level BPE."""
+    """Ids and token bytes of a byte-level BPE.
+
+    A vocabulary whose ids follow its merges is read as ranks by a faster
+    encoder, for texts on whose word borders the two libraries cannot differ;
+    the rest goes through the tokenizer itself.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        letters, vocabulary = byte_letters(), self.model.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        letters, vocabulary = byte_letters(), self.model.get_vocab(with_added_tokens=False)
+        self.bytes = [b""] * self.model.get_vocab_size(with_added_tokens=True)
         for token, i in vocabulary.items():
-            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        self.separable = not any(_UNIT.search(t.decode(errors="ignore")) for t in self.bytes)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+            if all(c in letters for c in token):
+                self.bytes[i] = bytes(letters[c] for c in token)
+        described = json.loads(self.model.to_str())
+        merges = [m.split(" ") if isinstance(m, str) else m for m in described["model"]["merges"]]
+        before = described["pre_tokenizer"]
+        ranked = (
+            all(vocabulary.get(x + y) == 256 + i for i, (x, y) in enumerate(merges))
+            and {len(x) for x in self.bytes[:256]} == {1}
+            and not described["normalizer"]
+            and (before["type"], before["add_prefix_space"], before.get("use_regex", True)) == ("ByteLevel", False, True)
+        )
+        ranks = {x: i for i, x in enumerate(self.bytes[: 256 + len(merges)])}
+        self.quick = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranked else None
+
+    def encode(self, text: str) -> list[int]:
+        if self.quick and _PLAIN.fullmatch(text) and not _ENDLESS.search(text):
+            return self.quick.encode_ordinary(text)
+        return self.model.encode(text, add_special_tokens=False).ids
 
 
 class Pieces:
@@ -95,61 +107,68 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        self.separable = not any(_UNIT.search(p.replace("▁", " ")) for p in names)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        # the blank in front is the one that the model adds
-        return self.model.encode([t[1:] for t in texts], num_threads=1) if texts else []
-
-
-def aligned(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> Groups:
-    """The id lists cut where a token of both ends."""
-    at_a = {end: i for i, end in enumerate(ends_a)}
-    at_b = {end: i for i, end in enumerate(ends_b)}
-    out, i, j = [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        k, m = at_a[end] + 1, at_b[end] + 1
-        out.append((a[i:k], b[j:m]))
-        i, j = k, m
-    return out
-
-
-def expanded(groups: Groups, sizes_a: list[int], sizes_b: list[int]) -> list[tuple[int, int]]:
-    """The links of each group: id pairs whose bytes overlap; a pair stands once for each pair of occurrences."""
-    out = []
-    for a, b in groups:
-        if len(a) == 1 or len(b) == 1:
-            out += [(x, y) for x in a for y in b]
-            continue
-        i = j = 0
-        left, right = sizes_a[a[0]], sizes_b[b[0]]
-        while True:
-            out.append((a[i], b[j]))
-            step = min(left, right)
-            left, right = left - step, right - step
-            if not left:
-                i += 1
-                if i == len(a):
-                    break
-                left = sizes_a[a[i]]
-            if not right:
-                j += 1
-                right = sizes_b[b[j]]
-    return out
 
+    def encode(self, text: str) -> list[int]:
+        return self.model.encode(text)
 
-class Aligner:
-    """Aligns texts, remembering the units of earlier ones.
 
-    A unit's entry: tokens of either side, groups, the groups as text, and its
-    links packed as ``id of A << 32 | id of B``; None where the bytes differ.
+class Alignment:
+    """Aligned texts: ids of both sides end to end, their groups and links.
+
+    ``first_a[r]`` tokens of A stand before row ``r``, likewise ``first_b``,
+    ``first_group`` and ``first_link``; ``until_a[k]`` tokens of A stand before
+    the end of group ``k``.
     """
 
+    def __init__(self, a: list[list[int]], b: list[list[int]], sizes_a: np.ndarray, sizes_b: np.ndarray):
+        self.a, self.b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64) for ids in (a, b))
+        self.first_a, self.first_b = (np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]) for ids in (a, b))
+        ends_a, ends_b = np.cumsum(sizes_a[self.a]), np.cumsum(sizes_b[self.b])
+        each_a, each_b = ends_a.tolist(), ends_b.tolist()
+        common: list[int] = []
+        until_a: list[int] = []
+        until_b: list[int] = []
+        i = j = 0
+        for k, m in zip(self.first_a[1:].tolist(), self.first_b[1:].tolist()):
+            at_a = dict(zip(each_a[i:k], range(i + 1, k + 1)))
+            at_b = dict(zip(each_b[j:m], range(j + 1, m + 1)))
+            both = sorted(at_a.keys() & at_b.keys())
+            common += both
+            until_a += map(at_a.__getitem__, both)
+            until_b += map(at_b.__getitem__, both)
+            i, j = k, m
+        self.ends, self.until_a, self.until_b = (np.array(x, dtype=np.int64) for x in (common, until_a, until_b))
+        # within a group, every end of either side ends the overlap of one token of A and one of B
+        every = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        every = every[np.concatenate([every[1:] != every[:-1], np.ones(min(1, len(every)), dtype=bool)])]
+        self.pairs = (self.a[np.searchsorted(ends_a, every)] << 32) | self.b[np.searchsorted(ends_b, every)]
+        row_ends = np.concatenate([[0], ends_a])[self.first_a]
+        self.first_group = np.searchsorted(self.ends, row_ends, "right")
+        self.first_link = np.searchsorted(every, row_ends, "right")
+
+    def written(self, names_a: np.ndarray, names_b: np.ndarray) -> list[str]:
+        """The groups of each row as text."""
+        n, m = len(self.a), len(self.b)
+        last_a, last_b = np.zeros(n, dtype=np.int64), np.zeros(m, dtype=np.int64)
+        last_a[self.until_a - 1] = last_b[self.until_b - 1] = 1
+        # a group's tokens of A follow all earlier groups; those of B also follow its own of A
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        line = np.empty(n + m, dtype=object)
+        line[np.arange(n) + np.concatenate([[0], self.until_b])[group_a]] = names_a[last_a, self.a]
+        line[np.arange(m) + self.until_a[group_b]] = names_b[last_b, self.b]
+        at = self.first_a + self.first_b
+        return ["".join(line[i:j])[:-1] for i, j in zip(at.tolist(), at[1:].tolist())]
+
+
+class Aligner:
+    """Aligns texts by two tokenizers."""
+
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a), Pieces(b)
-        self.sizes_a, self.sizes_b = [len(x) for x in self.a.bytes], [len(x) for x in self.b.bytes]
-        self.separable = self.a.separable and self.b.separable
-        self.known: dict[str, tuple[int, int, int, str, list[int]] | None] = {}
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in side.bytes], dtype=np.int64) for side in (self.a, self.b))
+        self.names_a, self.names_b = (
+            np.array([[f"{i}{sign}" for i in range(len(side.bytes))] for sign in signs], dtype=object) for side, signs in ((self.a, ",|"), (self.b, ",;"))
+        )
 
     @classmethod
     def of(cls, a: str, b: str) -> Aligner:
@@ -158,48 +177,21 @@ class Aligner:
             _ALIGNERS[a, b] = cls(a, b)
         return _ALIGNERS[a, b]
 
-    def groups(self, texts: list[str]) -> list[Groups | None]:
-        """Groups of whole texts (with the blank in front); None where either side's bytes differ."""
-        out: list[Groups | None] = []
-        for text, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            raw = text.encode()
-            if b"".join(map(self.a.bytes.__getitem__, a)) != raw or b"".join(map(self.b.bytes.__getitem__, b)) != raw:
-                out.append(None)
-                continue
-            # a token without bytes covers nothing and links with nothing
-            a, b = [x for x in a if self.sizes_a[x]], [x for x in b if self.sizes_b[x]]
-            out.append(aligned(a, b, list(accumulate(self.sizes_a[x] for x in a)), list(accumulate(self.sizes_b[x] for x in b))))
-        return out
-
-    def entry(self, groups: Groups | None) -> tuple[int, int, int, str, list[int]] | None:
-        if groups is None:
-            return None
-        written = ";".join([",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups])
-        links = [x << 32 | y for x, y in expanded(groups, self.sizes_a, self.sizes_b)]
-        return sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), written, links
-
-    def align(self, texts: list[str | None]) -> list[list | None]:
-        """The entries of the units of each text, in order; None for a text without tokens."""
-        spaced = [" " + t if t else None for t in texts]
-        cut = [(_UNIT.split(t) if self.separable else [t]) if t else [] for t in spaced]
-        wanted = set().union(*cut) if cut else set()
-        new = list(wanted.difference(self.known))
-        if len(self.known) + len(new) > CACHE_UNITS:
-            self.known, new = {}, list(wanted)
-        for i in range(0, len(new), 5000):
-            some = new[i : i + 5000]
-            self.known.update(zip(some, map(self.entry, self.groups(some))))
-        out: list[list | None] = []
-        for text, units in zip(spaced, cut):
-            entries = list(map(self.known.__getitem__, units))
-            if None in entries:
-                whole = self.entry(self.groups([text])[0])
-                entries = None if whole is None else [whole]
-            out.append(entries or None)
-        for unit in wanted:
-            if len(unit) > CACHE_CHARS:
-                del self.known[unit]
-        return out
+    def ids(self, text: str | None) -> tuple[list[int], list[int]]:
+        """Ids on either side; none if the bytes of one of them are not the text's."""
+        if text:
+            raw = b" " + text.encode()
+            b = self.b.encode(text)
+            if b"".join(map(self.b.bytes.__getitem__, b)) == raw:
+                a = self.a.encode(" " + text)
+                if b"".join(map(self.a.bytes.__getitem__, a)) == raw:
+                    # a token without bytes covers nothing and links with nothing
+                    return [x for x in a if self.a.bytes[x]], [x for x in b if self.b.bytes[x]]
+        return [], []
+
+    def align(self, texts: list[str | None]) -> Alignment:
+        both = [self.ids(t) for t in texts]
+        return Alignment([a for a, _ in both], [b for _, b in both], self.sizes_a, self.sizes_b)
 
 
 _DOC = "id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -213,18 +205,14 @@ def chunks(docs: DataFrame, *, key: str = "doc_id", text: str = "text", a: str |
     kind = rows.schema["key"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, made = Aligner.of(*paths), 0
-        keys: list[pa.Array] = []
-        counts: list[tuple[int, int, int, int, str]] = []
+        aligner, made, held = Aligner.of(*paths), 0, 0
+        docs: list[pa.Array] = []
         found: list[np.ndarray] = []
-        held = 0
 
         def chunk() -> pa.RecordBatch:
             every = np.concatenate([np.zeros(0, dtype=np.int64), *found])
             pairs, places, times = np.unique(every, return_inverse=True, return_counts=True)
-            id_ = pa.concat_arrays(keys)
-            columns = [pa.array(c, t) for c, t in zip(zip(*counts), [*[pa.int64()] * 4, pa.string()])]
-            each = pa.StructArray.from_arrays([id_, *columns], names=["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
+            each = pa.concat_arrays(docs)
             number = (TaskContext.get().partitionId() << 24) | made
             return pa.record_batch(
                 [
@@ -239,21 +227,18 @@ def chunks(docs: DataFrame, *, key: str = "doc_id", text: str = "text", a: str |
 
         for batch in batches:
             for part in slices(batch, "text"):
-                keys.append(part.column("key"))
-                for entries in aligner.align(part.column("text").to_pylist()):
-                    if entries is None:
-                        counts.append((0, 0, 0, 0, ""))
-                        continue
-                    n_a, n_b, n_groups, written, linked = zip(*entries)
-                    flat = np.fromiter(chain.from_iterable(linked), dtype=np.int64)
-                    found.append(flat)
-                    held += len(flat)
-                    digest = hashlib.sha256(";".join(written).encode()).hexdigest()
-                    counts.append((sum(n_a), sum(n_b), sum(n_groups), len(flat), digest))
-                if held > links or len(counts) > links // 8:
+                made_of = aligner.align(part.column("text").to_pylist())
+                written = made_of.written(aligner.names_a, aligner.names_b)
+                digests = pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written], pa.string())
+                counts = [pa.array(np.diff(first)) for first in (made_of.first_a, made_of.first_b, made_of.first_group, made_of.first_link)]
+                names = ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+                docs.append(pa.StructArray.from_arrays([part.column("key"), *counts, digests], names=names))
+                found.append(made_of.pairs)
+                held += len(made_of.pairs) + part.num_rows
+                if held > links:
                     yield chunk()
-                    keys, counts, found, held, made = [], [], [], 0, made + 1
-        if counts:
+                    docs, found, held, made = [], [], 0, made + 1
+        if docs:
             yield chunk()
 
     schema = f"chunk long, docs array<struct<{_DOC.format(kind=kind).replace(' ', ':').replace(',:', ',')}>>, pairs array<long>, times array<int>, places binary"
@@ -308,15 +293,17 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", a: str |
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner.of(*paths)
-        kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("start", pa.int64())]))
         for batch in batches:
             for part in slices(batch, "text"):
-                out = []
-                for text_ in part.column("text").to_pylist():
-                    own = (aligner.groups([" " + text_])[0] if text_ else None) or []
-                    sizes = [sum(aligner.sizes_a[x] for x in g) for g, _ in own]
-                    out.append([{"a": g, "b": h, "start": s} for (g, h), s in zip(own, accumulate([0, *sizes]))])
-                yield pa.record_batch([part.column("key"), pa.array(out, kind)], names=["key", "groups"])
+                out = aligner.align(part.column("text").to_pylist())
+                lists = []
+                for until, ids in ((out.until_a, out.a), (out.until_b, out.b)):
+                    lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], until]), pa.int32()), pa.array(ids, pa.int32())))
+                begin = np.concatenate([[0], out.ends[:-1]]) if len(out.ends) else out.ends
+                many = np.diff(out.first_group)
+                base = np.concatenate([[0], out.ends])[out.first_group[:-1]]
+                each = pa.StructArray.from_arrays([*lists, pa.array(begin - np.repeat(base, many))], names=["a", "b", "start"])
+                yield pa.record_batch([part.column("key"), pa.ListArray.from_arrays(pa.array(out.first_group, pa.int32()), each)], names=["key", "groups"])
 
     kind = rows.schema["key"].dataType.simpleString()
     made = rows.mapInArrow(find, f"key {kind}, groups array<struct<a:array<int>,b:array<int>,start:long>>")

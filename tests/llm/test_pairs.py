@@ -240,17 +240,14 @@ def test_alignment_as_all_token_pairs(spark, tokenizers, links):
         assert (row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["n_best"], row["count_sum"], row["groups_sha256"]) == want, texts[i]
 
 
-def test_units_give_the_ids_of_whole_texts(tokenizers):
-    aligner = alignment.Aligner(alignment.tokenizer_path(alignment.BYTE_LEVEL), alignment.tokenizer_path(alignment.PIECES))
-    assert aligner.separable
+def test_ranks_give_the_ids_of_the_tokenizer(tokenizers):
+    side = alignment.ByteLevel(alignment.tokenizer_path(alignment.BYTE_LEVEL))
     rng = random.Random(4)
-    letters = "ab é\n\t  .,'0½▁日 ́A"
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
-    for text, entries, whole in zip(texts, aligner.align(texts), aligner.groups([" " + t for t in texts])):
-        if whole is None:
-            assert entries is None
-        else:
-            assert ";".join(e[3] for e in entries) == aligner.entry(whole)[3], repr(text)
+    letters = "abst é\n\t  .,'0½▁日 ́Aßжλ–’\u0085\xa0ſǅ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(4000)] + ["x" * 3000, "<|endoftext|>"]
+    assert side.quick and sum(bool(alignment._PLAIN.fullmatch(t)) for t in texts) > 100
+    for text in texts:
+        assert side.encode(text) == tokenizers[0].encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_groups_cover_the_text(spark, odd, nothing, tokenizers):
@@ -267,6 +264,9 @@ def test_groups_cover_the_text(spark, odd, nothing, tokenizers):
 
 
 def test_links_of_a_group_with_several_on_both_sides():
-    # bytes: a = 2 + 3 + 1, b = 1 + 3 + 2
-    assert alignment.expanded([([0, 1, 2], [3, 4, 5])], [2, 3, 1], [0, 0, 0, 1, 3, 2]) == [(0, 3), (0, 4), (1, 4), (1, 5), (2, 5)]
-    assert alignment.aligned([7, 8], [9], [2, 4], [4]) == [([7, 8], [9])]
+    # bytes: a = 2 + 3 + 1, b = 1 + 3 + 2, and a second text without tokens, and a third
+    made = alignment.Alignment([[0, 1, 2], [], [0]], [[3, 4, 5], [], [3, 3]], np.array([2, 3, 1]), np.array([0, 0, 0, 1, 3, 2]))
+    assert [(p >> 32, p & 0xFFFFFFFF) for p in made.pairs.tolist()] == [(0, 3), (0, 4), (1, 4), (1, 5), (2, 5), (0, 3), (0, 3)]
+    names = np.array([[f"{i},|"[:2] for i in range(6)], [f"{i}|" for i in range(6)]], dtype=object), np.array([[f"{i}," for i in range(6)], [f"{i};" for i in range(6)]], dtype=object)
+    assert made.written(*names) == ["0,1,2|3,4,5", "", "0|3,3"]
+    assert made.first_group.tolist() == [0, 1, 1, 2] and made.first_link.tolist() == [0, 5, 5, 7]
