@@ -248,3 +248,51 @@ def test_clashing_names_are_harmless(clashing):
     kept = language.keep_identified(clashing)
     assert kept.columns == clashing.columns and set(CLASHES) <= set(kept.columns)
     assert pii.masked(clashing).columns == clashing.columns
+
+
+def brute_language(text, profiles):
+    """Out-of-place distances in a plain loop."""
+    line = re.sub(r"[^a-zäöüß]+", " ", f" {text.lower()} ")
+    counts = Counter(line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1))
+    grams = [g for g in counts if g != " " and (len(g) < 3 or g[1] != " ")]
+    rank = sorted(grams, key=lambda g: (-counts[g], [ord(c) if c != " " else 1 for c in g] if len(g) == 3 else [0] * (3 - len(g)) + [ord(c) if c != " " else 1 for c in g]))[:300]
+    longest = max(map(len, profiles.values()))
+    out = {}
+    for name, theirs in profiles.items():
+        total = 0
+        for i, g in enumerate(rank):
+            total += min(abs(theirs.index(g) - i), longest) if g in theirs else longest
+        out[name] = total / (longest * len(rank))
+    return out
+
+
+def test_distances_are_those_of_a_plain_loop(spark):
+    docs = spark.createDataFrame([(i, prose(i, 60, letters), lang) for i in range(8) for letters, lang in (("aeinrst", "x"), ("aeglouü", "y"))], "doc_id long, text string, lang string")
+    learned = language.learn(docs)
+
+    def written(gram):
+        parts = [gram >> 42, gram >> 21 & 0x1FFFFF, gram & 0x1FFFFF]
+        return "".join(" " if c == 1 else chr(c) for c in parts if c)
+
+    profiles = {name: [written(g) for g in grams.tolist()] for name, grams in learned.items()}
+    model = language.Profiles(learned)
+    for text in (prose(50, 80, "aeinrst"), prose(51, 3, "aeglouü"), "Riese, nass! 12 x", prose(52, 90, "zwvq")):
+        want = brute_language(text, profiles)
+        name, score, away = model.nearest(text)
+        best, second = sorted(want.values())
+        assert name == min(want, key=lambda k: (want[k], k)) and away == pytest.approx(best) and score == pytest.approx(1 - best / second)
+
+
+def test_documents_of_other_languages_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    others = [
+        (-1, "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.", None),
+        (-2, "Все люди рождаются свободными и равными в своем достоинстве и правах.", None),
+        (-3, "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。", None),
+        (-4, "12 34 !?", None),
+    ]
+    rows = docs.unionByName(spark.createDataFrame(others, docs.schema))
+    kept = language.keep_identified(rows)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or ""))
+    german = {r["doc_id"] for r in language.keep_identified(rows, languages=("de",)).collect()}
+    assert german == {r["doc_id"] for r in docs.collect() if r["lang"] == "de"}
