@@ -301,24 +301,3 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget:
     classes = _classes(marked, key, budget, subtrie)
     return marked.join(classes, "fingerprint").select(key, "fingerprint", "component_id")
 
-
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = BITS, subtrie: int = SUBTRIE) -> DataFrame:
-    """One row of each group linked by fingerprints within ``budget`` bits or by the similarity of :func:`near.one_of_each`.
-
-    It keeps no more than either rule alone; the pipeline goes by similarity alone.
-    """
-    from hazardlake.llm import near
-
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = part.column("text").to_pylist()
-                marks = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
-                yield pa.record_batch({"leaf": pa.array([near.digest(near.shingle_set(t)) for t in texts], pa.int64()), "fingerprint": pa.array(marks)})
-
-    rows = docs.select(F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(both, "leaf long, fingerprint long")
-    rows = stored(rows.distinct(), "fingerprints")
-    roots = components(links(rows.select("fingerprint").distinct(), budget, subtrie))
-    rooted = rows.join(roots, rows["fingerprint"] == roots["node"], "left").select("leaf", F.coalesce("root", "fingerprint").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("leaf").alias("b"))
-    return near.one_of_each(docs, key=key, text=text, linked=rooted.join(least, "root").select(F.col("leaf").alias("a"), "b"))
