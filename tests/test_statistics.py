@@ -34,6 +34,38 @@ def test_moments_are_numpys(wide):
             assert (r["low"], r["high"]) == (known.min(), known.max())
 
 
+@pytest.mark.parametrize("points, exact", [(128, 2048), (4, 8)])
+def test_medians_of_many_cells_take_rounds(spark, points, exact):
+    """Ties, two far middles, signs, infinities, missing cells and short rows; few points need several passes."""
+    rng = np.random.default_rng(11)
+    n = 3001
+    x = np.column_stack(
+        [
+            rng.normal(size=n).astype(np.float32),
+            np.where(rng.random(n) < 0.95, 0.0, rng.normal(size=n)),
+            np.arange(n) % 2,
+            np.where(rng.random(n) < 0.4, np.nan, rng.lognormal(0, 3, n)).astype(np.float32),
+            np.where(rng.random(n) < 0.6, -np.inf, 1.0),
+            np.full(n, np.nan),
+        ]
+    )
+    rows = [(v[: 5 if i % 7 == 0 else 6].tolist(),) for i, v in enumerate(x)] + [(x[0, :2].tolist(),), (None,), ([],)]
+    x = np.vstack([x, np.append(x[0, :2], [np.nan] * 4)])
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"features array<{kind}>").repartition(7)
+        got = {r["feature_idx"]: r["fill"] for r in moments.exact_medians(df, points=points, exact=exact).collect()}
+        cells = x.astype(np.float32).astype(float) if kind == "float" else x
+        want = {i: 0.0 if np.isnan(cells[:, i]).all() else float(np.nanmedian(cells[:, i])) for i in range(6)}
+        assert got == want
+
+
+def test_medians_of_3600_positions(spark):
+    x = np.random.default_rng(2).normal(size=(400, 3600)).astype(np.float32)
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "features array<float>").repartition(3)
+    got = {r["feature_idx"]: r["fill"] for r in moments.exact_medians(df).collect()}
+    assert got == {i: float(m) for i, m in enumerate(np.median(x.astype(float), axis=0))}
+
+
 def test_medians_are_numpys(wide):
     x, df = wide
     want = {i: 0.0 if np.isnan(x[:, i]).all() else float(np.nanmedian(x[:, i])) for i in range(5)}
