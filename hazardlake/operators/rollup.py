@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import col, flag_to_float, floor_time
+from hazardlake.session import stored
 
 from .ordering import Order
 
@@ -36,12 +38,39 @@ def context_rollup(log: DataFrame, time: str = "batch_time", flag: str = "is_eme
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Order) -> DataFrame:
-    """First row per key in the given order, which should be total within a key."""
-    rest = [c for c in df.columns if c not in set(keys)]
-    order = F.struct(*[col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return picked.select(*[c if c in set(keys) else F.col(f"_row.{c}").alias(c) for c in df.columns])
+def with_address(df: DataFrame) -> DataFrame | None:
+    """The rows with ``_file`` and ``_row``, where each one stands; None if they do not come straight from Parquet files."""
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return None
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Order = ()) -> DataFrame:
+    """First row per key in the given order; rows equal in it follow the files' order, and so do all if none is given.
+
+    Of rows that come from files only keys, order and addresses are aggregated.
+    The wide rows are joined by address: they are shuffled once and sorted
+    nowhere, and a key that a third of them share is not dealt to one task.
+    Rows that are computed (a join, another aggregate) have no address; there
+    the order should be total within a key, and whole rows are aggregated
+    rather than computed twice or written out. Without an order they are
+    written to the shared folder, and that is their order.
+    """
+    rows = with_address(df)
+    if rows is None:
+        if order_by:
+            rest = [c for c in df.columns if c not in set(keys)]
+            order = F.struct(*[col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
+            picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+            return picked.select(*[c if c in set(keys) else F.col(f"_row.{c}").alias(c) for c in df.columns])
+        rows = with_address(stored(df, "rows"))
+    order = F.struct(*[col(c).alias(f"o{i}") for i, c in enumerate(order_by)], F.col("_file"), F.col("_row"))
+    narrow = rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], order.alias("_order"))
+    first = narrow.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(F.min("_order").alias("_first"))
+    first = first.select(F.col("_first._file").alias("_its"), F.col("_first._row").alias("_at"))
+    here = (F.col("_row") == F.col("_at")) & (F.col("_file") == F.col("_its"))
+    return rows.join(first.hint("shuffle_hash"), here, "left_semi").select(*df.columns)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

@@ -337,6 +337,23 @@ def test_keep_first_uses_the_given_order(spark):
     assert {(r.k, r.v) for r in rollup.keep_first(df, ["k"], [F.col("o") * -1]).collect()} == {("a", "x"), (None, "z")}
 
 
+def test_keep_first_follows_the_files(spark, tmp_path):
+    """Rows read from files keep their own order; wide rows are aggregated nowhere, and ties leave one row."""
+    rows = [(i % 5 if i % 11 else None, i % 2, f"v{i}", [float(i)] * 50) for i in range(200)]
+    spark.createDataFrame(rows, "k int, o int, v string, features array<float>").coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    kept = rollup.keep_first(df.filter("o >= 0"), ["k"])
+    want, tied = {}, {}
+    for k, o, v, _ in rows:
+        want.setdefault(k, v)
+        if k not in tied or o < tied[k][0]:
+            tied[k] = (o, v)
+    assert {(r.k, r.v) for r in kept.collect()} == set(want.items()) and kept.columns == df.columns
+    assert {(r.k, (r.o, r.v)) for r in rollup.keep_first(df, ["k"], ["o"]).collect()} == set(tied.items())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate" in line and "features" in line]
+
+
 def test_label_copies_expand(spark):
     at = dt.datetime(2023, 1, 1)
     telemetry = spark.createDataFrame([(at, 1), (at, 2)], "batch_time timestamp_ntz, id int")
