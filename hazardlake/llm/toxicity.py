@@ -3,21 +3,28 @@
 Words are compared by the letter sequences of length three and four that they
 share, gaps allowed, each skipped letter weighing ``DECAY``; so an insult with
 inserted characters, dots or an ending it never had in training still resembles
-its landmark. Letters lose case and accents, marks inside a word are dropped,
-and letters that stand alone in a row are one word.
+its landmark. A word begins and ends with a border letter, so that a stem at the
+border differs from the same letters inside. Letters lose case; an accent is a
+letter after its own, which gaps may skip; letters that do not go back to a to z are
+hashed to ``OTHERS`` codes; punctuation inside a word is dropped, and letters that
+stand alone in a row are one word.
 
 Landmarks are words of the training documents. A word's Nyström features are its
 kernel values to them, whitened by their own kernel matrix, and a linear SVM
 separates witnesses of toxicity from other words. Labels are of documents, so
-training takes turns: a toxic document's witnesses are its words with letters
-that clean documents hardly have, and its most suspicious word so far; the most
-suspicious words of clean documents are counterexamples. All this
+training takes turns: a toxic document's witnesses are its words that clean
+documents hardly have, or that hold runs of letters that clean documents hardly
+have, and its most suspicious word so far; the most suspicious words of clean
+documents are counterexamples. What is telling is decided by a likelihood ratio over
+documents, so that a word of a language with few documents counts as soon as
+chance cannot explain it; the language itself is never looked at. All this
 stays linear in the weighted subsequences, so the trained model folds into one
 weight per subsequence and scores a word without visiting the landmarks.
 
-A document's score is a logistic function of its most suspicious word and of
-the number of suspicious words, fitted on training documents that the SVM did
-not see, weighted back to the classes' true shares.
+A document's score is a logistic function of its two most suspicious words and of
+the numbers of suspicious and of all different words, fitted on training documents that the SVM did
+not see, weighted back to the classes' true shares. Of training documents that are
+copies of each other, one of each label is used.
 
 Training reads whole texts of about ``sample_toxic`` toxic and ``sample_clean``
 clean labelled documents, chosen by a hash of the id.
@@ -40,27 +47,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlake.llm.words import NOT_BLANK, Words, slice_hashes, slices
+from hazardlake.llm.words import ALNUM, LOWER, NOT_BLANK, Words, mixed, slice_hashes, slices, window_hashes, windows
 
 DECAY = 0.6
 #: Letters that may be skipped inside a subsequence.
 SKIPS = 2
-LANDMARKS = 64
-COMMON_LANDMARKS = 32
+LANDMARKS = 224
+COMMON_LANDMARKS = 64
 SAMPLE_TOXIC = 2500
 SAMPLE_CLEAN = 4000
 ROUNDS = 4
-#: A witness stands in no fewer of the toxic documents, and its letters have at least such log-odds.
-SUPPORT = 0.01
+#: Lengths of the runs of letters (borders count) that may be telling; whole words may be as well.
+RUNS = (4, 5, 6)
+#: A telling word or run stands in no fewer toxic documents, has at least such log-odds, and chance explains it
+#: less often than once in e to the ``EVIDENCE``.
+SUPPORT = 4
 WITNESS_ODDS = 1.5
+EVIDENCE = 12.0
 WITNESSES = 6
-#: Longer words are cut.
+COUNTERS = 4
+#: Hashes that look for copies among the training documents.
+COPY_HASHES = 4
+#: Longer words are cut into overlapping pieces of so many letters.
 WORD = 24
-LETTERS = 27
+#: Letters two pieces of a word share, one less than the longest subsequence spans.
+OVERLAP = 5
+#: Codes: 26 letters, accents, other letters, the border.
+ACCENTS = 5
+OTHERS = 8
+BORDER = 26 + ACCENTS + OTHERS
+LETTERS = BORDER + 1
 #: Words compared at once; bounds memory.
 WORDS_AT_ONCE = 20_000
 #: The lowest word score that is told apart.
 FLOOR = -1.5
+#: From this score on a word is counted as suspicious.
+SUSPICIOUS = 0.3
+#: Documents of fewer different words are treated as if they had so many.
+FEW = 32
+#: Features of a document.
+FEATURES = 4
 
 PATTERNS = [gaps for n in (3, 4) for gaps in product(range(SKIPS + 1), repeat=n - 1) if sum(gaps) <= SKIPS]
 
@@ -68,48 +94,78 @@ PATTERNS = [gaps for n in (3, 4) for gaps in product(range(SKIPS + 1), repeat=n
 _STAND_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Letter code of a byte, and of a byte after 0xC3; -1 is dropped. Other letters are code 26."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letter code of a byte; letter and accent of a character of two bytes by its code point. -1 is dropped."""
     plain = np.full(256, -1, dtype=np.int64)
     for i in range(26):
         plain[65 + i] = plain[97 + i] = i
     for c, letter in _STAND_FOR.items():
         plain[ord(c)] = ord(letter) - 97
-    plain[0xC4:0xF5] = 26  # first bytes of other characters; what follows them is dropped
-    latin = np.full(256, -1, dtype=np.int64)
-    for b in range(0x80, 0xC0):
-        base = unicodedata.normalize("NFKD", chr(0xC0 + b - 0x80)).lower()[0]
-        latin[b] = ord(base) - 97 if "a" <= base <= "z" else 26 if base.isalpha() else -1
-    return plain, latin
-
-
-_PLAIN, _LATIN = _tables()
+    letter, accent = np.full(0x800, -1, dtype=np.int64), np.full(0x800, -1, dtype=np.int64)
+    for point in range(0x80, 0x800):
+        parts = unicodedata.normalize("NFKD", chr(point).lower())
+        if "a" <= parts[0] <= "z":
+            letter[point] = ord(parts[0]) - 97
+            if len(parts) > 1:
+                accent[point] = 26 + ord(parts[1]) % ACCENTS
+        elif unicodedata.combining(chr(point)):
+            letter[point] = 26 + point % ACCENTS
+        elif parts[0].isalpha():
+            letter[point] = 26 + ACCENTS + ord(parts[0]) * 40503 % 65536 * OTHERS // 65536
+    return plain, letter, accent
+
+
+_PLAIN, _LETTER, _ACCENT = _tables()
+
+
+def _codes(data: np.ndarray) -> np.ndarray:
+    """Letter code of each byte of UTF-8 text; a character's code stands at its first byte, its accent's at its second."""
+    code = _PLAIN[data]
+    if len(data) and data.max() >= 0x80:
+        byte = np.append(data, np.zeros(2, dtype=data.dtype)).astype(np.int64)
+        two = np.flatnonzero((data >= 0xC2) & (data < 0xE0))
+        point = (byte[two] & 31) << 6 | byte[two + 1] & 63
+        code[two] = _LETTER[point]
+        code[np.minimum(two + 1, len(data) - 1)] = _ACCENT[point]
+        more = np.flatnonzero(data >= 0xE0)
+        mix = (byte[more] << 12 | (byte[more + 1] & 63) << 6 | byte[more + 2] & 63) * 40503 % 65536
+        punctuation = (byte[more] == 0xE2) & (byte[more + 1] <= 0x81)  # general punctuation
+        code[more] = np.where(punctuation, -1, 26 + ACCENTS + mix * OTHERS // 65536)
+    return code
+
+
+def spans(size: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Indexes ``start[i]`` to ``start[i] + size[i]``, one after another."""
+    return np.arange(int(size.sum())) + np.repeat(start - np.cumsum(size) + size, size)
 
 
 class Tokens:
-    """Words of texts as letter codes: ``code``, ``start``, ``end``; ``first[r]`` words stand before row ``r``."""
+    """Words of texts as letter codes between borders: ``code``, ``start``, ``end``; ``first[r]`` words stand before row ``r``."""
 
     def __init__(self, texts: pa.Array):
         w = Words(texts, NOT_BLANK)
-        code = _PLAIN[w.data]
-        after = np.flatnonzero(w.data[:-1] == 0xC3) + 1
-        code[after] = _LATIN[w.data[after]]
+        code = _codes(w.data)
         keep = code >= 0
         before = np.concatenate([[0], np.cumsum(keep)])
-        start, end, row = before[w.start], before[w.end], w.row
-        some = end > start
-        start, end, row = start[some], end[some], row[some]
-        single = end - start == 1
+        letters = np.concatenate([[0], np.cumsum(keep & ((code < 26) | (code >= 26 + ACCENTS)))])
+        some = letters[w.end] > letters[w.start]
+        start, end, row = before[w.start[some]], before[w.end[some]], w.row[some]
+        single = (letters[w.end] - letters[w.start])[some] == 1
         joins = np.zeros(len(start), dtype=bool)
         joins[1:] = single[1:] & single[:-1] & (row[1:] == row[:-1])
         heads = np.flatnonzero(~joins)
         start, row = start[heads], row[heads]
         end = end[np.append(heads[1:], len(end)) - 1] if len(heads) else end[:0]
-        parts = np.maximum(1, -(-(end - start) // WORD))
-        which = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        self.code = code[keep]
-        self.start = np.repeat(start, parts) + which * WORD
-        self.end = np.minimum(self.start + WORD, np.repeat(end, parts))
+        code = code[keep]
+        size = end - start + 2
+        stop = np.cumsum(size)
+        self.code = np.full(int(size.sum()), BORDER, dtype=np.int64)
+        self.code[spans(size - 2, stop - size + 1)] = code[spans(size - 2, start)]
+        step = WORD - OVERLAP
+        parts = np.maximum(1, -(-(size - OVERLAP) // step))
+        which = spans(parts, np.zeros(len(parts), dtype=np.int64))
+        self.start = np.repeat(stop - size, parts) + which * step
+        self.end = np.minimum(self.start + WORD, np.repeat(stop, parts))
         row = np.repeat(row, parts)
         self.row = row
         self.first = np.searchsorted(row, np.arange(len(w.first)))
@@ -140,8 +196,8 @@ def subsequences(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterat
 
 def norms(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Length of a word's vector of weighted subsequences (at least 1), by its number of letters."""
-    size = np.arange(WORD + 2)
-    total = np.zeros(WORD + 2)
+    size = np.arange(WORD + 1)
+    total = np.zeros(WORD + 1)
     for gaps in PATTERNS:
         total += np.maximum(0, size - sum(g + 1 for g in gaps)) * DECAY ** (2 * sum(gaps))
     return np.sqrt(np.maximum(total, 1.0))[end - start]
@@ -212,52 +268,85 @@ class Vocabulary:
         return word[rank < n]
 
 
-def _suspicion(v: Vocabulary, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Log-odds of four letters in a row by documents, and each word's highest with the place it comes from."""
-    word, value, _, _ = next(x for x in subsequences(v.code, v.start, v.end) if x[3] == 4)
-    by_word = np.argsort(word, kind="stable")
-    word, value = word[by_word], value[by_word]
-    at = np.searchsorted(word, np.arange(len(v.start) + 1))
-    counts = np.zeros((2, LETTERS**4))
-    order = np.searchsorted(v.doc, np.arange(len(toxic) + 1))
-    for d in range(len(toxic)):
-        words = v.word[order[d] : order[d + 1]]
-        size = at[words + 1] - at[words]
-        place = np.repeat(at[words] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        counts[int(toxic[d]), np.unique(value[place])] += 1
-    n = np.array([(~toxic).sum(), toxic.sum()])
-    odds = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 1) / (n[0] + 1))
-    odds[counts[1] < max(3, SUPPORT * n[1])] = 0
-    score = np.zeros(len(v.start))
-    np.maximum.at(score, word, odds[value])
-    return odds, counts[1], score, np.column_stack([word, value])
-
-
-def _landmarks(v: Vocabulary, toxic: np.ndarray, odds: np.ndarray, seen: np.ndarray, places: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Words that hold the most telling letters, a few per stem, and the most frequent words."""
+@dataclass
+class Telling:
+    """Runs and whole words that toxic documents have and clean ones hardly: their log-odds and which words hold them."""
+
+    odds: np.ndarray
+    toxic: np.ndarray
+    #: Pairs of a word and a run it holds.
+    word: np.ndarray
+    run: np.ndarray
+
+    def by_word(self, n: int) -> np.ndarray:
+        """Each of ``n`` words' highest log-odds."""
+        out = np.zeros(n)
+        np.maximum.at(out, self.word, self.odds[self.run])
+        return out
+
+
+def _documents(v: Vocabulary, docs: np.ndarray, at: np.ndarray, run: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``docs`` have each of ``n`` runs; word ``w`` holds ``run[at[w] : at[w + 1]]``."""
+    out = np.zeros(n, dtype=np.int32)
+    for d in docs:
+        words = v.word[np.searchsorted(v.doc, d) : np.searchsorted(v.doc, d, "right")]
+        out[np.unique(run[spans(at[words + 1] - at[words], at[words])])] += 1
+    return out
+
+
+def _telling(v: Vocabulary, toxic: np.ndarray) -> Telling:
+    """The telling runs of each length, one length at a time, and the telling words."""
+    size = v.end - v.start
+    values = (v.code.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    bad, good = np.flatnonzero(toxic), np.flatnonzero(~toxic)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    before = 0
+    for length in (*RUNS, None):
+        if length is None:
+            word = np.arange(len(size), dtype=np.int32)
+            _, run = np.unique(word, return_inverse=True)
+        else:
+            room = np.maximum(size - length + 1, 0)
+            word = np.repeat(np.arange(len(size), dtype=np.int32), room)
+            place = spans(room, v.start)
+            _, run = np.unique(slice_hashes(values, place, place + length, 13), return_inverse=True)
+        n = int(run.max()) + 1 if len(run) else 0
+        t = _documents(v, bad, np.searchsorted(word, np.arange(len(size) + 1)), run, n)
+        new = np.cumsum(t >= SUPPORT) - 1  # only these are looked for in clean documents
+        some = (t >= SUPPORT)[run]
+        word, run, t = word[some], new[run[some]], t[t >= SUPPORT]
+        c = _documents(v, good, np.searchsorted(word, np.arange(len(size) + 1)), run, len(t))
+        odds = np.log((t + 0.5) / (len(bad) + 1)) - np.log((c + 1) / (len(good) + 1))
+        share, both = len(bad) / max(1, len(toxic)), t + c
+        # log-likelihood ratio of its documents' share of toxic ones against that of all
+        evidence = t * np.log(t / both / share) + c * np.log(np.maximum(c, 1e-9) / both / (1 - share))
+        yes = (odds >= WITNESS_ODDS) & (evidence >= EVIDENCE)
+        new = np.cumsum(yes) - 1
+        some = yes[run]
+        found.append((odds[yes], t[yes], word[some], new[run[some]] + before))
+        before += int(yes.sum())
+    return Telling(*(np.concatenate(x) for x in zip(*found)))
+
+
+def _landmarks(v: Vocabulary, telling: Telling) -> tuple[list[int], np.ndarray]:
+    """Words that hold telling runs, until all runs stand in some landmark and then in several, and the most frequent words."""
     frequency = np.bincount(v.word, minlength=len(v.start))
-    telling = np.argsort(-odds * np.log1p(seen), kind="stable")[: 16 * LANDMARKS]
-    telling = telling[odds[telling] > WITNESS_ODDS]
-    near = places[np.isin(places[:, 1], telling)]
-    holder: dict[int, int] = {}
-    parts: dict[int, set[int]] = {}
-    for word, value in near.tolist():
-        parts.setdefault(word, set()).add(value)
-        if value not in holder or frequency[word] > frequency[holder[value]]:
-            holder[value] = word
+    order = np.lexsort((-frequency[telling.word], telling.run))
+    at = np.searchsorted(telling.run[order], np.arange(len(telling.odds) + 1))
+    by_word = np.argsort(telling.word, kind="stable")
+    held = np.searchsorted(telling.word[by_word], np.arange(len(v.start) + 1))
+    best = np.argsort(-telling.odds * np.log1p(telling.toxic), kind="stable")
+    met = np.zeros(len(best), dtype=np.int64)
     chosen: list[int] = []
-    for most in (0, 1, 2):  # first a word for letters that no landmark has yet
-        met: dict[int, int] = {}
-        for word in chosen:
-            for value in parts[word]:
-                met[value] = met.get(value, 0) + 1
-        for value in telling.tolist():
-            word = holder[value]
-            if len(chosen) < LANDMARKS and word not in chosen and met.get(value, 0) <= most:
+    for most in range(4):
+        for run in best.tolist():
+            if met[run] > most or len(chosen) >= LANDMARKS:
+                continue
+            word = next((w for w in telling.word[order[at[run] : at[run + 1]]].tolist() if w not in chosen), None)
+            if word is not None:
                 chosen.append(word)
-                for part in parts[word]:
-                    met[part] = met.get(part, 0) + 1
-    common = [int(w) for w in np.argsort(-frequency, kind="stable") if v.end[w] - v.start[w] >= 3 and int(w) not in chosen]
+                met[telling.run[by_word[held[word] : held[word + 1]]]] += 1
+    common = [int(w) for w in np.argsort(-frequency, kind="stable") if v.end[w] - v.start[w] >= 5 and int(w) not in chosen]
     spread = common[:: max(1, len(common) // COMMON_LANDMARKS)][: COMMON_LANDMARKS // 2]
     return list(dict.fromkeys([*chosen, *common[: COMMON_LANDMARKS // 2], *spread])), frequency
 
@@ -305,10 +394,10 @@ class Nystroem:
         return out
 
 
-def svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> tuple[np.ndarray, float]:
+def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, steps: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss and balanced classes, by Newton steps on the active rows."""
     x = np.column_stack([x, np.ones(len(x))])
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    share = weight * np.where(y > 0, 0.5 / max(1e-9, weight[y > 0].sum()), 0.5 / max(1e-9, weight[y < 0].sum()))
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(x.shape[1])
     penalty[-1, -1] = 1e-6
@@ -344,19 +433,26 @@ class Model:
     calibration: np.ndarray
 
     def document_features(self, texts: pa.Array) -> np.ndarray:
-        """Per text, the highest word score and the logarithm of the number of suspicious words."""
-        out = np.zeros((len(texts), 2))
-        out[:, 0] = FLOOR
+        """Per text, the highest score of a word and of another word, and logarithms of the numbers of suspicious and of all words."""
+        out = np.zeros((len(texts), FEATURES))
+        out[:, :2], out[:, 3] = FLOOR, np.log(FEW)
         if self.weights is None:
             return out
         t = Tokens(texts)
         if not len(t.start):
             return out
         start, end, number = t.distinct()
-        score = np.maximum(self.weights.score(t.code, start, end), FLOOR)[number]
-        rows = np.flatnonzero(np.diff(t.first) > 0)
-        out[rows, 0] = np.maximum.reduceat(score, t.first[rows])
-        out[rows, 1] = np.log1p(np.add.reduceat((score > 0).astype(float), t.first[rows]))
+        known = np.maximum(self.weights.score(t.code, start, end), FLOOR)
+        # one of each word of a row, the highest score first
+        pair = np.unique(t.row * len(known) + number)
+        row, score = pair // len(known), known[pair % len(known)]
+        order = np.lexsort((-score, row))
+        score = score[order]
+        rows, first, size = np.unique(row, return_index=True, return_counts=True)
+        out[rows, 0] = score[first]
+        out[rows[size > 1], 1] = score[first[size > 1] + 1]
+        out[rows, 2] = np.log1p(np.add.reduceat((score > SUSPICIOUS).astype(float), first))
+        out[rows, 3] = np.log(np.maximum(size, FEW))
         return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -364,20 +460,59 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.calibration[:-1] + self.calibration[-1], -30, 30)))
 
 
+def without_copies(texts: list[str | None], toxic: np.ndarray) -> np.ndarray:
+    """Indexes of one document of each label among documents whose sets of five words resemble each other.
+
+    Documents that share the least hash of a run of five words, by any of ``COPY_HASHES`` hashes, hang together. Copies
+    of a toxic document would otherwise make all its words telling.
+    """
+    n = len(texts)
+    least = np.zeros((n, COPY_HASHES), dtype=np.uint64)
+    batch = pa.record_batch({"text": pa.array(texts, pa.large_string()), "row": pa.array(np.arange(n))})
+    for part in slices(batch, "text"):
+        w = Words(part.column("text"), ALNUM, LOWER)
+        words, row = w.hashes(), part.column("row").to_numpy()
+        begin = windows(w.first, 5)
+        few = np.flatnonzero((w.counts() > 0) & (w.counts() < 5))  # these are one run each
+        begin, size = np.append(begin, w.first[few]), np.append(np.full(len(begin), 5), w.counts()[few])
+        order = np.argsort(begin, kind="stable")
+        begin, size = begin[order], size[order]
+        if len(begin):
+            here, first = np.unique(w.row[begin], return_index=True)
+            found = window_hashes(words, begin, size)
+            for k in range(COPY_HASHES):
+                least[row[here], k] = np.minimum.reduceat(mixed(found + np.uint64(k)), first)
+    group = np.arange(n)
+    while True:
+        before = group.copy()
+        for k in range(COPY_HASHES):
+            _, same = np.unique(least[:, k], return_inverse=True)
+            low = np.full(n, n)
+            np.minimum.at(low, same, group)
+            group = low[same]
+        if (group == before).all():
+            break
+    _, first = np.unique(group * 2 + toxic, return_index=True)
+    return np.sort(first)
+
+
 def train(texts: list[str | None], toxic: np.ndarray, true_share: float) -> Model:
-    """A model from whole texts and their labels."""
+    """A model from whole texts and their labels, of copies only one."""
+    some = without_copies(texts, toxic)
+    texts, toxic = [texts[i] for i in some], toxic[some]
     n = len(texts)
     if not n or toxic.all() or not toxic.any():
         share = min(max(true_share, 1e-6), 1 - 1e-6)
-        return Model(None, np.array([0.0, 0.0, np.log(share / (1 - share))]))
+        return Model(None, np.append(np.zeros(FEATURES), np.log(share / (1 - share))))
     fits = np.arange(n) % 4 != 3  # the rest calibrates
     if not toxic[fits].any() or toxic[fits].all():
         fits[:] = True
     inner = np.flatnonzero(fits)
     v = Vocabulary([texts[i] for i in inner])
     label = toxic[inner]
-    odds, seen, suspicion, places = _suspicion(v, label)
-    marks, frequency = _landmarks(v, label, odds, seen, places)
+    telling = _telling(v, label)
+    suspicion = telling.by_word(len(v.start))
+    marks, frequency = _landmarks(v, telling)
     space = Nystroem([v.letters(w) for w in marks])
     bad, good = np.flatnonzero(label), np.flatnonzero(~label)
     common = np.argsort(-frequency, kind="stable")[:500]
@@ -386,13 +521,14 @@ def train(texts: list[str | None], toxic: np.ndarray, true_share: float) -> Mode
     weights = None
     for _ in range(ROUNDS):
         witness = np.concatenate([known, v.best_per_document(suspicion, bad, 1)])
-        counter = np.concatenate([v.best_per_document(suspicion, good, 2), common])
-        words = np.concatenate([witness, counter])
+        counter = np.concatenate([v.best_per_document(suspicion, good, COUNTERS), common])
+        # each word once a side, so that the insults of a rare language weigh nearly as much as those of a common one
+        (witness, often), (counter, seen) = (np.unique(x, return_counts=True) for x in (witness, counter))
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(counter))])
-        used, back = np.unique(words, return_inverse=True)
-        weights = space.fold(*svm(space.features(v, used)[back], y))
+        used, back = np.unique(np.concatenate([witness, counter]), return_inverse=True)
+        weights = space.fold(*svm(space.features(v, used)[back], y, np.log1p(np.concatenate([often, seen]))))
         suspicion = weights.score(v.code, v.start, v.end)
-    model = Model(weights, np.zeros(3))
+    model = Model(weights, np.zeros(FEATURES + 1))
     rest = np.flatnonzero(~fits) if (~fits).any() else inner
     x = model.document_features(pa.array([texts[i] for i in rest], pa.large_string()))
     y = toxic[rest].astype(float)

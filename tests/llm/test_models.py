@@ -39,18 +39,40 @@ def test_kernel_is_that_of_listed_subsequences():
     t = toxicity.Tokens(pa.array(words, pa.string()))
     for one in words:
         w = toxicity.Weights.zero()
-        codes = np.array([ord(c) - 97 for c in one])
+        codes = np.array([toxicity.BORDER, *(ord(c) - 97 for c in one), toxicity.BORDER])
         w.add(codes, 1.0)
-        norm = toxicity.norms(np.array([0]), np.array([len(one)]))[0]
+        norm = toxicity.norms(np.array([0]), np.array([len(one) + 2]))[0]
         got = w.score(t.code, t.start, t.end) * toxicity.norms(t.start, t.end) * norm
-        assert got == pytest.approx([brute_kernel(one, x) for x in words], rel=1e-4, abs=1e-4)
+        assert got == pytest.approx([brute_kernel(f"^{one}^", f"^{x}^") for x in words], rel=1e-4, abs=1e-4)
 
 
-def test_tokens_fold_case_accents_marks_and_lone_letters():
-    t = toxicity.Tokens(pa.array(["Ä*b i d i o t!", None, "", "4b5", "日本 x", "a" * 60], pa.string()))
-    words = ["".join(chr(97 + c) if c < 26 else "?" for c in t.code[a:b]) for a, b in zip(t.start, t.end)]
-    assert words == ["ab", "idiot", "abs", "??", "x", "a" * 24, "a" * 24, "a" * 12]
-    assert np.diff(t.first).tolist() == [2, 0, 0, 1, 2, 3]
+def read_tokens(texts):
+    """Words as text: accents and hashed letters by their code, the border as ^."""
+    t = toxicity.Tokens(pa.array(texts, pa.string()))
+    signs = {toxicity.BORDER: "^", **{26 + k: f"<{k}>" for k in range(toxicity.ACCENTS)}}
+    return ["".join(chr(97 + c) if c < 26 else signs.get(c, "?") for c in t.code[a:b]) for a, b in zip(t.start, t.end)], np.diff(t.first).tolist()
+
+
+def test_tokens_fold_case_marks_and_lone_letters():
+    words, counts = read_tokens(["A*b i d i o t!", None, "", "4b5 \u2014\u2019", "日本 x", "a" * 60])
+    assert words == ["^ab^", "^idiot^", "^abs^", "^??^", "^x^", "^" + "a" * 23, "a" * 24, "a" * 23 + "^"]
+    assert counts == [2, 0, 0, 1, 2, 3]
+
+
+def test_accents_follow_their_letters_and_other_scripts_are_told_apart():
+    words, _ = read_tokens(["réêou", "RÉÊOU", "reeou", "re\u0301e\u0302ou"])
+    assert words[0] == words[1] == words[3] and words[2] == "^reeou^"
+    assert words[0][:3] == "^re" and words[0].endswith(">ou^") and len(set(words[0].replace("<", ">").split(">")) & set("01234")) == 2
+    t = toxicity.Tokens(pa.array(["дурак ДУРАК добро κακός καλός 馬鹿 日本"], pa.string()))
+    codes = [tuple(t.code[a:b]) for a, b in zip(t.start, t.end)]
+    assert codes[0] == codes[1] and len(set(codes)) == 6
+
+
+def test_pieces_of_long_words_share_every_subsequence():
+    word = "".join(chr(97 + (i * 7 + i // 5) % 26) for i in range(90))
+    t = toxicity.Tokens(pa.array([word], pa.string()))
+    span = max(sum(g + 1 for g in gaps) + 1 for gaps in toxicity.PATTERNS)
+    assert len(t.start) > 3 and (t.end[:-1] - t.start[1:] >= span - 1).all() and t.end[-1] == len(word) + 2 and (t.end - t.start).max() == toxicity.WORD
 
 
 def insulted(n, seed=3):
@@ -78,6 +100,40 @@ def test_held_out_insults_are_found(spark):
     assert all(got[i]["predicted"] == 0 for i in (5000, 5001, 5002))
 
 
+def of_language(n, letters, seed):
+    """Texts of invented words of some letters, a third of them with two of a few words that begin with one stem."""
+    rng = random.Random(seed)
+    parts = ["".join(rng.choice(letters) for _ in range(rng.choice([2, 3]))) for _ in range(24)]
+    stem, rows = "".join(rng.sample(parts, 2)), []
+    for i in range(n):
+        words, bad = ["".join(rng.choices(parts, k=rng.choice([1, 2, 2, 3]))) for _ in range(rng.randrange(30, 200))], i % 3 == 0
+        words = [w for w in words if not w.startswith(stem)]
+        for _ in range(3 * bad):
+            words.insert(rng.randrange(len(words)), stem + rng.choice(parts[:8]))
+        rows.append((" ".join(words), bad))
+    return rows
+
+
+def test_insults_of_rare_languages_are_found(spark):
+    """Four languages in unequal shares, one beyond Latin letters, one told apart by accents only."""
+    texts = {"common": insulted(900), "accents": of_language(150, "aeéèêlrtu", 5), "stems": of_language(150, "aeichlnkst", 6), "cyrillic": of_language(150, "абвгдежзиклмноп", 7)}
+    rows = [(kind, r[-2], int(r[-1])) for kind, some in texts.items() for r in some]
+    docs = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, _, y) in enumerate(rows)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.train_and_score(docs, labels).collect() if r["held_out"]}
+    for kind in texts:
+        toxic = [p for i, p in got.items() if rows[i][0] == kind and rows[i][2]]
+        assert len(toxic) >= 5 and np.mean(toxic) >= 0.9, kind
+    assert np.mean([p for i, p in got.items() if not rows[i][2]]) <= 0.02
+
+
+def test_copies_among_training_documents_count_once():
+    texts = [prose(i, 60) for i in range(6)] + ["a b", "a b", "", None, "é ß"]
+    texts += [texts[0] + " more words", texts[1], texts[1]]
+    toxic = np.array([i % 2 == 0 for i in range(11)] + [True, False, True])
+    assert toxicity.without_copies(texts, toxic).tolist() == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 13]
+
+
 def test_labels_of_one_class_or_none(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.train_and_score(odd, none).filter("predicted = 1").count() == 0
