@@ -74,6 +74,7 @@ def engineer(
         lambda w: {**lags.frames(w), **rolls.frames(w)},
         lambda: {"_lags": lags.cells(), "_rolls": rolls.cells()},
         bucket_rows,
+        grow=rolls.grow,
     )
     table = attach(df, table.select(*key, "_lags", "_rolls"), key) if key else table.drop("_width")
     parts = [F.col(features).cast("array<double>")] if spec.keep_original else []

@@ -27,6 +27,7 @@ from hazardlake.session import stored
 BLOCK = "_block"
 POSITION = "_pos"
 BUCKET = "_bucket"
+HOME = "_home"
 ROWS_PER_BUCKET = 8192
 
 Order = Sequence["Column | str"]
@@ -153,6 +154,7 @@ def with_neighbours(
     finish: Callable[[], Mapping[str, Column]],
     bucket_rows: int = ROWS_PER_BUCKET,
     keep: Sequence[str] = (),
+    grow: Callable[[DataFrame], DataFrame] = lambda framed: framed,
 ) -> DataFrame:
     """Row-based window expressions over one long sequence, in parallel.
 
@@ -164,7 +166,8 @@ def with_neighbours(
     ``frames`` gives the bare window expressions by name and ``finish`` the
     result columns built from those names. Kept apart, each window expression
     is evaluated once however often a result refers to it. ``keep`` names
-    window expressions that are results as they are.
+    window expressions that are results as they are. ``grow`` may add columns to
+    whole buckets beyond what window expressions can say.
     """
     size = max(int(bucket_rows), before, after, 1)
     place = F.pmod(F.col(index), F.lit(size))
@@ -174,10 +177,10 @@ def with_neighbours(
         targets.append(F.when(place >= size - before, home + 1))
     if after:
         targets.append(F.when((place < after) & (home > 0), home - 1))
-    copies = df.withColumn("_home", home).withColumn(BUCKET, F.explode(F.array_compact(F.array(*targets))))
+    copies = df.withColumn(HOME, home).withColumn(BUCKET, F.explode(F.array_compact(F.array(*targets))))
     window = W.partitionBy(BUCKET).orderBy(index)
     framed = copies.select("*", *[e.alias(n) for n, e in frames(window).items()])
-    kept = framed.filter(F.col(BUCKET) == F.col("_home"))
+    kept = grow(framed).filter(F.col(BUCKET) == F.col(HOME))
     results = finish()
     columns = [results[c].alias(c) if c in results else F.col(c) for c in df.columns]
     added = [e.alias(n) for n, e in results.items() if n not in df.columns]

@@ -13,6 +13,8 @@ from hazardlake.functions.scalars import finite_or_limit
 from hazardlake.session import stored
 
 from .ordering import (
+    BUCKET,
+    HOME,
     ROWS_PER_BUCKET,
     Order,
     add_row_index,
@@ -21,6 +23,7 @@ from .ordering import (
     over_preceding,
     with_neighbours,
 )
+from .trailing import with_trailing
 
 ROW = "_row"
 ROLLING_STATS = ("mean", "std", "min", "max")
@@ -94,9 +97,11 @@ class Rolling:
     current row only. A row with index below ``w`` gets 0. ``mean`` and ``std``
     (population) need ``w`` present cells; ``min`` and ``max`` skip missing ones.
 
-    Array expressions over the frame's rows compute them at any width, with a
-    plan that does not grow. ``layout="scalar"`` asks for native window functions
-    on scalar columns instead, whose plan grows with every feature.
+    ``layout="blocks"`` computes them in :mod:`.trailing`, at a cost and in a memory
+    that do not depend on the windows' lengths beyond the rows copied between
+    buckets. ``"nested"`` holds the frame's rows beside every row and uses array
+    expressions; ``"scalar"`` uses native window functions on scalar columns,
+    whose plan grows with every feature.
     """
 
     features: str
@@ -105,12 +110,12 @@ class Rolling:
     windows: Sequence[int]
     stats: Sequence[str] = ("mean", "std")
     gap: int = 1
-    layout: str = "nested"
+    layout: str = "blocks"
 
     def __post_init__(self):
         if any(w <= 0 for w in self.windows):
             raise ValueError(f"windows must be positive, got {list(self.windows)}")
-        if self.layout not in ("scalar", "nested"):
+        if self.layout not in ("blocks", "scalar", "nested"):
             raise ValueError(f"unknown layout: {self.layout!r}")
 
     @property
@@ -121,9 +126,19 @@ class Rolling:
     def nested(self) -> bool:
         return self.layout == "nested"
 
+    @property
+    def in_blocks(self) -> bool:
+        return bool(self.layout == "blocks" and self.n and self.windows and self.stats)
+
+    def grow(self, framed: DataFrame) -> DataFrame:
+        """Rows of buckets with their statistics, where blocks compute them; others get theirs from frames."""
+        if not self.in_blocks:
+            return framed
+        return with_trailing(framed, BUCKET, HOME, self.index, self.features, self.n, self.windows, self.stats, self.gap, "_trailing")
+
     def frames(self, w: WindowSpec) -> dict[str, Column]:
         found: dict[str, Column] = {}
-        if not self.n:
+        if not self.n or self.layout == "blocks":
             return found
         for rows in self.windows:
             first, last = rows + self.gap, 1 + self.gap
@@ -143,6 +158,8 @@ class Rolling:
     def cells(self) -> Column:
         if not self.n or not self.windows or not self.stats:
             return F.array().cast("array<double>")
+        if self.in_blocks:
+            return F.col("_trailing")
         build = self._from_frame if self.nested else self._from_columns
         return F.concat(*[build(rows, stat) for rows in self.windows for stat in self.stats])
 
@@ -209,7 +226,7 @@ def rolling_features(
     features: str = "features",
     out: str = "rolls",
     gap: int = 1,
-    layout: str = "nested",
+    layout: str = "blocks",
     key: Sequence[str] | None = None,
     bucket_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
@@ -220,7 +237,7 @@ def rolling_features(
     known = [s for s in stats if s in ROLLING_STATS]
     indexed = add_row_index(_needed(df, order_by, features, n_features, key), order_by, ROW)
     spec = Rolling(features, ROW, feature_count(indexed, features, n_features), windows, known, gap, layout)
-    table = with_neighbours(indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows)
+    table = with_neighbours(indexed, ROW, spec.reach, 0, spec.frames, lambda: {out: spec.cells()}, bucket_rows, grow=spec.grow)
     return attach(df, table.select(*key, out), key) if key else table.drop(ROW)
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,11 +11,11 @@ HOUR = dt.timedelta(hours=1)
 START = dt.datetime(2023, 1, 1)
 
 
-def series(spark, rows):
+def series(spark, rows, kind="float"):
     """Rows of cells, one hour apart, spread over several partitions."""
-    data = [(START + i * HOUR, [None if c is None else float(c) for c in r]) for i, r in enumerate(rows)]
+    data = [(START + i * HOUR, r and [None if c is None else float(c) for c in r]) for i, r in enumerate(rows)]
     random.Random(3).shuffle(data)
-    return spark.createDataFrame(data, "batch_time timestamp_ntz, features array<float>").repartition(3)
+    return spark.createDataFrame(data, f"batch_time timestamp_ntz, features array<{kind}>").repartition(3)
 
 
 def cells(df, name):
@@ -76,7 +77,7 @@ GOLDEN = {
 }
 
 
-@pytest.mark.parametrize("layout", ["scalar", "nested"])
+@pytest.mark.parametrize("layout", ["blocks", "scalar", "nested"])
 @pytest.mark.parametrize("bucket_rows", [4, 8192])
 def test_rolling_golden(spark, layout, bucket_rows):
     df = series(spark, [[x] for x in (3, 1, 4, 1, 5, 9, 2, 6)])
@@ -88,7 +89,7 @@ def test_rolling_golden(spark, layout, bucket_rows):
         close([r[i] for r in got], GOLDEN[w, stat])
 
 
-@pytest.mark.parametrize("layout", ["scalar", "nested"])
+@pytest.mark.parametrize("layout", ["blocks", "scalar", "nested"])
 def test_rolling_missing_cells(spark, layout):
     df = series(spark, [[1, 5], [None, 6], [3, 7], [4, None], [5, 9], [6, 10]])
     out = cells(sequence.rolling_features(df, ["batch_time"], (2,), 0, ("mean", "min"), layout=layout), "rolls")
@@ -97,6 +98,57 @@ def test_rolling_missing_cells(spark, layout):
     close([r[1] for r in out], [0, 0, 0, 5.5, 6.5, 0])
 
 
+def brute_trailing(x, w, gap, stats):
+    """Every window by itself: (statistic, row, feature)."""
+    out = np.zeros((len(stats), *x.shape))
+    for i, f in np.ndindex(x.shape):
+        frame = x[max(0, i - gap - w) : max(0, i - gap), f]
+        there = frame[~np.isnan(frame)]
+        for k, stat in enumerate(stats):
+            if stat in ("mean", "std") and len(there) == w:
+                out[k, i, f] = getattr(np, stat)(there)
+            elif stat in ("min", "max") and i >= w and len(there):
+                out[k, i, f] = getattr(np, stat)(there)
+    return out
+
+
+@pytest.mark.parametrize("gap, bucket_rows", [(0, 13), (1, 1), (4, 8192)])
+def test_rolling_equals_every_window_by_itself(spark, gap, bucket_rows):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(90, 3)) + np.where(np.arange(90) > 40, 1e6, 0)[:, None]  # a step that squares would drown in
+    x[rng.random(x.shape) < 0.03] = np.nan
+    x[60:72, 2] = 5.0
+    windows, stats = (1, 2, 7, 30, 200), ("std", "max", "mean", "min")
+    df = series(spark, [[None if np.isnan(v) else float(v) for v in row] for row in x], "double")
+    out = cells(sequence.rolling_features(df, ["batch_time"], windows, 0, stats, gap=gap, bucket_rows=bucket_rows), "rolls")
+    want = np.concatenate([brute_trailing(x, w, gap, stats) for w in windows]).transpose(1, 0, 2).reshape(90, -1)
+    assert np.allclose(np.array(out), want, rtol=1e-9, atol=1e-9)
+
+
+def test_rolling_rows_of_unequal_width_and_infinite_cells(spark):
+    rows = [[1.0, 2.0], [3.0], None, [float("inf"), 4.0], [5.0, 6.0], [7.0, float("-inf")], [8.0, 9.0]]
+    df = series(spark, rows, "double")
+    for stats in (("mean",), ("min", "max")):
+        blocks, nested = (cells(sequence.rolling_features(df, ["batch_time"], (1, 2), 0, stats, gap=0, layout=x), "rolls") for x in ("blocks", "nested"))
+        assert blocks == nested
+
+
+def test_long_windows_take_bounded_memory():
+    """Windows of 10 000 rows over 200 features: the results and a few arrays of bounded size, not rows times window."""
+    import tracemalloc
+
+    from hazardlake.operators.trailing import CELLS_AT_ONCE, trailing_statistics
+
+    x = np.random.default_rng(1).normal(size=(20_002, 200))
+    tracemalloc.start()
+    found = trailing_statistics()(x, 70_000, 10_000, ("mean", "std"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < found.nbytes + 12 * 8 * CELLS_AT_ONCE
+    frame = x[20_001 - 9_999 : 20_002]
+    assert np.allclose(found[:, -1], [frame.mean(axis=0), frame.std(axis=0)], rtol=1e-9, atol=1e-12)
+
+
 def test_rolling_shape_and_gap(spark):
     df = series(spark, [[2 * i, 2 * i + 1] for i in range(6)])
     out = cells(sequence.rolling_features(df, ["batch_time"], (3,), 0), "rolls")
