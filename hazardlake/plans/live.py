@@ -47,7 +47,7 @@ def streaming_rollup(spark, folder):
     flag = (F.col("event_type") == "error") & (F.col("value") >= roles.EMERGENCY_VALUE)
     log = _stream(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), flag.alias("is_emergency"))
     path, progress = scratch_path(spark, "rollup"), scratch_path(spark, "rollup-progress")
-    live.run_upserts(live.hourly_rollup(log), path, progress, once=True).awaitTermination()
+    live.run_upserts(live.hourly_rollup(log), path, progress, once=True, keys=["batch_time"], merge_every=8).awaitTermination()
     return live.latest_versions(spark, path, ["batch_time"]).withColumn(
         "batch_time", F.col("batch_time").cast("timestamp_ntz")
     )
@@ -61,3 +61,15 @@ def streaming_first_arrivals(spark, folder):
     firsts = live.first_arrivals(log, ["user_id", "batch_time"], "batch_time")
     live.run_to_table(firsts, path, progress, once=True).awaitTermination()
     return spark.read.parquet(path).withColumn("batch_time", F.col("batch_time").cast("timestamp_ntz"))
+
+
+@job("""SELECT user_id, date_trunc('hour', ts) AS batch_time, arg_min(event_id, (ts, event_id)) AS event_id,
+arg_min(event_type, (ts, event_id)) AS event_type, arg_min(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2""")
+def streaming_first_rows(spark, folder):
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    log = _stream(spark, folder, "events").select("user_id", hour.alias("batch_time"), "ts", "event_id", "event_type", "value")
+    keys = ["user_id", "batch_time"]
+    path, progress = scratch_path(spark, "firsts"), scratch_path(spark, "firsts-progress")
+    firsts = live.first_in_order(log, keys, "batch_time", ["ts", "event_id"])
+    live.run_upserts(firsts, path, progress, once=True, keys=keys, merge_every=8).awaitTermination()
+    return live.latest_versions(spark, path, keys).drop("ts").withColumn("batch_time", F.col("batch_time").cast("timestamp_ntz"))

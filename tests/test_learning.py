@@ -437,3 +437,75 @@ def test_streams_equal_batch_and_resume(spark, tmp_path):
     path = str(tmp_path / "firsts")
     live.run_to_table(firsts, path, str(tmp_path / "firsts-progress"), once=True).awaitTermination()
     assert sorted(r.user for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
+
+
+# -- versions of a streaming table --------------------------------------------
+
+
+def test_merged_versions_hold_the_state_and_stay_few(spark, tmp_path):
+    path, rng, state = str(tmp_path / "state"), np.random.default_rng(5), {}
+    for number in range(11):
+        changed = {int(k): float(v) for k, v in zip(rng.integers(0, 20, 6), rng.normal(size=6))}
+        batch = spark.createDataFrame(list(changed.items()), "k int, v double")
+        live.write_version(batch, path, number)
+        live.write_version(batch, path, number)  # a repeated batch
+        state |= changed
+        if number % 3 == 2:
+            live.merge_versions(spark, path, ["k"])
+            live.merge_versions(spark, path, ["k"])  # nothing new
+        assert {r.k: r.v for r in live.latest_versions(spark, path, ["k"]).collect()} == state
+    folders = sorted(p.name for p in (tmp_path / "state").iterdir())
+    assert folders == ["batch=10", "batch=6", "batch=7", "batch=8", "batch=9", "merged=5", "merged=8"]
+
+
+def test_a_killed_merge_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    for number in range(4):
+        live.write_version(spark.createDataFrame([(number % 2, float(number)), (9, float(-number))], "k int, v double"), path, number)
+        if number == 1:
+            live.merge_versions(spark, path, ["k"])
+    want = {0: 2.0, 1: 3.0, 9: -3.0}
+    # killed while writing: files, but no mark that they are whole
+    spark.createDataFrame([(0, 99.0, 3)], "k int, v double, _version bigint").write.parquet(f"{path}/merged=3")
+    (tmp_path / "state" / "merged=3" / "_SUCCESS").unlink()
+    assert {r.k: r.v for r in live.latest_versions(spark, path, ["k"]).collect()} == want
+    # killed before it deletes
+    real = live._file_system
+    calls = []
+
+    def dies(spark, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        return real(spark, path)
+
+    monkeypatch.setattr(live, "_file_system", dies)
+    with pytest.raises(KeyboardInterrupt):
+        live.merge_versions(spark, path, ["k"])
+    monkeypatch.setattr(live, "_file_system", real)
+    assert {r.k: r.v for r in live.latest_versions(spark, path, ["k"]).collect()} == want
+    live.write_version(spark.createDataFrame([(0, 7.0)], "k int, v double"), path, 4)
+    live.merge_versions(spark, path, ["k"])
+    assert {r.k: r.v for r in live.latest_versions(spark, path, ["k"]).collect()} == want | {0: 7.0}
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["batch=4", "merged=3", "merged=4"]
+
+
+def test_first_rows_of_a_shuffled_stream_are_the_first_in_order(spark, tmp_path):
+    rng = random.Random(4)
+    start = dt.datetime(2023, 1, 1)
+    rows = [(i % 5, start + dt.timedelta(hours=i % 3), rng.random(), i, f"t{i}") for i in range(240)]
+    rng.shuffle(rows)
+    schema = "user int, hour timestamp, at double, id int, what string"
+    for n in range(6):
+        spark.createDataFrame(rows[n * 40 : n * 40 + 40], schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"part{n}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    path = str(tmp_path / "firsts")
+    firsts = live.first_in_order(stream, ["user"], "hour", ["at", "id"], "1 day")
+    live.run_upserts(firsts, path, str(tmp_path / "progress"), once=True, keys=["user", "hour"], merge_every=2).awaitTermination()
+    got = {(r.user, r.hour): tuple(r) for r in live.latest_versions(spark, path, ["user", "hour"]).select("user", "hour", "at", "id", "what").collect()}
+    want = {}
+    for r in sorted(rows, key=lambda r: (r[2], r[3])):
+        want.setdefault(r[:2], r)
+    assert got == want
+    with pytest.raises(ValueError):
+        live.run_upserts(firsts, path, str(tmp_path / "other"), merge_every=2)
