@@ -7,7 +7,7 @@ and any partitioning. ``key`` must identify a row.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -107,9 +107,11 @@ def undersample(df: DataFrame, key: Sequence[str], label: str, seed: int = 42) -
 # A block holds as many members as fit in so many bytes, however large the table is.
 BLOCK_BYTES = 8 << 20
 BLOCK_MEMBERS = 2048
-# Block outlines sent to tasks at once; more blocks are visited in several rounds.
-OUTLINES = 50_000
+# Block outlines sent to tasks at once, about a kilobyte each; more blocks are routed in several passes.
+OUTLINES = 20_000
 PIVOTS = 64
+# After so many of its nearest blocks a vector's limit is tightened before it visits more.
+TIGHTEN_AFTER = (8, 64)
 
 
 def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[float]]:
@@ -118,6 +120,37 @@ def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[f
     return [list(r["x"]) for r in chosen.collect()]
 
 
+def _distances(pivots: np.ndarray) -> Callable[[pd.Series], np.ndarray]:
+    """Distances of vectors to all pivots; like the other functions for tasks it uses nothing of this module."""
+
+    def away(x: pd.Series) -> np.ndarray:
+        matrix = np.stack(x.to_numpy())
+        return np.column_stack([np.sqrt(((matrix - p) ** 2).sum(axis=1)) for p in pivots])
+
+    return away
+
+
+def _outlines(blocks: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Per block, the range of its members' distances to every pivot: ``block, near, far``."""
+    away = _distances(pivots)
+
+    def ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if frame.empty:
+                continue
+            order = np.argsort(frame["block"].to_numpy(), kind="stable")
+            block, d = frame["block"].to_numpy()[order], away(frame["x"])[order]
+            at = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            near, far = np.minimum.reduceat(d, at), np.maximum.reduceat(d, at)
+            yield pd.DataFrame({"block": block[at], "near": list(near), "far": list(far)})
+
+    parts = blocks.select("block", "x").mapInPandas(ranges, "block long, near array<double>, far array<double>")
+    cells = parts.select("block", F.posexplode(F.arrays_zip("near", "far")).alias("pivot", "range"))
+    merged = cells.groupBy("block", "pivot").agg(F.min("range.near").alias("near"), F.max("range.far").alias("far"))
+    whole = merged.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pivot", "near", "far"))).alias("r"))
+    return whole.select("block", F.col("r.near").alias("near"), F.col("r.far").alias("far"))
+
+
 def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     """A function that finds the k nearest members of a block for each asking vector.
 
@@ -160,37 +193,45 @@ def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame
     return search
 
 
-def _reachable(pivots: np.ndarray, outlines: Sequence) -> Callable:
-    """A function from vectors, limits and home blocks to the blocks that may hold something within the limit.
+def _router(pivots: np.ndarray, outlines: Sequence, first: int, last: int) -> Callable:
+    """A function from ``key, x, limit, block`` to the blocks each vector has to visit next: ``block, key``.
 
-    A batch is measured against all pivots and then, some rows at a time,
-    against all outlines at once. It uses nothing of this module, so that
-    executors need not have the package installed.
+    No member of a block is closer than the gap between the vector's distance to
+    a pivot and the block's range of distances to it; the widest gap of all
+    pivots is the block's bound. Blocks within the limit are put in the order of
+    their bounds, and those from place ``first`` to before ``last`` are named.
+    A smaller limit only cuts the end of that order, so places stay as they are.
     """
-    names = np.array([r["block"] for r in outlines], dtype=object)
-    pivot = np.array([r["pivot"] for r in outlines], dtype=int)
-    near = np.array([r["near"] for r in outlines])
-    far = np.array([r["far"] for r in outlines])
-    rows_at_once = max(1, 4_000_000 // len(names))
-
-    @F.pandas_udf("array<string>")
-    def reachable(x: pd.Series, limit: pd.Series, home: pd.Series) -> pd.Series:
-        matrix, bound = np.stack(x.to_numpy()), limit.to_numpy()
-        away = np.column_stack([np.sqrt(((matrix - p) ** 2).sum(axis=1)) for p in pivots])
-        answers = []
-        for start in range(0, len(matrix), rows_at_once):
-            some = slice(start, start + rows_at_once)
-            d = away[some][:, pivot]
-            gap = np.maximum(np.maximum(d - far, near - d), 0.0)
-            # A hair of slack keeps rounding from hiding an equally near block.
-            close = gap <= bound[some, None] * (1 + 1e-9) + 1e-12
-            close &= names[None, :] != home.to_numpy()[some, None]
-            rows, columns = np.nonzero(close)
-            cuts = np.searchsorted(rows, np.arange(1, len(close)))
-            answers.extend(list(part) for part in np.split(names[columns], cuts))
-        return pd.Series(answers)
-
-    return reachable
+    away = _distances(pivots)
+    names = np.array([r["block"] for r in outlines], dtype=np.int64)
+    near, far = np.array([r["near"] for r in outlines]), np.array([r["far"] for r in outlines])
+    rows_at_once = max(1, 2_000_000 // len(names))
+
+    def bounds(d: np.ndarray, reach: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, columns = np.nonzero(names[None, :] != home[:, None])
+        low = np.zeros(len(rows))
+        for j in range(d.shape[1]):
+            gap = np.maximum(d[rows, j] - far[columns, j], near[columns, j] - d[rows, j])
+            low = np.maximum(low, gap)
+            if j % 4 == 3 or j + 1 == d.shape[1]:  # most blocks are ruled out by a few pivots
+                within = low <= reach[rows]
+                rows, columns, low = rows[within], columns[within], low[within]
+        return rows, columns, low
+
+    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for start in range(0, len(frame), rows_at_once):
+                part = frame.iloc[start : start + rows_at_once]
+                # A hair of slack keeps rounding from hiding an equally near block.
+                reach = part["limit"].to_numpy() * (1 + 1e-9) + 1e-12
+                rows, columns, low = bounds(away(part["x"]), reach, part["block"].to_numpy())
+                order = np.lexsort((columns, low, rows))
+                rows, columns = rows[order], columns[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+                named = (place >= first) & (place < last)
+                yield pd.DataFrame({"block": names[columns[named]], "key": part["key"].to_numpy()[rows[named]]})
+
+    return route
 
 
 def nearest_neighbours(
@@ -200,16 +241,21 @@ def nearest_neighbours(
     seed: int = 7,
     block_members: int = BLOCK_MEMBERS,
     outlines_at_once: int = OUTLINES,
+    tighten_after: Sequence[int] = TIGHTEN_AFTER,
+    visits: list[int] | None = None,
 ) -> DataFrame:
     """The exact ``k`` nearest other vectors of each vector: ``(key, rank, neighbour, distance2)``.
 
     ``vectors`` has a unique ``key`` and an array ``x``. Nothing is compared
     with everything: vectors are cut into blocks of bounded size, ordered by
-    (closest pivot, distance to it). Each block keeps the range of those
-    distances. A vector first looks in its own block, whose k-th distance
-    bounds its true k-th distance; by the triangle inequality it then only has
-    to visit blocks whose distance range around their pivot comes closer than
-    that. A visit returns at most k rows, so no table of pairs is written.
+    (closest pivot, second closest, distance). Each block keeps the range of its
+    members' distances to all pivots. A vector first looks in its own block,
+    whose k-th distance bounds its true k-th distance. By the triangle
+    inequality it then only has to visit blocks whose ranges come closer than
+    that, the nearest first; after every ``tighten_after`` blocks (per pass of
+    outlines) what was found lowers its limit. A visit returns at most k rows,
+    so no table of pairs is written; the number of visits of each round is
+    appended to ``visits``.
     """
     spark = vectors.sparkSession
     vectors = vectors.select(F.col(key).alias("key"), F.col("x").cast("array<double>").alias("x"))
@@ -221,26 +267,20 @@ def nearest_neighbours(
         return spark.createDataFrame([], "key bigint, rank int, neighbour bigint, distance2 double")
 
     key_type = vectors.schema["key"].dataType.simpleString()
+    away = _distances(pivots)
 
-    @F.pandas_udf("pivot int, radius double")
+    @F.pandas_udf("pivot int, second int, radius double")
     def closest(x: pd.Series) -> pd.DataFrame:
-        matrix = np.stack(x.to_numpy())
-        best = np.full(len(matrix), np.inf)
-        which = np.zeros(len(matrix), dtype=np.int32)
-        for i, p in enumerate(pivots):
-            d = np.sqrt(((matrix - p) ** 2).sum(axis=1))
-            nearer = d < best
-            best[nearer], which[nearer] = d[nearer], i
-        return pd.DataFrame({"pivot": which, "radius": best})
+        d = away(x)
+        order = np.argsort(d, axis=1, kind="stable")
+        first, second = order[:, 0], order[:, min(1, d.shape[1] - 1)]
+        return pd.DataFrame({"pivot": first.astype(np.int32), "second": second.astype(np.int32), "radius": d.min(axis=1)})
 
     placed = vectors.withColumn("_c", closest("x")).select("key", "x", "_c.*")
     # Consecutive rows of one pivot's cell form a block.
-    ordered = add_row_index(placed, ["pivot", "radius", "key"], "_i")
+    ordered = add_row_index(placed, ["pivot", "second", "radius", "key"], "_i")
     stretch = ((F.col("_i") - F.pmod("_i", F.lit(members_limit))) / members_limit).cast("bigint")
-    blocks = ordered.withColumn("block", F.concat_ws("/", stretch, "pivot")).drop("_i")
-    shape = blocks.groupBy("block").agg(
-        F.first("pivot").alias("pivot"), F.min("radius").alias("near"), F.max("radius").alias("far")
-    )
+    blocks = ordered.select((stretch * F.lit(len(pivots)) + F.col("pivot")).alias("block"), "key", "x")
 
     result_type = f"key {key_type}, neighbour {key_type}, distance2 double"
 
@@ -260,35 +300,44 @@ def nearest_neighbours(
         best = candidates.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         return best.select("key", "rank", "neighbour", "distance2")
 
-    outlines = stored(shape, "outlines")
+    outlines = stored(_outlines(blocks, pivots), "outlines")
     n_blocks = outlines.count()
     if n_blocks == 1:
         return closest_first(own)
-    own = stored(own)
-    kth = own.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
-    limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
-    asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
-
-    # Which blocks can hold something closer, asked of a bounded number of outlines at a time.
-    rounds = math.ceil(n_blocks / outlines_at_once)
-    routed = None
-    for turn in range(rounds):
-        some = outlines.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn).collect()
-        if not some:
-            continue
-        one = asking.withColumn("to", F.explode(_reachable(pivots, some)("x", "limit", "block")))
-        routed = one if routed is None else routed.unionByName(one)
-    # Visitors of one block are shared out over parts, and the block's members
-    # (a bounded number) go to each part that has visitors.
-    loads = routed.groupBy(F.col("to").alias("block")).agg(F.count(F.lit(1)).alias("visitors"))
-    parts = loads.select("block", F.ceil(F.col("visitors") / F.lit(members_limit)).cast("int").alias("parts"))
-    visitors = routed.select(F.col("to").alias("block"), "key", "x").join(parts, "block").select(
-        "block", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "x"
-    )
-    hosts = blocks.join(parts, "block").select(
-        "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "x"
-    )
-    return closest_first(own.unionByName(visit(visitors, hosts)))
+    passes = math.ceil(n_blocks / outlines_at_once)
+    best = closest_first(own)
+    edges = [0, *(n for n in tighten_after if n < n_blocks - 1), n_blocks]
+    for first, last in zip(edges, edges[1:]):
+        best = stored(best, "nearest")
+        kth = best.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
+        limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
+        asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+        # Which blocks can hold something closer, asked of a bounded number of outlines at a time.
+        named = None
+        for turn in range(passes):
+            some = outlines.filter(F.pmod(F.xxhash64("block"), F.lit(passes)) == turn).orderBy("block").collect()
+            if not some:
+                continue
+            one = asking.mapInPandas(_router(pivots, some, first, last), f"block long, key {key_type}")
+            named = one if named is None else named.unionByName(one)
+        named = stored(named, "visits")
+        count = named.count()
+        if visits is not None:
+            visits.append(count)
+        if not count:
+            break
+        # Visitors of one block are shared out over parts, and the block's members
+        # (a bounded number) go to each part that has visitors.
+        loads = named.groupBy("block").agg(F.count(F.lit(1)).alias("visitors"))
+        parts = loads.select("block", F.ceil(F.col("visitors") / F.lit(members_limit)).cast("int").alias("parts"))
+        visitors = named.join(parts, "block").join(blocks.select("key", "x"), "key").select(
+            "block", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "x"
+        )
+        hosts = blocks.join(parts, "block").select(
+            "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "x"
+        )
+        best = closest_first(best.drop("rank").unionByName(visit(visitors, hosts)))
+    return best
 
 
 def synthetic_count(majority: int, minority: int, ratio: float) -> int:

@@ -138,6 +138,21 @@ def test_outlines_in_several_rounds_find_the_same_neighbours(spark):
     assert find() == find(outlines_at_once=7)
 
 
+def test_limits_that_shrink_spare_visits_and_lose_no_neighbour(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 64)) * 3
+    x = np.vstack([c + rng.normal(size=(30, 64)) * 0.3 for c in centres])
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "key long, x array<double>")
+    stepwise, at_once = [], []
+    rows = sampling.nearest_neighbours(vectors, 3, block_members=20, tighten_after=(4,), visits=stepwise).collect()
+    plain = sampling.nearest_neighbours(vectors, 3, block_members=20, tighten_after=(), visits=at_once).collect()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, int(j)) for i in range(len(x)) for j in np.argsort(d[i], kind="stable")[:3]}
+    assert {(r.key, r.neighbour) for r in rows} == {(r.key, r.neighbour) for r in plain} == want
+    assert len(stepwise) == 2 and sum(stepwise) < sum(at_once) < len(x) * len(x) // 20 / 4
+
+
 def test_blocks_hold_a_fixed_number_of_bytes(spark, monkeypatch):
     """The members of a block depend on the width of a vector, never on the number of vectors."""
     sizes = []
