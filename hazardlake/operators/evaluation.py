@@ -8,7 +8,7 @@ up in a narrow range only make the sorted blocks narrower.
 from __future__ import annotations
 
 import sys
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,10 +57,12 @@ def _ratio(top: Column, bottom: Column) -> Column:
 # -- confusion matrix --------------------------------------------------------
 
 
-def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: tp, fp, fn, tn. Label and prediction come from the same row."""
+def confusion(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", group: Sequence[str] = ()
+) -> DataFrame:
+    """One row, or one per group: tp, fp, fn, tn. Label and prediction come from the same row."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
-    return df.agg(
+    return df.groupBy(*group).agg(
         F.count_if(y & p).alias("tp"),
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
@@ -139,15 +141,17 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
 # -- curves ------------------------------------------------------------------
 
 
-def threshold_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row per distinct score: rows at it (pos, neg), counts at or above it
-    (tp, fp), and the class totals (n_pos, n_neg)."""
+def threshold_table(
+    df: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = ()
+) -> DataFrame:
+    """One row per distinct score (of a group): rows at it (pos, neg), counts at or
+    above it (tp, fp), and the class totals (n_pos, n_neg)."""
     y = F.col(label)
-    per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    per_score = df.groupBy(*group, F.col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     return add_prefix_sums(
-        per_score, [F.desc("score")], {"tp": "pos", "fp": "neg"}, {"n_pos": "tp", "n_neg": "fp"}
+        per_score, [F.desc("score")], {"tp": "pos", "fp": "neg"}, {"n_pos": "tp", "n_neg": "fp"}, group
     )
 
 
@@ -160,12 +164,12 @@ def _auc_columns() -> list[Column]:
     return [F.try_divide(ranked, pairs).alias("roc_auc"), steps.alias("pr_auc")]
 
 
-def auc(table: DataFrame) -> DataFrame:
+def auc(table: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """ROC-AUC (ties count one half) and average precision (step sum) of a threshold table.
 
     Without positives both are null, without negatives the first is.
     """
-    return table.agg(*_auc_columns())
+    return table.groupBy(*group).agg(*_auc_columns())
 
 
 def _precision() -> Column:

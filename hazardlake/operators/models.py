@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -15,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -153,16 +156,23 @@ def with_probability(model: Model, df: DataFrame, features: str = "features", ou
     return scored.withColumn("_p", vector_to_array("_probability")[1]).select(*df.columns, F.col("_p").alias(out))
 
 
-def model_metrics(scored: DataFrame, label: str, score: str, costs: Costs, threshold: float = 0.5) -> DataFrame:
-    """One row with all metrics at a fixed threshold."""
+def model_metrics(
+    scored: DataFrame, label: str, score: str, costs: Costs, threshold: float = 0.5, group: Sequence[str] = ()
+) -> DataFrame:
+    """One row, or one per group (not null), with all metrics at a fixed threshold.
+
+    All groups share one sort of their distinct scores.
+    """
     rows = scored.select(
-        F.col(label).alias("label"), F.col(score).alias("score"), (F.col(score) >= threshold).cast("int").alias("prediction")
-    )
-    areas = auc(threshold_table(rows)).agg(F.first(F.struct("roc_auc", "pr_auc"))).scalar()
-    at = hard_metrics(class_metrics(confusion(rows))).withColumn("cost", benefit(costs))
-    return at.withColumn("_a", areas).select(
-        F.col("_a.pr_auc").alias("pr_auc"), F.col("_a.roc_auc").alias("roc_auc"), *METRICS[2:], *FOLD_METRICS
+        *group,
+        F.col(label).alias("label"),
+        F.col(score).alias("score"),
+        (F.col(score) >= threshold).cast("int").alias("prediction"),
     )
+    areas = auc(threshold_table(rows, group=group), group)
+    at = hard_metrics(class_metrics(confusion(rows, group=group))).withColumn("cost", benefit(costs))
+    both = at.join(areas, list(group)) if group else at.crossJoin(areas)  # without groups one row each
+    return both.select(*group, "pr_auc", "roc_auc", *METRICS[2:], *FOLD_METRICS)
 
 
 def compare(
@@ -174,29 +184,56 @@ def compare(
     costs: Costs = Costs(),
     seed: int = 42,
     options: dict[str, dict[str, Any]] | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
-    """One row per model; a model that cannot be fitted gets its error and no metrics."""
+    """One row per model; a model that cannot be fitted gets its error and no metrics.
+
+    ``parallelism`` models are fitted at a time. Each stores its scores, and one
+    pass over all of them gives every model's curves.
+    """
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+
+    def scores(position: int) -> DataFrame | str:
+        name = names[position]
+        try:
+            weights = None if name == "mlp" else costs.class_weights()
+            model = fit(name, train, label, features, weights, seed, **(options or {}).get(name, {}))
+            scored = with_probability(model, validation, features, "score")
+            return stored(scored.select(F.lit(position).alias("position"), label, "score"), "scores")
+        except Exception as e:  # one model's failure must not lose the others
+            return str(e)
+
     try:
-        for position, name in enumerate(names):
-            try:
-                weights = None if name == "mlp" else costs.class_weights()
-                model = fit(name, train, label, features, weights, seed, **(options or {}).get(name, {}))
-                scored = with_probability(model, validation, features, "score").select(label, "score")
-                m = model_metrics(scored, label, "score", costs).head()
-                rows.append((position, name, *[_number(m[c]) for c in METRICS], None))
-            except Exception as e:  # one model's failure must not lose the others
-                rows.append((position, name, *[None] * len(METRICS), str(e)))
+        found = _side_by_side(spark, scores, range(len(names)), parallelism)
+        metrics = _grouped_metrics([f for f in found if isinstance(f, DataFrame)], "position", label, costs)
     finally:
         train.unpersist()
         validation.unpersist()
+    rows = []
+    for position, (name, outcome) in enumerate(zip(names, found)):
+        error = outcome if isinstance(outcome, str) else None
+        m = metrics.get(position, {})
+        rows.append((position, name, *[_number(m.get(c)) for c in METRICS], error))
     numbers = ", ".join(f"{c} double" for c in METRICS)
     return spark.createDataFrame(rows, f"position int, model string, {numbers}, error string")
 
 
+def _side_by_side(spark: SparkSession, work: Callable[[int], Any], items: Sequence[int], parallelism: int) -> list[Any]:
+    """What ``work`` gives for each item, in order; Spark runs the jobs of several items at once."""
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(work), i) for i in items]]
+
+
+def _grouped_metrics(scored: Sequence[DataFrame], group: str, label: str, costs: Costs) -> dict[int, dict[str, Any]]:
+    """Metrics of stored scores by the number in ``group``, from one pass; one small row per model or fold."""
+    if not scored:
+        return {}
+    table = reduce(DataFrame.unionByName, scored)
+    return {r[group]: r.asDict() for r in model_metrics(table, label, "score", costs, group=[group]).collect()}
+
+
 def _number(value: Any) -> float | None:
     """A metric, or null where one class alone leaves it undefined."""
     return None if value is None else float(value)
@@ -219,22 +256,26 @@ def cross_validate(
     k: int = 5,
     costs: Costs = Costs(),
     seed: int = 42,
+    parallelism: int = 1,
     **options: Any,
 ) -> DataFrame:
     """Stratified folds: one row per fold with its metrics at 0.5.
 
-    Only key, label and features are stored; each fold is fitted on the others.
+    Only key, label and features are stored; each fold is fitted on the others,
+    ``parallelism`` folds at a time, and one pass over the held-out scores of all
+    folds gives their curves. A fold without rows has no metrics.
     """
     spark = df.sparkSession
     folds = stored(stratified_folds(df.select(key, label, features), [key], label, k, seed))
     names = ("pr_auc", "roc_auc", "f1", "precision", "recall", *FOLD_METRICS)
-    rows = []
-    for fold in range(k):
+
+    def scores(fold: int) -> DataFrame:
         train, held = folds.filter(F.col("fold") != fold), folds.filter(F.col("fold") == fold)
         model = fit(name, train, label, features, costs.class_weights(), seed, **options)
-        scored = with_probability(model, held, features, "score").select(label, "score")
-        m = model_metrics(scored, label, "score", costs).head()
-        rows.append((fold, *[_number(m[c]) for c in names]))
+        return stored(with_probability(model, held, features, "score").select("fold", label, "score"), "scores")
+
+    metrics = _grouped_metrics(_side_by_side(spark, scores, range(k), parallelism), "fold", label, costs)
+    rows = [(fold, *[_number(metrics.get(fold, {}).get(c)) for c in names]) for fold in range(k)]
     return spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in names))
 
 

@@ -97,12 +97,20 @@ def add_group_index(
 
 
 def add_prefix_sums(
-    df: DataFrame, order_by: Order, sums: Mapping[str, str], totals: Mapping[str, str] | None = None
+    df: DataFrame,
+    order_by: Order,
+    sums: Mapping[str, str],
+    totals: Mapping[str, str] | None = None,
+    group: Sequence[str] = (),
 ) -> DataFrame:
     """Running totals ``{new_column: source_column}`` up to and including each row.
 
-    ``totals`` names a column for the table-wide total of a running total.
+    ``totals`` names a column for the table-wide total of a running total. With
+    ``group`` both are those of the row's own group, nulls included, whatever the
+    groups' sizes: one sort serves them all, and a large group spans several blocks.
     """
+    if group:
+        return _grouped_prefix_sums(df, order_by, sums, totals or {}, list(group))
     blocks = sorted_blocks(df, order_by)
     before = {f"_before_{n}": F.sum(c) for n, c in sums.items()}
     within = W.partitionBy(BLOCK).orderBy(POSITION).rowsBetween(W.unboundedPreceding, 0)
@@ -114,6 +122,25 @@ def add_prefix_sums(
     return blocks.join(F.broadcast(offsets), BLOCK).select(*df.columns, *running, *overall)
 
 
+def _grouped_prefix_sums(
+    df: DataFrame, order_by: Order, sums: Mapping[str, str], totals: Mapping[str, str], group: list[str]
+) -> DataFrame:
+    blocks = sorted_blocks(df, [*group, *order_by])
+    # One row per block and group in it: at most the blocks and the groups together.
+    pieces = blocks.groupBy(BLOCK, *group).agg(*[F.sum(c).alias(f"_before_{n}") for n, c in sums.items()])
+    whole = W.partitionBy(*group)
+    earlier = whole.orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    offsets = pieces.select(
+        BLOCK,
+        *group,
+        *[F.coalesce(F.sum(f"_before_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
+        *[F.sum(f"_before_{of}").over(whole).alias(name) for name, of in totals.items()],
+    )
+    within = W.partitionBy(BLOCK, *group).orderBy(POSITION).rowsBetween(W.unboundedPreceding, 0)
+    running = [(F.col(f"_before_{n}") + F.sum(c).over(within)).alias(n) for n, c in sums.items()]
+    return attach(blocks, offsets, [BLOCK, *group]).select(*df.columns, *running, *totals)
+
+
 def row_at(df: DataFrame, order_by: Order, position: int) -> DataFrame:
     """The one row at a position; only the sort key is sorted, not the wide row."""
     names = [f"k{i}" for i in range(len(order_by))]

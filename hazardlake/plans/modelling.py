@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import zero_filled
@@ -12,7 +13,7 @@ from hazardlake.sources import artifacts
 
 from . import roles
 from .registry import job
-from .roles import FEATURES, r, rounded, telemetry_columns, with_parts
+from .roles import FEATURES, draw_sql, r, rounded, telemetry_columns, with_parts
 
 
 def _train_table(spark, folder):
@@ -208,6 +209,73 @@ def cross_validation(spark, folder):
     return folds.select("fold", *[rounded(c).alias(c) for c in folds.columns if c != "fold"])
 
 
+def _densities(c: str) -> str:
+    parts = (f"pow(x.{n} - {c}.m_{n}, 2) / (2 * {c}.s_{n}) + ln({c}.s_{n}) / 2" for n in FEATURES)
+    return f"ln({c}.n) - ({' + '.join(parts)})"
+
+
+_PER_CLASS = ", ".join(f"avg({n}) AS m_{n}, var_pop({n}) AS s_{n}" for n in FEATURES)
+
+
+# Rows scored by normal densities per class and feature: ``parts`` has the classes of each ``part`` with the weight of
+# the positives, ``held`` the rows that the part's model scores.
+def _gaussian_scores(part: str) -> str:
+    return f"""p AS (SELECT x.{part}, x.label, 1 / (1 + exp(({_densities('a')}) - ({_densities('b')}) - ln(b.weight))) AS score
+FROM held x JOIN parts a ON a.{part} = x.{part} AND a.label = 0 JOIN parts b ON b.{part} = x.{part} AND b.label = 1),
+scored AS (SELECT {part}, label, score, CAST(score >= 0.5 AS INTEGER) AS prediction FROM p),
+per AS (SELECT {part}, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY 1, 2),
+curve AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY {part}) AS n_pos, sum(neg) OVER (PARTITION BY {part}) AS n_neg
+FROM per WINDOW w AS (PARTITION BY {part} ORDER BY score DESC)),
+areas AS (SELECT {part}, sum(CAST(neg AS DOUBLE) * (tp - pos + pos / 2.0)) / (CAST(max(n_pos) AS DOUBLE) * max(n_neg)) AS roc_auc,
+sum(CAST(pos AS DOUBLE) / n_pos * (CAST(tp AS DOUBLE) / (tp + fp))) AS pr_auc FROM curve GROUP BY 1),
+m AS (SELECT {part}, CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+CAST(count(*) FILTER (WHERE label = 1 AND prediction = 0) AS DOUBLE) AS fn, CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS DOUBLE) AS tn FROM scored GROUP BY 1)"""
+
+
+def _or_zero(top: str, bottom: str) -> str:
+    return f"CASE WHEN {bottom} <> 0 THEN ({top}) / {bottom} ELSE 0 END"
+
+
+_MARKS_OF_PART = f"""{r('pr_auc', 'pr_auc')}, {r('roc_auc', 'roc_auc')}, {r(_or_zero('2 * tp', '(2 * tp + fp + fn)'), 'f1')},
+{r(_or_zero('tp', '(tp + fp)'), 'precision')}, {r(_or_zero('tp', '(tp + fn)'), 'recall')}"""
+_EPS = "CAST(2.220446049250313e-16 AS DOUBLE)"
+
+
+@models.register("gaussian_even")
+def _gaussian_even(*, features, label, weight, weight_sum, width, seed):
+    """Normal densities that take the classes as they come."""
+    return NaiveBayes(featuresCol=features, labelCol=label, modelType="gaussian")
+
+
+@job(with_parts("tel elog", f""", {_TRAIN}, model(part, weight) AS (VALUES (0, 100.0), (1, 1.0)),
+held AS (SELECT part, label, {', '.join(FEATURES)} FROM train, model WHERE rn > floor((SELECT count(*) FROM train) * CAST(0.8 AS DOUBLE))),
+parts AS (SELECT part, label, CAST(any_value(weight) AS DOUBLE) AS weight, CAST(count(*) AS DOUBLE) AS n, {_PER_CLASS} FROM early, model GROUP BY part, label),
+{_gaussian_scores('part')}
+SELECT CAST(part AS INTEGER) AS position, CASE part WHEN 0 THEN 'gaussian' ELSE 'gaussian_even' END AS model, {_MARKS_OF_PART},
+{r('990.0 * tp - 1000.0 * fn - 10.0 * fp', 'cost')}, CAST(NULL AS VARCHAR) AS error FROM m JOIN areas USING (part)
+UNION ALL SELECT 2, 'no_such_model', NULL, NULL, NULL, NULL, NULL, NULL, 'failed'"""))
+def gaussian_comparison(spark, folder):
+    """Two models in closed form beside one that fails."""
+    train, validation = _split(spark, folder)
+    found = models.compare(train, validation, ["gaussian", "gaussian_even", "no_such_model"], parallelism=2)
+    error = F.when(F.col("error").isNotNull(), "failed").alias("error")
+    return found.select("position", "model", *[rounded(m).alias(m) for m in models.METRICS], error)
+
+
+@job(with_parts("tel elog", f""", {_TRAIN},
+dealt AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY {draw_sql(42, 'batch_time')}, batch_time) - 1) % 5 AS fold FROM train),
+parts AS (SELECT f.fold, label, CAST(100 AS DOUBLE) AS weight, CAST(count(*) AS DOUBLE) AS n, {_PER_CLASS} FROM dealt, (SELECT unnest(range(5)) AS fold) f WHERE dealt.fold <> f.fold GROUP BY f.fold, label),
+held AS (SELECT * FROM dealt), {_gaussian_scores('fold')}
+SELECT CAST(fold AS INTEGER) AS fold, {_MARKS_OF_PART}, {r(_or_zero('tp + tn', '(tp + fp + fn + tn)'), 'accuracy')},
+{r('CASE WHEN least(tp + fp, tp + fn, tn + fp, tn + fn) > 0 THEN (tp * tn - fp * fn) / (sqrt(tp + fp) * sqrt(tp + fn) * sqrt(tn + fp) * sqrt(tn + fn)) ELSE 0 END', 'mcc')},
+{r(f"({_or_zero('tp', '(tp + fn)')} + {_or_zero('tn', '(tn + fp)')}) / 2", 'hard_roc_auc')},
+{r(f'-((fp + fn) * ln({_EPS}) + (tp + tn) * ln(1 - {_EPS})) / (tp + fp + fn + tn)', 'hard_log_loss')}
+FROM m JOIN areas USING (fold)"""))
+def gaussian_cross_validation(spark, folder):
+    folds = models.cross_validate(_train_table(spark, folder), "gaussian", "batch_time", parallelism=2)
+    return folds.select("fold", *[rounded(c).alias(c) for c in folds.columns if c != "fold"])
+
+
 @job()
 def model_scores_from_disk(spark, folder):
     """Fit, tune, save; load and score with the stored threshold and context."""
@@ -239,14 +307,6 @@ def model_scores_from_disk(spark, folder):
     )
 
 
-def _densities(c: str) -> str:
-    parts = (f"pow(x.{n} - {c}.m_{n}, 2) / (2 * {c}.s_{n}) + ln({c}.s_{n}) / 2" for n in FEATURES)
-    return f"ln({c}.n) - ({' + '.join(parts)})"
-
-
-_PER_CLASS = ", ".join(f"avg({n}) AS m_{n}, var_pop({n}) AS s_{n}" for n in FEATURES)
-
-
 @job(with_parts("tel elog", f""", {_TRAIN}, classes AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, {_PER_CLASS} FROM early GROUP BY 1),
 a AS (SELECT * FROM classes WHERE label = 0), b AS (SELECT * FROM classes WHERE label = 1),
 x AS (SELECT batch_time, {', '.join(f'CAST(coalesce({n}, 0) AS DOUBLE) AS {n}' for n in FEATURES)} FROM tel),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hazardlake import session
 from hazardlake.functions import scalars
-from hazardlake.operators import evaluation, joins, models, moments, sampling, scaling, scoring
+from hazardlake.operators import evaluation, joins, models, moments, ordering, sampling, scaling, scoring
 from hazardlake.sources import artifacts, delimited
 
 
@@ -199,3 +199,34 @@ def test_undersampling_keeps_as_many_of_each_label(spark):
     kept = sampling.undersample(df, ["k"], "y")
     assert {r["y"]: r["count"] for r in kept.groupBy("y").count().collect()} == {True: 100, False: 100}
     assert kept.select(F.countDistinct("k")).head()[0] == 200
+
+
+def test_running_totals_of_groups_of_any_size(spark):
+    """One group holds most rows and spans several sorted blocks; one is null, some have a single row."""
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 else f"g{i % 40}", i, int(v)) for i, v in enumerate(rng.integers(0, 9, 600))]
+    df = spark.createDataFrame(rows, "g string, i int, v int").repartition(7)
+    got = ordering.add_prefix_sums(df, ["i"], {"run": "v"}, {"all": "run"}, group=["g"]).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        own = [v for g, i, v in rows if g == r.g and i <= r.i]
+        assert r.run == sum(own) and r["all"] == sum(v for g, _, v in rows if g == r.g)
+
+
+def test_groups_have_the_metrics_they_have_alone(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i % 3), int(rng.random() < 0.3), float(np.round(rng.random(), 2))) for i in range(300)] + [(7, 1, 0.25)]
+    df = spark.createDataFrame(rows, "part int, label int, score double")
+    together = {r.part: r for r in models.model_metrics(df, "label", "score", evaluation.Costs(), group=["part"]).collect()}
+    assert set(together) == {0, 1, 2, 7} and together[7].roc_auc is None
+    for part, row in together.items():
+        alone = models.model_metrics(df.filter(F.col("part") == part), "label", "score", evaluation.Costs()).head()
+        assert {c: alone[c] for c in alone.asDict()} == pytest.approx({c: row[c] for c in alone.asDict()})
+
+
+def test_more_folds_than_rows_of_a_label(spark):
+    rows = [(i, i % 2, [float(i % 2) + i / 10]) for i in range(6)]
+    df = spark.createDataFrame(rows, "id int, label int, features array<double>")
+    folds = models.cross_validate(df, "gaussian", "id", k=5, parallelism=3).orderBy("fold").collect()
+    assert [r.fold for r in folds] == [0, 1, 2, 3, 4]
+    assert [r.pr_auc is None for r in folds] == [False, False, False, True, True]
