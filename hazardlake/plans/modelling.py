@@ -6,10 +6,10 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
 from hazardlake.functions.arrays import zero_filled
-from hazardlake.operators import engineer, joins, models, sampling, scaling, scoring
+from hazardlake.operators import engineer, joins, models, sampling, scaling, scoring, stages
 from hazardlake.operators.sequence import chronological_split
 from hazardlake.session import scratch_path, stored
-from hazardlake.sources import artifacts
+from hazardlake.sources import artifacts, delimited
 
 from . import roles
 from .registry import job
@@ -325,6 +325,56 @@ def folder_scores(spark, folder):
     return result.select("batch_time", rounded("probability", 4).alias("probability"), "prediction")
 
 
+_LAGGED = [f"w{i}" for i in range(2 * len(FEATURES))]
+
+
+def _with_lag(source: str) -> str:
+    cells = [f"CAST(coalesce({n}, 0) AS DOUBLE) AS w{i}" for i, n in enumerate(FEATURES)]
+    cells += [f"coalesce(lag(CAST(coalesce({n}, 0) AS DOUBLE)) OVER (ORDER BY batch_time), 0) AS w{i + len(FEATURES)}" for i, n in enumerate(FEATURES)]
+    return f"SELECT * EXCLUDE ({', '.join(FEATURES)}), {', '.join(cells)} FROM {source}"
+
+
+def _scaled_cells(source: str) -> str:
+    cells = (f"({n} - m_{n}) / d_{n} AS {n}" for n in _LAGGED)
+    return f"SELECT x.* REPLACE ({', '.join(cells)}) FROM {source} x, fit"
+
+
+_LOG_RATIO = " + ".join(
+    f"(pow(x.{n} - a.m_{n}, 2) / (2 * a.s_{n}) + ln(a.s_{n}) / 2 - pow(x.{n} - b.m_{n}, 2) / (2 * b.s_{n}) - ln(b.s_{n}) / 2)" for n in _LAGGED
+)
+
+
+def _lag_scores(source: str, keep: str) -> str:
+    return f"SELECT {keep}, 1 / (1 + exp(ln(a.n) - ln(b.n) - ({_LOG_RATIO}))) AS score FROM {source} x, a, b"
+
+
+@job(with_parts("tel elog", f""", {_TRAIN}, wide AS ({_with_lag('train')}),
+cut AS (SELECT floor(count(*) * CAST(0.8 AS DOUBLE)) AS last FROM train),
+fit AS (SELECT {', '.join(f'avg({n}) AS m_{n}, stddev_pop({n}) AS d_{n}' for n in _LAGGED)} FROM wide, cut WHERE rn <= last),
+ready AS ({_scaled_cells('wide')}),
+classes AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, {', '.join(f'avg({n}) AS m_{n}, var_pop({n}) AS s_{n}' for n in _LAGGED)} FROM ready, cut WHERE rn <= last GROUP BY 1),
+a AS (SELECT * FROM classes WHERE label = 0), b AS (SELECT * FROM classes WHERE label = 1),
+held AS ({_lag_scores('(SELECT ready.* FROM ready, cut WHERE rn > last)', 'x.label')}),
+points AS (SELECT s.score, count(*) FILTER (WHERE label = 1) AS tp, count(*) AS n FROM (SELECT DISTINCT score FROM held) s JOIN held ON held.score >= s.score GROUP BY 1),
+marks AS (SELECT score, CAST(tp AS DOUBLE) / n AS p, tp / CAST((SELECT count(*) FROM held WHERE label = 1) AS DOUBLE) AS r FROM points),
+tuned AS (SELECT score AS threshold FROM marks ORDER BY round(2 * (p * r) / (p + r + CAST(1e-9 AS DOUBLE)), 12) DESC, score LIMIT 1),
+fresh AS ({_with_lag('(SELECT batch_time, ' + ', '.join(FEATURES) + ' FROM tel)')}), cells AS ({_scaled_cells('fresh')}),
+final AS ({_lag_scores('cells', 'x.batch_time')})
+SELECT batch_time, round(score, 4) + 0.0 AS probability, CAST(score >= threshold - CAST(1e-9 AS DOUBLE) AS INTEGER) AS prediction FROM final, tuned"""))
+def saved_pipeline_scores(spark, folder):
+    """A training run saved as one pipeline, loaded again, and applied to delimited text."""
+    from .preparing import _telemetry_text
+
+    spec = engineer.Features(calendar=False, lags=(1,), windows=())
+    run = stages.train(_train_table(spark, folder), spec, "batch_time", "label", ["batch_time"], "gaussian")
+    path = stages.save_run(run, scratch_path(spark, "run"), FEATURES, {"model": "gaussian"})
+    metadata = artifacts.load_metadata(spark, path)
+    raw = delimited.read_telemetry(spark, _telemetry_text(spark, folder))
+    ready = scoring.project_contract(raw, metadata["feature_columns"], metadata["n_features"])
+    scored = artifacts.load_model(spark, path).transform(ready.select("batch_time", "features"))
+    return scored.select("batch_time", rounded("probability", 4).alias("probability"), "prediction")
+
+
 def _calibrated(table, method, places=6):
     return models.calibrate(table, table, method).groupBy("score").agg(
         rounded(F.max("calibrated"), places).alias("calibrated"), F.count(F.lit(1)).alias("n")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.functions import scalars
-from hazardlake.operators import engineer, evaluation, models, sampling, scaling, scoring
+from hazardlake.operators import engineer, evaluation, models, sampling, scaling, scoring, stages
 from hazardlake.operators.evaluation import Costs
 from hazardlake.sources import artifacts
 from hazardlake.streaming import live
@@ -509,3 +509,46 @@ def test_first_rows_of_a_shuffled_stream_are_the_first_in_order(spark, tmp_path)
     assert got == want
     with pytest.raises(ValueError):
         live.run_upserts(firsts, path, str(tmp_path / "other"), merge_every=2)
+
+
+@pytest.mark.parametrize("components", [None, 3])
+def test_a_saved_run_scores_as_the_fitted_one(spark, tmp_path, components):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(120, 3))
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), int(x[i, 0] + 0.3 * x[i, 1] > 0.2), x[i].tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, batch_time timestamp_ntz, label int, features array<double>")
+    spec = engineer.Features(lags=(1, 2), windows=(3,), n_features=2)
+    run = stages.train(df, spec, "id", "label", ["batch_time"], "gaussian", components=components)
+    path = stages.save_run(run, str(tmp_path / "run"), ["a", "b", "c"], {"model": "gaussian"})
+    again = artifacts.load_model(spark, path)
+    # shuffled rows without the label, and a column that the stages know nothing of
+    fresh = df.drop("label").withColumn("note", F.lit("x")).repartition(5)
+    got = {r.id: r for r in again.transform(fresh).collect()}
+    assert set(got) == set(range(120)) and set(got[0].asDict()) == {"id", "batch_time", "features", "note", "probability", "prediction"}
+    held = {r.id: r.probability for r in run.scored.collect()}
+    assert len(held) == 24 and all(got[i].probability == pytest.approx(p, abs=1e-9) for i, p in held.items())
+    assert all(r.prediction == int(r.probability >= run.threshold) for r in got.values())
+    saved = artifacts.load_metadata(spark, path)
+    assert saved["extra"]["optimal_threshold"] == run.threshold and saved["feature_columns"] == ["a", "b", "c"]
+    assert saved["extra"]["metrics"]["f1"] == pytest.approx(run.metrics.head().f1)
+
+
+def test_new_rows_need_the_rows_within_reach_only(spark):
+    rows = [(i, [float(i * i % 7), float(i % 5)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, features array<double>")
+    spec = engineer.Features(calendar=False, lags=(1, 4), windows=(3,))
+    stage = stages.EngineeredFeatures.of(spec, ["id"], ["id"])
+    assert stage.reach == 4
+    whole = {r.id: r["_engineered"] for r in stage.transform(df).collect()}
+    late = {r.id: r["_engineered"] for r in stage.transform(df.filter(F.col("id") >= 30 - stage.reach)).collect()}
+    assert all(late[i] == pytest.approx(whole[i]) for i in range(30, 40))
+
+
+def test_a_scaler_stage_keeps_what_it_fitted(spark, tmp_path):
+    df = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "features array<double>")
+    for kind, first in (("standard", [-1.0, 0.0]), ("minmax", [0.0, 0.0])):
+        model = stages.FeatureScaler(kind=kind, outputCol="out").fit(df)
+        model.write().overwrite().save(str(tmp_path / kind))
+        assert stages.FeatureScalerModel.load(str(tmp_path / kind)).transform(df).orderBy("features").head().out == first
+    with pytest.raises(ValueError):
+        stages.FeatureScaler().fit(df.limit(0))
