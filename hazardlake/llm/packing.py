@@ -1,16 +1,17 @@
 """Sequence packing: sum-of-squares online packing of token windows.
 
 A document's ids are cut every ``capacity`` ids. Pieces are dealt to shards by
-hash; in a shard they are placed one after the other, long ones first. Only the number of open
-windows per fill level matters, kept in one level array: a piece goes to the
+hash; in a shard they are placed online, in the order of the documents: a piece
+is placed for good before the next one is seen. Only the number of open windows
+per fill level matters, kept in one level array: a piece goes to the
 level (or a new window) that leaves the smallest sum of squared counts, which
 keeps many different levels open and so finds exact fits. A full window closes.
 A shard's work is bounded by its number of documents, and its open windows at
-the end are all that is padded.
+the end are all that is padded: the larger the shard, the smaller their share.
 
 Defined results: a null or empty text is the end id alone; every row is a
 document, repeated rows too; sequence ids are unique, not dense; an empty table
-gives no pieces. An order within shards (length, id, start, digest) makes a retry
+gives no pieces. An order within shards (id, start, digest) makes a retry
 repeat the same placement.
 """
 
@@ -31,7 +32,7 @@ from hazardlake.llm.words import slices
 CAPACITY = 2048
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-SHARD_DOCUMENTS = 4096
+SHARD_DOCUMENTS = 16384
 #: Bytes of text encoded at once: the more, the fewer pieces are looked up twice.
 ENCODED_BYTES = 4 << 20
 #: Pieces whose ids a worker remembers, and their length; bounds on memory, not on results.
@@ -176,8 +177,8 @@ def place_pieces(pieces: DataFrame, shards: int, *, key: str = "doc_id", order:
     sort = [key, "start", *order]
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        # Long pieces come first and short ones fill what they leave open.
-        group = group.sort_values(["length", *sort], ascending=[False, *[True] * len(sort)], kind="stable")
+        # Online: in the order of the documents, each piece placed for good before the next one is seen.
+        group = group.sort_values(sort, kind="stable")
         levels = Levels(capacity)
         placed = [levels.place(int(n)) for n in group["length"]]
         group["sequence_id"] = np.array([w for w, _ in placed], dtype=np.int64) + (group["_shard"].astype("int64").iloc[0] << 32)
