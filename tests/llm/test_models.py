@@ -265,13 +265,13 @@ def test_sequences_hold_their_pieces(spark):
 def test_pieces_are_placed_online(spark):
     """What comes later does not move a piece, and few windows are left open."""
     rng = np.random.default_rng(12)
-    rows = [(i, 0, int(n)) for i, n in enumerate(rng.integers(1, 2049, 3000))]
+    rows = [(i, 0, int(n)) for i, n in enumerate(rng.integers(1, 701, 3000))]
     pieces = spark.createDataFrame(rows, "doc_id long, start long, length long")
     whole = {r.doc_id: (r.sequence_id, r.offset) for r in packing.place_pieces(pieces, 1).collect()}
     early = packing.place_pieces(pieces.filter("doc_id < 1000").repartition(5), 1).collect()
     assert len(early) == 1000 and all(whole[r.doc_id] == (r.sequence_id, r.offset) for r in early)
     windows = len({w for w, _ in whole.values()})
-    assert sum(n for *_, n in rows) / (windows * 2048) > 0.95
+    assert sum(n for *_, n in rows) / (windows * 2048) > 0.98
 
 
 def test_stages_are_the_five_in_order():
