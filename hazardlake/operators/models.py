@@ -151,9 +151,9 @@ def fit(
 
 
 def with_probability(model: Model, df: DataFrame, features: str = "features", out: str = "probability") -> DataFrame:
-    """Add the probability of class 1."""
+    """Add the probability of class 1; null where the model has seen one class only and has nothing to tell apart."""
     scored = model.transform(as_vector(df, features, "_vector"))
-    return scored.withColumn("_p", vector_to_array("_probability")[1]).select(*df.columns, F.col("_p").alias(out))
+    return scored.withColumn("_p", F.get(vector_to_array("_probability"), F.lit(1))).select(*df.columns, F.col("_p").alias(out))
 
 
 def model_metrics(

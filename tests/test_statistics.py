@@ -1,16 +1,22 @@
 """Per-position statistics, curves of one class, zones, scratch, folders and registered jobs."""
 
+import datetime as dt
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from hazardlake import session
 from hazardlake.functions import scalars
 from hazardlake.operators import evaluation, joins, models, moments, ordering, sampling, scaling, scoring
 from hazardlake.sources import artifacts, delimited
 
+START = dt.datetime(2024, 1, 1)
+
 
 @pytest.fixture(scope="module", params=["float", "double"])
 def wide(request, spark):
@@ -230,3 +236,25 @@ def test_more_folds_than_rows_of_a_label(spark):
     folds = models.cross_validate(df, "gaussian", "id", k=5, parallelism=3).orderBy("fold").collect()
     assert [r.fold for r in folds] == [0, 1, 2, 3, 4]
     assert [r.pr_auc is None for r in folds] == [False, False, False, True, True]
+
+
+@pytest.fixture
+def one_class(spark):
+    rows = [(START + dt.timedelta(hours=i), i, 1, [float(i % 7), float(i % 3)]) for i in range(40)]
+    return spark.createDataFrame(rows, "batch_time timestamp_ntz, id long, label int, features array<double>")
+
+
+def dense_folder(tmp_path):
+    """Events of which every hour holds an emergency, as any long enough log has them."""
+    kinds = ["error", "click", "purchase", "signup", "view"]
+    rows = [(START + dt.timedelta(hours=h, minutes=7 * k), h, kind, 150.0 + h % 7 + k) for h in range(40) for k, kind in enumerate(kinds)]
+    names = ("ts", "user_id", "event_type", "value")
+    table = pa.table({"event_id": list(range(len(rows))), **dict(zip(names, zip(*rows)))})
+    pq.write_table(table.set_column(1, "ts", table["ts"].cast(pa.timestamp("us"))), tmp_path / "events.parquet")
+    return str(tmp_path)
+
+
+def test_a_model_of_one_class_gives_no_probability(spark, one_class, tmp_path):
+    scored = models.with_probability(models.fit("gaussian", one_class), one_class)
+    assert scored.count() == 40 and scored.filter("probability IS NOT NULL").count() == 0
+    assert entry.queries()["folder_scores"](spark, dense_folder(tmp_path)).count() == 0
