@@ -161,9 +161,9 @@ def model_metrics(
 ) -> DataFrame:
     """One row, or one per group (not null), with all metrics at a fixed threshold.
 
-    All groups share one sort of their distinct scores.
+    All groups share one sort of their distinct scores. Rows without a score count for nothing.
     """
-    rows = scored.select(
+    rows = scored.filter(F.col(score).isNotNull()).select(
         *group,
         F.col(label).alias("label"),
         F.col(score).alias("score"),
@@ -263,7 +263,8 @@ def cross_validate(
 
     Only key, label and features are stored; each fold is fitted on the others,
     ``parallelism`` folds at a time, and one pass over the held-out scores of all
-    folds gives their curves. A fold without rows has no metrics.
+    folds gives their curves. A fold without rows, or whose model has seen one
+    class only and gives no score, has no metrics.
     """
     spark = df.sparkSession
     folds = stored(stratified_folds(df.select(key, label, features), [key], label, k, seed))

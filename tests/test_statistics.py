@@ -258,3 +258,10 @@ def test_a_model_of_one_class_gives_no_probability(spark, one_class, tmp_path):
     scored = models.with_probability(models.fit("gaussian", one_class), one_class)
     assert scored.count() == 40 and scored.filter("probability IS NOT NULL").count() == 0
     assert entry.queries()["folder_scores"](spark, dense_folder(tmp_path)).count() == 0
+
+
+def test_folds_of_one_class_have_no_metrics(spark, one_class, tmp_path):
+    folds = models.cross_validate(one_class, "gaussian", "id", k=3).collect()
+    assert [r.fold for r in folds] == [0, 1, 2]
+    assert all(v is None for r in folds for c, v in r.asDict().items() if c != "fold")
+    assert entry.queries()["gaussian_cross_validation"](spark, dense_folder(tmp_path)).count() == 0
