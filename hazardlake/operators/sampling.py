@@ -362,11 +362,22 @@ def smote(
     Each lies on the line from a minority row to one of its k nearest minority
     rows. Equal vectors are searched once: copies of a vector are its nearest
     neighbours at distance 0, and the line to a copy is the vector itself.
-    Append the result with ``unionByName`` to get the rebalanced table.
+    Append the result with ``unionByName`` to get the rebalanced table. A table
+    of one class has no minority and gets no new rows.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n", label).limit(3).collect()
-    if len(counts) != 2:
-        raise ValueError("exactly two classes are needed")
+    if len(counts) > 2:
+        raise ValueError("more than two classes")
+    if len(counts) < 2:
+        nothing = df.filter(F.lit(False))
+        number = F.lit(0).cast("bigint")
+        return nothing.select(
+            number.alias("new_id"),
+            F.col(key).alias("base_key"),
+            number.alias("neighbour_row"),
+            label,
+            F.col(features).cast("array<double>").alias(features),
+        )
     minority_label, n_min, n_maj = counts[0][label], counts[0]["n"], counts[1]["n"]
     n_new = synthetic_count(n_maj, n_min, ratio)
 

@@ -265,3 +265,11 @@ def test_folds_of_one_class_have_no_metrics(spark, one_class, tmp_path):
     assert [r.fold for r in folds] == [0, 1, 2]
     assert all(v is None for r in folds for c, v in r.asDict().items() if c != "fold")
     assert entry.queries()["gaussian_cross_validation"](spark, dense_folder(tmp_path)).count() == 0
+
+
+def test_one_class_needs_no_synthetic_rows(spark, one_class, tmp_path):
+    new = sampling.smote(one_class, "id", "label")
+    assert new.columns == ["new_id", "base_key", "neighbour_row", "label", "features"] and new.count() == 0
+    with pytest.raises(ValueError):
+        sampling.smote(one_class.withColumn("label", F.col("id") % 3), "id", "label")
+    assert entry.queries()["smote"](spark, dense_folder(tmp_path)).count() == 0
