@@ -142,7 +142,7 @@ class VectorToArray(Transformer, _Stage):
 
 
 class Decision(Transformer, _Stage):
-    """``probability`` of class 1 and ``prediction`` at the tuned threshold; the columns between the stages go."""
+    """``probability`` of class 1 and ``prediction`` at the tuned threshold, null of a model of one class; the columns between the stages go."""
 
     threshold = _param("threshold", "smallest probability of a positive", TypeConverters.toFloat)
 
@@ -150,7 +150,7 @@ class Decision(Transformer, _Stage):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         p = self.getOutputCol()
-        decided = df.withColumn(p, vector_to_array(self.getInputCol())[1])
+        decided = df.withColumn(p, F.get(vector_to_array(self.getInputCol()), F.lit(1)))
         decided = decided.withColumn("prediction", (F.col(p) >= self.getOrDefault(self.threshold)).cast("int"))
         return decided.drop(ENGINEERED, SCALED, VECTOR, PROJECTED, *models.OUTPUTS.values())
 
@@ -212,7 +212,8 @@ def train(
     ready = prepare(df, spec, key, label, order_by, time, seed=seed, **preparation)
     model = models.fit(name, ready.train, label, "features", weights, seed, **(options or {}))
     scored = stored(models.with_probability(model, ready.validation).select(key, label, "probability"), "scored")
-    threshold = float(find_threshold(scored, objective, label=label, score="probability").head()["threshold"])
+    known = scored.filter(F.col("probability").isNotNull())  # a model of one class gives none
+    threshold = float(find_threshold(known, objective, label=label, score="probability").head()["threshold"])
     metrics = models.model_metrics(scored, label, "probability", costs, threshold)
     engineering = EngineeredFeatures.of(spec, list(order_by), [key], time=time)
     return TrainingRun(fitted_pipeline(ready, engineering, model, threshold), threshold, metrics, scored)

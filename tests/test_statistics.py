@@ -279,3 +279,7 @@ def test_preparing_one_class_keeps_every_row(spark, tmp_path):
     """There is no minority to lift, and no row may go for a ratio."""
     rows = entry.queries()["prepared_training_rows"](spark, dense_folder(tmp_path)).collect()
     assert {(r.part, r.label, r.n, r.width, r.named) for r in rows} == {("train", 1, 32, 30, 30), ("validation", 1, 8, 30, 30)}
+
+
+def test_a_run_on_one_class_is_saved_and_scores_nothing(spark, tmp_path):
+    assert entry.queries()["saved_pipeline_scores"](spark, dense_folder(tmp_path)).count() == 0
