@@ -186,7 +186,7 @@ def compare(
     options: dict[str, dict[str, Any]] | None = None,
     parallelism: int = 1,
 ) -> DataFrame:
-    """One row per model; a model that cannot be fitted gets its error and no metrics.
+    """One row per model; a model that cannot be fitted gets its error and no metrics, one that scores no row no metrics.
 
     ``parallelism`` models are fitted at a time. Each stores its scores, and one
     pass over all of them gives every model's curves.

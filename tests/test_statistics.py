@@ -283,3 +283,10 @@ def test_preparing_one_class_keeps_every_row(spark, tmp_path):
 
 def test_a_run_on_one_class_is_saved_and_scores_nothing(spark, tmp_path):
     assert entry.queries()["saved_pipeline_scores"](spark, dense_folder(tmp_path)).count() == 0
+
+
+def test_comparison_on_one_class(spark, one_class, tmp_path):
+    found = models.compare(one_class, one_class, ["gaussian", "none"]).collect()
+    assert [(r.model, r.error is None, r.f1) for r in found] == [("gaussian", True, None), ("none", False, None)]
+    rows = entry.queries()["gaussian_comparison"](spark, dense_folder(tmp_path)).collect()
+    assert [(r.position, r.model, r.error) for r in rows] == [(2, "no_such_model", "failed")]
