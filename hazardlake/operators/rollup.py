@@ -2,14 +2,16 @@
 
 Every group-by here has a map-side partial aggregate, so a key that holds a
 third of all rows reaches its final task as one partial row per input task.
+Only sums whose order counts are added row by row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import col, flag_to_float, floor_time
@@ -73,6 +75,25 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Order = ()) -> Data
     return rows.join(first.hint("shuffle_hash"), here, "left_semi").select(*df.columns)
 
 
+def sums_in_file_order(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """One row per key with its sums, added one row after the other as they stand in the files.
+
+    Floating sums depend on the order of their terms. Partial sums are merged in
+    the order they arrive; where a sum is then cut to a whole number, one lost
+    bit changes the result. A key's rows are sorted and streamed, never held together.
+    """
+    rows = with_address(df)
+    if rows is None:
+        rows = with_address(stored(df, "rows"))
+    order = W.partitionBy(*keys).orderBy("_file", "_row")
+    upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    narrow = rows.select(*keys, "_file", "_row", *[e.alias(f"_of_{n}") for n, e in sums.items()])
+    running = narrow.select(
+        *keys, *[F.sum(f"_of_{n}").over(upto).alias(n) for n in sums], F.lead(F.lit(True)).over(order).alias("_more")
+    )
+    return running.filter(F.col("_more").isNull()).drop("_more")
+
+
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

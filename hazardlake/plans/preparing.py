@@ -153,11 +153,10 @@ def rescaled_records(spark, folder):
     raw = arrays.zero_filled(arrays.nulls_for_infinities("features"))
     rows = roles.measured_items(spark, folder).withColumn("raw", raw)
     wide = rows.withColumn("x", arrays.rescaled_record("raw", 5))
-    return wide.groupBy("l_orderkey", "l_linenumber").agg(
-        rounded(F.sum(F.col("x")[0])).alias("x0"),
-        F.floor(F.sum(F.col("x")[1])).alias("x1"),
-        rounded(F.sum(F.col("x")[2])).alias("x2"),
-        F.count_if(arrays.all_zero("raw")).alias("n_no_information")
+    sums = {f"x{i}": F.col("x")[i] for i in range(3)} | {"n_no_information": arrays.all_zero("raw").cast("int")}
+    whole = rollup.sums_in_file_order(wide, ["l_orderkey", "l_linenumber"], sums)
+    return whole.select(
+        "l_orderkey", "l_linenumber", rounded("x0").alias("x0"), F.floor("x1").alias("x1"), rounded("x2").alias("x2"), "n_no_information"
     )
 
 

@@ -416,3 +416,16 @@ def test_layouts(spark):
     assert cells(arrays.from_long(arrays.to_long(df, keys=["id"]), ["id"])) == [[1, N], [3, 4]]
     wide = arrays.spread(df, "features", ["v_0", "v_1"])
     assert cells(arrays.to_array(wide, ["v_0", "v_1"])) == [[1, N], [3, 4]]
+
+
+def test_sums_in_file_order(spark, tmp_path):
+    """A sum that is a whole number in one order of its terms and not in another."""
+    terms = [88243.54340277777, 80535.59201388888, 104283.86458333333]
+    first, last = terms[0] + terms[1] + terms[2], terms[0] + terms[2] + terms[1]
+    assert math.floor(first) != math.floor(last)
+    for name, ordered, want in (("one", terms, first), ("other", [terms[0], terms[2], terms[1]], last)):
+        paths = [str(tmp_path / name / str(i)) for i in range(3)]  # a file, and a task, for each term
+        for path, x in zip(paths, ordered):
+            spark.range(200).select(F.col("id").alias("k"), F.lit(x).alias("x")).coalesce(1).write.parquet(path)
+        got = rollup.sums_in_file_order(spark.read.parquet(*paths), ["k"], {"s": F.col("x")}).collect()
+        assert len(got) == 200 and {r.s for r in got} == {want}
