@@ -301,3 +301,14 @@ def test_packed_numbers_round_trip():
     for bits in (12, 32, 56, 64):
         v = np.random.default_rng(bits).integers(0, 2**min(bits, 63), 1000, dtype=np.uint64)
         assert (substring._wide(substring._narrow(v, bits), bits) == v).all()
+
+
+def test_near_copies_with_unlike_fingerprints(spark):
+    """Pairs at exactly 0.8 (4 of 5 shingles) whose 64-bit fingerprints differ in 23 or 24 bits."""
+    rows = []
+    for seed in (195, 546, 815, 1065, 1987, 2346, 3535, 3793, 6278, 14504, 17092, 19390):
+        draw = random.Random(seed)
+        words = [f"w{draw.randrange(10**6)}" for _ in range(9)]
+        rows += [(seed, " ".join(words[:8])), (100_000 + seed, " ".join(words))]
+    kept = near.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows[::2]]
