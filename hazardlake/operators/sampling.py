@@ -114,6 +114,15 @@ PIVOTS = 64
 TIGHTEN_AFTER = (8, 64)
 
 
+def _shuffled(table: DataFrame) -> DataFrame:
+    """To be joined by a shuffle of both sides.
+
+    The optimizer takes an array for one number, so a table of vectors looks
+    small to it and would be broadcast, whole, through the driver.
+    """
+    return table.hint("merge")
+
+
 def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[float]]:
     """Up to PIVOTS vectors chosen by hash; fewer for a small table, which needs fewer cells."""
     chosen = vectors.orderBy(uniform_draw(seed, key), key).limit(min(max(wanted, 1), PIVOTS)).select("x")
@@ -311,7 +320,7 @@ def nearest_neighbours(
         best = stored(best, "nearest")
         kth = best.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
         limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
-        asking = blocks.join(limit, "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+        asking = blocks.join(_shuffled(limit), "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
         # Which blocks can hold something closer, asked of a bounded number of outlines at a time.
         named = None
         for turn in range(passes):
@@ -330,7 +339,7 @@ def nearest_neighbours(
         # (a bounded number) go to each part that has visitors.
         loads = named.groupBy("block").agg(F.count(F.lit(1)).alias("visitors"))
         parts = loads.select("block", F.ceil(F.col("visitors") / F.lit(members_limit)).cast("int").alias("parts"))
-        visitors = named.join(parts, "block").join(blocks.select("key", "x"), "key").select(
+        visitors = named.join(parts, "block").join(_shuffled(blocks.select("key", "x")), "key").select(
             "block", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "x"
         )
         hosts = blocks.join(parts, "block").select(
@@ -391,10 +400,10 @@ def smote(
     near = nearest_neighbours(groups.select(F.col("rep").alias("key"), "x"), k)
     # Neighbour slots in order: the other copies first, then each neighbour's copies.
     copies = groups.select(F.col("rep").alias("neighbour"), "copies", F.col("x").alias("y"))
-    slots = near.join(copies, "neighbour").groupBy("key").agg(
+    slots = near.join(_shuffled(copies), "neighbour").groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("rank", "neighbour", "copies", "y"))).alias("near")
     )
-    table = groups.join(slots, groups["rep"] == slots["key"], "left").select("x", "rep", "copies", "near")
+    table = groups.join(_shuffled(slots), groups["rep"] == slots["key"], "left").select("x", "rep", "copies", "near")
 
     # Draws: the base row comes round-robin from a shuffled minority, so no row
     # is drawn far more often than another; slot and position are hash draws.
@@ -408,7 +417,7 @@ def smote(
         .withColumn("u", uniform_draw(f"{seed}/slot", "new_id"))
         .withColumn("g", uniform_draw(f"{seed}/gap", "new_id"))
     )
-    base = drawn.join(minority.select("nth", "x"), "nth").join(table, "x").select(
+    base = drawn.join(_shuffled(minority.select("nth", "x")), "nth").join(_shuffled(table), "x").select(
         "new_id", F.col("key").alias("base_key"), "x", "u", "g", "rep", "copies", "near"
     )
     near_or_none = F.coalesce("near", F.array().cast(table.schema["near"].dataType))

@@ -1,7 +1,10 @@
 """Per-position statistics, curves of one class, zones, scratch, folders and registered jobs."""
 
+import contextlib
 import datetime as dt
+import io
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -171,6 +174,24 @@ def test_blocks_hold_a_fixed_number_of_bytes(spark, monkeypatch):
     assert sizes == [10, 20]
 
 
+def broadcast_columns(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return [re.sub(r"#\d+L?", "", c) for c in re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*)\]", text.getvalue())]
+
+
+def test_vectors_are_not_broadcast(spark):
+    """An array counts as one number in the optimizer's sizes, so a large table of vectors looks small to it."""
+    rng = np.random.default_rng(6)
+    rows = [(i, int(i % 4 == 0), rng.normal(size=8).tolist()) for i in range(400)]
+    table = spark.createDataFrame(rows, "key long, label int, x array<double>")
+    near = broadcast_columns(sampling.nearest_neighbours(table, 3, block_members=20))
+    assert near and not any("x" in c.split(", ") for c in near)
+    new = broadcast_columns(sampling.smote(table, "key", "label", "x"))
+    assert not any({"x", "y", "near"} & set(c.split(", ")) for c in new)
+
+
 def test_scratch_of_a_block_goes_with_it(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("kept"))
     with session.owned_scratch(spark):
