@@ -107,7 +107,7 @@ def prepare(
     smote_ratio: float | None = None,
     seed: int = 42,
 ) -> Prepared:
-    """Features, split, scaler and (training rows only) rebalancing.
+    """Features, split, scaler and (training rows only) rebalancing, which adds rows and removes none.
 
     The engineered table is written once to the shared folder; the scaler and
     the components are fitted on its training rows.
@@ -136,6 +136,6 @@ def prepare(
     train, validation = (scaling.apply_scaler(t, params) for t in (train, validation))
     train = train.withColumn("features", F.col("features").cast("array<double>"))
     if smote_ratio is not None:
-        extra = sampling.smote(train, key, label, ratio=smote_ratio, seed=seed)
+        extra = sampling.smote(train, key, label, ratio=smote_ratio, seed=seed, strict=False)
         train = sampling.concat_rows(train.select(label, "features"), extra.select(label, "features"))
     return Prepared(train, validation, params, names, fitted)

@@ -365,6 +365,7 @@ def smote(
     ratio: float = 0.5,
     k: int = 5,
     seed: int = 42,
+    strict: bool = True,
 ) -> DataFrame:
     """Synthetic minority rows: ``(new_id, base_key, neighbour_key, label, features)``.
 
@@ -372,12 +373,14 @@ def smote(
     rows. Equal vectors are searched once: copies of a vector are its nearest
     neighbours at distance 0, and the line to a copy is the vector itself.
     Append the result with ``unionByName`` to get the rebalanced table. A table
-    of one class has no minority and gets no new rows.
+    of one class has no minority and gets no new rows. Where the minority exceeds
+    ``ratio`` already, that is an error, or if not ``strict`` there are no new rows.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n", label).limit(3).collect()
     if len(counts) > 2:
         raise ValueError("more than two classes")
-    if len(counts) < 2:
+    sizes = [c["n"] for c in counts]
+    if len(sizes) < 2 or not strict and int(sizes[1] * ratio) <= sizes[0]:
         nothing = df.filter(F.lit(False))
         number = F.lit(0).cast("bigint")
         return nothing.select(

@@ -302,6 +302,17 @@ def test_preparing_one_class_keeps_every_row(spark, tmp_path):
     assert {(r.part, r.label, r.n, r.width, r.named) for r in rows} == {("train", 1, 32, 30, 30), ("validation", 1, 8, 30, 30)}
 
 
+def test_a_minority_above_the_ratio_gets_no_rows_and_loses_none(spark, tmp_path):
+    """Emergencies in 16 of 40 hours: two thirds of the other class, more than either job asks for."""
+    folder = dense_folder(tmp_path)
+    calm = pq.read_table(f"{folder}/events.parquet").to_pandas()
+    calm.loc[(calm["event_type"] == "error") & (calm["user_id"] % 5 > 1), "value"] = 1.0
+    calm.to_parquet(f"{folder}/events.parquet", coerce_timestamps="us")
+    rows = entry.queries()["prepared_training_rows"](spark, folder).collect()
+    assert {(r.part, r.label, r.n) for r in rows} == {("train", 0, 18), ("train", 1, 14), ("validation", 0, 6), ("validation", 1, 2)}
+    assert entry.queries()["smote"](spark, folder).count() == 0
+
+
 def test_a_run_on_one_class_is_saved_and_scores_nothing(spark, tmp_path):
     assert entry.queries()["saved_pipeline_scores"](spark, dense_folder(tmp_path)).count() == 0
 
