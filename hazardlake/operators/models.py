@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -35,6 +36,12 @@ FOLD_METRICS = ("accuracy", "mcc", "hard_roc_auc", "hard_log_loss")
 # Output columns of the models, out of the way of a table's own columns.
 OUTPUTS = {"predictionCol": "_prediction", "probabilityCol": "_probability", "rawPredictionCol": "_raw"}
 
+# Models that work long on each row, and the rows a task gets: fewer are not worth a task, and no task should hold more.
+ROW_HEAVY = ("mlp",)
+ROWS_PER_TASK = (1024, 65_536)
+# Spark's perceptron stacks so many consecutive rows (its default block size), and all stacks weigh alike, full or not.
+STACKED_ROWS = 128
+
 Builder = Callable[..., Estimator]
 _BUILDERS: dict[str, Builder] = {}
 
@@ -120,6 +127,21 @@ def _gaussian(*, features, label, weight, weight_sum, width, seed) -> Estimator:
     return NaiveBayes(featuresCol=features, labelCol=label, weightCol=weight, modelType="gaussian")
 
 
+def _dealt(table: DataFrame, rows: int) -> DataFrame:
+    """The rows spread over the cores. A narrow table comes in few partitions, and so few tasks would do all the work.
+
+    Stacks are dealt whole and in order, so that each row keeps its weight.
+    """
+    least, most = ROWS_PER_TASK
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(math.ceil(rows / least), 4 * cores), math.ceil(rows / most))
+    if parts < 2:
+        return table
+    # monotonically_increasing_id: partition number above bit 33, row number below.
+    stacks = table.withColumn("_at", F.monotonically_increasing_id()).withColumn("_stack", F.floor(F.col("_at") / STACKED_ROWS))
+    return stacks.repartition(parts, "_stack").sortWithinPartitions("_at").drop("_at", "_stack")
+
+
 def fit(
     name: str,
     train: DataFrame,
@@ -134,7 +156,8 @@ def fit(
     table = as_vector(train, features, "_vector").select("_vector", F.col(label).cast("double").alias("_label"))
     w = weights or {0: 1.0, 1: 1.0}
     table = with_class_weight(table, "_label", w[1], "_weight")
-    stats = table.agg(F.sum("_weight").alias("s"), F.first(F.size(vector_to_array("_vector"))).alias("f")).head()
+    width = F.first(F.size(vector_to_array("_vector")))
+    stats = table.agg(F.sum("_weight").alias("s"), width.alias("f"), F.count(F.lit(1)).alias("n")).head()
     if not stats["s"]:
         raise ValueError("no training rows")
     estimator = build(
@@ -147,7 +170,7 @@ def fit(
         seed=seed,
         **options,
     )
-    return estimator.fit(table)
+    return estimator.fit(_dealt(table, stats["n"]) if name in ROW_HEAVY else table)
 
 
 def with_probability(model: Model, df: DataFrame, features: str = "features", out: str = "probability") -> DataFrame:

@@ -351,6 +351,24 @@ def test_logistic_regression_matches_a_newton_solve(spark, points):
     assert len(p) == 100 and all(0 <= v <= 1 for v in p)
 
 
+def test_a_perceptron_works_on_all_cores(spark, monkeypatch):
+    """Rows that come in one partition are dealt to several tasks, where a model works long on each row."""
+
+    class Recorder:
+        def fit(self, table):
+            parts = [[r["_vector"][0] for r in rows] for rows in table.rdd.glom().collect()]
+            stacks = [rows[i : i + 128] for rows in parts for i in range(0, len(rows), 128)]
+            assert sorted(map(len, stacks))[1:] == [128] * (len(stacks) - 1)  # one is not full, as in one partition
+            assert all(s == [s[0] + i for i in range(len(s))] for s in stacks)
+            return len(parts), sum(map(len, parts))
+
+    monkeypatch.setattr(models, "build", lambda name, **context: Recorder())
+    rows = spark.range(5000).coalesce(1).select((F.col("id") % 2).cast("int").alias("label"), F.array(F.col("id") * 1.0).alias("features"))
+    assert models.fit("mlp", rows) == (5, 5000)
+    assert models.fit("mlp", rows.limit(1000)) == (1, 1000)
+    assert models.fit("random_forest", rows) == (1, 5000)  # its draws belong to the partitions
+
+
 def test_compare_isolates_failures(spark, points):
     found = models.compare(points, points, ["logreg", "none", "random_forest"], options={"random_forest": {"trees": 5}})
     rows = {r.model: r for r in found.collect()}
