@@ -11,12 +11,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazardlake.functions.scalars import uniform_draw
-from hazardlake.session import stored
+from hazardlake.session import drop_scratch, owned_scratch, scratch_path, stored
 
 from .ordering import add_group_index, add_row_index, attach, row_at
 
@@ -112,6 +113,8 @@ OUTLINES = 20_000
 PIVOTS = 64
 # After so many of its nearest blocks a vector's limit is tightened before it visits more.
 TIGHTEN_AFTER = (8, 64)
+# Vectors that a task holds beside those that ask, as doubles.
+HOST_BYTES = 64 << 20
 
 
 def _shuffled(table: DataFrame) -> DataFrame:
@@ -129,120 +132,299 @@ def _pivots(vectors: DataFrame, key: str, seed: int, wanted: int) -> list[list[f
     return [list(r["x"]) for r in chosen.collect()]
 
 
-def _distances(pivots: np.ndarray) -> Callable[[pd.Series], np.ndarray]:
+def _distances(pivots: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     """Distances of vectors to all pivots; like the other functions for tasks it uses nothing of this module."""
 
-    def away(x: pd.Series) -> np.ndarray:
-        matrix = np.stack(x.to_numpy())
+    def away(matrix: np.ndarray) -> np.ndarray:
         return np.column_stack([np.sqrt(((matrix - p) ** 2).sum(axis=1)) for p in pivots])
 
     return away
 
 
-def _outlines(blocks: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Per block, the range of its members' distances to every pivot: ``block, near, far``."""
+def _reader() -> tuple[Callable, Callable]:
+    """Functions that read the vectors of a packed row, and the values of a list in a row of a batch."""
+
+    def values(batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
+        return batch.column(column)[row].values.to_numpy(zero_copy_only=False)
+
+    def matrix(batch: pa.RecordBatch, row: int, side: str = "") -> np.ndarray:
+        kind = np.float32 if batch.column(side + "bits")[row].as_py() == 32 else np.float64
+        x = np.frombuffer(batch.column(side + "x")[row].as_buffer(), dtype=kind)
+        return x.reshape(len(batch.column(side + "keys")[row].values), -1).astype(np.float64)
+
+    return values, matrix
+
+
+def _packer(pivots: np.ndarray) -> Callable[[pa.Table], pa.Table]:
+    """A function that makes one row of a stretch (``stretch, host_group, block, key, x``): its blocks one after the other.
+
+    ``first`` is where each block begins; ``lower`` and ``upper`` are the block's
+    outline, the range of its members' distances to every pivot. Vectors that
+    single precision holds exactly are kept in it.
+    """
     away = _distances(pivots)
 
-    def ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if frame.empty:
-                continue
-            order = np.argsort(frame["block"].to_numpy(), kind="stable")
-            block, d = frame["block"].to_numpy()[order], away(frame["x"])[order]
-            at = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            near, far = np.minimum.reduceat(d, at), np.maximum.reduceat(d, at)
-            yield pd.DataFrame({"block": block[at], "near": list(near), "far": list(far)})
+    def pack(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pa.array(np.argsort(rows.column("block").to_numpy(), kind="stable"))).combine_chunks()
+        block = rows.column("block").to_numpy()
+        x = np.stack(rows.column("x").to_pandas().to_numpy())
+        at = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        d = away(x)
+        with np.errstate(over="ignore"):
+            short = x.astype(np.float32)
+        bits = 32 if np.array_equal(short, x, equal_nan=True) else 64
+        one = lambda a: pa.ListArray.from_arrays([0, len(a)], a)
+        keys = rows.column("key")
+        keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
+        return pa.table(
+            {
+                "stretch": pa.array([rows.column("stretch")[0].as_py()], pa.int64()),
+                "bits": pa.array([bits], pa.int32()),
+                "x": pa.array([(short if bits == 32 else x).tobytes()], pa.binary()),
+                "keys": one(keys),
+                "first": one(pa.array(at, pa.int32())),
+                "blocks": one(pa.array(block[at], pa.int64())),
+                "lower": one(pa.array(np.minimum.reduceat(d, at).ravel(), pa.float64())),
+                "upper": one(pa.array(np.maximum.reduceat(d, at).ravel(), pa.float64())),
+                "host_group": pa.array([rows.column("host_group")[0].as_py()], pa.int32()),
+            }
+        )
 
-    parts = blocks.select("block", "x").mapInPandas(ranges, "block long, near array<double>, far array<double>")
-    cells = parts.select("block", F.posexplode(F.arrays_zip("near", "far")).alias("pivot", "range"))
-    merged = cells.groupBy("block", "pivot").agg(F.min("range.near").alias("near"), F.max("range.far").alias("far"))
-    whole = merged.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pivot", "near", "far"))).alias("r"))
-    return whole.select("block", F.col("r.near").alias("near"), F.col("r.far").alias("far"))
+    return pack
 
 
-def _block_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """A function that finds the k nearest members of a block for each asking vector.
+def _block_search(k: int) -> Callable:
+    """A function that finds what a block's members can add to the k nearest of each asking vector.
 
     It is built here, and uses nothing of this module, so that executors need
     not have the package installed.
     """
 
-    def search(asking: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        nothing = pd.DataFrame({"key": [], "neighbour": [], "distance2": []})
-        if asking.empty or members.empty:
-            return nothing
-        seekers, hosts = np.stack(asking["x"].to_numpy()), np.stack(members["m_x"].to_numpy())
-        asked, hosted = asking["key"].to_numpy(), members["m_key"].to_numpy()
+    def search(seekers, asked, limit2, hosts, hosted) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The asking vector's place, the member's place and their squared distance, none beyond ``limit2``."""
         norms = np.einsum("ij,ij->i", hosts, hosts)
-        found = [nothing]
+        same = bool(np.isin(asked, hosted).any())
+        found = []
         for start in range(0, len(seekers), 256):
-            part, part_keys = seekers[start : start + 256], asked[start : start + 256]
+            part, part_keys, most = seekers[start : start + 256], asked[start : start + 256], limit2[start : start + 256]
             own = np.einsum("ij,ij->i", part, part)
             # A matrix product ranks the members to within rounding; all that
             # could be among the k nearest are then measured exactly.
-            rough = own[:, None] + norms[None, :] - 2.0 * (part @ hosts.T)
-            rough[part_keys[:, None] == hosted[None, :]] = np.inf
-            nth = min(k, rough.shape[1]) - 1
+            rough = (-2.0 * part) @ hosts.T
+            rough += norms
+            if same:
+                rough[part_keys[:, None] == hosted[None, :]] = np.inf
             slack = 1e-9 * (own + norms.max()) + 1e-300
-            bound = np.partition(rough, nth, axis=1)[:, nth] + slack
-            rows, columns = np.nonzero((rough <= bound[:, None]) & np.isfinite(rough))
+            near = rough <= (most - own + slack)[:, None]
+            many = np.flatnonzero(near.sum(axis=1) > 4 * k)
+            if len(many):
+                some, nth = rough[many], min(k, rough.shape[1]) - 1
+                near[many] &= some <= (np.partition(some, nth, axis=1)[:, nth] + slack[many])[:, None]
+            rows, columns = np.nonzero(near)
+            finite = np.isfinite(rough[rows, columns])
+            rows, columns = rows[finite], columns[finite]
             gap = part[rows] - hosts[columns]
             exact = np.einsum("ij,ij->i", gap, gap)
+            keep = exact <= most[rows]
+            rows, columns, exact = rows[keep], columns[keep], exact[keep]
             order = np.lexsort((hosted[columns], exact, rows))
             rows, columns, exact = rows[order], columns[order], exact[order]
-            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-            keep = place < k
-            found.append(
-                pd.DataFrame(
-                    {"key": part_keys[rows[keep]], "neighbour": hosted[columns[keep]], "distance2": exact[keep]}
-                )
-            )
-        return pd.concat(found[1:])
+            keep = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+            found.append((rows[keep] + start, columns[keep], exact[keep]))
+        return tuple(np.concatenate(c) for c in zip(*found))
 
     return search
 
 
-def _router(pivots: np.ndarray, outlines: Sequence, first: int, last: int) -> Callable:
-    """A function from ``key, x, limit, block`` to the blocks each vector has to visit next: ``block, key``.
+def _found(k: int) -> tuple[Callable, Callable]:
+    """Functions that keep the k nearest of each place, and that tell each place's k-th squared distance."""
+
+    def nearest(row, neighbour, distance2):
+        order = np.lexsort((neighbour, distance2, row))
+        row, neighbour, distance2 = row[order], neighbour[order], distance2[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+        return row[keep], neighbour[keep], distance2[keep]
+
+    def limits(n: int, row, distance2) -> np.ndarray:
+        limit2 = np.full(n, np.inf)
+        last = np.flatnonzero(np.arange(len(row)) - np.searchsorted(row, row, side="left") == k - 1)
+        limit2[row[last]] = distance2[last]
+        return limit2
+
+    return nearest, limits
+
+
+def _at_home(k: int) -> Callable:
+    """A function from packed rows to asking rows, each of whose vectors has looked in its own block."""
+    search, (nearest, _), (values, matrix) = _block_search(k), _found(k), _reader()
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                x, keys = matrix(batch, r), values(batch, "keys", r)
+                first = values(batch, "first", r)
+                found = []
+                for lo, hi in zip(first, [*first[1:], len(x)]):
+                    rows, columns, d2 = search(x[lo:hi], keys[lo:hi], np.full(hi - lo, np.inf), x[lo:hi], keys[lo:hi])
+                    found.append((rows + lo, keys[lo:hi][columns], d2))
+                row, neighbour, d2 = nearest(*(np.concatenate(c) for c in zip(*found)))
+                one = lambda a: pa.ListArray.from_arrays([0, len(a)], a)
+                kind = batch.schema.field("keys").type.value_type
+                own = batch.slice(r, 1)
+                empty = {c: one(pa.array([], t)) for c, t in (("wanted", pa.int64()), ("from_low", pa.float64()), ("from_name", pa.int64()), ("to_low", pa.float64()), ("to_name", pa.int64()))}
+                yield pa.RecordBatch.from_pydict(
+                    {c: own.column(c) for c in ("stretch", "bits", "x", "keys", "first", "blocks")}
+                    | {"row": one(pa.array(row, pa.int32())), "neighbour": one(pa.array(neighbour, from_pandas=True).cast(kind)), "distance2": one(pa.array(d2, pa.float64()))}
+                    | empty
+                    | {"visits": pa.array([0], pa.int64())}
+                )
+
+    return home
+
+
+def _bounds() -> Callable:
+    """A function that tells how near blocks can come to vectors: ``rows, columns, low`` of those within reach.
 
     No member of a block is closer than the gap between the vector's distance to
     a pivot and the block's range of distances to it; the widest gap of all
-    pivots is the block's bound. Blocks within the limit are put in the order of
-    their bounds, and those from place ``first`` to before ``last`` are named.
-    A smaller limit only cuts the end of that order, so places stay as they are.
+    pivots is the block's bound.
     """
-    away = _distances(pivots)
-    names = np.array([r["block"] for r in outlines], dtype=np.int64)
-    near, far = np.array([r["near"] for r in outlines]), np.array([r["far"] for r in outlines])
-    rows_at_once = max(1, 2_000_000 // len(names))
 
-    def bounds(d: np.ndarray, reach: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def bounds(d, reach, home, names, lower, upper) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows, columns = np.nonzero(names[None, :] != home[:, None])
         low = np.zeros(len(rows))
         for j in range(d.shape[1]):
-            gap = np.maximum(d[rows, j] - far[columns, j], near[columns, j] - d[rows, j])
+            gap = np.maximum(d[rows, j] - upper[columns, j], lower[columns, j] - d[rows, j])
             low = np.maximum(low, gap)
             if j % 4 == 3 or j + 1 == d.shape[1]:  # most blocks are ruled out by a few pivots
                 within = low <= reach[rows]
                 rows, columns, low = rows[within], columns[within], low[within]
         return rows, columns, low
 
-    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), rows_at_once):
-                part = frame.iloc[start : start + rows_at_once]
-                # A hair of slack keeps rounding from hiding an equally near block.
-                reach = part["limit"].to_numpy() * (1 + 1e-9) + 1e-12
-                rows, columns, low = bounds(away(part["x"]), reach, part["block"].to_numpy())
-                order = np.lexsort((columns, low, rows))
-                rows, columns = rows[order], columns[order]
-                place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-                named = (place >= first) & (place < last)
-                yield pd.DataFrame({"block": names[columns[named]], "key": part["key"].to_numpy()[rows[named]]})
+    return bounds
+
+
+def _asking(k: int, pivots: np.ndarray) -> Callable:
+    """A function that reads an asking row: vectors, distances to pivots, squared limits, reaches and home blocks."""
+    away, (_, limits), (values, matrix) = _distances(pivots), _found(k), _reader()
+
+    def reach(limit2: np.ndarray) -> np.ndarray:
+        # A hair of slack keeps rounding from hiding an equally near block.
+        return np.sqrt(limit2) * (1 + 1e-9) + 1e-12
+
+    def read(batch: pa.RecordBatch, r: int) -> tuple:
+        x = matrix(batch, r)
+        limit2 = limits(len(x), values(batch, "row", r), values(batch, "distance2", r))
+        first = values(batch, "first", r)
+        home = np.repeat(values(batch, "blocks", r), np.diff(np.append(first, len(x))))
+        return x, away(x), limit2, home
+
+    return read, reach
+
+
+def _router(k: int, pivots: np.ndarray, outlines: Sequence, first: int, last: int) -> Callable:
+    """A function that adds to asking rows which of some blocks each vector has to visit next.
+
+    Blocks within a vector's limit are put in the order of their bounds (and
+    names); those from place ``first`` to before ``last`` are named, by the
+    bound and name at either place: from ``from_low, from_name`` to before
+    ``to_low, to_name``. ``wanted`` are their stretches, ``visits`` their number.
+    A smaller limit only cuts the end of that order, so places stay as they are.
+    """
+    read, reach = _asking(k, pivots)
+    bounds, (values, _) = _bounds(), _reader()
+    cells = len(pivots)
+    names = np.concatenate([np.array(r["blocks"], dtype=np.int64) for r in outlines])
+    lower, upper = (np.concatenate([np.array(r[c]).reshape(-1, cells) for r in outlines]) for c in ("lower", "upper"))
+    order = np.argsort(names)
+    names, lower, upper = names[order], lower[order], upper[order]
+    rows_at_once = max(1, 2_000_000 // len(names))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                x, d, limit2, home = read(batch, r)
+                cuts = {"from_low": np.full(len(x), np.inf), "to_low": np.full(len(x), np.inf)}
+                cuts |= {c: np.full(len(x), np.iinfo(np.int64).max) for c in ("from_name", "to_name")}
+                visits, wanted = batch.column("visits")[r].as_py(), [values(batch, "wanted", r)]
+                for start in range(0, len(x), rows_at_once):
+                    part = slice(start, start + rows_at_once)
+                    rows, columns, low = bounds(d[part], reach(limit2[part]), home[part], names, lower, upper)
+                    order = np.lexsort((columns, low, rows))
+                    rows, columns, low = rows[order], columns[order], low[order]
+                    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+                    for side, at in (("from", place == first), ("to", place == last)):
+                        cuts[f"{side}_low"][rows[at] + start] = low[at]
+                        cuts[f"{side}_name"][rows[at] + start] = names[columns[at]]
+                    named = (place >= first) & (place < last)
+                    visits += int(named.sum())
+                    wanted.append(np.unique(names[columns[named]]) // cells)
+                one = lambda a: pa.ListArray.from_arrays([0, len(a)], a)
+                own = batch.slice(r, 1)
+                changed = {c: one(pa.array(np.concatenate([values(batch, c, r), cuts[c]]))) for c in cuts}
+                changed |= {"wanted": one(pa.array(np.unique(np.concatenate(wanted)), pa.int64())), "visits": pa.array([visits], pa.int64())}
+                yield pa.RecordBatch.from_pydict({c: changed.get(c, own.column(i)) for i, c in enumerate(batch.schema.names)})
 
     return route
 
 
+def _visitor(k: int, pivots: np.ndarray, asking_columns: list[str]) -> Callable:
+    """A function from pairs of an asking and a host row (``host_*``) to asking rows that know the hosts.
+
+    All pairs of one asking row come one after the other. A host without a
+    stretch is nobody: it only keeps the asking row.
+    """
+    read, reach = _asking(k, pivots)
+    search, (nearest, limits), bounds, (values, matrix) = _block_search(k), _found(k), _bounds(), _reader()
+    cells = len(pivots)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+
+        def known() -> pa.RecordBatch:
+            one = lambda a: pa.ListArray.from_arrays([0, len(a)], a)
+            kind = own.schema.field("keys").type.value_type
+            changed = {"row": one(pa.array(row, pa.int32())), "neighbour": one(pa.array(neighbour, from_pandas=True).cast(kind)), "distance2": one(pa.array(d2, pa.float64()))}
+            return pa.RecordBatch.from_pydict({c: changed.get(c, own.column(c)) for c in asking_columns})
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                if own is None or batch.column("stretch")[r].as_py() != own.column("stretch")[0].as_py():
+                    if own is not None:
+                        yield known()
+                    # taken out of the batch, which is far larger
+                    own = batch.select(asking_columns).take(pa.array([r]))
+                    (x, d, limit2, home), keys = read(own, 0), values(own, "keys", 0)
+                    row, neighbour, d2 = (values(own, c, 0) for c in ("row", "neighbour", "distance2"))
+                    cuts = {c: values(own, c, 0).reshape(-1, len(x)) for c in ("from_low", "from_name", "to_low", "to_name")}
+                stretch = batch.column("host_stretch")[r].as_py()
+                if stretch is None:
+                    continue
+                names, first = values(batch, "host_blocks", r), values(batch, "host_first", r)
+                lower, upper = (values(batch, c, r).reshape(-1, cells) for c in ("host_lower", "host_upper"))
+                rows, columns, low = bounds(d, reach(limit2), home, names, lower, upper)
+                cut = {c: v[stretch % len(v)][rows] for c, v in cuts.items()}
+                name = names[columns]
+                named = (low > cut["from_low"]) | (low == cut["from_low"]) & (name >= cut["from_name"])
+                named &= (low < cut["to_low"]) | (low == cut["to_low"]) & (name < cut["to_name"])
+                rows, columns = rows[named], columns[named]
+                if not len(rows):
+                    continue
+                hosts, hosted = matrix(batch, r, "host_"), values(batch, "host_keys", r)
+                found = [(row, neighbour, d2)]
+                for b in np.unique(columns):
+                    ask, lo, hi = rows[columns == b], first[b], first[b + 1] if b + 1 < len(first) else len(hosts)
+                    at, member, gap = search(x[ask], keys[ask], limit2[ask], hosts[lo:hi], hosted[lo:hi])
+                    found.append((ask[at], hosted[lo:hi][member], gap))
+                if any(len(f[0]) for f in found[1:]):
+                    row, neighbour, d2 = nearest(*(np.concatenate(c) for c in zip(*found)))
+                    limit2 = limits(len(x), row, d2)
+        if own is not None:
+            yield known()
+
+    return visit
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     k: int,
@@ -262,9 +444,14 @@ def nearest_neighbours(
     whose k-th distance bounds its true k-th distance. By the triangle
     inequality it then only has to visit blocks whose ranges come closer than
     that, the nearest first; after every ``tighten_after`` blocks (per pass of
-    outlines) what was found lowers its limit. A visit returns at most k rows,
-    so no table of pairs is written; the number of visits of each round is
-    appended to ``visits``.
+    outlines) what was found lowers its limit. The number of visits of each
+    round is appended to ``visits``.
+
+    Visits are made by stretches of vectors, packed in one row each, and move
+    nothing through a shuffle: a task reads its asking stretches and a bounded
+    group of hosts from stored tables and pairs them there. Each group's round
+    is stored in place of the one before, so the disk in use grows with the
+    vectors, not with the visits.
     """
     spark = vectors.sparkSession
     vectors = vectors.select(F.col(key).alias("key"), F.col("x").cast("array<double>").alias("x"))
@@ -280,73 +467,88 @@ def nearest_neighbours(
 
     @F.pandas_udf("pivot int, second int, radius double")
     def closest(x: pd.Series) -> pd.DataFrame:
-        d = away(x)
+        d = away(np.stack(x.to_numpy()))
         order = np.argsort(d, axis=1, kind="stable")
         first, second = order[:, 0], order[:, min(1, d.shape[1] - 1)]
         return pd.DataFrame({"pivot": first.astype(np.int32), "second": second.astype(np.int32), "radius": d.min(axis=1)})
 
-    placed = vectors.withColumn("_c", closest("x")).select("key", "x", "_c.*")
-    # Consecutive rows of one pivot's cell form a block.
-    ordered = add_row_index(placed, ["pivot", "second", "radius", "key"], "_i")
-    stretch = ((F.col("_i") - F.pmod("_i", F.lit(members_limit))) / members_limit).cast("bigint")
-    blocks = ordered.select((stretch * F.lit(len(pivots)) + F.col("pivot")).alias("block"), "key", "x")
-
-    result_type = f"key {key_type}, neighbour {key_type}, distance2 double"
-
-    search = _block_search(k)
-
-    def visit(asking: DataFrame, members: DataFrame) -> DataFrame:
-        # Other names for the members: both sides come from the same table.
-        hosts = members.select(*[F.col(c).alias(f"m_{c}") for c in ("block", "part", "key", "x")])
-        pairs = asking.groupBy("block", "part").cogroup(hosts.groupBy("m_block", "m_part"))
-        return pairs.applyInPandas(search, result_type)
+    packed_type = (
+        f"stretch long, bits int, x binary, keys array<{key_type}>, first array<int>, blocks array<long>, "
+        "lower array<double>, upper array<double>, host_group int"
+    )
+    path = scratch_path(spark, "packed")
+    with owned_scratch(spark):  # the sorted rows go when they are packed
+        placed = vectors.withColumn("_c", closest("x")).select("key", "x", "_c.*")
+        # Consecutive rows of one pivot's cell form a block.
+        ordered = add_row_index(placed, ["pivot", "second", "radius", "key"], "_i")
+        stretch = ((F.col("_i") - F.pmod("_i", F.lit(members_limit))) / members_limit).cast("bigint")
+        group_size = max(1, HOST_BYTES // (members_limit * 8 * max(1, width)))
+        rows = ordered.select(
+            stretch.alias("stretch"),
+            F.floor(stretch / group_size).cast("int").alias("host_group"),
+            (stretch * F.lit(len(pivots)) + F.col("pivot")).alias("block"),
+            "key",
+            "x",
+        )
+        rows.groupBy("stretch").applyInArrow(_packer(pivots), packed_type).write.partitionBy("host_group").parquet(path)
+    packed = spark.read.schema(packed_type).parquet(path)
 
-    at_home = blocks.select("block", F.lit(0).alias("part"), "key", "x")
-    own = visit(at_home, at_home)
     ranked = W.partitionBy("key").orderBy("distance2", "neighbour")
 
-    def closest_first(candidates: DataFrame) -> DataFrame:
-        best = candidates.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    def closest_first(asking: DataFrame) -> DataFrame:
+        keys = F.transform("row", lambda i: F.element_at("keys", i + 1)).alias("key")
+        found = asking.select(keys, "neighbour", "distance2").select(F.explode(F.arrays_zip("key", "neighbour", "distance2")).alias("n")).select("n.*")
+        best = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         return best.select("key", "rank", "neighbour", "distance2")
 
-    outlines = stored(_outlines(blocks, pivots), "outlines")
-    n_blocks = outlines.count()
+    asking_type = (
+        f"stretch long, bits int, x binary, keys array<{key_type}>, first array<int>, blocks array<long>, row array<int>, neighbour array<{key_type}>, "
+        "distance2 array<double>, wanted array<long>, from_low array<double>, from_name array<long>, to_low array<double>, to_name array<long>, visits long"
+    )
+    held: list[str] = []
+
+    def hold(asking: DataFrame) -> DataFrame:
+        """Stored in place of what it was made from."""
+        held.append(scratch_path(spark, "asking"))
+        asking.write.parquet(held[-1])
+        if len(held) > 1:
+            drop_scratch(spark, held.pop(0))
+        return spark.read.schema(asking.schema).parquet(held[-1])
+
+    asking = packed.drop("host_group").mapInArrow(_at_home(k), asking_type)
+    n_blocks = packed.agg(F.sum(F.size("blocks"))).head()[0]
     if n_blocks == 1:
-        return closest_first(own)
+        return closest_first(asking)
+    asking = hold(asking)
+    groups = [r["host_group"] for r in packed.select("host_group").distinct().orderBy("host_group").collect()]
     passes = math.ceil(n_blocks / outlines_at_once)
-    best = closest_first(own)
+    nobody = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f"host_{f.name}") for f in packed.drop("host_group").schema])
     edges = [0, *(n for n in tighten_after if n < n_blocks - 1), n_blocks]
     for first, last in zip(edges, edges[1:]):
-        best = stored(best, "nearest")
-        kth = best.groupBy("key").agg(F.max("distance2").alias("d"), F.count(F.lit(1)).alias("n"))
-        limit = kth.select("key", F.when(F.col("n") >= k, F.sqrt("d")).alias("limit"))
-        asking = blocks.join(_shuffled(limit), "key", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+        none = {c: F.array().cast(asking.schema[c].dataType) for c in ("wanted", "from_low", "from_name", "to_low", "to_name")}
+        asking = asking.withColumns(none | {"visits": F.lit(0).cast("bigint")})
         # Which blocks can hold something closer, asked of a bounded number of outlines at a time.
-        named = None
-        for turn in range(passes):
-            some = outlines.filter(F.pmod(F.xxhash64("block"), F.lit(passes)) == turn).orderBy("block").collect()
-            if not some:
-                continue
-            one = asking.mapInPandas(_router(pivots, some, first, last), f"block long, key {key_type}")
-            named = one if named is None else named.unionByName(one)
-        named = stored(named, "visits")
-        count = named.count()
+        for i in range(passes):
+            some = packed.filter(F.pmod("stretch", F.lit(passes)) == i).select("blocks", "lower", "upper").collect()
+            if some:
+                asking = hold(asking.mapInArrow(_router(k, pivots, some, first, last), asking_type))
+        count = asking.agg(F.sum("visits")).head()[0]
         if visits is not None:
             visits.append(count)
         if not count:
             break
-        # Visitors of one block are shared out over parts, and the block's members
-        # (a bounded number) go to each part that has visitors.
-        loads = named.groupBy("block").agg(F.count(F.lit(1)).alias("visitors"))
-        parts = loads.select("block", F.ceil(F.col("visitors") / F.lit(members_limit)).cast("int").alias("parts"))
-        visitors = named.join(parts, "block").join(_shuffled(blocks.select("key", "x")), "key").select(
-            "block", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key", "x"
-        )
-        hosts = blocks.join(parts, "block").select(
-            "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "x"
-        )
-        best = closest_first(best.drop("rank").unionByName(visit(visitors, hosts)))
-    return best
+        for group in groups:
+            # The stretches of this group that anybody visits: a number each.
+            named = asking.select(F.explode("wanted").alias("stretch")).distinct()
+            hosts = packed.filter(F.col("host_group") == group).drop("host_group").join(F.broadcast(named), "stretch", "left_semi")
+            hosts = hosts.select(*[F.col(c).alias(f"host_{c}") for c in hosts.columns]).unionByName(nobody)
+            meets = F.col("host_stretch").isNull() | F.array_contains("wanted", F.col("host_stretch"))
+            # Pairs of a task's asking rows with all hosts of the group, read by that task.
+            pairs = asking.hint("shuffle_replicate_nl").join(hosts.coalesce(1), meets)
+            met = pairs.mapInArrow(_visitor(k, pivots, asking.columns), asking_type)
+            final = last == edges[-1] and group == groups[-1]
+            asking = met if final else hold(met)
+    return closest_first(asking)
 
 
 def synthetic_count(majority: int, minority: int, ratio: float) -> int:

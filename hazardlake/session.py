@@ -65,6 +65,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def owned_scratch(spark: SparkSession) -> Iterator[None]:
     """Delete what was stored inside the block when it ends.
@@ -76,10 +82,8 @@ def owned_scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _OWNERS.pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            drop_scratch(spark, path)
 
 
 def stored(df: DataFrame, purpose: str = "table") -> DataFrame:

@@ -5,6 +5,7 @@ import datetime as dt
 import io
 import math
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -192,6 +193,22 @@ def test_vectors_are_not_broadcast(spark):
     assert not any({"x", "y", "near"} & set(c.split(", ")) for c in new)
 
 
+def test_visits_move_no_vectors_through_a_shuffle(spark):
+    """Vectors that are all nearly equally far apart visit every block; what is kept for that does not grow with the visits."""
+    rng = np.random.default_rng(8)
+    vectors = spark.createDataFrame([(i, rng.normal(size=32).tolist()) for i in range(300)], "key long, x array<double>")
+    visits = []
+    kept = set(Path(session.checkpoint_dir(spark).removeprefix("file:")).iterdir())
+    near = sampling.nearest_neighbours(vectors, 3, block_members=10, tighten_after=(4,), visits=visits)
+    kept = {p.name.rsplit("-", 1)[0] for p in set(Path(session.checkpoint_dir(spark).removeprefix("file:")).iterdir()) - kept}
+    assert sum(visits) > 20 * 300 and kept <= {"packed", "asking"}
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        near.explain("formatted")
+    moved = [re.sub(r"#\d+L?", "", c).split(", ") for c in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text.getvalue())]
+    assert moved and not any({"x", "host_x", "m_x"} & set(c) for c in moved)
+
+
 def test_scratch_of_a_block_goes_with_it(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("kept"))
     with session.owned_scratch(spark):
