@@ -209,6 +209,16 @@ def test_visits_move_no_vectors_through_a_shuffle(spark):
     assert moved and not any({"x", "host_x", "m_x"} & set(c) for c in moved)
 
 
+def test_hosts_in_several_groups_find_the_same_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "HOST_BYTES", 8 * 3 * 20 * 5)
+    x = np.random.default_rng(9).normal(size=(240, 3))
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "key long, x array<double>")
+    rows = sampling.nearest_neighbours(vectors, 3, block_members=20, tighten_after=()).collect()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert {(r.key, r["rank"], r.neighbour) for r in rows} == {(i, n + 1, int(j)) for i in range(240) for n, j in enumerate(np.argsort(d[i])[:3])}
+
+
 def test_scratch_of_a_block_goes_with_it(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("kept"))
     with session.owned_scratch(spark):
